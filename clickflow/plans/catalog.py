@@ -2,7 +2,8 @@
 
 Every query reads the driver tables of ``sf_dir`` (through the adapter in
 ``clickflow.sources.tables``) over their whole extent. ``AS_OF`` is the fixed
-evaluation time; the driver events end on 2024-01-30.
+evaluation time (the driver events end on 2024-01-30); look-back queries use
+``LOOKBACK_AS_OF``, the end of the log, with the jobs' own 24 h default.
 """
 
 from __future__ import annotations
@@ -11,11 +12,19 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clickflow.operators import brands as br
+from clickflow.operators import dims
 from clickflow.operators import funnel as fn
+from clickflow.operators import profile as pf
+from clickflow.operators import recommend as rc
+from clickflow.operators import sliding as sl
+from clickflow.functions.timefns import events_between
 from clickflow.sources.tables import Tables
 
 AS_OF = dt.datetime(2024, 2, 1)
+LOOKBACK_AS_OF = dt.datetime(2024, 1, 31)
 RUN_ID = AS_OF.strftime("%Y%m%d_%H%M%S")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +53,215 @@ def funnel_by_category(spark, sf):
 @register("funnel_by_brand")
 def funnel_by_brand(spark, sf):
     return fn.funnel_by_brand(Tables(spark, sf).events())
+
+
+@register("funnel_union")
+def funnel_union(spark, sf):
+    return fn.funnel_records(Tables(spark, sf).events(), RUN_ID, AS_OF)
+
+
+@register("funnel_lookback")
+def funnel_lookback(spark, sf):
+    """Brand funnel of the closed 24 h look-back ending at the log end."""
+    ev = events_between(Tables(spark, sf).events(), LOOKBACK_AS_OF, hours=24)
+    return fn.funnel_by_brand(ev)
+
+
+# --- recommendations --------------------------------------------------------
+
+def _segments(t: Tables):
+    return rc.user_segments(t.users(), AS_OF)
+
+
+@register("segment_activity")
+def segment_activity(spark, sf):
+    t = Tables(spark, sf)
+    return rc.segment_activity(t.events(), _segments(t))
+
+
+@register("segment_product_stats")
+def segment_product_stats(spark, sf):
+    t = Tables(spark, sf)
+    return rc.segment_product_stats(t.events(), _segments(t))
+
+
+@register("recs_top10")
+def recs_top10(spark, sf):
+    t = Tables(spark, sf)
+    return rc.recommend(t.events(), _segments(t), t.products())
+
+
+@register("recs_wide")
+def recs_wide(spark, sf):
+    t = Tables(spark, sf)
+    return rc.recommendation_records(rc.recommend(t.events(), _segments(t), t.products()),
+                                     RUN_ID, AS_OF)
+
+
+# --- brands -----------------------------------------------------------------
+
+@register("brand_age_metrics")
+def brand_age_metrics(spark, sf):
+    t = Tables(spark, sf)
+    return br.brand_age_metrics(t.events(), t.users(), AS_OF)
+
+
+@register("brand_top100")
+def brand_top100(spark, sf):
+    t = Tables(spark, sf)
+    return br.restrict_to_top_brands(br.brand_age_metrics(t.events(), t.users(), AS_OF))
+
+
+@register("brand_records")
+def brand_records(spark, sf):
+    t = Tables(spark, sf)
+    return br.brand_records(br.brand_age_metrics(t.events(), t.users(), AS_OF), RUN_ID, AS_OF)
+
+
+@register("brand_top10_revenue")
+def brand_top10_revenue(spark, sf):
+    t = Tables(spark, sf)
+    return br.top_brands_by(br.brand_age_metrics(t.events(), t.users(), AS_OF), "total_revenue", 10,
+                            ("brand", "age_group"))
+
+
+@register("brand_user_metrics")
+def brand_user_metrics(spark, sf):
+    t = Tables(spark, sf)
+    return br.brand_user_metrics(t.events(), _segments(t))
+
+
+@register("brand_dominant_age")
+def brand_dominant_age(spark, sf):
+    t = Tables(spark, sf)
+    return br.dominant_age_group(t.events(), _segments(t))
+
+
+@register("brand_top3_records")
+def brand_top3_records(spark, sf):
+    t = Tables(spark, sf)
+    return br.brand_top_records(br.brand_user_metrics(t.events(), _segments(t)), RUN_ID, AS_OF)
+
+
+@register("order_brand_age_metrics")
+def order_brand_age_metrics(spark, sf):
+    """Brand x age metrics over order lines (purchase events at lineitem size)."""
+    t = Tables(spark, sf)
+    return br.brand_age_metrics(t.order_events(), t.users(), AS_OF)
+
+
+# --- dimensions -------------------------------------------------------------
+
+@register("user_demographics")
+def user_demographics(spark, sf):
+    return dims.user_demographics(Tables(spark, sf).users(), AS_OF)
+
+
+@register("distinct_categories")
+def distinct_categories(spark, sf):
+    return dims.distinct_categories(Tables(spark, sf).events())
+
+
+@register("first_per_product")
+def first_per_product(spark, sf):
+    ev = Tables(spark, sf).events()
+    return dims.first_per_key(ev, "product_id", "event_id", ["category_code", "brand", "event_id"])
+
+
+@register("clean_products")
+def clean_products(spark, sf):
+    return dims.clean_products(Tables(spark, sf).products())
+
+
+@register("zip_join")
+def zip_join(spark, sf):
+    """Distinct event users (by id) side by side with customer profiles (by
+    key): the positional zip of the original user preparation."""
+    t = Tables(spark, sf)
+    ids = t.events().select("user_id").distinct()
+    prof = t.users().select(F.col("name"), F.col("city"), F.col("birth_date"),
+                            F.col("user_id").alias("profile_key"))
+    return dims.zip_frames(ids, ["user_id"], prof, ["profile_key"])
+
+
+@register("extend_ids")
+def extend_ids(spark, sf):
+    """Distinct event user ids extended with new consecutive ids up to the
+    number of customers."""
+    t = Tables(spark, sf)
+    ids = t.events().select("user_id").distinct()
+    return dims.extend_ids(spark, ids, t.raw("customer"))
+
+
+# --- profiles ---------------------------------------------------------------
+
+@register("event_type_distribution")
+def event_type_distribution(spark, sf):
+    return pf.event_type_distribution(Tables(spark, sf).events())
+
+
+@register("events_per_day")
+def events_per_day(spark, sf):
+    return pf.events_per_day(Tables(spark, sf).events())
+
+
+@register("events_per_hour")
+def events_per_hour(spark, sf):
+    return pf.events_per_hour(Tables(spark, sf).events())
+
+
+@register("distinct_counts")
+def distinct_counts(spark, sf):
+    return pf.distinct_counts(Tables(spark, sf).events())
+
+
+@register("events_lookback")
+def events_lookback(spark, sf):
+    return pf.lookback_distribution(Tables(spark, sf).events(), LOOKBACK_AS_OF, hours=24)
+
+
+@register("recent_purchases")
+def recent_purchases(spark, sf):
+    return pf.recent_purchases(Tables(spark, sf).events(), LOOKBACK_AS_OF, hours=24)
+
+
+# --- sliding windows (batch form) -------------------------------------------
+
+@register("sliding_active_users")
+def sliding_active_users(spark, sf):
+    return sl.active_users(Tables(spark, sf).events())
+
+
+@register("sliding_active_users_approx")
+def sliding_active_users_approx(spark, sf):
+    return sl.active_users_approx(Tables(spark, sf).events())
+
+
+@register("sliding_product_views")
+def sliding_product_views(spark, sf):
+    return sl.product_views(Tables(spark, sf).events())
+
+
+@register("sliding_top_products")
+def sliding_top_products(spark, sf):
+    return sl.top_products(Tables(spark, sf).events())
+
+
+@register("sliding_purchases")
+def sliding_purchases(spark, sf):
+    return sl.purchases(Tables(spark, sf).events())
+
+
+@register("sliding_event_distribution")
+def sliding_event_distribution(spark, sf):
+    return sl.event_distribution(Tables(spark, sf).events())
+
+
+@register("sliding_brand_activity")
+def sliding_brand_activity(spark, sf):
+    return sl.brand_activity(Tables(spark, sf).events())
+
+
+@register("sliding_top_brands")
+def sliding_top_brands(spark, sf):
+    return sl.top_brands(Tables(spark, sf).events())

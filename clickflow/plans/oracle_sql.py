@@ -51,11 +51,17 @@ def with_adapter(*ctes: str) -> str:
     return "WITH " + ADAPTER.strip() + extra + "\n"
 
 
+RUN_ID = "20240201_000000"
+LOOKBACK_START = "TIMESTAMP '2024-01-30 00:00:00'"
+LOOKBACK_END = "TIMESTAMP '2024-01-31 00:00:00'"
+
+
 def secs(c: str) -> str:
     return f"CAST(floor(epoch({c})) AS BIGINT)"
 
 
-TOUCH = f"""tp AS (
+def touch_sql(src: str = "ev") -> str:
+    return f"""tp AS (
   SELECT user_id, product_id, category_code, brand,
          min(CASE WHEN event_type = 'view' THEN event_time END) AS view_time,
          min(CASE WHEN event_type = 'cart' THEN event_time END) AS cart_time,
@@ -63,7 +69,7 @@ TOUCH = f"""tp AS (
          CAST(count(DISTINCT CASE WHEN event_type = 'view' THEN 1 END) AS INT) AS has_view,
          CAST(count(DISTINCT CASE WHEN event_type = 'cart' THEN 1 END) AS INT) AS has_cart,
          CAST(count(DISTINCT CASE WHEN event_type = 'purchase' THEN 1 END) AS INT) AS has_purchase
-  FROM ev GROUP BY user_id, product_id, category_code, brand
+  FROM {src} GROUP BY user_id, product_id, category_code, brand
 ),
 tpd AS (
   SELECT *,
@@ -77,8 +83,8 @@ tpd AS (
 )"""
 
 
-def funnel_sql(key: str, where: str = "") -> str:
-    return f"""fa AS (
+def funnel_sql(key: str, where: str = "", name: str = "fr") -> str:
+    return f"""{name}_a AS (
   SELECT {key},
     count(DISTINCT CASE WHEN has_view > 0 THEN user_id END) AS users_viewed,
     count(DISTINCT CASE WHEN has_cart > 0 THEN user_id END) AS users_added_to_cart,
@@ -88,22 +94,261 @@ def funnel_sql(key: str, where: str = "") -> str:
     avg(view_to_purchase_seconds) AS avg_view_to_purchase_seconds
   FROM tpd {where} GROUP BY {key}
 ),
-fr AS (
+{name} AS (
   SELECT *,
     CASE WHEN users_viewed > 0 THEN users_added_to_cart / users_viewed ELSE 0.0 END AS view_to_cart_rate,
     CASE WHEN users_added_to_cart > 0 THEN users_purchased / users_added_to_cart ELSE 0.0 END AS cart_to_purchase_rate,
     CASE WHEN users_viewed > 0 THEN users_purchased / users_viewed ELSE 0.0 END AS view_to_purchase_rate,
     CASE WHEN users_viewed > 0 THEN 1 - users_added_to_cart / users_viewed ELSE 0.0 END AS view_to_cart_dropoff,
     CASE WHEN users_added_to_cart > 0 THEN 1 - users_purchased / users_added_to_cart ELSE 0.0 END AS cart_to_purchase_dropoff
-  FROM fa
+  FROM {name}_a
 )"""
 
 
 SQL: dict[str, str] = {}
 
-SQL["funnel_user_product"] = with_adapter(TOUCH) + "SELECT * FROM tpd"
+# --- funnel -----------------------------------------------------------------
+SQL["funnel_user_product"] = with_adapter(touch_sql()) + "SELECT * FROM tpd"
+SQL["funnel_by_category"] = with_adapter(touch_sql(), funnel_sql("category_code")) + "SELECT * FROM fr"
+SQL["funnel_by_brand"] = (with_adapter(touch_sql(), funnel_sql("brand", "WHERE brand IS NOT NULL"))
+                          + "SELECT * FROM fr")
+SQL["funnel_lookback"] = (with_adapter(
+    f"evl AS (SELECT * FROM ev WHERE event_time BETWEEN {LOOKBACK_START} AND {LOOKBACK_END})",
+    touch_sql("evl"), funnel_sql("brand", "WHERE brand IS NOT NULL")) + "SELECT * FROM fr")
+
+_rates = ["view_to_cart_rate", "cart_to_purchase_rate", "view_to_purchase_rate",
+          "view_to_cart_dropoff", "cart_to_purchase_dropoff"]
+_durs = ["avg_view_to_cart_seconds", "avg_cart_to_purchase_seconds", "avg_view_to_purchase_seconds"]
+SQL["funnel_union"] = with_adapter(
+    touch_sql(), funnel_sql("category_code", "", "fc"),
+    funnel_sql("brand", "WHERE brand IS NOT NULL", "fb"),
+    """u AS (
+  SELECT 'category' AS type, coalesce(nullif(category_code, ''), 'unknown') AS name, * EXCLUDE (category_code) FROM fc
+  UNION ALL
+  SELECT 'brand' AS type, brand AS name, * EXCLUDE (brand) FROM fb
+)""") + f"""SELECT '{RUN_ID}_' || type || '_' || name AS row_key, type, name,
+  users_viewed, users_added_to_cart, users_purchased,
+  {", ".join(f"coalesce(round({c}, 4), 0.0) AS {c}" for c in _rates)},
+  {", ".join(f"coalesce(CAST(trunc({c}) AS BIGINT), 0) AS {c}" for c in _durs)},
+  TIMESTAMP '2024-02-01 00:00:00' AS created_at
+FROM u"""
 
-SQL["funnel_by_category"] = with_adapter(TOUCH, funnel_sql("category_code")) + "SELECT * FROM fr"
+# --- recommendations --------------------------------------------------------
 
-SQL["funnel_by_brand"] = (with_adapter(TOUCH, funnel_sql("brand", "WHERE brand IS NOT NULL"))
-                          + "SELECT * FROM fr")
+
+def band_a(age: str) -> str:
+    return (f"CASE WHEN {age} < 25 THEN '18-24' WHEN {age} < 35 THEN '25-34' "
+            f"WHEN {age} < 45 THEN '35-44' WHEN {age} < 55 THEN '45-54' ELSE '55+' END")
+
+
+SEGMENTS = f"""sa AS (
+  SELECT user_id, city,
+         CAST(floor(date_diff('day', birth_date, {AS_OF_DATE}) / 365.25) AS INT) AS age
+  FROM us
+),
+sg AS (SELECT user_id, city, age, {band_a('age')} AS age_group FROM sa)"""
+
+JOINED = "j AS (SELECT ev.*, sg.age_group FROM ev JOIN sg ON ev.user_id = sg.user_id)"
+
+SPS = """sps AS (
+  SELECT *, views + 2 * add_to_cart + 5 * purchases AS recommendation_score FROM (
+    SELECT age_group, product_id,
+      count(DISTINCT CASE WHEN event_type = 'view' THEN user_id END) AS views,
+      count(DISTINCT CASE WHEN event_type = 'cart' THEN user_id END) AS add_to_cart,
+      count(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS purchases,
+      CAST(sum(CASE WHEN event_type = 'purchase' THEN price END) AS DOUBLE) AS total_revenue
+    FROM j GROUP BY age_group, product_id)
+)"""
+
+RECS = """rk AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY age_group
+           ORDER BY recommendation_score DESC, product_id ASC NULLS LAST) AS INT) AS rank
+  FROM sps QUALIFY rank <= 10
+),
+recs AS (
+  SELECT rk.age_group, rk.rank, rk.product_id, rk.views, rk.add_to_cart, rk.purchases,
+         rk.total_revenue, rk.recommendation_score, pr.product_name, pr.category_name, pr.brand
+  FROM rk LEFT JOIN pr ON rk.product_id = pr.product_id
+)"""
+
+SQL["segment_activity"] = (with_adapter(SEGMENTS, JOINED)
+                           + "SELECT age_group, count(*) AS events_count FROM j GROUP BY age_group")
+SQL["segment_product_stats"] = with_adapter(SEGMENTS, JOINED, SPS) + "SELECT * FROM sps"
+SQL["recs_top10"] = with_adapter(SEGMENTS, JOINED, SPS, RECS) + "SELECT * FROM recs"
+
+_wide_fields = [("product_id", "product_id"), ("product_name", "coalesce(product_name, 'Unknown')"),
+                ("score", "recommendation_score"), ("views", "views"),
+                ("add_to_cart", "add_to_cart"), ("purchases", "purchases")]
+SQL["recs_wide"] = with_adapter(SEGMENTS, JOINED, SPS, RECS) + (
+    f"SELECT '{RUN_ID}_segment_' || age_group AS row_key, age_group, "
+    "'demographic' AS segment_type, TIMESTAMP '2024-02-01 00:00:00' AS created_at, "
+    + ", ".join(f"max(CASE WHEN rank = {i} THEN {expr} END) AS rank_{i}_{f}"
+                for i in range(1, 11) for f, expr in _wide_fields)
+    + " FROM recs GROUP BY age_group")
+
+# --- brands -----------------------------------------------------------------
+
+BAM = f"""ba AS (
+  SELECT user_id, CAST(floor(date_diff('day', birth_date, {AS_OF_DATE}) / 365.25) AS INT) AS age FROM us
+),
+bj AS (
+  SELECT e.*, {band_a('ba.age')} AS age_group
+  FROM {{src}} e LEFT JOIN ba ON e.user_id = ba.user_id WHERE e.brand IS NOT NULL
+),
+bm AS (
+  SELECT *, CASE WHEN total_views > 0 THEN total_purchases / total_views ELSE 0.0 END
+            AS overall_conversion_rate
+  FROM (
+    SELECT brand, age_group, count(DISTINCT user_id) AS unique_users,
+      CAST(sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS total_views,
+      CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS total_purchases,
+      CAST(sum(CASE WHEN event_type = 'purchase' THEN price ELSE 0 END) AS DOUBLE) AS total_revenue
+    FROM bj GROUP BY brand, age_group)
+)"""
+
+TOP100 = """top AS (
+  SELECT brand FROM bm GROUP BY brand
+  ORDER BY sum(total_revenue) DESC NULLS LAST, brand LIMIT 100
+)"""
+
+SQL["brand_age_metrics"] = with_adapter(BAM.format(src="ev")) + "SELECT * FROM bm"
+SQL["order_brand_age_metrics"] = with_adapter(BAM.format(src="op")) + "SELECT * FROM bm"
+SQL["brand_top100"] = (with_adapter(BAM.format(src="ev"), TOP100)
+                       + "SELECT * FROM bm WHERE brand IN (SELECT brand FROM top)")
+SQL["brand_records"] = with_adapter(BAM.format(src="ev"), TOP100) + f"""SELECT
+  '{RUN_ID}_' || brand || '_' || age_group AS row_key, brand, age_group, unique_users,
+  total_views, total_purchases, round(total_revenue, 2) AS total_revenue,
+  round(overall_conversion_rate, 4) AS conversion_rate,
+  TIMESTAMP '2024-02-01 00:00:00' AS created_at
+FROM bm WHERE brand IN (SELECT brand FROM top)"""
+SQL["brand_top10_revenue"] = (with_adapter(BAM.format(src="ev"))
+                              + "SELECT * FROM bm ORDER BY total_revenue DESC NULLS LAST, "
+                                "brand, age_group LIMIT 10")
+
+BUM = """uj AS (SELECT ev.*, sg.age_group FROM ev JOIN sg ON ev.user_id = sg.user_id
+           WHERE ev.brand IS NOT NULL),
+um AS (
+  SELECT brand, count(DISTINCT user_id) AS unique_users,
+    count(DISTINCT CASE WHEN event_type = 'view' THEN user_id END) AS viewers,
+    count(DISTINCT CASE WHEN event_type = 'cart' THEN user_id END) AS cart_users,
+    count(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS buyers,
+    count(CASE WHEN event_type = 'view' THEN 1 END) AS total_views,
+    count(CASE WHEN event_type = 'cart' THEN 1 END) AS total_cart_adds,
+    count(CASE WHEN event_type = 'purchase' THEN 1 END) AS total_purchases,
+    CAST(sum(CASE WHEN event_type = 'purchase' THEN price END) AS DOUBLE) AS total_revenue
+  FROM uj GROUP BY brand
+),
+dom AS (
+  SELECT brand, age_group, events_count FROM (
+    SELECT brand, age_group, count(*) AS events_count FROM uj GROUP BY brand, age_group)
+  QUALIFY row_number() OVER (PARTITION BY brand ORDER BY events_count DESC, age_group) = 1
+),
+bu AS (
+  SELECT um.*,
+    CASE WHEN viewers > 0 THEN cart_users / viewers ELSE 0.0 END AS view_to_cart_rate,
+    CASE WHEN cart_users > 0 THEN buyers / cart_users ELSE 0.0 END AS cart_to_purchase_rate,
+    CASE WHEN viewers > 0 THEN buyers / viewers ELSE 0.0 END AS overall_conversion_rate,
+    dom.age_group
+  FROM um LEFT JOIN dom ON um.brand = dom.brand
+)"""
+
+SQL["brand_user_metrics"] = with_adapter(SEGMENTS, BUM) + "SELECT * FROM bu"
+SQL["brand_dominant_age"] = with_adapter(SEGMENTS, BUM) + "SELECT * FROM dom"
+SQL["brand_top3_records"] = with_adapter(SEGMENTS, BUM) + f"""SELECT
+  '{RUN_ID}_brand_' || brand AS row_key, brand, unique_users, total_views, total_purchases,
+  round(coalesce(total_revenue, 0.0), 2) AS total_revenue,
+  round(overall_conversion_rate, 4) AS conversion_rate,
+  coalesce(age_group, 'Unknown') AS dominant_age_group,
+  TIMESTAMP '2024-02-01 00:00:00' AS created_at, '7days' AS period, 'active' AS status
+FROM bu ORDER BY total_revenue DESC NULLS LAST, brand LIMIT 3"""
+
+# --- dimensions -------------------------------------------------------------
+
+SQL["user_demographics"] = with_adapter() + """SELECT city,
+  CASE WHEN age < 26 THEN '18-25' WHEN age < 36 THEN '26-35' WHEN age < 51 THEN '36-50'
+       ELSE '50+' END AS age_group,
+  count(*) AS users_count
+FROM (SELECT city, CAST(year(DATE '2024-02-01') - year(birth_date) AS INT) AS age FROM us)
+GROUP BY ALL"""
+SQL["distinct_categories"] = (with_adapter()
+                              + "SELECT DISTINCT category_code AS category_id, category_code FROM ev")
+SQL["first_per_product"] = with_adapter() + """SELECT product_id, category_code, brand, event_id
+FROM ev QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY event_id) = 1"""
+SQL["clean_products"] = (with_adapter()
+                         + "SELECT * FROM pr WHERE price IS NOT NULL AND category_code IS NOT NULL")
+SQL["zip_join"] = with_adapter(
+    """za AS (SELECT user_id, row_number() OVER (ORDER BY user_id ASC NULLS FIRST) AS pos
+        FROM (SELECT DISTINCT user_id FROM ev)),
+zb AS (SELECT name, city, birth_date, user_id AS profile_key,
+              row_number() OVER (ORDER BY user_id ASC NULLS FIRST) AS pos FROM us)""") + """SELECT
+  za.user_id, zb.name, zb.city, zb.birth_date, zb.profile_key
+FROM za FULL OUTER JOIN zb ON za.pos = zb.pos"""
+SQL["extend_ids"] = with_adapter(
+    """ids AS (SELECT DISTINCT user_id FROM ev),
+st AS (SELECT max(user_id) AS mx, count(*) AS n, (SELECT count(*) FROM customer) AS target FROM ids)""") + """
+SELECT user_id FROM ids
+UNION ALL
+SELECT CAST(unnest(generate_series(mx + 1, mx + (target - n))) AS BIGINT) AS user_id FROM st"""
+
+# --- profiles ---------------------------------------------------------------
+
+SQL["event_type_distribution"] = (with_adapter()
+                                  + "SELECT event_type, count(*) AS event_count FROM ev GROUP BY 1")
+SQL["events_per_day"] = (with_adapter()
+                         + "SELECT CAST(event_time AS DATE) AS day, count(*) AS event_count "
+                           "FROM ev GROUP BY 1")
+SQL["events_per_hour"] = (with_adapter()
+                          + "SELECT CAST(hour(event_time) AS INT) AS hour, count(*) AS event_count "
+                            "FROM ev GROUP BY 1")
+SQL["distinct_counts"] = with_adapter() + """SELECT count(DISTINCT product_id) AS products,
+  count(DISTINCT category_code) AS categories, count(DISTINCT user_id) AS users,
+  count(DISTINCT brand) AS brands, count(*) AS events FROM ev"""
+SQL["events_lookback"] = with_adapter() + f"""SELECT event_type, count(*) AS event_count
+FROM ev WHERE event_time >= {LOOKBACK_START} GROUP BY 1"""
+SQL["recent_purchases"] = with_adapter() + f"""SELECT count(*) AS purchase_count,
+  min(event_time) AS min_time, max(event_time) AS max_time
+FROM ev WHERE event_type = 'purchase' AND event_time BETWEEN {LOOKBACK_START} AND {LOOKBACK_END}"""
+
+# --- sliding windows ----------------------------------------------------------
+# Every 5-minute window sliding by 1 minute that holds an event starts at the
+# event's minute or one of the four minutes before it.
+
+WIN = """w AS (
+  SELECT x.*, x.m - to_minutes(CAST(x.i AS BIGINT)) AS window_start,
+         x.m - to_minutes(CAST(x.i AS BIGINT)) + INTERVAL 5 MINUTE AS window_end
+  FROM (SELECT ev.*, date_trunc('minute', event_time) AS m, unnest([0, 1, 2, 3, 4]) AS i FROM ev) x
+)"""
+
+SQL["sliding_active_users"] = with_adapter(WIN) + """SELECT window_start, window_end,
+  count(DISTINCT user_id) AS active_users, count(*) AS total_events
+FROM w GROUP BY window_start, window_end"""
+
+PV = """pv AS (
+  SELECT window_start, window_end, product_id, brand, category_code, count(*) AS view_count,
+         CAST(sum(price) AS DOUBLE) / count(price) AS avg_price
+  FROM w WHERE event_type = 'view'
+  GROUP BY window_start, window_end, product_id, brand, category_code
+)"""
+SQL["sliding_product_views"] = with_adapter(WIN, PV) + "SELECT * FROM pv"
+SQL["sliding_top_products"] = with_adapter(WIN, PV) + """SELECT *,
+  CAST(row_number() OVER (PARTITION BY window_start ORDER BY view_count DESC,
+       product_id ASC NULLS LAST, brand ASC NULLS LAST, category_code ASC NULLS LAST) AS INT) AS rank
+FROM pv QUALIFY rank <= 10"""
+SQL["sliding_purchases"] = with_adapter(WIN) + """SELECT window_start, window_end,
+  count(*) AS purchase_count, CAST(sum(price) AS DOUBLE) AS total_revenue,
+  CAST(sum(price) AS DOUBLE) / count(price) AS avg_basket_value,
+  count(DISTINCT user_id) AS purchasing_users
+FROM w WHERE event_type = 'purchase' GROUP BY window_start, window_end"""
+SQL["sliding_event_distribution"] = with_adapter(WIN) + """SELECT window_start, window_end,
+  event_type, count(*) AS event_count
+FROM w GROUP BY window_start, window_end, event_type"""
+BA = """ba2 AS (
+  SELECT window_start, window_end, brand, event_type, count(*) AS event_count,
+         CAST(sum(price) AS DOUBLE) AS total_value
+  FROM w WHERE brand IS NOT NULL GROUP BY window_start, window_end, brand, event_type
+)"""
+SQL["sliding_brand_activity"] = with_adapter(WIN, BA) + "SELECT * FROM ba2"
+SQL["sliding_top_brands"] = with_adapter(WIN, BA) + """SELECT *,
+  CAST(row_number() OVER (PARTITION BY window_start ORDER BY event_count DESC,
+       brand ASC NULLS LAST, event_type ASC NULLS LAST) AS INT) AS rank
+FROM ba2 QUALIFY rank <= 10"""
