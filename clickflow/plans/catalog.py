@@ -265,3 +265,147 @@ def sliding_brand_activity(spark, sf):
 @register("sliding_top_brands")
 def sliding_top_brands(spark, sf):
     return sl.top_brands(Tables(spark, sf).events())
+
+
+# --- reports over the metric tables -----------------------------------------
+
+from clickflow.plans import reports as rp  # noqa: E402
+
+
+@register("active_user_summary")
+def active_user_summary(spark, sf):
+    return rp.active_user_summary(sl.active_users(Tables(spark, sf).events()))
+
+
+@register("active_user_boxplot")
+def active_user_boxplot(spark, sf):
+    return rp.active_user_boxplot(sl.active_users(Tables(spark, sf).events()))
+
+
+@register("active_user_histogram")
+def active_user_histogram(spark, sf):
+    return rp.active_user_histogram(spark, sl.active_users(Tables(spark, sf).events()))
+
+
+@register("brand_totals_top3")
+def brand_totals_top3(spark, sf):
+    return rp.brand_totals_top3(Tables(spark, sf).events())
+
+
+@register("stage_conversion")
+def stage_conversion(spark, sf):
+    return rp.stage_conversion(sl.event_distribution(Tables(spark, sf).events()))
+
+
+@register("purchase_totals")
+def purchase_totals(spark, sf):
+    return rp.purchase_totals(sl.purchases(Tables(spark, sf).events()))
+
+
+@register("purchase_series")
+def purchase_series(spark, sf):
+    return rp.report_windows(sl.purchases(Tables(spark, sf).events()))
+
+
+@register("top_products_latest")
+def top_products_latest(spark, sf):
+    return rp.top_products_latest(Tables(spark, sf).events())
+
+
+@register("latest_snapshot")
+def latest_snapshot(spark, sf):
+    return rp.brand_snapshots(Tables(spark, sf).events())
+
+
+def _funnel_records(spark, sf):
+    return fn.funnel_records(Tables(spark, sf).events(), RUN_ID, AS_OF)
+
+
+@register("brand_funnel_top15")
+def brand_funnel_top15(spark, sf):
+    return rp.brand_funnel_top(_funnel_records(spark, sf))
+
+
+@register("funnel_totals")
+def funnel_totals(spark, sf):
+    return rp.funnel_totals(_funnel_records(spark, sf))
+
+
+@register("view_to_cart_time")
+def view_to_cart_time(spark, sf):
+    return rp.view_to_cart_time(_funnel_records(spark, sf))
+
+
+@register("high_conversion_brands")
+def high_conversion_brands(spark, sf):
+    return rp.high_conversion_brands(_funnel_records(spark, sf))
+
+
+@register("rate_distribution")
+def rate_distribution(spark, sf):
+    return rp.rate_distribution(_funnel_records(spark, sf))
+
+
+def _recs_wide(spark, sf):
+    t = Tables(spark, sf)
+    return rc.recommendation_records(rc.recommend(t.events(), _segments(t), t.products()), RUN_ID, AS_OF)
+
+
+@register("most_recommended")
+def most_recommended(spark, sf):
+    return rp.most_recommended(_recs_wide(spark, sf))
+
+
+@register("rank_position_totals")
+def rank_position_totals(spark, sf):
+    return rp.rank_position_totals(_recs_wide(spark, sf))
+
+
+@register("rank_decay")
+def rank_decay(spark, sf):
+    return rp.rank_decay(_recs_wide(spark, sf))
+
+
+@register("age_group_top3")
+def age_group_top3(spark, sf):
+    return rp.age_group_top3(_recs_wide(spark, sf))
+
+
+@register("rank_ctr")
+def rank_ctr(spark, sf):
+    return rp.rank_ctr(_recs_wide(spark, sf))
+
+
+def _brand_records(spark, sf):
+    t = Tables(spark, sf)
+    return br.brand_records(br.brand_age_metrics(t.events(), t.users(), AS_OF), RUN_ID, AS_OF)
+
+
+@register("brand_rollup")
+def brand_rollup(spark, sf):
+    return rp.brand_rollup(_brand_records(spark, sf))
+
+
+@register("brand_top10_by")
+def brand_top10_by(spark, sf):
+    return rp.brand_top10_by(_brand_records(spark, sf))
+
+
+@register("brand_arpu")
+def brand_arpu(spark, sf):
+    return rp.brand_arpu(_brand_records(spark, sf))
+
+
+@register("brand_grand_totals")
+def brand_grand_totals(spark, sf):
+    return rp.brand_grand_totals(_brand_records(spark, sf))
+
+
+@register("high_traffic_brands")
+def high_traffic_brands(spark, sf):
+    return rp.high_traffic_brands(_brand_records(spark, sf))
+
+
+@register("window_summary")
+def window_summary(spark, sf):
+    return rp.window_summaries(Tables(spark, sf).events())
