@@ -352,3 +352,258 @@ SQL["sliding_top_brands"] = with_adapter(WIN, BA) + """SELECT *,
   CAST(row_number() OVER (PARTITION BY window_start ORDER BY event_count DESC,
        brand ASC NULLS LAST, event_type ASC NULLS LAST) AS INT) AS rank
 FROM ba2 QUALIFY rank <= 10"""
+
+# --- reports ------------------------------------------------------------------
+# Metric tables as CTEs, then the report statements over their report
+# windows (start minute divisible by 5).
+
+AU = """au AS (
+  SELECT window_start, window_end, count(DISTINCT user_id) AS active_users, count(*) AS total_events
+  FROM w GROUP BY window_start, window_end
+)"""
+PU = """pu AS (
+  SELECT window_start, window_end, count(*) AS purchase_count,
+         CAST(sum(price) AS DOUBLE) AS total_revenue,
+         CAST(sum(price) AS DOUBLE) / count(price) AS avg_basket_value,
+         count(DISTINCT user_id) AS purchasing_users
+  FROM w WHERE event_type = 'purchase' GROUP BY window_start, window_end
+)"""
+ED = """ed AS (
+  SELECT window_start, window_end, event_type, count(*) AS event_count
+  FROM w GROUP BY window_start, window_end, event_type
+)"""
+TPW = """tpw AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY window_start ORDER BY view_count DESC,
+         product_id ASC NULLS LAST, brand ASC NULLS LAST, category_code ASC NULLS LAST) AS INT) AS rank
+  FROM pv QUALIFY rank <= 10
+)"""
+TBW = """tbw AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY window_start ORDER BY event_count DESC,
+         brand ASC NULLS LAST, event_type ASC NULLS LAST) AS INT) AS rank
+  FROM ba2 QUALIFY rank <= 10
+)"""
+RW = "minute(window_start) % 5 = 0"
+XS = f"xs AS (SELECT CAST(active_users AS DOUBLE) AS x FROM au WHERE {RW})"
+
+SQL["active_user_summary"] = with_adapter(WIN, AU) + f"""SELECT count(*) AS windows,
+  avg(active_users) AS mean_users, max(active_users) AS max_users, min(active_users) AS min_users,
+  CAST(median(active_users) AS DOUBLE) AS median_users,
+  round(stddev_samp(active_users), 6) AS std_users,
+  CAST(sum(total_events) AS BIGINT) AS total_events,
+  CAST(sum(total_events) AS DOUBLE) / sum(active_users) AS events_per_user
+FROM au WHERE {RW}"""
+
+SQL["active_user_boxplot"] = with_adapter(WIN, AU, XS, """q AS (
+  SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS med, quantile_cont(x, 0.75) AS q3,
+         quantile_cont(x, 0.25) - 1.5 * (quantile_cont(x, 0.75) - quantile_cont(x, 0.25)) AS lo,
+         quantile_cont(x, 0.75) + 1.5 * (quantile_cont(x, 0.75) - quantile_cont(x, 0.25)) AS hi
+  FROM xs
+)""") + """SELECT round((SELECT q1 FROM q), 6) AS q1, round((SELECT med FROM q), 6) AS median,
+  round((SELECT q3 FROM q), 6) AS q3,
+  min(CASE WHEN x >= (SELECT lo FROM q) THEN x END) AS lower_whisker,
+  max(CASE WHEN x <= (SELECT hi FROM q) THEN x END) AS upper_whisker,
+  count(CASE WHEN x < (SELECT lo FROM q) OR x > (SELECT hi FROM q) THEN 1 END) AS outliers
+FROM xs"""
+
+SQL["active_user_histogram"] = with_adapter(WIN, AU, XS, """mm AS (
+  SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+         CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM xs
+),
+hc AS (
+  SELECT CAST(least(floor((x - (SELECT lo FROM mm)) * 10 / ((SELECT hi FROM mm) - (SELECT lo FROM mm))), 9) AS INT) AS bin,
+         count(*) AS cnt
+  FROM xs GROUP BY 1
+),
+hb AS (
+  SELECT CAST(range AS INT) AS bin,
+         (SELECT lo FROM mm) + CAST(range AS INT) * (((SELECT hi FROM mm) - (SELECT lo FROM mm)) / 10) AS lower,
+         CASE WHEN range = 9 THEN (SELECT hi FROM mm)
+              ELSE (SELECT lo FROM mm) + (CAST(range AS INT) + 1) * (((SELECT hi FROM mm) - (SELECT lo FROM mm)) / 10)
+         END AS upper
+  FROM range(10)
+)""") + """SELECT hb.bin, lower, upper, (lower + upper) / 2 AS center,
+  CAST(CAST(trunc(lower) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(trunc(upper) AS BIGINT) AS VARCHAR) AS label,
+  CAST(coalesce(cnt, 0) AS BIGINT) AS count
+FROM hb LEFT JOIN hc ON hb.bin = hc.bin"""
+
+BSNAP = f"""bsnap AS (
+  SELECT * FROM tbw WHERE {RW}
+  QUALIFY row_number() OVER (PARTITION BY brand, event_type ORDER BY window_start DESC) = 1
+)"""
+SQL["latest_snapshot"] = with_adapter(WIN, BA, TBW, BSNAP) + "SELECT * FROM bsnap"
+SQL["brand_totals_top3"] = with_adapter(WIN, BA, TBW, BSNAP) + """SELECT brand,
+  CAST(sum(event_count) AS BIGINT) AS event_count, round(sum(total_value), 2) AS total_value,
+  round(round(sum(total_value), 2) / sum(event_count), 6) AS value_per_event
+FROM bsnap GROUP BY brand ORDER BY total_value DESC, brand LIMIT 3"""
+
+SQL["stage_conversion"] = with_adapter(WIN, ED, f"""st AS (
+  SELECT CAST(coalesce(sum(CASE WHEN event_type = 'view' THEN event_count END), 0) AS BIGINT) AS view_events,
+         CAST(coalesce(sum(CASE WHEN event_type = 'cart' THEN event_count END), 0) AS BIGINT) AS cart_events,
+         CAST(coalesce(sum(CASE WHEN event_type = 'purchase' THEN event_count END), 0) AS BIGINT) AS purchase_events
+  FROM ed WHERE {RW}
+)""") + """SELECT *,
+  CAST(cart_events AS DOUBLE) / nullif(view_events, 0) * 100 AS view_to_cart_pct,
+  CAST(purchase_events AS DOUBLE) / nullif(cart_events, 0) * 100 AS cart_to_purchase_pct,
+  CAST(purchase_events AS DOUBLE) / nullif(view_events, 0) * 100 AS view_to_purchase_pct
+FROM st"""
+
+SQL["purchase_totals"] = with_adapter(WIN, PU) + f"""SELECT count(*) AS windows,
+  round(sum(total_revenue), 2) AS total_revenue, CAST(sum(purchase_count) AS BIGINT) AS purchase_count,
+  round(avg(avg_basket_value), 6) AS mean_basket_value
+FROM pu WHERE {RW}"""
+SQL["purchase_series"] = with_adapter(WIN, PU) + f"SELECT * FROM pu WHERE {RW}"
+
+SQL["top_products_latest"] = with_adapter(WIN, PV, TPW, f"""psnap AS (
+  SELECT * FROM tpw WHERE {RW}
+  QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY window_start DESC) = 1
+)""") + "SELECT * FROM psnap ORDER BY view_count DESC, product_id LIMIT 10"
+
+# funnel records as a CTE
+REC = f"""rec AS (
+  SELECT '{RUN_ID}_' || type || '_' || name AS row_key, type, name,
+    users_viewed, users_added_to_cart, users_purchased,
+    {", ".join(f"coalesce(round({c}, 4), 0.0) AS {c}" for c in _rates)},
+    {", ".join(f"coalesce(CAST(trunc({c}) AS BIGINT), 0) AS {c}" for c in _durs)}
+  FROM u
+)"""
+UREC = """u AS (
+  SELECT 'category' AS type, coalesce(nullif(category_code, ''), 'unknown') AS name, * EXCLUDE (category_code) FROM fc
+  UNION ALL
+  SELECT 'brand' AS type, brand AS name, * EXCLUDE (brand) FROM fb
+)"""
+FREC = [touch_sql(), funnel_sql("category_code", "", "fc"),
+        funnel_sql("brand", "WHERE brand IS NOT NULL", "fb"), UREC, REC]
+ACTIVE = "(users_viewed > 0 OR users_added_to_cart > 0 OR users_purchased > 0)"
+BF = f"""bft AS (
+  SELECT *, CAST(users_added_to_cart AS DOUBLE) / nullif(users_viewed, 0) * 100 AS v2c_rate,
+            CAST(users_purchased AS DOUBLE) / nullif(users_added_to_cart, 0) * 100 AS c2p_rate
+  FROM (
+    SELECT name, CAST(sum(users_viewed) AS BIGINT) AS users_viewed,
+           CAST(sum(users_added_to_cart) AS BIGINT) AS users_added_to_cart,
+           CAST(sum(users_purchased) AS BIGINT) AS users_purchased
+    FROM rec WHERE {ACTIVE} AND type = 'brand' GROUP BY name
+    ORDER BY users_viewed DESC, name LIMIT 15)
+)"""
+SQL["brand_funnel_top15"] = with_adapter(*FREC, BF) + "SELECT * FROM bft"
+SQL["funnel_totals"] = with_adapter(*FREC, f"""ft AS (
+  SELECT CAST(sum(users_viewed) AS BIGINT) AS users_viewed,
+         CAST(sum(users_added_to_cart) AS BIGINT) AS users_added_to_cart,
+         CAST(sum(users_purchased) AS BIGINT) AS users_purchased
+  FROM rec WHERE {ACTIVE}
+)""") + """SELECT *,
+  CASE WHEN users_viewed > 0 THEN CAST(users_added_to_cart AS DOUBLE) / users_viewed * 100 ELSE 0.0 END AS view_to_cart_pct,
+  CASE WHEN users_added_to_cart > 0 THEN CAST(users_purchased AS DOUBLE) / users_added_to_cart * 100 ELSE 0.0 END AS cart_to_purchase_pct
+FROM ft"""
+SQL["view_to_cart_time"] = with_adapter(*FREC, """vt AS (
+  SELECT name, avg(avg_view_to_cart_seconds) AS avg_view_to_cart_seconds,
+         CAST(sum(users_viewed) AS BIGINT) AS users_viewed,
+         CAST(sum(users_added_to_cart) AS BIGINT) AS users_added_to_cart
+  FROM rec WHERE type = 'brand' AND avg_view_to_cart_seconds > 0
+  GROUP BY name ORDER BY name LIMIT 20
+)""") + """SELECT * FROM vt WHERE (SELECT count(*) FROM vt) >= 3
+ORDER BY avg_view_to_cart_seconds DESC, name LIMIT 10"""
+SQL["high_conversion_brands"] = with_adapter(*FREC, BF) + """SELECT * FROM bft
+WHERE users_viewed >= 20 ORDER BY v2c_rate DESC NULLS LAST, name LIMIT 5"""
+SQL["rate_distribution"] = with_adapter(*FREC, BF) + """SELECT round(avg(v2c_rate), 6) AS mean_v2c,
+  round(median(v2c_rate), 6) AS median_v2c, max(v2c_rate) AS max_v2c, min(v2c_rate) AS min_v2c FROM bft"""
+
+# wide recommendation rows as a CTE
+WIDE = ("wide AS (SELECT age_group, "
+        + ", ".join(f"max(CASE WHEN rank = {i} THEN {expr} END) AS rank_{i}_{f}"
+                    for i in range(1, 11) for f, expr in _wide_fields)
+        + " FROM recs GROUP BY age_group)")
+WREC = [SEGMENTS, JOINED, SPS, RECS, WIDE]
+
+
+def rank_rows(fields: list[str], ranks: range) -> str:
+    return " UNION ALL ".join(
+        f"SELECT age_group, {i} AS rank, " + ", ".join(f"rank_{i}_{f} AS {f}" for f in fields) + " FROM wide"
+        for i in ranks)
+
+
+SQL["most_recommended"] = with_adapter(*WREC, f"e AS ({rank_rows(['product_name'], range(1, 11))})") + """
+SELECT product_name, count(*) AS times, substring(product_name, 1, 40) AS label
+FROM e WHERE product_name IS NOT NULL GROUP BY product_name
+ORDER BY times DESC, product_name LIMIT 20"""
+RPT = f"""rpt AS (
+  SELECT rank, CAST(coalesce(sum(views), 0) AS BIGINT) AS views,
+         CAST(coalesce(sum(add_to_cart), 0) AS BIGINT) AS add_to_cart,
+         CAST(coalesce(sum(purchases), 0) AS BIGINT) AS purchases
+  FROM ({rank_rows(['views', 'add_to_cart', 'purchases'], range(1, 11))}) GROUP BY rank
+)"""
+SQL["rank_position_totals"] = with_adapter(*WREC, RPT) + "SELECT * FROM rpt"
+SQL["rank_decay"] = with_adapter(*WREC, RPT) + """SELECT
+  f.views AS views_rank1, l.views AS views_rank10,
+  CAST(l.views AS DOUBLE) / nullif(f.views, 0) * 100 AS views_decay_pct,
+  f.add_to_cart AS cart_rank1, l.add_to_cart AS cart_rank10,
+  CAST(l.add_to_cart AS DOUBLE) / nullif(f.add_to_cart, 0) * 100 AS cart_decay_pct
+FROM (SELECT * FROM rpt WHERE rank = 1) f JOIN (SELECT * FROM rpt WHERE rank = 10) l ON TRUE"""
+SQL["age_group_top3"] = with_adapter(*WREC, f"e AS ({rank_rows(['product_name'], range(1, 6))})") + """
+SELECT c.age_group, c.product_name, c.times, c.position, s.segments FROM (
+  SELECT age_group, product_name, count(*) AS times,
+         CAST(row_number() OVER (PARTITION BY age_group ORDER BY count(*) DESC, product_name) AS INT) AS position
+  FROM e WHERE product_name IS NOT NULL GROUP BY age_group, product_name
+  QUALIFY position <= 3) c
+LEFT JOIN (SELECT age_group, count(*) AS segments FROM wide GROUP BY age_group) s ON c.age_group = s.age_group"""
+SQL["rank_ctr"] = with_adapter(*WREC, RPT, """ct AS (
+  SELECT rank, coalesce(CAST(add_to_cart AS DOUBLE) / nullif(views, 0) * 100, 0.0) AS ctr FROM rpt
+)""") + """SELECT round(avg(CASE WHEN rank <= 3 THEN ctr END), 6) AS ctr_top3,
+  round(avg(CASE WHEN rank >= 8 THEN ctr END), 6) AS ctr_bottom3,
+  round(avg(CASE WHEN rank <= 3 THEN ctr END) - avg(CASE WHEN rank >= 8 THEN ctr END), 6) AS ctr_diff
+FROM ct"""
+
+# brand records as a CTE
+BREC = [BAM.format(src="ev"), TOP100, """brec AS (
+  SELECT brand, age_group, unique_users, total_views, total_purchases,
+         round(total_revenue, 2) AS total_revenue, round(overall_conversion_rate, 4) AS conversion_rate
+  FROM bm WHERE brand IN (SELECT brand FROM top)
+)""", """bro AS (
+  SELECT brand, CAST(sum(total_views) AS BIGINT) AS total_views,
+         CAST(sum(total_purchases) AS BIGINT) AS total_purchases,
+         round(sum(total_revenue), 2) AS total_revenue,
+         CAST(sum(unique_users) AS BIGINT) AS unique_users,
+         round(avg(conversion_rate), 6) AS conversion_rate
+  FROM brec GROUP BY brand
+)"""]
+SQL["brand_rollup"] = with_adapter(*BREC) + "SELECT * FROM bro"
+SQL["brand_top10_by"] = with_adapter(*BREC) + """SELECT brand, metric, value,
+  CAST(row_number() OVER (PARTITION BY metric ORDER BY value DESC, brand) AS INT) AS position
+FROM (""" + " UNION ALL ".join(
+    f"SELECT brand, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM bro"
+    for m in ("total_revenue", "total_views", "conversion_rate", "total_purchases")) + """)
+QUALIFY position <= 10"""
+SQL["brand_arpu"] = with_adapter(*BREC) + """SELECT *,
+  round(coalesce(total_revenue / nullif(unique_users, 0), 0.0), 6) AS arpu
+FROM bro ORDER BY arpu DESC, brand LIMIT 15"""
+SQL["brand_grand_totals"] = with_adapter(*BREC) + """SELECT count(*) AS brands,
+  round(sum(total_revenue), 2) AS total_revenue, CAST(sum(total_views) AS BIGINT) AS total_views,
+  CAST(sum(total_purchases) AS BIGINT) AS total_purchases,
+  round(avg(conversion_rate), 6) AS mean_conversion_rate FROM bro"""
+SQL["high_traffic_brands"] = with_adapter(*BREC) + """SELECT count(*) AS brands,
+  round(avg(conversion_rate), 6) AS mean_conversion_rate
+FROM bro WHERE total_views > (SELECT quantile_cont(total_views, 0.75) FROM bro)"""
+
+SQL["window_summary"] = with_adapter(WIN, AU, PU, ED, PV, TPW, BA, TBW) + """SELECT
+  au.window_start, au.window_end, au.active_users, au.total_events,
+  coalesce(CAST(au.total_events AS DOUBLE) / nullif(au.active_users, 0), 0.0) AS events_per_user,
+  coalesce(pu.purchase_count, 0) AS purchase_count, coalesce(pu.total_revenue, 0.0) AS total_revenue,
+  pu.avg_basket_value, coalesce(pu.purchasing_users, 0) AS purchasing_users,
+  coalesce(e.view_events, 0) AS view_events, coalesce(e.cart_events, 0) AS cart_events,
+  coalesce(e.purchase_events, 0) AS purchase_events,
+  b.top_brand, b.top_brand_event_type, b.top_brand_events,
+  coalesce(b.top_list_brands, 0) AS top_list_brands,
+  p.product_id AS top_product_id, p.view_count AS top_product_views,
+  CAST(e.cart_events AS DOUBLE) / nullif(e.view_events, 0) AS view_to_cart_ratio,
+  CAST(e.purchase_events AS DOUBLE) / nullif(e.cart_events, 0) AS cart_to_purchase_ratio
+FROM au
+LEFT JOIN pu ON au.window_start = pu.window_start
+LEFT JOIN (SELECT window_start,
+             CAST(sum(CASE WHEN event_type = 'view' THEN event_count END) AS BIGINT) AS view_events,
+             CAST(sum(CASE WHEN event_type = 'cart' THEN event_count END) AS BIGINT) AS cart_events,
+             CAST(sum(CASE WHEN event_type = 'purchase' THEN event_count END) AS BIGINT) AS purchase_events
+           FROM ed GROUP BY window_start) e ON au.window_start = e.window_start
+LEFT JOIN (SELECT window_start, count(DISTINCT brand) AS top_list_brands,
+             arg_min(brand, rank) AS top_brand, arg_min(event_type, rank) AS top_brand_event_type,
+             arg_min(event_count, rank) AS top_brand_events
+           FROM tbw GROUP BY window_start) b ON au.window_start = b.window_start
+LEFT JOIN (SELECT * FROM tpw WHERE rank = 1) p ON au.window_start = p.window_start"""

@@ -97,27 +97,29 @@ def brand_snapshots(events: DataFrame) -> DataFrame:
 def brand_totals_top3(events: DataFrame) -> DataFrame:
     s = brand_snapshots(events)
     return (s.groupBy("brand").agg(F.sum("event_count").alias("event_count"),
-                                   F.sum("total_value").alias("total_value"))
-             .withColumn("value_per_event", F.try_divide(F.col("total_value"), F.col("event_count")))
+                                   F.round(F.sum("total_value"), 2).alias("total_value"))
+             .withColumn("value_per_event",
+                         F.round(F.try_divide(F.col("total_value"), F.col("event_count")), 6))
              .orderBy(F.col("total_value").desc(), F.col("brand").asc()).limit(3))
 
 
 def stage_conversion(distribution: DataFrame) -> DataFrame:
     d = report_windows(distribution)
-    t = d.agg(*[F.coalesce(F.sum(F.when(F.col("event_type") == s, F.col("event_count"))), F.lit(0))
-                .alias(s) for s in ("view", "cart", "purchase")])
-    return t.select("view", "cart", "purchase",
-                    _pct("cart", "view").alias("view_to_cart_pct"),
-                    _pct("purchase", "cart").alias("cart_to_purchase_pct"),
-                    _pct("purchase", "view").alias("view_to_purchase_pct"))
+    t = d.agg(*[F.coalesce(F.sum(F.when(F.col("event_type") == s, F.col("event_count"))),
+                           F.lit(0).cast("bigint")).alias(f"{s}_events")
+                for s in ("view", "cart", "purchase")])
+    return t.select("view_events", "cart_events", "purchase_events",
+                    _pct("cart_events", "view_events").alias("view_to_cart_pct"),
+                    _pct("purchase_events", "cart_events").alias("cart_to_purchase_pct"),
+                    _pct("purchase_events", "view_events").alias("view_to_purchase_pct"))
 
 
 def purchase_totals(purchases: DataFrame) -> DataFrame:
     p = report_windows(purchases)
     return p.agg(F.count(F.lit(1)).alias("windows"),
-                 F.sum("total_revenue").alias("total_revenue"),
+                 F.round(F.sum("total_revenue"), 2).alias("total_revenue"),
                  F.sum("purchase_count").alias("purchase_count"),
-                 F.avg("avg_basket_value").alias("mean_basket_value"))
+                 F.round(F.avg("avg_basket_value"), 6).alias("mean_basket_value"))
 
 
 def top_products_latest(events: DataFrame, k: int = 10) -> DataFrame:
@@ -174,7 +176,8 @@ def high_conversion_brands(records: DataFrame, min_viewed: int = 20, k: int = 5)
 
 def rate_distribution(records: DataFrame) -> DataFrame:
     t = brand_funnel_top(records)
-    return t.agg(F.avg("v2c_rate").alias("mean_v2c"), F.median("v2c_rate").alias("median_v2c"),
+    return t.agg(F.round(F.avg("v2c_rate"), 6).alias("mean_v2c"),
+                 F.round(F.median("v2c_rate"), 6).alias("median_v2c"),
                  F.max("v2c_rate").alias("max_v2c"), F.min("v2c_rate").alias("min_v2c"))
 
 
@@ -226,7 +229,9 @@ def rank_ctr(wide: DataFrame) -> DataFrame:
         "ctr", F.coalesce(_pct("add_to_cart", "views"), F.lit(0.0)))
     r = t.agg(F.avg(F.when(F.col("rank") <= 3, F.col("ctr"))).alias("ctr_top3"),
               F.avg(F.when(F.col("rank") >= 8, F.col("ctr"))).alias("ctr_bottom3"))
-    return r.withColumn("ctr_diff", F.col("ctr_top3") - F.col("ctr_bottom3"))
+    return r.select(F.round("ctr_top3", 6).alias("ctr_top3"),
+                    F.round("ctr_bottom3", 6).alias("ctr_bottom3"),
+                    F.round(F.col("ctr_top3") - F.col("ctr_bottom3"), 6).alias("ctr_diff"))
 
 
 # --- brands (R18-R22) ---------------------------------------------------------
@@ -235,9 +240,9 @@ def brand_rollup(records: DataFrame) -> DataFrame:
     return records.groupBy("brand").agg(
         F.sum("total_views").alias("total_views"),
         F.sum("total_purchases").alias("total_purchases"),
-        F.sum("total_revenue").alias("total_revenue"),
+        F.round(F.sum("total_revenue"), 2).alias("total_revenue"),
         F.sum("unique_users").alias("unique_users"),
-        F.avg("conversion_rate").alias("conversion_rate"))
+        F.round(F.avg("conversion_rate"), 6).alias("conversion_rate"))
 
 
 BRAND_TOP_METRICS = ("total_revenue", "total_views", "conversion_rate", "total_purchases")
@@ -256,16 +261,18 @@ def brand_top10_by(records: DataFrame, k: int = 10) -> DataFrame:
 
 def brand_arpu(records: DataFrame, k: int = 15) -> DataFrame:
     r = brand_rollup(records).withColumn(
-        "arpu", F.coalesce(F.try_divide(F.col("total_revenue"), F.col("unique_users")), F.lit(0.0)))
+        "arpu", F.round(F.coalesce(F.try_divide(F.col("total_revenue"), F.col("unique_users")),
+                                   F.lit(0.0)), 6))
     return r.orderBy(F.col("arpu").desc(), F.col("brand").asc()).limit(k)
 
 
 def brand_grand_totals(records: DataFrame) -> DataFrame:
     r = brand_rollup(records)
-    return r.agg(F.count(F.lit(1)).alias("brands"), F.sum("total_revenue").alias("total_revenue"),
+    return r.agg(F.count(F.lit(1)).alias("brands"),
+                 F.round(F.sum("total_revenue"), 2).alias("total_revenue"),
                  F.sum("total_views").alias("total_views"),
                  F.sum("total_purchases").alias("total_purchases"),
-                 F.avg("conversion_rate").alias("mean_conversion_rate"))
+                 F.round(F.avg("conversion_rate"), 6).alias("mean_conversion_rate"))
 
 
 def high_traffic_brands(records: DataFrame) -> DataFrame:
@@ -274,7 +281,7 @@ def high_traffic_brands(records: DataFrame) -> DataFrame:
     q3 = r.agg(F.percentile("total_views", 0.75)).scalar()
     h = r.filter(F.col("total_views") > q3)
     return h.agg(F.count(F.lit(1)).alias("brands"),
-                 F.avg("conversion_rate").alias("mean_conversion_rate"))
+                 F.round(F.avg("conversion_rate"), 6).alias("mean_conversion_rate"))
 
 
 # --- window summary (R23) -----------------------------------------------------
