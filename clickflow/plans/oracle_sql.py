@@ -607,3 +607,12 @@ LEFT JOIN (SELECT window_start, count(DISTINCT brand) AS top_list_brands,
              arg_min(event_count, rank) AS top_brand_events
            FROM tbw GROUP BY window_start) b ON au.window_start = b.window_start
 LEFT JOIN (SELECT * FROM tpw WHERE rank = 1) p ON au.window_start = p.window_start"""
+
+# --- stream replay and archive ------------------------------------------------
+SQL["stream_event_distribution"] = SQL["sliding_event_distribution"]
+SQL["archive_partition_rows"] = with_adapter() + """SELECT CAST(year(event_time) AS INT) AS year,
+  CAST(month(event_time) AS INT) AS month, CAST(day(event_time) AS INT) AS day,
+  CAST(hour(event_time) AS INT) AS hour, count(*) AS rows
+FROM ev GROUP BY 1, 2, 3, 4"""
+SQL["archive_lookback"] = with_adapter() + f"""SELECT event_type, count(*) AS event_count
+FROM ev WHERE event_time >= {LOOKBACK_START} AND event_time < {LOOKBACK_END} GROUP BY 1"""
