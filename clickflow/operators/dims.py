@@ -91,3 +91,31 @@ def extend_ids(spark: SparkSession, ids: DataFrame, target_len: int | DataFrame,
     start = (row["mx"] or 0) + 1
     new = spark.range(start, start + missing).select(F.col("id").cast(ids.schema[col].dataType).alias(col))
     return ids.select(col).unionByName(new)
+
+
+# Profile column names of the raw user file and their
+# snake_case names.
+PROFILE_COLUMNS = {"Name": "name", "Surname": "surname", "Birth Date": "birth_date",
+                   "City": "city", "Postal Code": "zip_code", "Street Name": "street_name",
+                   "House Number": "house_number"}
+
+
+def rename_profile_columns(raw_users: DataFrame) -> DataFrame:
+    """Select the seven profile columns under snake_case names."""
+    return raw_users.select(*[F.col(f"`{k}`").alias(v) for k, v in PROFILE_COLUMNS.items()])
+
+
+def write_products(products: DataFrame, path: str) -> None:
+    """Cleaned catalogue as Parquet partitioned by category_code (Snappy);
+    re-running replaces only the categories it writes."""
+    (products.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "snappy").partitionBy("category_code").parquet(path))
+
+
+def write_parquet(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV with a header line (one folder of part files)."""
+    df.write.mode("overwrite").option("header", "true").csv(path)

@@ -119,3 +119,18 @@ def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     cols = [c for c in df.columns if c not in keys]
     best = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_v"))
     return best.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in cols])
+
+
+def write_run(rows: DataFrame, path: str, run_id: str) -> None:
+    """Batch serving table (funnel, recommendation or brand records): one
+    ``run_id`` partition per job run, replaced as a whole when the run is
+    repeated; older runs stay for the version history."""
+    (rows.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
+
+
+def latest_run(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the newest run (run ids are ``yyyyMMdd_HHmmss`` strings)."""
+    df = spark.read.parquet(path)
+    newest = df.agg(F.max("run_id")).scalar()
+    return df.filter(F.col("run_id") == newest)

@@ -107,6 +107,13 @@ def order_purchases(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
                          "product_id", "category_code", "brand", "price"))
 
 
+# Lazy DataFrame definitions per (application, directory, name). Only the
+# plan is kept: every action still reads the files, so results always reflect
+# the data; what is saved is the driver-side file listing, footer read and
+# plan construction of repeated definitions.
+_PLANS: dict = {}
+
+
 class Tables:
     """Lazy accessors for one scale-factor directory."""
 
@@ -114,17 +121,25 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    def _plan(self, name: str, build):
+        key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, name)
+        df = _PLANS.get(key)
+        if df is None:
+            df = _PLANS[key] = build()
+        return df
+
     def raw(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        return self._plan(name, lambda: table(self.spark, self.sf_dir, name))
 
     def events(self) -> DataFrame:
-        return events_from_tables(self.raw("events"), self.raw("part"))
+        return self._plan("~events", lambda: events_from_tables(self.raw("events"), self.raw("part")))
 
     def users(self) -> DataFrame:
-        return users_from_tables(self.raw("customer"), self.raw("nation"))
+        return self._plan("~users", lambda: users_from_tables(self.raw("customer"), self.raw("nation")))
 
     def products(self) -> DataFrame:
-        return products_from_part(self.raw("part"))
+        return self._plan("~products", lambda: products_from_part(self.raw("part")))
 
     def order_events(self) -> DataFrame:
-        return order_purchases(self.raw("lineitem"), self.raw("orders"), self.raw("part"))
+        return self._plan("~orders", lambda: order_purchases(self.raw("lineitem"), self.raw("orders"),
+                                                              self.raw("part")))

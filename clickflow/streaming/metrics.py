@@ -108,3 +108,11 @@ def run_available(spark: SparkSession, messages: DataFrame, store: VersionLog,
         q.awaitTermination()
         if q.exception():
             raise q.exception()
+
+
+def await_any(spark: SparkSession, timeout: float | None = None) -> None:
+    """Block until any live query ends (several queries, one session)."""
+    if timeout is None:
+        spark.streams.awaitAnyTermination()
+    else:
+        spark.streams.awaitAnyTermination(timeout)
