@@ -81,8 +81,13 @@ def recommend(events: DataFrame, segments: DataFrame, products: DataFrame,
                                                 F.col("product_id").asc_nulls_last())
     top = stats.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     cat = products.select("product_id", "product_name", "category_name", "brand")
-    # right outer with the bounded ranked list as build side == top LEFT JOIN catalogue
-    return cat.join(F.broadcast(top), "product_id", "right").select(
+    # The ranked list has at most k rows per fixed band. Its ids are broadcast
+    # to semi-filter the catalogue as it is scanned (no catalogue shuffle); the
+    # matching catalogue rows, bounded the same way, are broadcast back for the
+    # left join that keeps every ranked row.
+    ids = F.broadcast(top.select("product_id").distinct())
+    names = F.broadcast(cat.join(ids, "product_id", "left_semi"))
+    return top.join(names, "product_id", "left").select(
         "age_group", "rank", "product_id", "views", "add_to_cart", "purchases",
         "total_revenue", "recommendation_score", "product_name", "category_name", "brand")
 
