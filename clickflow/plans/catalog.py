@@ -509,3 +509,25 @@ def archive_lookback(spark, sf):
     rows = ar.read_window(spark, _archive(spark, sf), LOOKBACK_AS_OF - dt.timedelta(hours=24),
                           LOOKBACK_AS_OF)
     return pf.event_type_distribution(rows)
+
+
+# --- job displays: top 10 of the funnel ---------------------------------------
+
+@register("funnel_top10_categories")
+def funnel_top10_categories(spark, sf):
+    f = fn.funnel_by_category(Tables(spark, sf).events())
+    return f.orderBy(F.col("users_viewed").desc(), F.col("category_code").asc_nulls_last()).limit(10)
+
+
+@register("funnel_top10_brands")
+def funnel_top10_brands(spark, sf):
+    f = fn.funnel_by_brand(Tables(spark, sf).events())
+    return f.orderBy(F.col("users_viewed").desc(), F.col("brand").asc_nulls_last()).limit(10)
+
+
+@register("segment_ranked_list")
+def segment_ranked_list(spark, sf):
+    """Each segment's recommendation list in rank order (the per-segment
+    top 10 the serving writer reads), as one ordered result."""
+    t = Tables(spark, sf)
+    return rc.recommend(t.events(), _segments(t), t.products()).orderBy("age_group", "rank")

@@ -616,3 +616,11 @@ SQL["archive_partition_rows"] = with_adapter() + """SELECT CAST(year(event_time)
 FROM ev GROUP BY 1, 2, 3, 4"""
 SQL["archive_lookback"] = with_adapter() + f"""SELECT event_type, count(*) AS event_count
 FROM ev WHERE event_time >= {LOOKBACK_START} AND event_time < {LOOKBACK_END} GROUP BY 1"""
+
+SQL["funnel_top10_categories"] = (with_adapter(touch_sql(), funnel_sql("category_code"))
+                                  + "SELECT * FROM fr ORDER BY users_viewed DESC, "
+                                    "category_code ASC NULLS LAST LIMIT 10")
+SQL["funnel_top10_brands"] = (with_adapter(touch_sql(), funnel_sql("brand", "WHERE brand IS NOT NULL"))
+                              + "SELECT * FROM fr ORDER BY users_viewed DESC, brand ASC NULLS LAST LIMIT 10")
+SQL["segment_ranked_list"] = (with_adapter(SEGMENTS, JOINED, SPS, RECS)
+                              + "SELECT * FROM recs ORDER BY age_group, rank")
