@@ -531,3 +531,59 @@ def segment_ranked_list(spark, sf):
     top 10 the serving writer reads), as one ordered result."""
     t = Tables(spark, sf)
     return rc.recommend(t.events(), _segments(t), t.products()).orderBy("age_group", "rank")
+
+
+# --- raw log path, replay remap, keyed messages --------------------------------
+
+from clickflow.functions import clean as cl  # noqa: E402
+from clickflow.functions.timefns import remap_replay_time  # noqa: E402
+from clickflow.sources import files as fl  # noqa: E402
+
+RAW_LOG_MONTH = "2024-01"
+
+
+def _raw_log(spark, sf):
+    """The commerce events written as the raw monthly CSV log (all strings,
+    ``yyyy-MM-dd HH:mm:ss UTC`` times, empty strings for missing values)."""
+    key = ("rawlog", id(spark), sf)
+    if key not in _RUNS:
+        path = scratch_path(spark, "rawlog")
+        ev = Tables(spark, sf).events()
+        s = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+        raw = ev.select(
+            F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")).alias("event_time"),
+            "event_type", s("product_id").alias("product_id"), s("category_code").alias("category_id"),
+            s("category_code").alias("category_code"), s("brand").alias("brand"),
+            s("price").alias("price"), s("user_id").alias("user_id"),
+            F.lit("").alias("user_session"))
+        raw.write.mode("overwrite").option("header", "true").csv(path)
+        _RUNS[key] = path
+    return fl.read_raw_log(spark, _RUNS[key])
+
+
+@register("raw_log_day_counts")
+def raw_log_day_counts(spark, sf):
+    """Events per day of month of one month's raw CSV log (string prefix
+    filter + day characters, as the log counter does), after cleaning."""
+    raw = _raw_log(spark, sf).filter(F.col("event_time").startswith(RAW_LOG_MONTH))
+    ev = cl.clean_events(raw)
+    return (ev.groupBy(cl.day_of_log(F.col("event_time")).alias("day"))
+              .agg(F.count(F.lit(1)).alias("event_count"),
+                   F.count("event_timestamp").alias("parsed"),
+                   F.count("brand").alias("with_brand")))
+
+
+@register("remap_time")
+def remap_time(spark, sf):
+    """Replay remap of the log (days >= 27 stay in December of the target
+    year, earlier days move to January of the next): events per mapped day."""
+    ev = Tables(spark, sf).events()
+    m = remap_replay_time(F.col("event_time"), 2024)
+    return ev.groupBy(F.to_date(m).alias("mapped_day")).agg(
+        F.count(F.lit(1)).alias("event_count"), F.min(m).alias("first_mapped"))
+
+
+@register("event_messages")
+def event_messages(spark, sf):
+    """Keyed JSON messages of the commerce events (key = user id)."""
+    return st.to_messages(Tables(spark, sf).events())

@@ -624,3 +624,16 @@ SQL["funnel_top10_brands"] = (with_adapter(touch_sql(), funnel_sql("brand", "WHE
                               + "SELECT * FROM fr ORDER BY users_viewed DESC, brand ASC NULLS LAST LIMIT 10")
 SQL["segment_ranked_list"] = (with_adapter(SEGMENTS, JOINED, SPS, RECS)
                               + "SELECT * FROM recs ORDER BY age_group, rank")
+
+SQL["raw_log_day_counts"] = with_adapter() + """SELECT CAST(day(event_time) AS INT) AS day,
+  count(*) AS event_count, count(*) AS parsed, count(brand) AS with_brand
+FROM ev WHERE strftime(event_time, '%Y-%m') = '2024-01' GROUP BY 1"""
+SQL["remap_time"] = with_adapter("""rm AS (
+  SELECT CASE WHEN day(event_time) >= 27
+              THEN make_date(2024, 12, CAST(day(event_time) AS INT))
+              ELSE make_date(2025, 1, CAST(day(event_time) AS INT)) END AS mapped_day,
+         event_time - date_trunc('day', event_time) AS tod
+  FROM ev
+)""") + """SELECT mapped_day, count(*) AS event_count,
+  min(CAST(mapped_day AS TIMESTAMP) + tod) AS first_mapped
+FROM rm GROUP BY mapped_day"""
