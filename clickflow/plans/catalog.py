@@ -441,7 +441,8 @@ def _replay(spark, sf) -> VersionLog:
         root = scratch_path(spark, "replay")
         stream = st.event_stream(spark, fmt="parquet", path=_messages(spark, sf))
         store = VersionLog(spark, f"{root}/store")
-        live.run_available(spark, stream, store, f"{root}/checkpoints", run_id="replay", topk=None)
+        live.run_available(spark, stream, store, f"{root}/checkpoints", run_id="replay", topk=None,
+                           state_partitions=spark.sparkContext.defaultParallelism)
         _RUNS[key] = store
     return _RUNS[key]
 

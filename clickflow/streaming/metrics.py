@@ -82,28 +82,45 @@ def batch_sink(store: VersionLog, metric: str, run_id: str, fallback: str | None
 def start_metrics(messages: DataFrame, store: VersionLog, checkpoint_root: str,
                   metrics: tuple[str, ...] = tuple(METRIC_SPECS), run_id: str = "live",
                   fallback: str | None = None, topk: str | None = "micro_batch",
-                  trigger: dict | None = None) -> list[StreamingQuery]:
+                  trigger: dict | None = None,
+                  state_partitions: int | None = None) -> list[StreamingQuery]:
     """Start one streaming query per metric; returns the handles (await
-    with ``spark.streams.awaitAnyTermination()``)."""
+    with ``spark.streams.awaitAnyTermination()``).
+
+    ``state_partitions`` sizes the shuffle / state-store partitions of a new
+    checkpoint (a stream keeps the count of its first run); the session
+    value is used when not given. Each query copies the session settings at
+    start, so the value is applied only while starting.
+    """
+    spark = messages.sparkSession
     events = live_events(messages)
     queries = []
-    for m in metrics:
-        w = (metric_stream(events, m).writeStream.outputMode("update")
-             .queryName(f"live_{m}_{run_id}")
-             .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{m}")
-             .foreachBatch(batch_sink(store, m, run_id, fallback, topk)))
-        if trigger:
-            w = w.trigger(**trigger)
-        queries.append(w.start())
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        if state_partitions:
+            spark.conf.set(key, str(state_partitions))
+        for m in metrics:
+            w = (metric_stream(events, m).writeStream.outputMode("update")
+                 .queryName(f"live_{m}_{run_id}")
+                 .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{m}")
+                 .foreachBatch(batch_sink(store, m, run_id, fallback, topk)))
+            if trigger:
+                w = w.trigger(**trigger)
+            queries.append(w.start())
+    finally:
+        spark.conf.set(key, before)
     return queries
 
 
 def run_available(spark: SparkSession, messages: DataFrame, store: VersionLog,
                   checkpoint_root: str, metrics: tuple[str, ...] = tuple(METRIC_SPECS),
-                  run_id: str = "replay", topk: str | None = "micro_batch") -> None:
+                  run_id: str = "replay", topk: str | None = "micro_batch",
+                  state_partitions: int | None = None) -> None:
     """Process everything available now and stop (bounded replay)."""
     qs = start_metrics(messages, store, checkpoint_root, metrics, run_id,
-                       topk=topk, trigger={"availableNow": True})
+                       topk=topk, trigger={"availableNow": True},
+                       state_partitions=state_partitions)
     for q in qs:
         q.awaitTermination()
         if q.exception():
