@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from clickflow.functions.demographics import age_band_a, exact_age
 from clickflow.functions.ratios import guarded_ratio
+from clickflow.plans.joins import sized_broadcast
 
 TOP_BRANDS = 100
 TOP_RECORD_BRANDS = 3
@@ -43,7 +44,7 @@ def brand_age_metrics(events: DataFrame, users: DataFrame, as_of) -> DataFrame:
 
     Users are LEFT joined: events of unknown users stay and fall into 55+.
     """
-    ages = users.select("user_id", exact_age(F.col("birth_date"), as_of).alias("age"))
+    ages = sized_broadcast(users.select("user_id", exact_age(F.col("birth_date"), as_of).alias("age")))
     ub = user_brand_activity(events, revenue_default_zero=True)
     j = ub.join(ages, "user_id", "left").withColumn("age_group", age_band_a(F.col("age")))
     m = j.groupBy("brand", "age_group").agg(
@@ -86,7 +87,7 @@ def brand_records(metrics: DataFrame, run_id: str, created_at, n: int = TOP_BRAN
 def brand_age_event_counts(events: DataFrame, segments: DataFrame) -> DataFrame:
     """Events per (brand, age_group) for known users."""
     ub = user_brand_activity(events, revenue_default_zero=False)
-    j = ub.join(segments.select("user_id", "age_group"), "user_id", "inner")
+    j = ub.join(sized_broadcast(segments.select("user_id", "age_group")), "user_id", "inner")
     return j.groupBy("brand", "age_group").agg(F.sum("n_events").alias("events_count"))
 
 
@@ -99,7 +100,7 @@ def brand_user_metrics(events: DataFrame, segments: DataFrame) -> DataFrame:
     most events (ties: smaller label).
     """
     ub = user_brand_activity(events, revenue_default_zero=False)
-    j = ub.join(segments.select("user_id", "age_group"), "user_id", "inner")
+    j = ub.join(sized_broadcast(segments.select("user_id", "age_group")), "user_id", "inner")
     per_age = j.groupBy("brand", "age_group").agg(
         F.count(F.lit(1)).alias("users"),
         *[F.count(F.when(F.col(f"n_{s}") > 0, F.lit(1))).alias(f"users_{s}") for s in STAGES],

@@ -6,12 +6,13 @@ per (age_group, product); rank by score desc, product_id asc; keep k.
 Plan shape: events are first reduced to one row per (user, product) with
 0/1 stage flags, event count and purchase revenue (map-side combined, so a
 hot user or product collapses before the shuffle). Only that reduced table
-is joined to the users dimension; since a user has one segment, distinct
-users per (segment, product) are then plain sums of the flags, with no
-distinct aggregation. The top-k runs as a window limited per segment
-(Spark plans ``row_number() <= k`` as WindowGroupLimit). The ranked list is
-at most k rows per segment over a fixed set of bands, so it is the side that
-is broadcast to pick names from the catalogue; the catalogue is not shuffled.
+is joined to the users dimension (size-checked broadcast, shuffle join above
+the cap); since a user has one segment, distinct users per (segment,
+product) are then plain sums of the flags, with no distinct aggregation.
+The top-k runs as a window limited per segment (Spark plans
+``row_number() <= k`` as WindowGroupLimit, partial before the shuffle). The
+ranked list has at most k rows per fixed band, so its ids are what is
+broadcast to pick names from the catalogue; the catalogue is not shuffled.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from clickflow.functions.clean import UNKNOWN_NAME
 from clickflow.functions.demographics import BAND_A_REST, BANDS_A, age_band_a, exact_age
+from clickflow.plans.joins import sized_broadcast
 
 SCORE_WEIGHTS = {"views": 1, "add_to_cart": 2, "purchases": 5}
 TOP_K = 10
@@ -55,7 +57,7 @@ def segment_activity_from(joined: DataFrame) -> DataFrame:
 
 def _joined(events: DataFrame, segments: DataFrame) -> DataFrame:
     return user_product_activity(events).join(
-        segments.select("user_id", "age_group"), "user_id", "inner")
+        sized_broadcast(segments.select("user_id", "age_group")), "user_id", "inner")
 
 
 def segment_activity(events: DataFrame, segments: DataFrame) -> DataFrame:

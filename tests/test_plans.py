@@ -69,3 +69,26 @@ def test_latest_and_first_are_aggregates(spark):
     for name in ("first_per_product", "latest_snapshot"):
         tree = plan(spark, name).split("\n\n")[0]
         assert "HashAggregate" in tree or "ObjectHashAggregate" in tree or "SortAggregate" in tree, name
+
+
+def test_sized_broadcast_cap_and_fallback(spark):
+    from clickflow.plans.joins import CONF_KEY, estimated_bytes, sized_broadcast
+    from clickflow.sources.tables import Tables, events_from_tables
+    t = Tables(spark, SF_SMALL)
+    part = t.raw("part").select("p_partkey", "p_type", "p_brand")
+    assert 0 < estimated_bytes(part) < 1 << 30
+    # under the cap: broadcast hint; above it: plain (Spark decides, shuffle join allowed)
+    assert "ResolvedHint" in sized_broadcast(part, 1 << 30)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in sized_broadcast(part, 1)._jdf.queryExecution().analyzed().toString()
+    spark.conf.set(CONF_KEY, "1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ev = events_from_tables(t.raw("events"), t.raw("part"))
+        p = spark._jvm.PythonSQLUtils.explainString(ev._jdf.queryExecution(), "formatted")
+        assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+    finally:
+        spark.conf.unset(CONF_KEY)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    ev = events_from_tables(t.raw("events"), t.raw("part"))
+    p = spark._jvm.PythonSQLUtils.explainString(ev._jdf.queryExecution(), "formatted")
+    assert "BroadcastHashJoin" in p
