@@ -10,9 +10,9 @@ is joined to the users dimension (size-checked broadcast, shuffle join above
 the cap); since a user has one segment, distinct users per (segment,
 product) are then plain sums of the flags, with no distinct aggregation.
 The top-k runs as a window limited per segment (Spark plans
-``row_number() <= k`` as WindowGroupLimit, partial before the shuffle). The
-ranked list has at most k rows per fixed band, so its ids are what is
-broadcast to pick names from the catalogue; the catalogue is not shuffled.
+``row_number() <= k`` as WindowGroupLimit, partial before the shuffle). Names come
+from the catalogue by a left join of the tiny ranked list with a
+size-checked broadcast of the compact catalogue projection.
 """
 
 from __future__ import annotations
@@ -82,14 +82,12 @@ def recommend(events: DataFrame, segments: DataFrame, products: DataFrame,
     w = Window.partitionBy("age_group").orderBy(F.col("recommendation_score").desc(),
                                                 F.col("product_id").asc_nulls_last())
     top = stats.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    cat = products.select("product_id", "product_name", "category_name", "brand")
-    # The ranked list has at most k rows per fixed band. Its ids are broadcast
-    # to semi-filter the catalogue as it is scanned (no catalogue shuffle); the
-    # matching catalogue rows, bounded the same way, are broadcast back for the
-    # left join that keeps every ranked row.
-    ids = F.broadcast(top.select("product_id").distinct())
-    names = F.broadcast(cat.join(ids, "product_id", "left_semi"))
-    return top.join(names, "product_id", "left").select(
+    # The ranked list (at most k rows per fixed band) is the streamed side and
+    # is computed once; the compact catalogue projection is broadcast when its
+    # estimated size is under the cap, else Spark shuffles the catalogue once
+    # for a sort-merge join with the tiny list.
+    cat = sized_broadcast(products.select("product_id", "product_name", "category_name", "brand"))
+    return top.join(cat, "product_id", "left").select(
         "age_group", "rank", "product_id", "views", "add_to_cart", "purchases",
         "total_revenue", "recommendation_score", "product_name", "category_name", "brand")
 
