@@ -58,6 +58,8 @@ def positional_index(df: DataFrame, order: list[str], name: str = "pos") -> Data
     Offsets form a table of one row per partition, a bound set by the
     partition count, and are broadcast.
     """
+    from clickflow.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)      # the session's shared folder (set only if unset)
     tie = [c for c in df.columns if c not in order]
     tagged = (df.orderBy(*order, *tie)
                 .withColumn("_pid", F.spark_partition_id())
