@@ -382,7 +382,7 @@ TBW = """tbw AS (
          brand ASC NULLS LAST, event_type ASC NULLS LAST) AS INT) AS rank
   FROM ba2 QUALIFY rank <= 10
 )"""
-RW = "minute(window_start) % 5 = 0"
+RW = "time_bucket(INTERVAL 5 MINUTE, window_start) = window_start"
 XS = f"xs AS (SELECT CAST(active_users AS DOUBLE) AS x FROM au WHERE {RW})"
 
 SQL["active_user_summary"] = with_adapter(WIN, AU) + f"""SELECT count(*) AS windows,

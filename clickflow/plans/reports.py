@@ -3,7 +3,7 @@
 Inputs are the batch metric tables (equal to the latest view of the live
 store once the stream has caught up), the funnel records, the wide
 recommendation rows and the brand records. Reports read the
-non-overlapping windows (every 5th minute) of the sliding set, so sums do
+non-overlapping windows (the 5-minute grid) of the sliding set, so sums do
 not double count. Ratios divide with ``try_divide`` (NULL, not an error,
 on a zero denominator); pandas-style "NaN to 0" uses ``coalesce``.
 Quantiles are linear-interpolated (``percentile``), std is the sample form.
@@ -30,9 +30,13 @@ def _pct(num, den):
 
 
 def report_windows(metric: DataFrame, step: int = REPORT_STEP_MINUTES) -> DataFrame:
-    """Windows whose start minute is a multiple of ``step`` (non-overlapping
-    5-minute windows out of the 1-minute sliding set)."""
-    return metric.filter(F.minute("window_start") % step == 0)
+    """The report's window grid: windows starting on the ``step``-minute grid
+    (the non-overlapping 5-minute windows out of the 1-minute sliding set),
+    i.e. whose start equals the start of their own ``step``-minute tumbling
+    window."""
+    grid = F.window(F.col("window_start"), f"{step} minutes").start.cast("timestamp_ntz")
+    # the time-window rewrite adds a helper column; keep the input's columns
+    return metric.filter(grid == F.col("window_start")).select(*metric.columns)
 
 
 # --- realtime (R1-R7) -------------------------------------------------------
