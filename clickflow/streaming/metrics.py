@@ -66,16 +66,23 @@ def store_rows(batch: DataFrame, metric: str, topk: str | None = "micro_batch")
 def batch_sink(store: VersionLog, metric: str, run_id: str, fallback: str | None,
                topk: str | None = "micro_batch"):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        rows = store_rows(batch, metric, topk)
+        # The micro-batch output (groups updated in this trigger) is used by
+        # more than one action below; keep it for the callback so the batch
+        # plan runs once.
+        batch.persist()
         try:
-            store.write(rows, metric, run_id, epoch_id)
-        except Exception:  # keep the batch: JSON fallback, then re-raise nothing
-            if not fallback:
-                raise
-            log.exception("serving write failed for %s epoch %s", metric, epoch_id)
-            rows.write.mode("overwrite").json(f"{fallback}/{metric}/batch_{epoch_id}")
+            if batch.isEmpty():
+                return
+            rows = store_rows(batch, metric, topk)
+            try:
+                store.write(rows, metric, run_id, epoch_id)
+            except Exception:  # keep the batch: JSON fallback
+                if not fallback:
+                    raise
+                log.exception("serving write failed for %s epoch %s", metric, epoch_id)
+                rows.write.mode("overwrite").json(f"{fallback}/{metric}/batch_{epoch_id}")
+        finally:
+            batch.unpersist()
     return write
 
 
