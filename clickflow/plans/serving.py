@@ -83,6 +83,17 @@ class VersionLog:
     def scan(self, metric: str, prefix: str) -> DataFrame:
         return prefix_scan(self.read(metric), prefix)
 
+    def compact(self, metric: str, versions: int, target_root: str) -> "VersionLog":
+        """Retention job: write the newest ``versions`` versions per row key of
+        ``metric`` into a new store at ``target_root`` (same layout), never
+        overwriting the files being read; readers switch roots afterwards.
+        Re-running overwrites the target's partitions (idempotent)."""
+        kept = retain(self.read(metric).drop("metric"), versions)
+        target = VersionLog(self.spark, target_root)
+        (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("window_date", "run_id", "epoch_id").parquet(target.path(metric)))
+        return target
+
 
 def latest(versions: DataFrame, key: str = "row_key") -> DataFrame:
     """Newest version per key by (created_at, epoch_id); an aggregate, not a

@@ -68,3 +68,18 @@ def test_latest_tie_uses_epoch_and_key_kinds(spark):
          ("x_brand_acme_view",), ("x_top_view_5",)], "k STRING")
     got = [r.m for r in keys.select(sv.metric_from_key(F.col("k")).alias("m")).collect()]
     assert got == ["active_users", "purchases", "event_purchase", "event_view", "brand", "top_view"]
+
+
+def test_version_log_compaction(spark, scratch):
+    store = sv.VersionLog(spark, scratch + "/store")
+    base = spark.createDataFrame([(ts("2024-01-01 10:00:00"), 1)],
+                                 "window_start TIMESTAMP_NTZ, active_users BIGINT") \
+        .withColumn("row_key", sv.row_key("active_users"))
+    for e in range(4):
+        store.write(base.withColumn("active_users", F.lit(e).cast("bigint")), "active_users", "r", e,
+                    F.lit(ts(f"2024-01-01 10:1{e}:00")))
+    compacted = store.compact("active_users", 2, scratch + "/store2")
+    kept = sorted(r.active_users for r in compacted.read("active_users").collect())
+    assert kept == [2, 3]
+    assert compacted.latest("active_users").collect()[0].active_users == 3
+    assert store.read("active_users").count() == 4          # source untouched
