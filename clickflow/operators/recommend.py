@@ -103,11 +103,11 @@ def recommendation_records(recs: DataFrame, run_id: str, created_at, k: int = TO
                     F.coalesce(F.col("product_name"), F.lit(UNKNOWN_NAME)).alias("product_name"),
                     F.col("recommendation_score").alias("score"),
                     "views", "add_to_cart", "purchases")
-    aggs = []
-    for i in range(1, k + 1):
-        for f in WIDE_FIELDS:
-            aggs.append(F.max(F.when(F.col("rank") == i, F.col(f))).alias(f"rank_{i}_{f}"))
-    wide = r.groupBy("age_group").agg(*aggs)
+    # one pivot over the k ranks (a single aggregate, one row per segment);
+    # the pivot names its columns "<rank>_<field>", renamed in one step
+    wide = (r.groupBy("age_group").pivot("rank", list(range(1, k + 1)))
+             .agg(*[F.max(f).alias(f) for f in WIDE_FIELDS]))
+    wide = wide.toDF("age_group", *[f"rank_{i}_{f}" for i in range(1, k + 1) for f in WIDE_FIELDS])
     return wide.select(
         F.concat(F.lit(f"{run_id}_segment_"), F.col("age_group")).alias("row_key"),
         "age_group", F.lit("demographic").alias("segment_type"),
