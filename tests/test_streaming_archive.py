@@ -105,3 +105,33 @@ def test_batch_equals_stream_on_driver_tables(spark):
                         .withColumnRenamed("view_time", "event_time")
                         .filter(F.col("event_time").isNotNull())).count()
     assert n > 0
+
+
+def test_sink_json_fallback_when_store_fails(spark, scratch):
+    blocker = os.path.join(scratch, "not_a_dir")
+    with open(blocker, "w") as fh:                       # a file where the store folder should be
+        fh.write("x")
+    store = VersionLog(spark, blocker + "/store")
+    batch = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 1, 10, 0), dt.datetime(2024, 1, 1, 10, 5), "view", 3)],
+        "window_start TIMESTAMP, window_end TIMESTAMP, event_type STRING, event_count BIGINT")
+    sink = live.batch_sink(store, "event", "r", scratch + "/fallback", topk=None)
+    sink(batch, 7)
+    back = spark.read.json(scratch + "/fallback/event/batch_7").collect()
+    assert len(back) == 1 and back[0].event_count == 3 and back[0].row_key == "20240101_1000_event_view"
+    empty = batch.filter("event_count < 0")
+    sink(empty, 8)                                       # empty micro-batch: nothing written
+    assert not os.path.exists(scratch + "/fallback/event/batch_8")
+
+
+def test_log_slice_half_open(spark, scratch):
+    path = scratch + "/log"
+    rows = [(None, "{}", dt.datetime(2024, 1, 1, 9, 59, 59), 0),
+            (None, "{}", dt.datetime(2024, 1, 1, 10, 0, 0), 0),
+            (None, "{}", dt.datetime(2024, 1, 1, 10, 59, 59), 1),
+            (None, "{}", dt.datetime(2024, 1, 1, 11, 0, 0), 1)]
+    spark.createDataFrame(rows, "key STRING, value STRING, timestamp TIMESTAMP, partition INT") \
+        .write.parquet(path)
+    start = int(dt.datetime(2024, 1, 1, 10, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    got = st.log_slice(spark, start, start + 3600 * 1000, fmt="parquet", path=path)
+    assert sorted(r.timestamp.minute for r in got.collect()) == [0, 59]
