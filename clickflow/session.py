@@ -28,6 +28,21 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (100 TB class inputs). Start shuffles wide and
+# let AQE coalesce them to ~256 MB partitions; read ~512 MB file splits; keep
+# skew-join splitting on; keep large streaming state in RocksDB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "clickflow.broadcast.maxBytes": str(256 * 1024 * 1024),
+}
+
+
 def build_session(master: str = "local[8]", app: str = "clickflow",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local or cluster session with the settings the library is tuned for."""
