@@ -20,6 +20,7 @@ from clickflow.functions.demographics import age_band_a, exact_age
 from clickflow.functions.ratios import guarded_ratio
 from clickflow.plans.joins import sized_broadcast
 
+# List sizes of the two serving writers.
 TOP_BRANDS = 100
 TOP_RECORD_BRANDS = 3
 STAGES = ("view", "cart", "purchase")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from clickflow.functions.clean import label_or_unknown
 from clickflow.functions.ratios import guarded_dropoff, guarded_ratio, safe_float, safe_int
 
+# Funnel stages in order.
 STAGES = ("view", "cart", "purchase")
 TOUCH_KEYS = ("user_id", "product_id", "category_code", "brand")
 DURATIONS = (("view_to_cart_seconds", "view", "cart"),

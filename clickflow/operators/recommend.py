@@ -24,8 +24,10 @@ from clickflow.functions.clean import UNKNOWN_NAME
 from clickflow.functions.demographics import BAND_A_REST, BANDS_A, age_band_a, exact_age
 from clickflow.plans.joins import sized_broadcast
 
+# Score weights, list length and the constant region label.
 SCORE_WEIGHTS = {"views": 1, "add_to_cart": 2, "purchases": 5}
 TOP_K = 10
+REGION = "Poland"
 STAGE_COLS = (("view", "views"), ("cart", "add_to_cart"), ("purchase", "purchases"))
 # Bounded size of the ranked list: k per segment over the fixed bands.
 N_SEGMENTS = len(BANDS_A) + 1
@@ -37,7 +39,7 @@ def user_segments(users: DataFrame, as_of) -> DataFrame:
     age = exact_age(F.col("birth_date"), as_of)
     return users.select("user_id", "city", age.alias("age"),
                         age_band_a(age).alias("age_group"),
-                        F.lit("Poland").alias("region"))
+                        F.lit(REGION).alias("region"))
 
 
 def user_product_activity(events: DataFrame) -> DataFrame:

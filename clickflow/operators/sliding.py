@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Window length, slide, watermark delay, top-list length.
 WINDOW = "5 minutes"
 SLIDE = "1 minute"
 WATERMARK = "10 minutes"

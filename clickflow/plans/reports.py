@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from clickflow.operators import sliding as sl
 from clickflow.plans.serving import latest_by
 
+# Report window step, histogram bins, box-plot whisker factor.
 REPORT_STEP_MINUTES = 5
 HIST_BINS = 10
 WHISKER = 1.5
