@@ -56,16 +56,18 @@ def first_touch(events: DataFrame, ts: str = "event_time") -> DataFrame:
     return touch.select(*cols)
 
 
-def funnel(touch: DataFrame, key: str) -> DataFrame:
-    """Funnel measures per ``key`` (``category_code`` keeps its NULL group;
-    callers drop NULL brands, as the brand funnel does)."""
-    per_user = touch.groupBy(key, "user_id").agg(
+def funnel(touch: DataFrame, key) -> DataFrame:
+    """Funnel measures per ``key`` (a column name or a list of them;
+    ``category_code`` keeps its NULL group; callers drop NULL brands, as the
+    brand funnel does)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    per_user = touch.groupBy(*keys, "user_id").agg(
         *[F.max(f"has_{s}").alias(f"u_{s}") for s in STAGES],
         *[F.sum(n).alias(f"sum_{n}") for n, _, _ in DURATIONS],
         *[F.count(n).alias(f"cnt_{n}") for n, _, _ in DURATIONS],
     )
     uid = F.col("user_id")
-    agg = per_user.groupBy(key).agg(
+    agg = per_user.groupBy(*keys).agg(
         F.count(F.when(F.col("u_view") > 0, uid)).alias("users_viewed"),
         F.count(F.when(F.col("u_cart") > 0, uid)).alias("users_added_to_cart"),
         F.count(F.when(F.col("u_purchase") > 0, uid)).alias("users_purchased"),
@@ -74,7 +76,7 @@ def funnel(touch: DataFrame, key: str) -> DataFrame:
     )
     v, c, p = F.col("users_viewed"), F.col("users_added_to_cart"), F.col("users_purchased")
     return agg.select(
-        key, "users_viewed", "users_added_to_cart", "users_purchased",
+        *keys, "users_viewed", "users_added_to_cart", "users_purchased",
         "avg_view_to_cart_seconds", "avg_cart_to_purchase_seconds", "avg_view_to_purchase_seconds",
         guarded_ratio(c, v).alias("view_to_cart_rate"),
         guarded_ratio(p, c).alias("cart_to_purchase_rate"),
@@ -98,16 +100,23 @@ def funnel_records(events: DataFrame, run_id: str, created_at) -> DataFrame:
 
     ``row_key = <run_id>_<type>_<name>``; NULL category becomes ``unknown``;
     rates rounded to 4 places, mean durations truncated to whole seconds,
-    missing values 0. The touch table is computed once and shared: both
-    branches read the same exchange.
+    missing values 0.
+
+    Each touch row is tagged with both of its keys, (category, value) and
+    (brand, value) — rows without a brand drop the brand tag — and one
+    funnel aggregation runs over (type, key). The event-level touch shuffle,
+    the largest of the plan, therefore runs once for both kinds.
     """
     touch = first_touch(events)
-    cat = funnel(touch, "category_code").select(
-        F.lit("category").alias("type"), label_or_unknown(F.col("category_code")).alias("name"),
-        *FUNNEL_METRICS)
-    brd = funnel(touch.filter(F.col("brand").isNotNull()), "brand").select(
-        F.lit("brand").alias("type"), F.col("brand").alias("name"), *FUNNEL_METRICS)
-    both = cat.unionByName(brd)
+    tags = F.array(
+        F.struct(F.lit("category").alias("type"), F.col("category_code").alias("key"),
+                 F.lit(True).alias("keep")),
+        F.struct(F.lit("brand").alias("type"), F.col("brand").alias("key"),
+                 F.col("brand").isNotNull().alias("keep")))
+    tagged = touch.select("*", F.inline(tags)).filter(F.col("keep")).drop("keep")
+    both = funnel(tagged, ["type", "key"]).withColumn(
+        "name", F.when(F.col("type") == "category", label_or_unknown(F.col("key")))
+                 .otherwise(F.col("key")))
     out = [F.concat_ws("_", F.lit(run_id), F.col("type"), F.col("name")).alias("row_key"),
            "type", "name", "users_viewed", "users_added_to_cart", "users_purchased"]
     for m in ("view_to_cart_rate", "cart_to_purchase_rate", "view_to_purchase_rate",
