@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from clickflow.functions.demographics import age_band_a, exact_age
 from clickflow.functions.ratios import guarded_ratio
-from clickflow.plans.joins import sized_broadcast
+from clickflow.plans.joins import materialize, sized_broadcast
 
 # List sizes of the two serving writers.
 TOP_BRANDS = 100
@@ -68,8 +68,12 @@ def restrict_to_top_brands(metrics: DataFrame, n: int = TOP_BRANDS) -> DataFrame
     """Rows of ``metrics`` whose brand is among the top n by revenue.
 
     The top list has at most n rows, so broadcasting it is size-bound; the
-    semi join equals the inner join on its unique brand column.
+    semi join equals the inner join on its unique brand column. ``metrics``
+    (one row per brand and age group) is read by both the top-N list and the
+    filter, so it is materialised once: the events pipeline behind it runs
+    a single time.
     """
+    metrics = materialize(metrics)
     top = F.broadcast(top_brands_by_revenue(metrics, n).select("brand"))
     return metrics.join(top, "brand", "left_semi")
 

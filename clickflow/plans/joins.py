@@ -38,3 +38,14 @@ def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     else ``df`` unchanged (Spark then plans a shuffle join)."""
     limit = max_bytes if max_bytes is not None else max_broadcast_bytes(df)
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a small intermediate that more than one branch reads (e.g. the
+    brand metrics that both yield a top-N list and are filtered by it) once
+    into the session's checkpoint folder and read it back, so its lineage is
+    computed once and cut. Reliable checkpoint (shared storage), never a
+    local one; eager, since both branches follow immediately."""
+    from clickflow.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
