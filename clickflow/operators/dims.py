@@ -86,7 +86,10 @@ def extend_ids(spark: SparkSession, ids: DataFrame, target_len: int | DataFrame,
                col: str = "user_id") -> DataFrame:
     """Existing ids plus consecutive new ids after the largest one until the
     frame has ``target_len`` rows (UNION ALL)."""
-    # two scalars reach the driver (max id, count); the rows never do
+    # the ids feed both the scalars and the union: materialise them once;
+    # two scalars reach the driver (max id, count), the rows never do
+    from clickflow.plans.joins import materialize
+    ids = materialize(ids.select(col))
     row = ids.agg(F.max(col).alias("mx"), F.count(F.lit(1)).alias("n")).first()
     target = target_len.count() if isinstance(target_len, DataFrame) else target_len
     missing = max(0, target - row["n"])

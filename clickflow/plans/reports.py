@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickflow.operators import sliding as sl
+from clickflow.plans.joins import materialize
 from clickflow.plans.serving import latest_by
 
 # Report window step, histogram bins, box-plot whisker factor.
@@ -57,7 +58,9 @@ def active_user_summary(active: DataFrame) -> DataFrame:
 
 def active_user_boxplot(active: DataFrame) -> DataFrame:
     """Five-number summary with 1.5 IQR whiskers and the outlier count."""
-    a = report_windows(active).select(F.col("active_users").cast("double").alias("x"))
+    # one value per report window, read by the quantile subqueries and the
+    # main aggregate: materialised once so the events pipeline runs once
+    a = materialize(report_windows(active).select(F.col("active_users").cast("double").alias("x")))
     q = a.agg(F.percentile("x", [0.25, 0.5, 0.75]).alias("q"))
     q1, q3 = q.select(F.col("q")[0]).scalar(), q.select(F.col("q")[2]).scalar()
     lo, hi = q1 - F.lit(WHISKER) * (q3 - q1), q3 + F.lit(WHISKER) * (q3 - q1)
@@ -73,7 +76,7 @@ def active_user_boxplot(active: DataFrame) -> DataFrame:
 def active_user_histogram(spark: SparkSession, active: DataFrame, bins: int = HIST_BINS) -> DataFrame:
     """Equal-width histogram (last bin closed): bin, lower, upper, center,
     label, count; every bin is listed, empty ones with 0."""
-    a = report_windows(active).select(F.col("active_users").cast("double").alias("x"))
+    a = materialize(report_windows(active).select(F.col("active_users").cast("double").alias("x")))
     mm = a.agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
     mn0, mx0 = mm.select("mn").scalar(), mm.select("mx").scalar()
     same = mn0 == mx0
@@ -220,7 +223,9 @@ def rank_decay(wide: DataFrame) -> DataFrame:
 
 def age_group_top3(wide: DataFrame) -> DataFrame:
     """Most frequent product names in ranks 1-5 per age group (top 3) and
-    the number of segment rows of the group."""
+    the number of segment rows of the group (``wide`` feeds both, so it is
+    materialised once)."""
+    wide = materialize(wide)
     e = _rank_entries(wide, ["product_name"], range(1, 6)).dropna(subset=["product_name"])
     c = e.groupBy("age_group", "product_name").agg(F.count(F.lit(1)).alias("times"))
     w = Window.partitionBy("age_group").orderBy(F.col("times").desc(), F.col("product_name").asc())
