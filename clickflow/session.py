@@ -25,6 +25,10 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # checkpoint files of intermediates that are no longer referenced are
+    # removed by the context cleaner (materialised intermediates, positional
+    # index tags), so the shared checkpoint folder does not grow per run
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -40,6 +44,7 @@ CLUSTER_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "clickflow.broadcast.maxBytes": str(256 * 1024 * 1024),
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
