@@ -17,14 +17,38 @@ WINDOW_LABEL_FORMAT = "HH:mm dd.MM.yyyy"
 RUN_KEY_FORMAT = "yyyyMMdd_HHmmss"
 
 
-def _ts(x) -> Column:
+def ntz_lit(x) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive datetime, date or ISO string.
+
+    Built from text, so it does not depend on the session or the Python
+    process time zone (a Python datetime literal would be a zoned TIMESTAMP).
+    """
     if isinstance(x, Column):
         return x
     if isinstance(x, str):
         x = dt.datetime.fromisoformat(x)
     if isinstance(x, dt.date) and not isinstance(x, dt.datetime):
         x = dt.datetime(x.year, x.month, x.day)
-    return F.lit(x).cast("timestamp_ntz")
+    return F.lit(x.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+_ts = ntz_lit
+
+
+def wall_clock_as_utc_instant(ntz: Column) -> Column:
+    """TIMESTAMP_NTZ wall clock -> the TIMESTAMP instant of that wall clock in
+    UTC, independent of the session time zone (epoch seconds of an NTZ value
+    are zone-free, and so is its micro-second field)."""
+    micros = (F.unix_timestamp(ntz).cast("long") * F.lit(1000000)
+              + F.date_format(ntz, "SSSSSS").cast("long"))
+    return F.timestamp_micros(micros)
+
+
+def utc_wall_clock(epoch_ms: Column) -> Column:
+    """Epoch milliseconds -> TIMESTAMP_NTZ wall clock in UTC, independent of
+    the session time zone."""
+    secs = (epoch_ms.cast("decimal(20,3)") / F.lit(1000)).cast("decimal(18,6)")
+    return ntz_lit(dt.datetime(1970, 1, 1)) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
 def parse_time(c: Column) -> Column:

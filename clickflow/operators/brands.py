@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from clickflow.functions.demographics import age_band_a, exact_age
 from clickflow.functions.ratios import guarded_ratio
 from clickflow.plans.joins import materialize, sized_broadcast
+from clickflow.functions.timefns import ntz_lit
 
 # List sizes of the two serving writers.
 TOP_BRANDS = 100
@@ -86,7 +87,7 @@ def brand_records(metrics: DataFrame, run_id: str, created_at, n: int = TOP_BRAN
         "brand", "age_group", "unique_users", "total_views", "total_purchases",
         F.round("total_revenue", 2).alias("total_revenue"),
         F.round("overall_conversion_rate", 4).alias("conversion_rate"),
-        F.lit(created_at).cast("timestamp_ntz").alias("created_at"))
+        ntz_lit(created_at).alias("created_at"))
 
 
 def brand_age_event_counts(events: DataFrame, segments: DataFrame) -> DataFrame:
@@ -155,5 +156,5 @@ def brand_top_records(metrics: DataFrame, run_id: str, created_at,
         F.round(F.coalesce("total_revenue", F.lit(0.0)), 2).alias("total_revenue"),
         F.round("overall_conversion_rate", 4).alias("conversion_rate"),
         F.coalesce(F.col("age_group"), F.lit("Unknown")).alias("dominant_age_group"),
-        F.lit(created_at).cast("timestamp_ntz").alias("created_at"),
+        ntz_lit(created_at).alias("created_at"),
         F.lit(period).alias("period"), F.lit("active").alias("status"))

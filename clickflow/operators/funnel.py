@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from clickflow.functions.clean import label_or_unknown
 from clickflow.functions.ratios import guarded_dropoff, guarded_ratio, safe_float, safe_int
+from clickflow.functions.timefns import ntz_lit
 
 # Funnel stages in order.
 STAGES = ("view", "cart", "purchase")
@@ -125,5 +126,5 @@ def funnel_records(events: DataFrame, run_id: str, created_at) -> DataFrame:
     for m in ("avg_view_to_cart_seconds", "avg_cart_to_purchase_seconds",
               "avg_view_to_purchase_seconds"):
         out.append(safe_int(F.col(m)).alias(m))
-    out.append(F.lit(created_at).cast("timestamp_ntz").alias("created_at"))
+    out.append(ntz_lit(created_at).alias("created_at"))
     return both.select(*out)

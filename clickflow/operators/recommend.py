@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from clickflow.functions.clean import UNKNOWN_NAME
 from clickflow.functions.demographics import BAND_A_REST, BANDS_A, age_band_a, exact_age
 from clickflow.plans.joins import sized_broadcast
+from clickflow.functions.timefns import ntz_lit
 
 # Score weights, list length and the constant region label.
 SCORE_WEIGHTS = {"views": 1, "add_to_cart": 2, "purchases": 5}
@@ -113,7 +114,7 @@ def recommendation_records(recs: DataFrame, run_id: str, created_at, k: int = TO
     return wide.select(
         F.concat(F.lit(f"{run_id}_segment_"), F.col("age_group")).alias("row_key"),
         "age_group", F.lit("demographic").alias("segment_type"),
-        F.lit(created_at).cast("timestamp_ntz").alias("created_at"),
+        ntz_lit(created_at).alias("created_at"),
         *[f"rank_{i}_{f}" for i in range(1, k + 1) for f in WIDE_FIELDS])
 
 

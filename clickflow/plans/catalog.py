@@ -452,9 +452,12 @@ def _archive(spark, sf) -> str:
     if key not in _RUNS:
         path = scratch_path(spark, "archive")
         msgs = spark.read.parquet(_messages(spark, sf))
-        b = msgs.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-        start = b["lo"].replace(minute=0, second=0, microsecond=0)
-        end = b["hi"].replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1)
+        # two scalars (epoch ms of the first and last message) bound the hours
+        b = msgs.agg(F.min(F.unix_millis("timestamp")).alias("lo"),
+                     F.max(F.unix_millis("timestamp")).alias("hi")).first()
+        hour_ms = 3600 * 1000
+        start = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=b["lo"] // hour_ms * hour_ms)
+        end = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=(b["hi"] // hour_ms + 1) * hour_ms)
         ar.archive_hours(msgs, start, end, path)
         _RUNS[key] = path
     return _RUNS[key]

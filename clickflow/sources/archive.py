@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.functions.timefns import partition_date_range
+from clickflow.functions.timefns import partition_date_range, utc_wall_clock
 from clickflow.sources.schemas import ARCHIVE_PARTITIONS
 from clickflow.sources.streams import decode_archived
 
@@ -27,8 +27,9 @@ def _ms(t: dt.datetime) -> int:
 
 
 def with_archive_partitions(rows: DataFrame, ms_col: str = "kafka_timestamp") -> DataFrame:
-    """year/month/day/hour (zero-padded strings) from the broker time."""
-    ts = F.timestamp_millis(F.col(ms_col)).cast("timestamp_ntz")
+    """year/month/day/hour (zero-padded strings) of the broker time in UTC
+    (independent of the session time zone)."""
+    ts = utc_wall_clock(F.col(ms_col))
     return rows.select("*",
                        F.year(ts).cast("string").alias("year"),
                        F.lpad(F.month(ts).cast("string"), 2, "0").alias("month"),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickflow.functions.timefns import parse_time
+from clickflow.functions.timefns import parse_time, wall_clock_as_utc_instant
 from clickflow.sources.schemas import ARCHIVED_EVENT, EVENT_MESSAGE
 
 TOPIC = "user-events"
@@ -85,8 +85,10 @@ def decode_archived(messages: DataFrame) -> DataFrame:
 
 def with_event_timestamp(events: DataFrame, col: str = "event_time",
                          out: str = "event_timestamp") -> DataFrame:
-    """Parsed event time as TIMESTAMP (watermarks need a zoned timestamp;
-    the session time zone should be UTC)."""
+    """Parsed event time as TIMESTAMP (watermarks need a zoned timestamp).
+    The cast uses the session zone and the sink casts window bounds back to
+    wall-clock NTZ, so stored windows are the same in any session zone with
+    whole-minute offsets."""
     return events.withColumn(out, parse_time(F.col(col)).cast("timestamp"))
 
 
@@ -97,8 +99,8 @@ def _time_str(c: Column) -> Column:
 def to_messages(events: DataFrame, broker_time: str | None = "event_time") -> DataFrame:
     """Commerce events -> keyed JSON messages (``key``, ``value``,
     ``timestamp``): key = user id as string (NULL when no user); value = the
-    event message; timestamp = broker time (defaults to the event time, i.e.
-    a replay paced at event time)."""
+    event message; timestamp = broker time (defaults to the event time read
+    as UTC, i.e. a replay paced at event time, whatever the session zone)."""
     et = F.col("event_time")
     body = F.struct(
         _time_str(et).alias("event_time"), F.col("event_type"),
@@ -107,7 +109,7 @@ def to_messages(events: DataFrame, broker_time: str | None = "event_time") -> Da
         F.col("user_id"), F.lit(None).cast("string").alias("user_session"),
         _time_str(et).alias("original_time"), _time_str(et).alias("mapped_time"),
         F.lit(None).cast("string").alias("processing_time"))
-    ts = F.col(broker_time).cast("timestamp") if broker_time else F.current_timestamp()
+    ts = wall_clock_as_utc_instant(F.col(broker_time)) if broker_time else F.current_timestamp()
     return events.select(F.col("user_id").cast("string").alias("key"),
                          F.to_json(body).alias("value"),
                          ts.alias("timestamp"),
