@@ -140,3 +140,13 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> None:
         spark.streams.awaitAnyTermination()
     else:
         spark.streams.awaitAnyTermination(timeout)
+
+
+def stop_metrics(queries: list[StreamingQuery], drain: bool = True) -> None:
+    """Graceful stop: optionally process what is already available, then stop
+    each query. Progress is in each query's checkpoint, so a restart with the
+    same checkpoint root continues where this stopped."""
+    for q in queries:
+        if q.isActive and drain:
+            q.processAllAvailable()
+        q.stop()

@@ -135,3 +135,22 @@ def test_log_slice_half_open(spark, scratch):
     start = int(dt.datetime(2024, 1, 1, 10, tzinfo=dt.timezone.utc).timestamp() * 1000)
     got = st.log_slice(spark, start, start + 3600 * 1000, fmt="parquet", path=path)
     assert sorted(r.timestamp.minute for r in got.collect()) == [0, 59]
+
+
+def test_live_queries_drain_stop_and_restart(spark, scratch):
+    src = scratch + "/in"
+    _write_batch(spark, src, [(_msg("2024-01-01 10:20:00", "view", 1), "2024-01-01 10:20:00")])
+    store = VersionLog(spark, scratch + "/store")
+    ck = scratch + "/ck"
+    qs = live.start_metrics(st.event_stream(spark, fmt="parquet", path=src), store, ck,
+                            metrics=("event",), topk=None, trigger={"processingTime": "1 second"})
+    live.stop_metrics(qs)
+    assert not any(q.isActive for q in qs)
+    assert store.latest("event").count() == 5
+    # restart from the same checkpoint: only the new file is processed
+    _write_batch(spark, src, [(_msg("2024-01-01 10:20:30", "view", 2), "2024-01-01 10:20:30")])
+    qs = live.start_metrics(st.event_stream(spark, fmt="parquet", path=src), store, ck,
+                            metrics=("event",), topk=None, trigger={"processingTime": "1 second"})
+    live.stop_metrics(qs)
+    counts = {r.window_start: r.event_count for r in store.latest("event").collect()}
+    assert counts[ts("2024-01-01 10:20:00")] == 2 and len(counts) == 5
