@@ -10,7 +10,9 @@ Structured Streaming:
   window boundary is a whole minute, so the minute bucket decides window
   membership — and only those partial rows are expanded into their five
   windows. That cuts the 5x expansion to distinct (minute, key) rows and
-  lets a hot key combine map-side. Distinct users are exact.
+  lets a hot key combine map-side. Distinct users are exact. Results are
+  grouped by ``window_start``, so per-window tables are co-partitioned for
+  the joins and rankings that follow.
 
 Output columns are the same in both modes (``window_start``, ``window_end``
 + metric columns).
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 
 # Window length, slide, watermark delay, top-list length.
 WINDOW = "5 minutes"
+WINDOW_MINUTES = 5
 SLIDE = "1 minute"
 WATERMARK = "10 minutes"
 TOP_K = 10
@@ -36,6 +39,16 @@ def _bounds() -> list[Column]:
     return [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
 
 
+def _by_window_start(pm: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
+    """Batch form: fan the per-minute rows out to their windows and group by
+    ``window_start`` (not the window struct), so every per-window result is
+    hash-partitioned on the column it is joined and ranked on."""
+    fanned = pm.select("*", _win(F.col("minute")))
+    g = fanned.groupBy(F.col("window.start").alias("window_start"), *keys).agg(*aggs)
+    return g.withColumn("window_end", F.col("window_start")
+                        + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(WINDOW_MINUTES)))
+
+
 def _minute(ts: str) -> Column:
     return F.date_trunc("minute", F.col(ts)).cast("timestamp_ntz").alias("minute")
 
@@ -52,9 +65,9 @@ def active_users(events: DataFrame, ts: str = "event_time", mode: str = "batch")
             F.count(F.lit(1)).alias("total_events"))
     else:
         pm = events.groupBy(_minute(ts), "user_id").agg(F.count(F.lit(1)).alias("n"))
-        g = pm.groupBy(_win(F.col("minute"))).agg(
-            F.count_distinct("user_id").alias("active_users"),
-            F.sum("n").alias("total_events"))
+        g = _by_window_start(pm, [], F.count_distinct("user_id").alias("active_users"),
+                             F.sum("n").alias("total_events"))
+        return g.select("window_start", "window_end", "active_users", "total_events")
     return g.select(*_bounds(), "active_users", "total_events")
 
 
@@ -73,8 +86,8 @@ def product_views(events: DataFrame, ts: str = "event_time", mode: str = "batch"
     else:
         pm = views.groupBy(_minute(ts), *keys).agg(
             F.count(F.lit(1)).alias("n"), F.sum("price").alias("sp"), F.count("price").alias("cp"))
-        g = pm.groupBy(_win(F.col("minute")), *keys).agg(
-            F.sum("n").alias("view_count"), _avg("sp", "cp").alias("avg_price"))
+        g = _by_window_start(pm, keys, F.sum("n").alias("view_count"), _avg("sp", "cp").alias("avg_price"))
+        return g.select("window_start", "window_end", *keys, "view_count", "avg_price")
     return g.select(*_bounds(), *keys, "view_count", "avg_price")
 
 
@@ -91,11 +104,12 @@ def purchases(events: DataFrame, ts: str = "event_time", mode: str = "batch") ->
     else:
         pm = p.groupBy(_minute(ts), "user_id").agg(
             F.count(F.lit(1)).alias("n"), F.sum("price").alias("sp"), F.count("price").alias("cp"))
-        g = pm.groupBy(_win(F.col("minute"))).agg(
-            F.sum("n").alias("purchase_count"),
-            F.sum("sp").cast("double").alias("total_revenue"),
-            _avg("sp", "cp").alias("avg_basket_value"),
-            F.count_distinct("user_id").alias("purchasing_users"))
+        g = _by_window_start(pm, [], F.sum("n").alias("purchase_count"),
+                             F.sum("sp").cast("double").alias("total_revenue"),
+                             _avg("sp", "cp").alias("avg_basket_value"),
+                             F.count_distinct("user_id").alias("purchasing_users"))
+        return g.select("window_start", "window_end", "purchase_count", "total_revenue",
+                        "avg_basket_value", "purchasing_users")
     return g.select(*_bounds(), "purchase_count", "total_revenue", "avg_basket_value",
                     "purchasing_users")
 
@@ -106,7 +120,8 @@ def event_distribution(events: DataFrame, ts: str = "event_time", mode: str = "b
         g = events.groupBy(_win(F.col(ts)), "event_type").agg(F.count(F.lit(1)).alias("event_count"))
     else:
         pm = events.groupBy(_minute(ts), "event_type").agg(F.count(F.lit(1)).alias("n"))
-        g = pm.groupBy(_win(F.col("minute")), "event_type").agg(F.sum("n").alias("event_count"))
+        g = _by_window_start(pm, ["event_type"], F.sum("n").alias("event_count"))
+        return g.select("window_start", "window_end", "event_type", "event_count")
     return g.select(*_bounds(), "event_type", "event_count")
 
 
@@ -121,8 +136,9 @@ def brand_activity(events: DataFrame, ts: str = "event_time", mode: str = "batch
     else:
         pm = b.groupBy(_minute(ts), *keys).agg(F.count(F.lit(1)).alias("n"),
                                                F.sum("price").alias("sv"))
-        g = pm.groupBy(_win(F.col("minute")), *keys).agg(
-            F.sum("n").alias("event_count"), F.sum("sv").cast("double").alias("total_value"))
+        g = _by_window_start(pm, keys, F.sum("n").alias("event_count"),
+                             F.sum("sv").cast("double").alias("total_value"))
+        return g.select("window_start", "window_end", *keys, "event_count", "total_value")
     return g.select(*_bounds(), *keys, "event_count", "total_value")
 
 
