@@ -102,11 +102,16 @@ def key_label(key: Column) -> Column:
 
 
 def window_keys(spark, start: str, end: str, minutes: int = 5) -> DataFrame:
-    """All keys from start to end inclusive every ``minutes`` (one row each)."""
-    seq = F.sequence(F.to_timestamp_ntz(F.lit(start), F.lit(WINDOW_KEY_FORMAT)),
-                     F.to_timestamp_ntz(F.lit(end), F.lit(WINDOW_KEY_FORMAT)),
-                     F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes)))
-    return (spark.range(1).select(F.explode(seq).alias("window_start"))
+    """All keys from start to end inclusive every ``minutes`` (one row each).
+
+    Generated by a distributed range (the key count follows from the two
+    parameters), not by exploding one row, so a long range is not built in
+    a single task."""
+    t0 = dt.datetime.strptime(start, "%Y%m%d_%H%M")
+    t1 = dt.datetime.strptime(end, "%Y%m%d_%H%M")
+    n = int((t1 - t0).total_seconds() // (60 * minutes)) + 1 if t1 >= t0 else 0
+    ws = ntz_lit(t0) + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id") * F.lit(minutes))
+    return (spark.range(n).select(ws.alias("window_start"))
             .select(window_key(F.col("window_start")).alias("window_key"), "window_start"))
 
 
