@@ -300,16 +300,17 @@ def window_summaries(events: DataFrame) -> DataFrame:
     """Every metric of each window in one row: users, events, purchases,
     events by type, top brand and product (rank 1 of the per-window lists),
     distinct brands in the brand top list and stage ratios."""
-    au = sl.active_users(events)
-    pu = sl.purchases(events).drop("window_end")
-    ed = (sl.event_distribution(events).groupBy("window_start").agg(
+    m = sl.batch_metrics(events)        # one scan of the events for all five metrics
+    au = m["active_users"]
+    pu = m["purchase"].drop("window_end")
+    ed = (m["event"].groupBy("window_start").agg(
         *[F.sum(F.when(F.col("event_type") == s, F.col("event_count"))).alias(f"{s}_events")
           for s in ("view", "cart", "purchase")]))
-    tb = sl.top_brands(events)
+    tb = sl.top_brands(events, brands=m["brand"])
     tbs = tb.groupBy("window_start").agg(
         F.count_distinct("brand").alias("top_list_brands"),
         F.min_by(F.struct("brand", "event_type", "event_count"), "rank").alias("tb"))
-    tp = sl.top_products(events).filter(F.col("rank") == 1).select(
+    tp = sl.top_products(events, views=m["product_views"]).filter(F.col("rank") == 1).select(
         "window_start", F.col("product_id").alias("top_product_id"),
         F.col("view_count").alias("top_product_views"))
     s = (au.join(pu, "window_start", "left").join(ed, "window_start", "left")

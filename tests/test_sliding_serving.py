@@ -83,3 +83,21 @@ def test_version_log_compaction(spark, scratch):
     assert kept == [2, 3]
     assert compacted.latest("active_users").collect()[0].active_users == 3
     assert store.read("active_users").count() == 4          # source untouched
+
+
+def test_one_pass_metrics_equal_single_metrics(spark):
+    # nulls in every key, NULL prices, a NULL time, two events in one minute
+    rows = [(1, "2024-01-01 10:00:10", 1, "view", 1, "c", "b", 2.0),
+            (2, "2024-01-01 10:00:50", 1, "purchase", 1, "c", "b", 3.5),
+            (3, "2024-01-01 10:02:00", None, "view", None, None, None, None),
+            (4, "2024-01-01 10:03:00", 2, "cart", 2, None, "b", 1.0),
+            (5, "2024-01-01 10:04:59", 2, "purchase", 2, "d", None, None),
+            (6, None, 3, "view", 3, "c", "b", 1.0)]
+    ev = make_events(spark, rows)
+    one = sl.batch_metrics(ev)
+    single = {"active_users": sl.active_users(ev), "purchase": sl.purchases(ev),
+              "product_views": sl.product_views(ev), "event": sl.event_distribution(ev),
+              "brand": sl.brand_activity(ev)}
+    for k, df in single.items():
+        assert one[k].schema == df.schema, k
+        assert sorted(map(repr, one[k].collect())) == sorted(map(repr, df.collect())), k
