@@ -92,3 +92,11 @@ def test_sized_broadcast_cap_and_fallback(spark):
     ev = events_from_tables(t.raw("events"), t.raw("part"))
     p = spark._jvm.PythonSQLUtils.explainString(ev._jdf.queryExecution(), "formatted")
     assert "BroadcastHashJoin" in p
+
+
+def test_window_summary_reads_events_once(spark):
+    # the five metrics finish from one checkpointed partial: no file scan is
+    # left in the summary's plan, and at most two exchanges per metric remain
+    p = plan(spark, "window_summary")
+    assert "Scan parquet" not in p
+    assert len(exchanges(p)) <= 10
