@@ -214,8 +214,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, train_chars: int = TRAI
     return Model(samples, alphabet, train_chars)
 
 
-def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """``keep`` columns, lang_pred and score of every row of ``docs`` (text)."""
+def predict(docs: DataFrame, model: Model, *keep: str, text: str = "text") -> DataFrame:
+    """``keep`` columns, lang_pred and score of every row of ``docs``, from the column ``text`` alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by languages * train_chars
 
     def run(batches):
@@ -231,7 +231,7 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
                 [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 [*batch.schema.names[:-1], "lang_pred", "score"])
 
-    src = docs.select(*keep, F.col("text").cast("string").alias("__text"))
+    src = docs.select(*keep, F.col(text).cast("string").alias("__text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]),
                         "lang_pred STRING", "score DOUBLE"])
     return src.mapInArrow(run, schema)
