@@ -98,10 +98,15 @@ def span_hashes(buf: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndar
     """64-bit hashes of the non-empty byte spans [first, first + size) of ``buf``."""
     if not len(first):
         return np.zeros(0, np.uint64)
-    at = np.concatenate(([0], np.cumsum(size)))
-    inside = np.arange(at[-1]) - np.repeat(at[:-1], size)
-    bytes_ = buf[inside + np.repeat(first, size)].astype(np.uint64) + np.uint64(1)
-    sums = np.add.reduceat(bytes_ * _powers(int(size.max()))[inside], at[:-1])
+    ends = np.cumsum(size)
+    at, total = ends - size, int(ends[-1])
+    short = np.int32 if total < 1 << 31 else np.int64
+    inside = np.arange(total, dtype=short) - np.repeat(at.astype(short), size)
+    if total != len(buf):  # else the spans follow one another
+        buf = buf[inside + np.repeat(first.astype(short if len(buf) < 1 << 31 else np.int64), size)]
+    scaled = _powers(int(size.max()))[inside]
+    scaled *= buf + np.uint64(1)
+    sums = np.add.reduceat(scaled, at)
     return mix(sums ^ (size.astype(np.uint64) * _K))
 
 

@@ -17,6 +17,9 @@ import numpy as np
 
 from .common import chunks, span_hashes
 
+#: Bytes of text by pass.
+PASS_BYTES = 1 << 20
+
 #: Slots of the piece cache; its id pool starts anew beyond POOL ids.
 SLOT_BITS, POOL = 22, 12_000_000
 
@@ -47,9 +50,7 @@ class Encoder:
         self.bytes = np.zeros(self.lib.get_vocab_size(), np.int64)
         for token, i in self.lib.get_vocab().items():  # byte-level: a character of a token is a byte
             self.bytes[i] = len(token)
-        self.tag = np.zeros(1 << SLOT_BITS, np.uint64)
-        self.first = np.zeros(1 << SLOT_BITS, np.int32)
-        self.count = np.zeros(1 << SLOT_BITS, np.int32)
+        self.slots = np.zeros((1 << SLOT_BITS, 2), np.uint64)  # hash; place in the pool << 16 | ids
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
         self.before, self.after = _solid(), _solid()
@@ -107,13 +108,16 @@ class Encoder:
         h = span_hashes(buf, first, size)
         slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         h |= np.uint64(1)
-        miss = np.flatnonzero(self.tag[slot] != h)
+        held = self.slots[slot]
+        miss = np.flatnonzero(held[:, 0] != h)
+        length = (held[:, 1] & np.uint64(0xFFFF)).astype(np.int32)
+        begin = (held[:, 1] >> np.uint64(16)).astype(np.int32)
         if len(miss):
             _, one, back = np.unique(h[miss], return_index=True, return_inverse=True)
             at = miss[one]
             flat, where, count = self._encode(buf, first[at], size[at], inner[at])
             if self.used + len(flat) > POOL and self.used:
-                self.tag[:] = 0
+                self.slots[:] = 0
                 self.used = 0
                 return self._chunk(buf, off)
             if self.used + len(flat) > len(self.pool):
@@ -123,21 +127,21 @@ class Encoder:
             where += self.used
             self.pool[self.used: self.used + len(flat)] = flat
             self.used += len(flat)
-            begin, length = self.first[slot].astype(np.int64), self.count[slot].astype(np.int64)
             begin[miss], length[miss] = where[back], count[back]
-            self.tag[slot[at]], self.first[slot[at]], self.count[slot[at]] = h[at], where, count
-        else:
-            begin, length = self.first[slot].astype(np.int64), self.count[slot].astype(np.int64)
+            keep = count < 1 << 16
+            at, where, count = at[keep], where[keep], count[keep]
+            self.slots[slot[at], 0] = h[at]
+            self.slots[slot[at], 1] = (where << 16 | count).astype(np.uint64)
         ends = np.cumsum(length)
         total = int(ends[-1])
-        ids = self.pool[np.arange(total) + np.repeat(begin - (ends - length), length)]
+        ids = self.pool[np.arange(total, dtype=np.int32) + np.repeat(begin - (ends - length).astype(np.int32), length)]
         row = np.searchsorted(off, first, "right") - 1
         per_row = np.bincount(row, length, minlength=len(off) - 1).astype(np.int64)
         return ids, per_row
 
     def ids(self, buf, off):
         parts, counts = [], []
-        for a, b in chunks(off):
+        for a, b in chunks(off, PASS_BYTES):
             ids, n = self._chunk(buf[off[a]: off[b]], off[a: b + 1] - off[a])
             parts.append(ids)
             counts.append(n)
