@@ -9,9 +9,10 @@ or within one stretch of text meet in a template, and templates are keys: leaves
 are counted, never gathered.
 
 A template recurs if unrelated documents have it: ``min_docs`` distinct document
-signatures at least, plus a tenth of the number of documents it stands in. A
-signature is the smallest word hash of a document, which copies and near copies
-share nearly always; so the lines of a text that was merely copied a thousand
+signatures at least, plus a fifth of the number of documents it stands in. A
+signature is the smallest word-pair hash of a document, which copies and near
+copies share nearly always, as do documents that consist of little else than the
+same lines; so the lines of a text that was merely copied a thousand
 times don't count as templates (near-dedup's business), while a notice in a
 thousand different texts does. Lines of recurring templates are dropped from every
 document; lines of fewer than ``min_tokens`` tokens are left alone.
@@ -28,9 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, mix, utf8, words, written
+from .common import chunks, mix, shingles, utf8, words, written
 
-LEAD, MIN_GENERAL, MIN_TOKENS, MIN_DOCS, PARTS = 2, 8, 3, 20, 3
+LEAD, MIN_GENERAL, MIN_TOKENS, MIN_DOCS, OWN_SHARE, PARTS = 2, 8, 3, 20, 0.2, 3
 
 _DIGIT = np.zeros(256, np.uint8)
 _DIGIT[0x30:0x3A] = 1
@@ -47,8 +48,9 @@ def templates(buf: np.ndarray, off: np.ndarray, lead: int = LEAD, min_general: i
         z = np.zeros(0, np.int64)
         return z, z, z, np.zeros(n_rows, np.int64)
     sig = np.full(n_rows, np.iinfo(np.uint64).max, np.uint64)
-    begin = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-    sig[row[begin]] = np.minimum.reduceat(h, begin)
+    r, pairs = shingles(row, h, n_rows, 2)
+    begin = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
+    sig[r[begin]] = np.minimum.reduceat(pairs, begin)
     digits = np.concatenate(([0], np.cumsum(_DIGIT[buf])))
     h = np.where(digits[first + size] > digits[first], _FIELD, h)
     breaks = np.flatnonzero(buf == 10)
@@ -107,7 +109,7 @@ def recurring(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     docs = lines.join(often, "key").groupBy("key", "sig", "rid").agg(F.lit(1).alias("one"))
     sigs = docs.groupBy("key", "sig").agg(F.count("*").alias("n"))
     both = sigs.groupBy("key").agg(F.count("*").alias("sigs"), F.sum("n").alias("docs"))
-    return both.where(F.col("sigs") >= min_docs + 0.1 * F.col("docs")).select("key")
+    return both.where(F.col("sigs") >= min_docs + OWN_SHARE * F.col("docs")).select("key")
 
 
 def drop_templates(docs: DataFrame, min_docs: int = MIN_DOCS, **options) -> DataFrame:

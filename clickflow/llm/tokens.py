@@ -53,7 +53,9 @@ class Encoder:
         self.slots = np.zeros((1 << SLOT_BITS, 2), np.uint64)  # hash; place in the pool << 16 | ids
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
-        self.before, self.after = _solid(), _solid()
+        self.after = _solid()
+        if hasattr(self.lib.model, "_resize_cache"):
+            self.lib.model._resize_cache(0)  # each piece comes once
 
     def _pieces(self, buf, off):
         space = buf == 0x20
