@@ -10,14 +10,18 @@ the same set are one class, and all further work is on classes.
    one of each one's ``k - least_shared + 1`` rarest. Only those are indexed: a
    passage that stands in many unlike documents gives long lists that no one
    enters unless most of its sketch consists of such values.
-2. Pairs from the lists, never all pairs of a list at once: first each member
-   with the list's most central member (the one whose values are shared most),
-   then, where a list still holds several components, with the most central
-   member of the second component, then the pairs that still join different
-   components. Connected members need no further pairs, as only components count.
+2. Pairs from the lists. Each member is paired with its list's centre, the member
+   whose values are shared most: a number of pairs in proportion to the lists'
+   length, which joins the members of a group of copies to few components.
 3. The k smallest values of the union of both sketches estimate the similarity;
    pairs five standard deviations below the threshold are dropped.
 4. The rest is verified on full sets, recomputed from the whole texts.
+5. Members that belong to other components than their list's centre may still be
+   linked with one another. They (not the members joined to the centre among
+   themselves) are compared with all members of the centre's group, and members
+   unlike the centre with their list, in blocks of ``BLOCK`` full sets: a block
+   pair is one matrix product of set incidences, and returns no more links than it
+   has components to join. No row is made for a pair of members.
 
 Defined results: a null, empty or wordless text has n_shingles 0 and is linked
 with nothing; a row without doc_id is linked with nothing (component_id null,
@@ -36,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 from .common import chunks, lists, mix, shingles, utf8, words, written
 from .graph import components
 
-K, WIDTH, PERCENT = 32, 3, 85
+K, WIDTH, PERCENT, BLOCK = 32, 3, 85, 512
 
 
 def least_shared(m: int, t: float) -> int:
@@ -117,21 +121,92 @@ def _index(classes: DataFrame, k: int, t: float) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, t: float, percent: int) -> DataFrame:
-    """The pairs a, b (with sizes na, nb) that are linked."""
+    """set_id, o, linked, alike (their similarity) of the pairs (set_id, o, n, on) that the sketches let through."""
     sk = classes.select("set_id", "sketch")
-    p = (pairs.join(sk.select(F.col("set_id").alias("a"), F.col("sketch").alias("sa")), "a")
-         .join(sk.select(F.col("set_id").alias("b"), F.col("sketch").alias("sb")), "b"))
-    p = p.withColumn("u", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k))
+    p = (pairs.join(sk.withColumnRenamed("sketch", "sa"), "set_id")
+         .join(sk.select(F.col("set_id").alias("o"), F.col("sketch").alias("sb")), "o"))
+    p = p.withColumn("u", F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k))
     shared = F.size(F.array_intersect("u", F.array_intersect("sa", "sb")))
     m = F.size("u").cast("double")
-    p = p.where(shared >= t * m - 5 * F.sqrt(m * t * (1 - t))).select("a", "b", "na", "nb")
-    x = sets.select(F.col("set_id").alias("a"), F.col("values").alias("va"))
-    y = sets.select(F.col("set_id").alias("b"), F.col("values").alias("vb"))
+    p = p.where(shared >= t * m - 5 * F.sqrt(m * t * (1 - t))).select("set_id", "o", "n", "on")
+    x = sets.withColumnRenamed("values", "va")
+    y = sets.select(F.col("set_id").alias("o"), F.col("values").alias("vb"))
     both = F.size(F.array_intersect("va", "vb"))
     # the second join has the lists' hot centres as its key: adaptive execution splits them
-    return (p.join(x, "a").join(y, "b").select("a", "b", "na", "nb", both.alias("i"))
-            .where(100 * F.col("i") >= percent * (F.col("na") + F.col("nb") - F.col("i")))
-            .select("a", "b"))
+    p = p.join(x, "set_id").join(y, "o").select("set_id", "o", "n", "on", both.alias("i"))
+    union = F.col("n") + F.col("on") - F.col("i")
+    return p.select("set_id", "o", (100 * F.col("i") >= percent * union).alias("linked"), (F.col("i") / union).alias("alike"))
+
+
+def block_links(left: list, right: list, c_left: np.ndarray, c_right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """(index in left, index in right) of links between sets of different components, as many as join
+    all components that the block pair's links join."""
+    n_left, n_right = len(left), len(right)
+    size = np.array([len(x) for x in (*left, *right)])
+    owner = np.repeat(np.arange(n_left + n_right), size)
+    _, element, count = np.unique(np.concatenate((*left, *right)), return_inverse=True, return_counts=True)
+    both = np.zeros((n_left, n_right), np.float32)
+    often = count > 16
+    column = np.cumsum(often) - 1
+    hot = often[element]
+    order = np.argsort(element[hot], kind="stable")
+    h_owner, h_col = owner[hot][order], column[element[hot]][order]
+    for lo in range(0, int(often.sum()), 2048):  # elements of many sets: incidence matrices
+        a, b = np.searchsorted(h_col, (lo, lo + 2048))
+        m = np.zeros((n_left + n_right, 2048), np.float32)
+        m[h_owner[a:b], h_col[a:b] - lo] = 1
+        both += m[:n_left] @ m[n_left:].T
+    order = np.argsort(element[~hot], kind="stable")
+    e, o = element[~hot][order], owner[~hot][order]  # of few sets: the places next to each other
+    for lag in range(1, 16):
+        same = np.flatnonzero(e[lag:] == e[:-lag]) if len(e) > lag else ()
+        if not len(same):
+            break
+        x, y = np.minimum(o[same], o[same + lag]), np.maximum(o[same], o[same + lag])
+        cross = (x < n_left) & (y >= n_left)
+        np.add.at(both, (x[cross], y[cross] - n_left), 1)
+    links = 100 * both >= percent * (size[:n_left, None] + size[None, n_left:] - both)
+    links &= c_left[:, None] != c_right[None, :]
+    root: dict[int, int] = {}
+
+    def find(c):
+        while root.get(c, c) != c:
+            c = root[c]
+        return c
+
+    out = []
+    for i in np.flatnonzero(links.any(1)).tolist():
+        at = np.flatnonzero(links[i])
+        for c, first in zip(*(z.tolist() for z in np.unique(c_right[at], return_index=True))):
+            x, y = find(int(c_left[i])), find(c)
+            if x != y:
+                root[x] = y
+                out.append((i, int(at[first])))
+    return out
+
+
+def _grouped_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """set_id, o of links inside the groups of ``members`` (g, set_id, c, oc) that join components: sets of
+    other components than the centre's (oc) against all sets of the group."""
+    def compare(pdf):
+        import pandas as pd
+        side = pdf["side"].to_numpy() == 0
+        a, b = pdf[side], pdf[~side]
+        found = block_links(list(a["values"]), list(b["values"]), a["c"].to_numpy(), b["c"].to_numpy(), percent) if len(
+            a) and len(b) else []
+        ids_a, ids_b = a["set_id"].to_numpy(), b["set_id"].to_numpy()
+        return pd.DataFrame({"set_id": [ids_a[i] for i, _ in found], "o": [ids_b[j] for _, j in found]}, dtype="int64")
+
+    counts = (members.groupBy("g").agg(F.sum((F.col("c") != F.col("oc")).cast("long")).alias("nl"),
+                                       F.count("*").alias("nr")).where("nl > 0")
+              .select("g", F.ceil(F.col("nl") / BLOCK).cast("int").alias("bl"), F.ceil(F.col("nr") / BLOCK).cast("int").alias("br")))
+    m = members.join(counts, "g").withColumn("h", F.xxhash64("set_id"))
+    left = m.where("c <> oc").select("g", F.expr("pmod(h, bl)").cast("int").alias("i"), F.explode(
+        F.sequence(F.lit(0), F.col("br") - 1)).alias("j"), F.lit(0).alias("side"), "set_id", "c")
+    right = m.select("g", F.explode(F.sequence(F.lit(0), F.col("bl") - 1)).alias("i"),
+                     F.expr("pmod(h, br)").cast("int").alias("j"), F.lit(1).alias("side"), "set_id", "c")
+    return (left.union(right).join(sets, "set_id").groupBy("g", "i", "j")
+            .applyInPandas(compare, "set_id BIGINT, o BIGINT"))
 
 
 def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = K) -> DataFrame:
@@ -144,43 +219,25 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = K
     listed = classes.join(index.select("set_id").distinct(), "set_id", "left_semi")
     sets = written(full_sets(docs, listed.select("set_id", "doc_id"), width), "sets")
 
-    def near(na, nb):
-        return (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
-
-    def pairs_of(df):
-        a, b = F.least("set_id", "o.set_id"), F.greatest("set_id", "o.set_id")
-        flip = F.col("set_id") < F.col("o.set_id")
-        return (df.where((F.col("set_id") != F.col("o.set_id")) & near(F.col("n"), F.col("o.n")))
-                .select(a.alias("a"), b.alias("b"), F.when(flip, F.col("n")).otherwise(F.col("o.n")).alias("na"),
-                        F.when(flip, F.col("o.n")).otherwise(F.col("n")).alias("nb")).distinct())
-
-    def centre(cond=None):
-        me = F.struct("set_id", "n", "c")
-        rank = F.struct("score", "set_id")
-        return F.max_by(me if cond is None else F.when(cond, me), rank if cond is None else F.when(cond, rank))
-
-    members = index.withColumn("c", F.col("set_id"))
-    first = members.groupBy("v").agg(centre().alias("o"))
-    tested = written(pairs_of(members.join(first, "v")), "pairs")
-    edges = written(_verified(tested, classes, sets, k, t, percent), "links")
-    for stage in ("second", "rest"):
-        labels = components(edges)
-        members = index.join(labels.withColumnRenamed("v", "set_id"), "set_id", "left").withColumn(
-            "c", F.coalesce("c", "set_id"))
-        mixed = members.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("v")
-        members = written(members.join(mixed, "v"), "mixed")
-        if members.isEmpty():
-            break
-        if stage == "second":
-            first = members.groupBy("v").agg(centre().alias("f"))
-            others = members.join(first, "v").groupBy("v").agg(centre(F.col("c") != F.col("f.c")).alias("o"))
-            found = members.join(others, "v").where("c <> o.c")
-        else:
-            other = members.select("v", F.struct("set_id", "n", "c").alias("o"))
-            found = members.join(other, "v").where("c < o.c")
-        new = written(pairs_of(found).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        more = written(_verified(new, classes, sets, k, t, percent), "links")
-        tested, edges = tested.union(new), edges.union(more)
+    best = F.max_by(F.struct("set_id", "n"), F.struct("score", "set_id")).alias("f")
+    centres = index.groupBy("v").agg(best).select("v", F.col("f.set_id").alias("o"), F.col("f.n").alias("on"))
+    stars = written(index.join(centres, "v").where("set_id <> o").select("v", "set_id", "n", "o", "on"), "stars")
+    sizes = 100 * F.least("n", "on") >= percent * F.greatest("n", "on")
+    pairs = written(stars.where(sizes).select("set_id", "o", "n", "on").distinct(), "pairs")
+    first = written(_verified(pairs, classes, sets, k, t, percent), "links")
+    edges = first.where("linked").select(F.col("set_id").alias("a"), F.col("o").alias("b"))
+    labels = components(edges)
+    # one group per centre of the sets like it, one per list of those that aren't (distances being a metric, a set
+    # a fifth below the threshold can be linked with them, a closer one hardly)
+    unlike = stars.join(first.where(F.col("alike") >= t - 0.15), ["set_id", "o"], "left_anti")
+    groups = first.select(F.xxhash64(F.lit("o"), "o").alias("g"), "set_id", "o").union(
+        unlike.select(F.xxhash64(F.lit("v"), "v").alias("g"), "set_id", "o"))
+    of = labels.select(F.col("v").alias("set_id"), "c")
+    groups = (groups.join(of, "set_id", "left").withColumn("c", F.coalesce("c", "set_id"))
+              .join(of.select(F.col("set_id").alias("o"), F.col("c").alias("oc")), "o", "left")
+              .select("g", "set_id", "c", F.coalesce("oc", "o").alias("oc")))
+    more = written(_grouped_links(written(groups, "groups"), sets, percent), "more")
+    edges = edges.union(more.select(F.col("set_id").alias("a"), F.col("o").alias("b")))
     labels = components(edges)
     of_class = classes.select("set_id", "doc_id").join(labels.withColumnRenamed("v", "set_id"), "set_id", "left")
     of_class = of_class.withColumn("c", F.coalesce("c", "set_id"))
