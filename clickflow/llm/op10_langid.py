@@ -52,7 +52,7 @@ def letters(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     if not _held:
         _held.append(_tables())
     low, letter = _held[0]
-    cp = np.frombuffer(buf.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64)
+    cp = np.frombuffer(buf.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int32)
     heads = np.concatenate(([0], np.cumsum((buf & 0xC0) != 0x80)))
     at = heads[off]
     small = np.minimum(cp, 0xFFFF)
@@ -223,7 +223,7 @@ def predict(docs: DataFrame, model: Model, *keep: str, text: str = "text") -> Da
         for batch in batches:
             buf, off = utf8(batch.column(batch.num_columns - 1))
             langs, scores = [], []
-            for a, b in chunks(off, 2 << 20):
+            for a, b in chunks(off):
                 x, y = m.predict(buf[off[a]: off[b]], off[a: b + 1] - off[a])
                 langs += x
                 scores += y
