@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from clickflow.functions.demographics import age_band_a, exact_age
 from clickflow.functions.ratios import guarded_ratio
-from clickflow.plans.joins import materialize, sized_broadcast
+from clickflow.plans.joins import materialize, one_per_user
 from clickflow.functions.timefns import ntz_lit
 
 # List sizes of the two serving writers.
@@ -46,7 +46,7 @@ def brand_age_metrics(events: DataFrame, users: DataFrame, as_of) -> DataFrame:
 
     Users are LEFT joined: events of unknown users stay and fall into 55+.
     """
-    ages = sized_broadcast(users.select("user_id", exact_age(F.col("birth_date"), as_of).alias("age")))
+    ages = one_per_user(users, "birth_date").select("user_id", exact_age(F.col("birth_date"), as_of).alias("age"))
     ub = user_brand_activity(events, revenue_default_zero=True)
     j = ub.join(ages, "user_id", "left").withColumn("age_group", age_band_a(F.col("age")))
     m = j.groupBy("brand", "age_group").agg(
@@ -79,10 +79,10 @@ def restrict_to_top_brands(metrics: DataFrame, n: int = TOP_BRANDS) -> DataFrame
     return metrics.join(top, "brand", "left_semi")
 
 
-def brand_records(metrics: DataFrame, run_id: str, created_at, n: int = TOP_BRANDS) -> DataFrame:
-    """Serving rows ``<run>_<brand>_<age_group>`` of the top-n brands;
-    revenue 2 places, conversion 4 places."""
-    return restrict_to_top_brands(metrics, n).select(
+def brand_records(metrics: DataFrame, run_id: str, created_at, n: int | None = TOP_BRANDS) -> DataFrame:
+    """Serving rows ``<run>_<brand>_<age_group>`` of the top-n brands (None: all,
+    as the reports read them); revenue 2 places, conversion 4 places."""
+    return (metrics.filter(F.col("brand").isNotNull()) if n is None else restrict_to_top_brands(metrics, n)).select(
         F.concat_ws("_", F.lit(run_id), F.col("brand"), F.col("age_group")).alias("row_key"),
         "brand", "age_group", "unique_users", "total_views", "total_purchases",
         F.round("total_revenue", 2).alias("total_revenue"),
@@ -93,7 +93,7 @@ def brand_records(metrics: DataFrame, run_id: str, created_at, n: int = TOP_BRAN
 def brand_age_event_counts(events: DataFrame, segments: DataFrame) -> DataFrame:
     """Events per (brand, age_group) for known users."""
     ub = user_brand_activity(events, revenue_default_zero=False)
-    j = ub.join(sized_broadcast(segments.select("user_id", "age_group")), "user_id", "inner")
+    j = ub.join(one_per_user(segments, "age_group"), "user_id", "inner")
     return j.groupBy("brand", "age_group").agg(F.sum("n_events").alias("events_count"))
 
 
@@ -106,7 +106,7 @@ def brand_user_metrics(events: DataFrame, segments: DataFrame) -> DataFrame:
     most events (ties: smaller label).
     """
     ub = user_brand_activity(events, revenue_default_zero=False)
-    j = ub.join(sized_broadcast(segments.select("user_id", "age_group")), "user_id", "inner")
+    j = ub.join(one_per_user(segments, "age_group"), "user_id", "inner")
     per_age = j.groupBy("brand", "age_group").agg(
         F.count(F.lit(1)).alias("users"),
         *[F.count(F.when(F.col(f"n_{s}") > 0, F.lit(1))).alias(f"users_{s}") for s in STAGES],

@@ -45,7 +45,7 @@ def lookback_distribution(events: DataFrame, as_of, hours: float = 24, ts: str =
 
 
 def recent_purchases(events: DataFrame, as_of, hours: float = 24, ts: str = "event_time") -> DataFrame:
-    """Purchases in the closed look-back window: count, first and last time."""
-    p = events.filter((F.col("event_type") == "purchase") & between_closed(F.col(ts), as_of, hours))
+    """Purchases since ``as_of - hours`` (no upper bound): count, first and last time."""
+    p = events.filter((F.col("event_type") == "purchase") & since(F.col(ts), as_of, hours=hours))
     return p.agg(F.count(F.lit(1)).alias("purchase_count"),
                  F.min(ts).alias("min_time"), F.max(ts).alias("max_time"))

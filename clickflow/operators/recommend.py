@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from clickflow.functions.clean import UNKNOWN_NAME
 from clickflow.functions.demographics import BAND_A_REST, BANDS_A, age_band_a, exact_age
-from clickflow.plans.joins import sized_broadcast
+from clickflow.plans.joins import one_per_user
 from clickflow.functions.timefns import ntz_lit
 
 # Score weights, list length and the constant region label.
@@ -60,7 +60,7 @@ def segment_activity_from(joined: DataFrame) -> DataFrame:
 
 def _joined(events: DataFrame, segments: DataFrame) -> DataFrame:
     return user_product_activity(events).join(
-        sized_broadcast(segments.select("user_id", "age_group")), "user_id", "inner")
+        one_per_user(segments, "age_group"), "user_id", "inner")
 
 
 def segment_activity(events: DataFrame, segments: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def recommend(events: DataFrame, segments: DataFrame, products: DataFrame,
     # is computed once; the compact catalogue projection is broadcast when its
     # estimated size is under the cap, else Spark shuffles the catalogue once
     # for a sort-merge join with the tiny list.
-    cat = sized_broadcast(products.select("product_id", "product_name", "category_name", "brand"))
+    cat = products.select("product_id", "product_name", "category_name", "brand")
     return top.join(cat, "product_id", "left").select(
         "age_group", "rank", "product_id", "views", "add_to_cart", "purchases",
         "total_revenue", "recommendation_score", "product_name", "category_name", "brand")

@@ -378,7 +378,7 @@ def rank_ctr(spark, sf):
 
 def _brand_records(spark, sf):
     t = Tables(spark, sf)
-    return br.brand_records(br.brand_age_metrics(t.events(), t.users(), AS_OF), RUN_ID, AS_OF)
+    return br.brand_records(br.brand_age_metrics(t.events(), t.users(), AS_OF), RUN_ID, AS_OF, n=None)
 
 
 @register("brand_rollup")

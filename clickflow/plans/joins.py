@@ -1,43 +1,15 @@
-"""Size-checked broadcast for dimension joins.
-
-A dimension side (catalogue, users) is broadcast only when the optimizer's
-size estimate of the *projected* side is under a cap; otherwise the join is
-left to Spark (sort-merge, with AQE's skew-join splitting of hot partitions).
-The estimate comes from the plan statistics (file sizes scaled to the columns
-read), so no job runs on the driver to decide.
-
-Cap: session conf ``clickflow.broadcast.maxBytes`` (default 256 MB). A
-broadcast of that size reaches every executor once (torrent broadcast); the
-fallback never loads a side into memory whole.
-"""
+"""Helpers for dimension joins and shared intermediates."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CONF_KEY = "clickflow.broadcast.maxBytes"
-DEFAULT_MAX_BYTES = 256 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of ``df`` (bytes); very large if unknown."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no estimate available: treat as too large to broadcast
-        return 1 << 62
-
-
-def max_broadcast_bytes(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get(CONF_KEY, None)
-    return int(v) if v else DEFAULT_MAX_BYTES
-
 
-def sized_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if its estimated size is at most ``max_bytes``,
-    else ``df`` unchanged (Spark then plans a shuffle join)."""
-    limit = max_bytes if max_bytes is not None else max_broadcast_bytes(df)
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+def one_per_user(users: DataFrame, *cols: str) -> DataFrame:
+    """One row per user_id with the smallest (NULLs aside) of ``cols``, so a user
+    listed twice is one user. Combined before the shuffle."""
+    return users.groupBy("user_id").agg(*[F.min(c).alias(c) for c in cols])
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -18,7 +18,6 @@ ev AS (
          CAST(e.value AS DECIMAL(18,2)) AS price
   FROM events e
   LEFT JOIN part p ON p.p_partkey = TRY_CAST(regexp_extract(e.props, '[0-9]+', 0) AS BIGINT)
-  WHERE e.event_type IN ('view', 'click', 'purchase')
 ),
 us AS (
   SELECT c_custkey AS user_id, c_name AS name,
@@ -307,7 +306,7 @@ SQL["events_lookback"] = with_adapter() + f"""SELECT event_type, count(*) AS eve
 FROM ev WHERE event_time >= {LOOKBACK_START} GROUP BY 1"""
 SQL["recent_purchases"] = with_adapter() + f"""SELECT count(*) AS purchase_count,
   min(event_time) AS min_time, max(event_time) AS max_time
-FROM ev WHERE event_type = 'purchase' AND event_time BETWEEN {LOOKBACK_START} AND {LOOKBACK_END}"""
+FROM ev WHERE event_type = 'purchase' AND event_time >= {LOOKBACK_START}"""
 
 # --- sliding windows ----------------------------------------------------------
 # Every 5-minute window sliding by 1 minute that holds an event starts at the
@@ -427,11 +426,11 @@ hb AS (
 FROM hb LEFT JOIN hc ON hb.bin = hc.bin"""
 
 BSNAP = f"""bsnap AS (
-  SELECT * FROM tbw WHERE {RW}
+  SELECT * FROM ba2 WHERE {RW}
   QUALIFY row_number() OVER (PARTITION BY brand, event_type ORDER BY window_start DESC) = 1
 )"""
-SQL["latest_snapshot"] = with_adapter(WIN, BA, TBW, BSNAP) + "SELECT * FROM bsnap"
-SQL["brand_totals_top3"] = with_adapter(WIN, BA, TBW, BSNAP) + """SELECT brand,
+SQL["latest_snapshot"] = with_adapter(WIN, BA, BSNAP) + "SELECT * FROM bsnap"
+SQL["brand_totals_top3"] = with_adapter(WIN, BA, BSNAP) + """SELECT brand,
   CAST(sum(event_count) AS BIGINT) AS event_count, round(sum(total_value), 2) AS total_value,
   round(round(sum(total_value), 2) / sum(event_count), 6) AS value_per_event
 FROM bsnap GROUP BY brand ORDER BY total_value DESC, brand LIMIT 3"""
@@ -453,8 +452,8 @@ SQL["purchase_totals"] = with_adapter(WIN, PU) + f"""SELECT count(*) AS windows,
 FROM pu WHERE {RW}"""
 SQL["purchase_series"] = with_adapter(WIN, PU) + f"SELECT * FROM pu WHERE {RW}"
 
-SQL["top_products_latest"] = with_adapter(WIN, PV, TPW, f"""psnap AS (
-  SELECT * FROM tpw WHERE {RW}
+SQL["top_products_latest"] = with_adapter(WIN, PV, f"""psnap AS (
+  SELECT * FROM pv WHERE {RW}
   QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY window_start DESC) = 1
 )""") + "SELECT * FROM psnap ORDER BY view_count DESC, product_id LIMIT 10"
 
@@ -499,8 +498,8 @@ SQL["view_to_cart_time"] = with_adapter(*FREC, """vt AS (
          CAST(sum(users_viewed) AS BIGINT) AS users_viewed,
          CAST(sum(users_added_to_cart) AS BIGINT) AS users_added_to_cart
   FROM rec WHERE type = 'brand' AND avg_view_to_cart_seconds > 0
-  GROUP BY name ORDER BY name LIMIT 20
-)""") + """SELECT * FROM vt WHERE (SELECT count(*) FROM vt) >= 3
+  GROUP BY name
+)""") + """SELECT * FROM vt
 ORDER BY avg_view_to_cart_seconds DESC, name LIMIT 10"""
 SQL["high_conversion_brands"] = with_adapter(*FREC, BF) + """SELECT * FROM bft
 WHERE users_viewed >= 20 ORDER BY v2c_rate DESC NULLS LAST, name LIMIT 5"""
@@ -553,10 +552,10 @@ SQL["rank_ctr"] = with_adapter(*WREC, RPT, """ct AS (
 FROM ct"""
 
 # brand records as a CTE
-BREC = [BAM.format(src="ev"), TOP100, """brec AS (
+BREC = [BAM.format(src="ev"), """brec AS (
   SELECT brand, age_group, unique_users, total_views, total_purchases,
          round(total_revenue, 2) AS total_revenue, round(overall_conversion_rate, 4) AS conversion_rate
-  FROM bm WHERE brand IN (SELECT brand FROM top)
+  FROM bm WHERE brand IS NOT NULL
 )""", """bro AS (
   SELECT brand, CAST(sum(total_views) AS BIGINT) AS total_views,
          CAST(sum(total_purchases) AS BIGINT) AS total_purchases,

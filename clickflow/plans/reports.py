@@ -97,9 +97,8 @@ def active_user_histogram(spark: SparkSession, active: DataFrame, bins: int = HI
 
 
 def brand_snapshots(events: DataFrame) -> DataFrame:
-    """Latest top-list row per (brand, event_type) over the report windows."""
-    top = report_windows(sl.top_brands(events))
-    return latest_by(top, ["brand", "event_type"], ["window_start"])
+    """Latest activity row per (brand, event_type) over the report windows."""
+    return latest_by(report_windows(sl.brand_activity(events)), ["brand", "event_type"], ["window_start"])
 
 
 def brand_totals_top3(events: DataFrame) -> DataFrame:
@@ -131,8 +130,7 @@ def purchase_totals(purchases: DataFrame) -> DataFrame:
 
 
 def top_products_latest(events: DataFrame, k: int = 10) -> DataFrame:
-    top = report_windows(sl.top_products(events))
-    s = latest_by(top, ["product_id"], ["window_start"])
+    s = latest_by(report_windows(sl.product_views(events)), ["product_id"], ["window_start"])
     return s.orderBy(F.col("view_count").desc(), F.col("product_id").asc()).limit(k)
 
 
@@ -162,18 +160,13 @@ def funnel_totals(records: DataFrame) -> DataFrame:
                     conv("users_purchased", "users_added_to_cart").alias("cart_to_purchase_pct"))
 
 
-def view_to_cart_time(records: DataFrame, first: int = 20, k: int = 10, min_groups: int = 3) -> DataFrame:
-    """Mean view-to-cart seconds per brand: groups in name order, the first
-    ``first`` of them, then the top k by time, only if at least
-    ``min_groups`` groups exist."""
+def view_to_cart_time(records: DataFrame, k: int = 10) -> DataFrame:
+    """Mean view-to-cart seconds per brand, over all brands; the top k by time."""
     b = records.filter((F.col("type") == "brand") & (F.col("avg_view_to_cart_seconds") > 0))
     g = (b.groupBy("name").agg(F.avg("avg_view_to_cart_seconds").alias("avg_view_to_cart_seconds"),
                                F.sum("users_viewed").alias("users_viewed"),
-                               F.sum("users_added_to_cart").alias("users_added_to_cart"))
-          .orderBy("name").limit(first))
-    g = g.withColumn("_groups", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
-    return (g.filter(F.col("_groups") >= min_groups).drop("_groups")
-             .orderBy(F.col("avg_view_to_cart_seconds").desc(), F.col("name").asc()).limit(k))
+                               F.sum("users_added_to_cart").alias("users_added_to_cart")))
+    return (g.orderBy(F.col("avg_view_to_cart_seconds").desc(), F.col("name").asc()).limit(k))
 
 
 def high_conversion_brands(records: DataFrame, min_viewed: int = 20, k: int = 5) -> DataFrame:

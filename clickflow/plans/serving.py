@@ -12,6 +12,8 @@ range-scanned by prefix (pushed to Parquet as min/max filters) with the
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from clickflow.functions.timefns import window_key
 
 # Row-key suffixes of the live metrics.
 METRICS = ("active_users", "top_view", "purchases", "event", "brand")
-KEY_END = "~"
+NULL_KEY = "\\N"
 VERSIONS = {"realtime_stats": 10, "funnel_analytics": 10,
             "personalized_recommendations": 5, "brand_performance": 10}
 
@@ -28,16 +30,24 @@ def row_key(metric: str) -> Column:
     """Row key of a live-metric row (rank is a column, not part of the key,
     so a product's row is overwritten in place when its rank changes)."""
     w = window_key(F.col("window_start"))
+
+    def key(*parts):
+        # a NULL part is the label NULL_KEY; backslashes and underscores inside a part are escaped, so that
+        # different rows have different keys
+        text = [F.coalesce(F.regexp_replace(F.col(c).cast("string"), r"([\\_])", r"\\$1"), F.lit(NULL_KEY))
+                for c in parts]
+        return F.concat_ws("_", w, F.lit(metric), *text)
+
     if metric == "active_users":
         return F.concat(w, F.lit("_active_users"))
     if metric == "purchases":
         return F.concat(w, F.lit("_purchases"))
     if metric == "event":
-        return F.concat(w, F.lit("_event_"), F.col("event_type"))
+        return key("event_type")
     if metric == "top_view":
-        return F.concat(w, F.lit("_top_view_"), F.col("product_id").cast("string"))
+        return key("product_id", "brand", "category_code")
     if metric == "brand":
-        return F.concat(w, F.lit("_brand_"), F.col("brand"), F.lit("_"), F.col("event_type"))
+        return key("brand", "event_type")
     raise ValueError(metric)
 
 
@@ -111,13 +121,17 @@ def retain(versions: DataFrame, n: int, key: str = "row_key") -> DataFrame:
 
 
 def prefix_scan(df: DataFrame, prefix: str, key: str = "row_key") -> DataFrame:
-    """Rows with ``prefix <= key < prefix + '~'``; a ``yyyyMMdd`` prefix
-    also prunes the ``window_date`` partition."""
-    cond = (F.col(key) >= F.lit(prefix)) & (F.col(key) < F.lit(prefix + KEY_END))
-    if len(prefix) >= 8 and prefix[:8].isdigit() and "window_date" in df.columns:
-        d = f"{prefix[:4]}-{prefix[4:6]}-{prefix[6:8]}"
-        cond = cond & (F.col("window_date") == F.lit(d).cast("date"))
-    return df.filter(cond)
+    """Rows whose key starts with ``prefix`` (pushed to Parquet as StringStartsWith);
+    a prefix that begins with a real ``yyyyMMdd`` date also prunes ``window_date``."""
+    out = df.filter(F.col(key).startswith(prefix))
+    if "window_date" in df.columns:
+        try:
+            day = dt.datetime.strptime(prefix[:8], "%Y%m%d").date() if len(prefix) >= 8 else None
+        except ValueError:
+            day = None
+        if day is not None:
+            out = out.filter(F.col("window_date") == F.lit(day))
+    return out
 
 
 def point_get(df: DataFrame, k: str, key: str = "row_key") -> DataFrame:

@@ -43,7 +43,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "clickflow.broadcast.maxBytes": str(256 * 1024 * 1024),
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -67,8 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint root; set a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when nothing is configured (local tests) a folder under the
-    system temp directory is created.
+    as is. Only when nothing is configured on a local master (tests) a folder under
+    the system temp directory is created; any other master raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -76,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="clickflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

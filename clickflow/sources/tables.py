@@ -1,18 +1,16 @@
 """Adapter from the driver's star-schema tables to the commerce data model.
 
 The driver tables carry no brand, price or session on ``events``, so the
-commerce event view is derived: ``click`` plays ``cart``, ``signup`` and
-``error`` are dropped, the product comes from ``props`` (``{"k": n}``) and
+commerce event view is derived: ``click`` plays ``cart``, every other type
+keeps its own name, the product comes from ``props`` (``{"k": n}``) and
 brand / category from ``part``. Users come from ``customer`` with a
 deterministic birth date and the nation name as city. A second adapter turns
 order lines into purchase events so purchase-side metrics run at the size of
 ``lineitem``.
 
-Catalogue lookups use a size-checked broadcast of the compact projection
-(product id, category, brand): under the cap the events are never shuffled
-for the lookup; above it Spark plans a sort-merge join whose hot partitions
-AQE splits. ``nation`` has a fixed 25 rows at every scale and is always
-broadcast.
+No join carries a broadcast hint: adaptive execution broadcasts a dimension that
+turns out small at run time and otherwise splits the hot partitions of the
+sort-merge join.
 """
 
 from __future__ import annotations
@@ -20,10 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.plans.joins import sized_broadcast
-
 # Fixed values of the adapter (must equal the oracle SQL).
-EVENT_TYPE_MAP = {"view": "view", "click": "cart", "purchase": "purchase"}
+EVENT_TYPE_MAP = {"click": "cart"}
 BIRTH_YEAR_BASE = 1950
 BIRTH_YEAR_SPAN = 56
 PRICE_TYPE = "decimal(18,2)"
@@ -53,22 +49,23 @@ def products_from_part(part: DataFrame) -> DataFrame:
 
 def events_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
     """Commerce events: event_id, event_time (TIMESTAMP_NTZ), user_id,
-    event_type (view/cart/purchase), product_id, category_code, brand,
+    event_type (view/cart/purchase and others), product_id, category_code, brand,
     price DECIMAL(18,2)."""
-    mapping = F.create_map(*[F.lit(x) for kv in EVENT_TYPE_MAP.items() for x in kv])
+    kind = F.col("event_type")
+    for source, name in EVENT_TYPE_MAP.items():
+        kind = F.when(F.col("event_type") == source, name).otherwise(kind)
     ev = (events
-          .filter(F.col("event_type").isin(list(EVENT_TYPE_MAP)))
           .select(
               "event_id",
               F.col("ts").alias("event_time"),
               "user_id",
-              mapping[F.col("event_type")].alias("event_type"),
+              kind.alias("event_type"),
               _product_from_props(F.col("props")).alias("product_id"),
               F.col("value").cast(PRICE_TYPE).alias("price"),
           ))
-    dims = sized_broadcast(part.select(F.col("p_partkey").alias("product_id"),
+    dims = part.select(F.col("p_partkey").alias("product_id"),
                                        F.col("p_type").alias("category_code"),
-                                       F.col("p_brand").alias("brand")))
+                                       F.col("p_brand").alias("brand"))
     return (ev.join(dims, "product_id", "left")
               .select("event_id", "event_time", "user_id", "event_type",
                       "product_id", "category_code", "brand", "price"))
@@ -80,8 +77,7 @@ def users_from_tables(customer: DataFrame, nation: DataFrame) -> DataFrame:
     birth = F.make_date((F.lit(BIRTH_YEAR_BASE) + key % BIRTH_YEAR_SPAN).cast("int"),
                         (F.lit(1) + key % 12).cast("int"),
                         (F.lit(1) + key % 28).cast("int"))
-    nat = F.broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"),
-                                    F.col("n_name").alias("city")))
+    nat = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("city"))
     return (customer.join(nat, "c_nationkey", "inner")
                     .select(key.alias("user_id"), F.col("c_name").alias("name"),
                             birth.alias("birth_date"), "city"))
@@ -95,9 +91,9 @@ def order_purchases(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
     """
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     od = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    dims = sized_broadcast(part.select(F.col("p_partkey").alias("product_id"),
+    dims = part.select(F.col("p_partkey").alias("product_id"),
                                        F.col("p_type").alias("category_code"),
-                                       F.col("p_brand").alias("brand")))
+                                       F.col("p_brand").alias("brand"))
     lines = (li.join(od, li.l_orderkey == od.o_orderkey, "inner")
                .select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("event_id"),
                        F.col("o_orderdate").alias("event_time"),
@@ -110,13 +106,6 @@ def order_purchases(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
                          "product_id", "category_code", "brand", "price"))
 
 
-# Lazy DataFrame definitions per (application, directory, name). Only the
-# plan is kept: every action still reads the files, so results always reflect
-# the data; what is saved is the driver-side file listing, footer read and
-# plan construction of repeated definitions.
-_PLANS: dict = {}
-
-
 class Tables:
     """Lazy accessors for one scale-factor directory."""
 
@@ -124,25 +113,17 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
 
-    def _plan(self, name: str, build):
-        key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, name)
-        df = _PLANS.get(key)
-        if df is None:
-            df = _PLANS[key] = build()
-        return df
-
     def raw(self, name: str) -> DataFrame:
-        return self._plan(name, lambda: table(self.spark, self.sf_dir, name))
+        return table(self.spark, self.sf_dir, name)
 
     def events(self) -> DataFrame:
-        return self._plan("~events", lambda: events_from_tables(self.raw("events"), self.raw("part")))
+        return events_from_tables(self.raw("events"), self.raw("part"))
 
     def users(self) -> DataFrame:
-        return self._plan("~users", lambda: users_from_tables(self.raw("customer"), self.raw("nation")))
+        return users_from_tables(self.raw("customer"), self.raw("nation"))
 
     def products(self) -> DataFrame:
-        return self._plan("~products", lambda: products_from_part(self.raw("part")))
+        return products_from_part(self.raw("part"))
 
     def order_events(self) -> DataFrame:
-        return self._plan("~orders", lambda: order_purchases(self.raw("lineitem"), self.raw("orders"),
-                                                              self.raw("part")))
+        return order_purchases(self.raw("lineitem"), self.raw("orders"), self.raw("part"))

@@ -8,11 +8,9 @@ the broadcast plan's results.
 import datetime as dt
 
 from clickflow.operators import funnel as fn
-from clickflow.plans.joins import CONF_KEY
 from clickflow.sources.tables import events_from_tables
 
 SKEW_CONF = {
-    CONF_KEY: "1",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.skewJoin.enabled": "true",

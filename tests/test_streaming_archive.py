@@ -56,7 +56,7 @@ def test_micro_batch_topk_is_global(spark):
         "view_count BIGINT, avg_price DOUBLE").withColumn("window_end", F.col("window_start"))
     top = live.store_rows(b, "top_view", "micro_batch").collect()
     assert len(top) == 10 and {r["rank"] for r in top} == set(range(1, 11))
-    assert {r.row_key for r in top} == {f"20240101_1000_top_view_{i}" for i in range(10)}
+    assert {r.row_key for r in top} == {f"20240101_1000_top_view_{i}_b_c" for i in range(10)}
 
 
 def test_decode_bad_json_and_wrong_type(spark):
