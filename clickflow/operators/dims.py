@@ -112,8 +112,8 @@ def rename_profile_columns(raw_users: DataFrame) -> DataFrame:
 
 def write_products(products: DataFrame, path: str) -> None:
     """Cleaned catalogue as Parquet partitioned by category_code (Snappy);
-    re-running replaces only the categories it writes."""
-    (products.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    the whole table is replaced, so a category that is gone doesn't stay."""
+    (products.write.mode("overwrite").option("partitionOverwriteMode", "static")
      .option("compression", "snappy").partitionBy("category_code").parquet(path))
 
 

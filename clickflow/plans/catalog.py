@@ -414,8 +414,8 @@ def window_summary(spark, sf):
 # --- live metrics through Structured Streaming, archive ---------------------
 # The driver events are replayed as broker-style messages (value, timestamp)
 # from files below the session's checkpoint folder; the stream runs with an
-# availableNow trigger and writes the version log. One replay per session
-# and directory serves all stream queries.
+# availableNow trigger and writes the version log; each query replays the
+# tables as they are now.
 
 from clickflow.plans.serving import VersionLog  # noqa: E402
 from clickflow.session import scratch_path  # noqa: E402
@@ -423,44 +423,32 @@ from clickflow.sources import archive as ar  # noqa: E402
 from clickflow.sources import streams as st  # noqa: E402
 from clickflow.streaming import metrics as live  # noqa: E402
 
-_RUNS: dict = {}
-
-
 def _messages(spark, sf):
-    key = ("messages", id(spark), sf)
-    if key not in _RUNS:
-        path = scratch_path(spark, "messages")
-        st.to_messages(Tables(spark, sf).events()).write.mode("overwrite").parquet(path)
-        _RUNS[key] = path
-    return _RUNS[key]
+    path = scratch_path(spark, "messages")
+    st.to_messages(Tables(spark, sf).events()).write.mode("overwrite").parquet(path)
+    return path
 
 
 def _replay(spark, sf) -> VersionLog:
-    key = ("replay", id(spark), sf)
-    if key not in _RUNS:
-        root = scratch_path(spark, "replay")
-        stream = st.event_stream(spark, fmt="parquet", path=_messages(spark, sf))
-        store = VersionLog(spark, f"{root}/store")
-        live.run_available(spark, stream, store, f"{root}/checkpoints", run_id="replay", topk=None,
-                           state_partitions=spark.sparkContext.defaultParallelism)
-        _RUNS[key] = store
-    return _RUNS[key]
+    root = scratch_path(spark, "replay")
+    stream = st.event_stream(spark, fmt="parquet", path=_messages(spark, sf))
+    store = VersionLog(spark, f"{root}/store")
+    live.run_available(spark, stream, store, f"{root}/checkpoints", run_id="replay", topk=None,
+                       state_partitions=spark.sparkContext.defaultParallelism)
+    return store
 
 
 def _archive(spark, sf) -> str:
-    key = ("archive", id(spark), sf)
-    if key not in _RUNS:
-        path = scratch_path(spark, "archive")
-        msgs = spark.read.parquet(_messages(spark, sf))
-        # two scalars (epoch ms of the first and last message) bound the hours
-        b = msgs.agg(F.min(F.unix_millis("timestamp")).alias("lo"),
-                     F.max(F.unix_millis("timestamp")).alias("hi")).first()
-        hour_ms = 3600 * 1000
-        start = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=b["lo"] // hour_ms * hour_ms)
-        end = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=(b["hi"] // hour_ms + 1) * hour_ms)
-        ar.archive_hours(msgs, start, end, path)
-        _RUNS[key] = path
-    return _RUNS[key]
+    path = scratch_path(spark, "archive")
+    msgs = spark.read.parquet(_messages(spark, sf))
+    # two scalars (epoch ms of the first and last message) bound the hours
+    b = msgs.agg(F.min(F.unix_millis("timestamp")).alias("lo"),
+                 F.max(F.unix_millis("timestamp")).alias("hi")).first()
+    hour_ms = 3600 * 1000
+    start = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=b["lo"] // hour_ms * hour_ms)
+    end = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=(b["hi"] // hour_ms + 1) * hour_ms)
+    ar.archive_hours(msgs, start, end, path)
+    return path
 
 
 @register("stream_event_distribution")
@@ -549,20 +537,17 @@ RAW_LOG_MONTH = "2024-01"
 def _raw_log(spark, sf):
     """The commerce events written as the raw monthly CSV log (all strings,
     ``yyyy-MM-dd HH:mm:ss UTC`` times, empty strings for missing values)."""
-    key = ("rawlog", id(spark), sf)
-    if key not in _RUNS:
-        path = scratch_path(spark, "rawlog")
-        ev = Tables(spark, sf).events()
-        s = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-        raw = ev.select(
-            F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")).alias("event_time"),
-            "event_type", s("product_id").alias("product_id"), s("category_code").alias("category_id"),
-            s("category_code").alias("category_code"), s("brand").alias("brand"),
-            s("price").alias("price"), s("user_id").alias("user_id"),
-            F.lit("").alias("user_session"))
-        raw.write.mode("overwrite").option("header", "true").csv(path)
-        _RUNS[key] = path
-    return fl.read_raw_log(spark, _RUNS[key])
+    path = scratch_path(spark, "rawlog")
+    ev = Tables(spark, sf).events()
+    s = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    raw = ev.select(
+        F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")).alias("event_time"),
+        "event_type", s("product_id").alias("product_id"), s("category_code").alias("category_id"),
+        s("category_code").alias("category_code"), s("brand").alias("brand"),
+        s("price").alias("price"), s("user_id").alias("user_id"),
+        F.lit("").alias("user_session"))
+    raw.write.mode("overwrite").option("header", "true").csv(path)
+    return fl.read_raw_log(spark, path)
 
 
 @register("raw_log_day_counts")

@@ -37,18 +37,34 @@ def with_archive_partitions(rows: DataFrame, ms_col: str = "kafka_timestamp") ->
                        F.lpad(F.hour(ts).cast("string"), 2, "0").alias("hour"))
 
 
+def _drop_hours(spark: SparkSession, path: str, start: dt.datetime, end: dt.datetime) -> None:
+    """Remove the partitions of the hours in [start, end)."""
+    jvm = spark._jvm
+    hour = start.replace(minute=0, second=0, microsecond=0)
+    while hour < end:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/year={hour.year}/month={hour:%m}/day={hour:%d}/hour={hour:%H}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        hour += dt.timedelta(hours=1)
+
+
 def archive_hours(messages: DataFrame, start: dt.datetime, end: dt.datetime, path: str,
                   rows_per_file: int = ROWS_PER_FILE) -> int:
-    """Archive messages with ``start <= broker time < end`` (UTC) into
-    hourly partitions below ``path``; returns the number of rows written
-    (counted while writing, no second pass)."""
+    """Archive messages with ``start <= broker time < end`` (UTC, whole hours)
+    into hourly partitions below ``path``; returns the number of rows written
+    (counted while writing, no second pass).
+
+    The hours of the range are replaced, by nothing if they hold no message
+    now. Rows are gathered by hour before the write (``rebalance``: small hours
+    share a task, a hot hour is split), so the files follow the hours and not
+    tasks times hours."""
     lo, hi = _ms(start), _ms(end)
     rows = decode_archived(messages).filter(
         (F.col("kafka_timestamp") >= lo) & (F.col("kafka_timestamp") < hi))
     obs = Observation("archive")
-    out = with_archive_partitions(rows).observe(obs, F.count(F.lit(1)).alias("rows"))
-    (out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+    out = (with_archive_partitions(rows).hint("rebalance", *ARCHIVE_PARTITIONS)
+           .observe(obs, F.count(F.lit(1)).alias("rows")))
+    _drop_hours(messages.sparkSession, path, start, end)
+    (out.write.mode("append")
         .option("maxRecordsPerFile", rows_per_file)
         .option("compression", "snappy")
         .partitionBy(*ARCHIVE_PARTITIONS)

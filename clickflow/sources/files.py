@@ -16,8 +16,10 @@ EVENT_COLUMNS = ["event_time", "mapped_time", "event_type", "product_id", "categ
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return (spark.read.option("header", "true").option("enforceSchema", "false")
-            .schema(schema).csv(path))
+    """The columns of ``schema``, found by their names in the header, whatever its order; a value
+    that doesn't parse is NULL. A file without one of the columns raises."""
+    raw = spark.read.option("header", "true").csv(path)
+    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:

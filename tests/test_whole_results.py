@@ -100,3 +100,36 @@ def test_no_local_scratch_on_a_cluster():
         conf = {}
     with pytest.raises(ValueError):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_csv_columns_by_name(spark, scratch):
+    from clickflow.sources.files import read_users
+    from clickflow.sources.schemas import USERS
+    names = [f.name for f in USERS.fields]
+    row = spark.range(1).select(*[F.lit("7" if f.dataType.simpleString() in ("bigint", "int") else None).cast(f.dataType).alias(f.name)
+                                  for f in USERS.fields])
+    row.select(*reversed(names)).withColumn("extra", F.lit("x")).write.option("header", "true").csv(f"{scratch}/u")
+    got = read_users(spark, f"{scratch}/u")
+    assert got.columns == names and got.collect() == row.collect()
+
+
+def test_catalogue_is_replaced(spark, scratch):
+    from clickflow.operators.dims import write_products
+    for rows in ([(1, "a"), (2, "b")], [(1, "a")]):
+        write_products(spark.createDataFrame(rows, "product_id BIGINT, category_code STRING"), f"{scratch}/p")
+    assert spark.read.parquet(f"{scratch}/p").count() == 1
+
+
+def test_archive_rerun_replaces_its_hours(spark, scratch):
+    import datetime as dt
+
+    from clickflow.sources import archive as ar, streams as st
+    ev = make_events(spark, [(i, f"2024-01-01 {10 + i % 3}:00:{i % 60:02}", 1, "view", 1, "c", "b", 1) for i in range(300)])
+    path = f"{scratch}/a"
+    msgs = st.to_messages(ev).repartition(8)
+    day = dt.datetime(2024, 1, 1)
+    assert ar.archive_hours(msgs, day.replace(hour=10), day.replace(hour=13), path) == 300
+    seen = ar.verify_archive(spark, path).collect()
+    assert len(seen) == 3 and sum(r.rows for r in seen) == 300 and all(r.files == 1 for r in seen)
+    assert ar.archive_hours(msgs.limit(0), day.replace(hour=11), day.replace(hour=12), path) == 0
+    assert {r.hour: r.rows for r in ar.verify_archive(spark, path).collect()} == {10: 100, 12: 100}
