@@ -76,25 +76,25 @@ def _segments(t: Tables):
 @register("segment_activity")
 def segment_activity(spark, sf):
     t = Tables(spark, sf)
-    return rc.segment_activity(t.events(), _segments(t))
+    return rc.segment_activity(t.plain_events(), _segments(t))
 
 
 @register("segment_product_stats")
 def segment_product_stats(spark, sf):
     t = Tables(spark, sf)
-    return rc.segment_product_stats(t.events(), _segments(t))
+    return rc.segment_product_stats(t.plain_events(), _segments(t))
 
 
 @register("recs_top10")
 def recs_top10(spark, sf):
     t = Tables(spark, sf)
-    return rc.recommend(t.events(), _segments(t), t.products())
+    return rc.recommend(t.plain_events(), _segments(t), t.products())
 
 
 @register("recs_wide")
 def recs_wide(spark, sf):
     t = Tables(spark, sf)
-    return rc.recommendation_records(rc.recommend(t.events(), _segments(t), t.products()),
+    return rc.recommendation_records(rc.recommend(t.plain_events(), _segments(t), t.products()),
                                      RUN_ID, AS_OF)
 
 
@@ -197,17 +197,17 @@ def extend_ids(spark, sf):
 
 @register("event_type_distribution")
 def event_type_distribution(spark, sf):
-    return pf.event_type_distribution(Tables(spark, sf).events())
+    return pf.event_type_distribution(Tables(spark, sf).plain_events())
 
 
 @register("events_per_day")
 def events_per_day(spark, sf):
-    return pf.events_per_day(Tables(spark, sf).events())
+    return pf.events_per_day(Tables(spark, sf).plain_events())
 
 
 @register("events_per_hour")
 def events_per_hour(spark, sf):
-    return pf.events_per_hour(Tables(spark, sf).events())
+    return pf.events_per_hour(Tables(spark, sf).plain_events())
 
 
 @register("distinct_counts")
@@ -217,24 +217,24 @@ def distinct_counts(spark, sf):
 
 @register("events_lookback")
 def events_lookback(spark, sf):
-    return pf.lookback_distribution(Tables(spark, sf).events(), LOOKBACK_AS_OF, hours=24)
+    return pf.lookback_distribution(Tables(spark, sf).plain_events(), LOOKBACK_AS_OF, hours=24)
 
 
 @register("recent_purchases")
 def recent_purchases(spark, sf):
-    return pf.recent_purchases(Tables(spark, sf).events(), LOOKBACK_AS_OF, hours=24)
+    return pf.recent_purchases(Tables(spark, sf).plain_events(), LOOKBACK_AS_OF, hours=24)
 
 
 # --- sliding windows (batch form) -------------------------------------------
 
 @register("sliding_active_users")
 def sliding_active_users(spark, sf):
-    return sl.active_users(Tables(spark, sf).events())
+    return sl.active_users(Tables(spark, sf).plain_events())
 
 
 @register("sliding_active_users_approx")
 def sliding_active_users_approx(spark, sf):
-    return sl.active_users_approx(Tables(spark, sf).events())
+    return sl.active_users_approx(Tables(spark, sf).plain_events())
 
 
 @register("sliding_product_views")
@@ -249,12 +249,12 @@ def sliding_top_products(spark, sf):
 
 @register("sliding_purchases")
 def sliding_purchases(spark, sf):
-    return sl.purchases(Tables(spark, sf).events())
+    return sl.purchases(Tables(spark, sf).plain_events())
 
 
 @register("sliding_event_distribution")
 def sliding_event_distribution(spark, sf):
-    return sl.event_distribution(Tables(spark, sf).events())
+    return sl.event_distribution(Tables(spark, sf).plain_events())
 
 
 @register("sliding_brand_activity")
@@ -274,17 +274,17 @@ from clickflow.plans import reports as rp  # noqa: E402
 
 @register("active_user_summary")
 def active_user_summary(spark, sf):
-    return rp.active_user_summary(sl.active_users(Tables(spark, sf).events()))
+    return rp.active_user_summary(sl.active_users(Tables(spark, sf).plain_events()))
 
 
 @register("active_user_boxplot")
 def active_user_boxplot(spark, sf):
-    return rp.active_user_boxplot(sl.active_users(Tables(spark, sf).events()))
+    return rp.active_user_boxplot(sl.active_users(Tables(spark, sf).plain_events()))
 
 
 @register("active_user_histogram")
 def active_user_histogram(spark, sf):
-    return rp.active_user_histogram(spark, sl.active_users(Tables(spark, sf).events()))
+    return rp.active_user_histogram(spark, sl.active_users(Tables(spark, sf).plain_events()))
 
 
 @register("brand_totals_top3")
@@ -294,17 +294,17 @@ def brand_totals_top3(spark, sf):
 
 @register("stage_conversion")
 def stage_conversion(spark, sf):
-    return rp.stage_conversion(sl.event_distribution(Tables(spark, sf).events()))
+    return rp.stage_conversion(sl.event_distribution(Tables(spark, sf).plain_events()))
 
 
 @register("purchase_totals")
 def purchase_totals(spark, sf):
-    return rp.purchase_totals(sl.purchases(Tables(spark, sf).events()))
+    return rp.purchase_totals(sl.purchases(Tables(spark, sf).plain_events()))
 
 
 @register("purchase_series")
 def purchase_series(spark, sf):
-    return rp.report_windows(sl.purchases(Tables(spark, sf).events()))
+    return rp.report_windows(sl.purchases(Tables(spark, sf).plain_events()))
 
 
 @register("top_products_latest")
@@ -348,7 +348,7 @@ def rate_distribution(spark, sf):
 
 def _recs_wide(spark, sf):
     t = Tables(spark, sf)
-    return rc.recommendation_records(rc.recommend(t.events(), _segments(t), t.products()), RUN_ID, AS_OF)
+    return rc.recommendation_records(rc.recommend(t.plain_events(), _segments(t), t.products()), RUN_ID, AS_OF)
 
 
 @register("most_recommended")
@@ -522,7 +522,7 @@ def segment_ranked_list(spark, sf):
     """Each segment's recommendation list in rank order (the per-segment
     top 10 the serving writer reads), as one ordered result."""
     t = Tables(spark, sf)
-    return rc.recommend(t.events(), _segments(t), t.products()).orderBy("age_group", "rank")
+    return rc.recommend(t.plain_events(), _segments(t), t.products()).orderBy("age_group", "rank")
 
 
 # --- raw log path, replay remap, keyed messages --------------------------------
@@ -566,7 +566,7 @@ def raw_log_day_counts(spark, sf):
 def remap_time(spark, sf):
     """Replay remap of the log (days >= 27 stay in December of the target
     year, earlier days move to January of the next): events per mapped day."""
-    ev = Tables(spark, sf).events()
+    ev = Tables(spark, sf).plain_events()
     m = remap_replay_time(F.col("event_time"), 2024)
     return ev.groupBy(F.to_date(m).alias("mapped_day")).agg(
         F.count(F.lit(1)).alias("event_count"), F.min(m).alias("first_mapped"))

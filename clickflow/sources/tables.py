@@ -47,10 +47,11 @@ def products_from_part(part: DataFrame) -> DataFrame:
     )
 
 
-def events_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
+def events_from_tables(events: DataFrame, part: DataFrame | None) -> DataFrame:
     """Commerce events: event_id, event_time (TIMESTAMP_NTZ), user_id,
     event_type (view/cart/purchase and others), product_id, category_code, brand,
-    price DECIMAL(18,2)."""
+    price DECIMAL(18,2). Without ``part`` there is no catalogue join and no
+    category_code and brand."""
     kind = F.col("event_type")
     for source, name in EVENT_TYPE_MAP.items():
         kind = F.when(F.col("event_type") == source, name).otherwise(kind)
@@ -63,9 +64,11 @@ def events_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
               _product_from_props(F.col("props")).alias("product_id"),
               F.col("value").cast(PRICE_TYPE).alias("price"),
           ))
+    if part is None:
+        return ev
     dims = part.select(F.col("p_partkey").alias("product_id"),
-                                       F.col("p_type").alias("category_code"),
-                                       F.col("p_brand").alias("brand"))
+                       F.col("p_type").alias("category_code"),
+                       F.col("p_brand").alias("brand"))
     return (ev.join(dims, "product_id", "left")
               .select("event_id", "event_time", "user_id", "event_type",
                       "product_id", "category_code", "brand", "price"))
@@ -119,6 +122,10 @@ class Tables:
     def events(self) -> DataFrame:
         return events_from_tables(self.raw("events"), self.raw("part"))
 
+    def plain_events(self) -> DataFrame:
+        """Events for queries that name no catalogue column: no catalogue join."""
+        return events_from_tables(self.raw("events"), None)
+
     def users(self) -> DataFrame:
         return users_from_tables(self.raw("customer"), self.raw("nation"))
 

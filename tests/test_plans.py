@@ -80,3 +80,9 @@ def test_window_summary_reads_events_once(spark):
     p = plan(spark, "window_summary")
     assert "Scan parquet" not in p
     assert len(exchanges(p)) <= 10
+
+
+def test_no_catalogue_join_without_catalogue_columns(spark):
+    for name in ("event_type_distribution", "events_per_hour", "events_lookback", "sliding_purchases",
+                 "sliding_event_distribution", "segment_activity"):
+        assert "part.parquet" not in plan(spark, name), name
