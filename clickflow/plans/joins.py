@@ -13,11 +13,12 @@ def one_per_user(users: DataFrame, *cols: str) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write a small intermediate that more than one branch reads (e.g. the
-    brand metrics that both yield a top-N list and are filtered by it) once
-    into the session's checkpoint folder and read it back, so its lineage is
-    computed once and cut. Reliable checkpoint (shared storage), never a
-    local one; eager, since both branches follow immediately."""
-    from clickflow.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write an intermediate that more than one branch reads (e.g. the brand
+    metrics that both yield a top-N list and are filtered by it) once as
+    Parquet into the session's shared scratch folder and read it back: it is
+    computed once, its lineage is cut, and each branch reads only its columns.
+    Eager, since both branches follow immediately."""
+    from clickflow.session import scratch_path
+    path = scratch_path(df.sparkSession, "shared")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

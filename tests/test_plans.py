@@ -75,10 +75,10 @@ def test_dimension_joins_carry_no_hint(spark):
 
 
 def test_window_summary_reads_events_once(spark):
-    # the five metrics finish from one checkpointed partial: no file scan is
+    # the five metrics finish from one written partial: no scan of the events is
     # left in the summary's plan, and at most two exchanges per metric remain
     p = plan(spark, "window_summary")
-    assert "Scan parquet" not in p
+    assert "events.parquet" not in p and "part.parquet" not in p
     assert len(exchanges(p)) <= 10
 
 
