@@ -9,6 +9,7 @@ evaluation time (the driver events end on 2024-01-30); look-back queries use
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from clickflow.operators import funnel as fn
 from clickflow.operators import profile as pf
 from clickflow.operators import recommend as rc
 from clickflow.operators import sliding as sl
-from clickflow.functions.timefns import events_between
+from clickflow.functions.timefns import events_between, ntz_lit, window_keys
 from clickflow.sources.tables import Tables
 
 AS_OF = dt.datetime(2024, 2, 1)
@@ -417,7 +418,7 @@ def window_summary(spark, sf):
 # availableNow trigger and writes the version log; each query replays the
 # tables as they are now.
 
-from clickflow.plans.serving import VersionLog  # noqa: E402
+from clickflow.plans.serving import VersionLog, row_key  # noqa: E402
 from clickflow.session import scratch_path  # noqa: E402
 from clickflow.sources import archive as ar  # noqa: E402
 from clickflow.sources import streams as st  # noqa: E402
@@ -474,14 +475,16 @@ def stream_purchases(spark, sf):
 def stream_top_products(spark, sf):
     """Per-window top 10 recomputed on the latest view of the live store."""
     v = _replay(spark, sf).latest("top_view").select(
-        "window_start", "window_end", "product_id", "brand", "category_code", "view_count", "avg_price")
+        "window_start", "window_end", "product_id", "brand", "category_code", "view_count",
+        F.round("avg_price", 6).alias("avg_price"))     # prices travel as DOUBLE in the messages
     return sl.per_window_topk(v, "view_count", ["product_id", "brand", "category_code"])
 
 
 @register("stream_brand_activity")
 def stream_brand_activity(spark, sf):
     return _replay(spark, sf).latest("brand").select(
-        "window_start", "window_end", "brand", "event_type", "event_count", "total_value")
+        "window_start", "window_end", "brand", "event_type", "event_count",
+        F.round("total_value", 2).alias("total_value"))
 
 
 @register("archive_partition_rows")
@@ -576,3 +579,218 @@ def remap_time(spark, sf):
 def event_messages(spark, sf):
     """Keyed JSON messages of the commerce events (key = user id)."""
     return st.to_messages(Tables(spark, sf).events())
+
+
+# --- event-time look-backs on the archive ---------------------------------------
+
+def _archived_events(spark, sf, start, end=None) -> DataFrame:
+    rows = ar.read_event_time(spark, _archive(spark, sf), start, end)
+    return rows.select(F.col("event_timestamp").alias("event_time"), "user_id", "event_type", "product_id",
+                       "category_code", "brand", F.col("price").cast("decimal(18,2)").alias("price"))
+
+
+@register("archive_funnel_24h")
+def archive_funnel_24h(spark, sf):
+    """Brand funnel of the archive's closed 24 h look-back by event time."""
+    return fn.funnel_by_brand(_archived_events(spark, sf, LOOKBACK_AS_OF - dt.timedelta(hours=24), LOOKBACK_AS_OF))
+
+
+@register("archive_brand_7d")
+def archive_brand_7d(spark, sf):
+    """Brand x age metrics of the archive's last seven days by event time."""
+    ev = _archived_events(spark, sf, LOOKBACK_AS_OF - dt.timedelta(days=7))
+    return br.brand_age_metrics(ev, Tables(spark, sf).users(), AS_OF)
+
+
+# --- log slice, archive tables and partitions -----------------------------------
+
+PROFILE_DAY = dt.datetime(2024, 1, 15)
+
+
+def _table_name(kind: str) -> str:
+    return f"{kind}_{uuid.uuid4().hex[:12]}"
+
+
+@register("log_slice_types")
+def log_slice_types(spark, sf):
+    """Event types of one day's half-open slice of the message log."""
+    start = int(PROFILE_DAY.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    rows = st.log_slice(spark, start, start + 24 * 3600 * 1000, fmt="parquet", path=_messages(spark, sf))
+    return pf.event_type_distribution(st.decode(rows))
+
+
+@register("archive_columns")
+def archive_columns(spark, sf):
+    """Two columns of the archived event table."""
+    ev = fl.read_events(spark, _archive(spark, sf), ["event_type", "brand"])
+    return ev.groupBy("event_type", "brand").agg(F.count(F.lit(1)).alias("event_count"))
+
+
+@register("archive_day_purchases")
+def archive_day_purchases(spark, sf):
+    """Purchases per hour of one archived day (partition-pruned)."""
+    day = fl.read_partition(spark, _archive(spark, sf), PROFILE_DAY.year, PROFILE_DAY.month, PROFILE_DAY.day,
+                            "purchase")
+    return day.groupBy("hour").agg(F.count(F.lit(1)).alias("purchases"),
+                                   F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("revenue"))
+
+
+@register("event_table_days")
+def event_table_days(spark, sf):
+    """Rows per day and event type of the external table over the archive, partitions discovered."""
+    name = _table_name("events")
+    fl.create_events_table(spark, name, _archive(spark, sf))
+    return spark.table(name).groupBy("year", "month", "day", "event_type").agg(
+        F.count(F.lit(1)).alias("event_count"))
+
+
+@register("event_table_partitions")
+def event_table_partitions(spark, sf):
+    """The discovered partitions of the external table."""
+    name = _table_name("events")
+    fl.create_events_table(spark, name, _archive(spark, sf))
+    part = lambda c: F.regexp_extract("partition", f"{c}=(\\d+)", 1).cast("int").alias(c)
+    return fl.show_partitions(spark, name).select(*[part(c) for c in ("year", "month", "day", "hour")])
+
+
+@register("event_table_added_hour")
+def event_table_added_hour(spark, sf):
+    """Event types of one hour, added to the external table by hand."""
+    path, name = _archive(spark, sf), _table_name("events")
+    fl.create_events_table(spark, name, path, discover=False)
+    fl.add_partition(spark, name, PROFILE_DAY.year, PROFILE_DAY.month, PROFILE_DAY.day, 12,
+                     f"{path}/{PROFILE_DAY:year=%Y/month=%m/day=%d}/hour=12")
+    return pf.event_type_distribution(spark.table(name))
+
+
+# --- sinks read back ---------------------------------------------------------------
+
+@register("users_csv_readback")
+def users_csv_readback(spark, sf):
+    """User profiles written as CSV and read by header name, whatever the order of the columns."""
+    path = scratch_path(spark, "users-csv")
+    u = Tables(spark, sf).users()
+    none = F.lit(None).cast("string")
+    dims.write_csv(u.select("city", "birth_date", "name", none.alias("surname"),
+                            F.lpad((F.col("user_id") % 100000).cast("string"), 5, "0").alias("zip_code"),
+                            none.alias("street_name"), none.alias("house_number"), "user_id"), path)
+    return fl.read_users(spark, path).select("user_id", "name", "birth_date", "city", "zip_code")
+
+
+@register("users_parquet_readback")
+def users_parquet_readback(spark, sf):
+    path = scratch_path(spark, "users")
+    dims.write_parquet(Tables(spark, sf).users(), path)
+    return spark.read.parquet(path)
+
+
+@register("products_readback")
+def products_readback(spark, sf):
+    """The cleaned catalogue, partitioned by category, read back."""
+    path = scratch_path(spark, "products")
+    dims.write_products(dims.clean_products(Tables(spark, sf).products()), path)
+    return spark.read.parquet(path)
+
+
+@register("product_csv_table")
+def product_csv_table(spark, sf):
+    """Products per brand of a delimited external table."""
+    path, name = scratch_path(spark, "products-csv"), _table_name("products")
+    dims.write_csv(Tables(spark, sf).products().select("product_id", "product_name", "brand"), path)
+    fl.create_csv_table(spark, name, path, "product_id BIGINT, product_name STRING, brand STRING")
+    return spark.table(name).groupBy("brand").agg(F.count(F.lit(1)).alias("products"),
+                                                  F.max("product_id").alias("last_product_id"))
+
+
+@register("serving_prefix_scan")
+def serving_prefix_scan(spark, sf):
+    """One day of the event mix, by key prefix from the serving store."""
+    store = VersionLog(spark, scratch_path(spark, "prefix"))
+    rows = sl.event_distribution(Tables(spark, sf).plain_events()).withColumn("row_key", row_key("event"))
+    store.write(rows, "event", RUN_ID, 0, created_at=ntz_lit(AS_OF))
+    return store.scan("event", f"{PROFILE_DAY:%Y%m%d}_").select(
+        "row_key", "window_start", "window_end", "event_type", "event_count")
+
+
+@register("window_key_events")
+def window_key_events(spark, sf):
+    """Every window key of the month with its number of events."""
+    keys = window_keys(spark, "20240101_0000", "20240131_2355")
+    au = sl.active_users(Tables(spark, sf).plain_events()).select("window_start", "total_events")
+    return keys.join(au, "window_start", "left").select(
+        "window_key", F.coalesce("total_events", F.lit(0).cast("bigint")).alias("total_events"))
+
+
+# --- normalisation, naming, lists ------------------------------------------------------
+
+@register("normalised_events")
+def normalised_events(spark, sf):
+    """The raw CSV log's rows, typed."""
+    return cl.clean_events(_raw_log(spark, sf)).select(
+        "event_timestamp", "event_type", "product_id", "category_code", "brand", "price", "user_id")
+
+
+@register("coerced_numbers")
+def coerced_numbers(spark, sf):
+    """Text columns of the raw log coerced to numbers: NULL or a default where that fails."""
+    return _raw_log(spark, sf).groupBy("event_type").agg(
+        F.sum(cl.coerce_numeric(F.col("product_id"), None)).alias("product_ids"),
+        F.count(cl.coerce_numeric(F.col("brand"), None)).alias("numeric_brands"),
+        F.sum(cl.coerce_numeric(F.col("brand"), 1.0)).alias("defaults"))
+
+
+@register("named_products")
+def named_products(spark, sf):
+    """Products with category and product names joined by key."""
+    p = Tables(spark, sf).products()
+    return dims.name_products(p.select("product_id", "category_id", "brand"),
+                              p.select("category_id", "category_name").distinct(),
+                              p.select("product_id", "product_name"))
+
+
+@register("recommended_items")
+def recommended_items(spark, sf):
+    """Distinct items of all recommendation lists."""
+    t = Tables(spark, sf)
+    recs = rc.recommend(t.plain_events(), _segments(t), t.products())
+    return recs.select("product_id", "product_name").distinct()
+
+
+@register("views_top10")
+def views_top10(spark, sf):
+    """The ten largest view counts over all windows, as one micro-batch lists them."""
+    return sl.micro_batch_topk(sl.product_views(Tables(spark, sf).events()), "view_count",
+                               ["window_start", "product_id", "brand", "category_code"])
+
+
+@register("first_events")
+def first_events(spark, sf):
+    """The first ten events (a plain limit, made deterministic by the event id)."""
+    return Tables(spark, sf).plain_events().orderBy("event_id").limit(10)
+
+
+@register("order_daily_top_products")
+def order_daily_top_products(spark, sf):
+    """Ten products with the most order lines of each day."""
+    ev = Tables(spark, sf).plain_order_events()
+    n = ev.groupBy(F.to_date("event_time").alias("window_start"), "product_id").agg(
+        F.count(F.lit(1)).alias("lines"))
+    return sl.per_window_topk(n, "lines", ["product_id"]).withColumnRenamed("window_start", "day")
+
+
+@register("order_daily_top_brands")
+def order_daily_top_brands(spark, sf):
+    """Ten brands with the largest revenue of each day; brands are joined after the sum by product."""
+    t = Tables(spark, sf)
+    by_product = t.plain_order_events().groupBy(F.to_date("event_time").alias("window_start"), "product_id").agg(
+        F.sum("price").alias("revenue"))
+    by_brand = by_product.join(t.products().select("product_id", "brand"), "product_id").groupBy(
+        "window_start", "brand").agg(F.sum("revenue").cast("double").alias("revenue"))
+    return sl.per_window_topk(by_brand, "revenue", ["brand"]).withColumnRenamed("window_start", "day")
+
+
+@register("order_brand_top5")
+def order_brand_top5(spark, sf):
+    """Brand x age metrics over order lines, of the five brands with the largest revenue."""
+    t = Tables(spark, sf)
+    return br.restrict_to_top_brands(br.brand_age_metrics(t.order_events(), t.users(), AS_OF), 5)

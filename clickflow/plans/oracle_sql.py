@@ -636,3 +636,69 @@ SQL["remap_time"] = with_adapter("""rm AS (
 )""") + """SELECT mapped_day, count(*) AS event_count,
   min(CAST(mapped_day AS TIMESTAMP) + tod) AS first_mapped
 FROM rm GROUP BY mapped_day"""
+
+SQL["stream_brand_activity"] = with_adapter(WIN, BA) + "SELECT * REPLACE (round(total_value, 2) AS total_value) FROM ba2"
+SQL["stream_top_products"] = (f"SELECT * REPLACE (round(avg_price, 6) AS avg_price) FROM ({SQL['sliding_top_products']})")
+
+# --- event-time look-backs, log slice, archive tables -----------------------------
+SQL["archive_funnel_24h"] = SQL["funnel_lookback"]
+SQL["archive_brand_7d"] = with_adapter("e7 AS (SELECT * FROM ev WHERE event_time >= TIMESTAMP '2024-01-24 00:00:00')",
+                                       BAM.format(src="e7")) + "SELECT * FROM bm"
+DAY = "event_time >= TIMESTAMP '2024-01-15 00:00:00' AND event_time < TIMESTAMP '2024-01-16 00:00:00'"
+SQL["log_slice_types"] = with_adapter() + f"SELECT event_type, count(*) AS event_count FROM ev WHERE {DAY} GROUP BY 1"
+SQL["archive_columns"] = (with_adapter()
+                          + "SELECT event_type, brand, count(*) AS event_count FROM ev GROUP BY 1, 2")
+SQL["archive_day_purchases"] = with_adapter() + f"""SELECT CAST(hour(event_time) AS INT) AS hour,
+  count(*) AS purchases, CAST(sum(price) AS DOUBLE) AS revenue
+FROM ev WHERE event_type = 'purchase' AND {DAY} GROUP BY 1"""
+SQL["event_table_days"] = with_adapter() + """SELECT CAST(year(event_time) AS INT) AS year,
+  CAST(month(event_time) AS INT) AS month, CAST(day(event_time) AS INT) AS day, event_type,
+  count(*) AS event_count FROM ev GROUP BY 1, 2, 3, 4"""
+SQL["event_table_partitions"] = with_adapter() + """SELECT DISTINCT CAST(year(event_time) AS INT) AS year,
+  CAST(month(event_time) AS INT) AS month, CAST(day(event_time) AS INT) AS day,
+  CAST(hour(event_time) AS INT) AS hour FROM ev"""
+SQL["event_table_added_hour"] = with_adapter() + f"""SELECT event_type, count(*) AS event_count
+FROM ev WHERE {DAY} AND hour(event_time) = 12 GROUP BY 1"""
+
+# --- sinks read back ----------------------------------------------------------------
+SQL["users_csv_readback"] = with_adapter() + """SELECT *,
+  lpad(CAST(user_id % 100000 AS VARCHAR), 5, '0') AS zip_code FROM us"""
+SQL["users_parquet_readback"] = with_adapter() + "SELECT * FROM us"
+SQL["products_readback"] = SQL["clean_products"]
+SQL["product_csv_table"] = with_adapter() + """SELECT brand, count(*) AS products,
+  max(product_id) AS last_product_id FROM pr GROUP BY 1"""
+SQL["serving_prefix_scan"] = with_adapter(WIN) + """SELECT strftime(window_start, '%Y%m%d_%H%M') || '_event_'
+    || coalesce(replace(event_type, '_', '\\_'), '\\N') AS row_key,
+  window_start, window_end, event_type, count(*) AS event_count
+FROM w WHERE CAST(window_start AS DATE) = DATE '2024-01-15' GROUP BY window_start, window_end, event_type"""
+SQL["window_key_events"] = with_adapter(WIN) + """SELECT strftime(k.s, '%Y%m%d_%H%M') AS window_key,
+  count(w.event_id) AS total_events
+FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-31 23:55:00',
+                                    INTERVAL 5 MINUTE)) AS s) k
+LEFT JOIN w ON w.window_start = k.s GROUP BY k.s"""
+
+# --- normalisation, naming, lists ------------------------------------------------------
+SQL["normalised_events"] = with_adapter() + """SELECT date_trunc('second', event_time) AS event_timestamp,
+  event_type, product_id, category_code, brand, coalesce(CAST(price AS DOUBLE), 0.0) AS price, user_id FROM ev"""
+SQL["coerced_numbers"] = with_adapter() + """SELECT event_type, CAST(sum(product_id) AS DOUBLE) AS product_ids,
+  count(TRY_CAST(brand AS DOUBLE)) AS numeric_brands, sum(coalesce(TRY_CAST(brand AS DOUBLE), 1.0)) AS defaults
+FROM ev GROUP BY 1"""
+SQL["named_products"] = with_adapter() + "SELECT product_id, category_id, brand, category_name, product_name FROM pr"
+SQL["recommended_items"] = (with_adapter(SEGMENTS, JOINED, SPS, RECS)
+                            + "SELECT DISTINCT product_id, product_name FROM recs")
+SQL["views_top10"] = with_adapter(WIN, PV) + """SELECT *, CAST(row_number() OVER (ORDER BY view_count DESC,
+  window_start, product_id ASC NULLS LAST, brand ASC NULLS LAST, category_code ASC NULLS LAST) AS INT) AS rank
+FROM pv QUALIFY rank <= 10"""
+SQL["first_events"] = with_adapter() + """SELECT event_id, event_time, user_id, event_type, product_id, price
+FROM ev ORDER BY event_id LIMIT 10"""
+SQL["order_daily_top_products"] = with_adapter() + """SELECT *, CAST(row_number() OVER (PARTITION BY day
+  ORDER BY lines DESC, product_id ASC NULLS LAST) AS INT) AS rank
+FROM (SELECT CAST(event_time AS DATE) AS day, product_id, count(*) AS lines FROM op GROUP BY 1, 2)
+QUALIFY rank <= 10"""
+SQL["order_daily_top_brands"] = with_adapter() + """SELECT *, CAST(row_number() OVER (PARTITION BY day
+  ORDER BY revenue DESC, brand) AS INT) AS rank
+FROM (SELECT CAST(event_time AS DATE) AS day, brand, CAST(sum(price) AS DOUBLE) AS revenue
+      FROM op WHERE brand IS NOT NULL GROUP BY 1, 2)
+QUALIFY rank <= 10"""
+SQL["order_brand_top5"] = with_adapter(BAM.format(src="op")) + """SELECT * FROM bm WHERE brand IN (
+  SELECT brand FROM bm GROUP BY brand ORDER BY sum(total_revenue) DESC NULLS LAST, brand LIMIT 5)"""

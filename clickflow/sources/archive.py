@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.functions.timefns import partition_date_range, utc_wall_clock
+from clickflow.functions.timefns import ntz_lit, parse_time, partition_date_range, utc_wall_clock
 from clickflow.sources.schemas import ARCHIVE_PARTITIONS
 from clickflow.sources.streams import decode_archived
 
@@ -92,3 +92,17 @@ def read_window(spark: SparkSession, path: str, start: dt.datetime, end: dt.date
     df = spark.read.parquet(path)
     return (df.filter(partition_date_range(start, end))
               .filter((F.col(ts_col) >= _ms(start)) & (F.col(ts_col) < _ms(end))))
+
+
+def read_event_time(spark: SparkSession, path: str, start: dt.datetime, end: dt.datetime | None = None,
+                    ts_col: str = "mapped_time") -> DataFrame:
+    """Rows with ``start <= event time`` (``<= end`` if given); ``event_timestamp`` is added.
+
+    A message reaches the broker no earlier than its event time, so the archive
+    dates before ``start`` are pruned; none after it are, as a late message
+    lies in a later partition."""
+    day = F.make_date(F.col("year"), F.col("month"), F.col("day"))
+    ts = F.col("event_timestamp")
+    rows = (spark.read.parquet(path).filter(day >= ntz_lit(start).cast("date"))
+            .withColumn("event_timestamp", parse_time(F.col(ts_col))).filter(ts >= ntz_lit(start)))
+    return rows if end is None else rows.filter(ts <= ntz_lit(end))

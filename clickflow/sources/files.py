@@ -57,9 +57,9 @@ def read_partition(spark: SparkSession, path: str, year: int, month: int, day: i
     return df
 
 
-def create_events_table(spark: SparkSession, name: str, path: str) -> None:
+def create_events_table(spark: SparkSession, name: str, path: str, discover: bool = True) -> None:
     """External partitioned Parquet table over the archive + partition
-    discovery."""
+    discovery (without it, partitions are added by ``add_partition``)."""
     spark.sql(f"""CREATE TABLE IF NOT EXISTS {name} (
         event_time STRING, event_type STRING, product_id BIGINT, category_id STRING,
         category_code STRING, brand STRING, price DOUBLE, user_id BIGINT,
@@ -67,7 +67,8 @@ def create_events_table(spark: SparkSession, name: str, path: str) -> None:
         processing_time STRING, kafka_timestamp BIGINT, kafka_partition BIGINT,
         year INT, month INT, day INT, hour INT)
       USING parquet PARTITIONED BY (year, month, day, hour) LOCATION '{path}'""")
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    if discover:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
 def add_partition(spark: SparkSession, name: str, year: int, month: int, day: int,

@@ -86,17 +86,15 @@ def users_from_tables(customer: DataFrame, nation: DataFrame) -> DataFrame:
                             birth.alias("birth_date"), "city"))
 
 
-def order_purchases(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
-    """Order lines as purchase events (same columns as ``events_from_tables``).
+def order_purchases(lineitem: DataFrame, orders: DataFrame, part: DataFrame | None) -> DataFrame:
+    """Order lines as purchase events (same columns as ``events_from_tables``; without
+    ``part`` no category_code and brand).
 
     lineitem x orders is a fact-to-fact join: it shuffles both sides on the
     order key (sort-merge); AQE splits skewed order keys.
     """
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     od = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    dims = part.select(F.col("p_partkey").alias("product_id"),
-                                       F.col("p_type").alias("category_code"),
-                                       F.col("p_brand").alias("brand"))
     lines = (li.join(od, li.l_orderkey == od.o_orderkey, "inner")
                .select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("event_id"),
                        F.col("o_orderdate").alias("event_time"),
@@ -104,6 +102,11 @@ def order_purchases(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
                        F.lit("purchase").alias("event_type"),
                        F.col("l_partkey").alias("product_id"),
                        F.col("l_extendedprice").cast(PRICE_TYPE).alias("price")))
+    if part is None:
+        return lines
+    dims = part.select(F.col("p_partkey").alias("product_id"),
+                       F.col("p_type").alias("category_code"),
+                       F.col("p_brand").alias("brand"))
     return (lines.join(dims, "product_id", "left")
                  .select("event_id", "event_time", "user_id", "event_type",
                          "product_id", "category_code", "brand", "price"))
@@ -134,3 +137,7 @@ class Tables:
 
     def order_events(self) -> DataFrame:
         return order_purchases(self.raw("lineitem"), self.raw("orders"), self.raw("part"))
+
+    def plain_order_events(self) -> DataFrame:
+        """Order lines for queries that name no catalogue column: no catalogue join."""
+        return order_purchases(self.raw("lineitem"), self.raw("orders"), None)
