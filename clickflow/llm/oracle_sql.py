@@ -21,3 +21,39 @@ m AS (SELECT d, min(c) AS c FROM r GROUP BY d)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.c AS component_id, m.c = s.doc_id AS kept
 FROM s JOIN m ON m.d = s.doc_id
 """
+
+# the beta prior of each rule by moments over all hosts, as in the operator's docstring
+_PRIOR = """p{r} AS (
+  SELECT mean, CASE WHEN v > 0 THEN greatest(mean * (1 - mean) / v - 1, 0.0) ELSE 1e9 END AS strength FROM (
+    SELECT mean, CASE WHEN n - nn / n > 0 THEN (ff - n * mean * mean - (k - 1) * mean * (1 - mean)) / (n - nn / n)
+                 ELSE 0.0 END AS v FROM (
+      SELECT count(*) AS k, CAST(sum(n) AS DOUBLE) AS n, CAST(sum({r}) AS DOUBLE) / sum(n) AS mean,
+             sum(CAST(n AS DOUBLE) * n) AS nn, sum(CAST({r} AS DOUBLE) * {r} / n) AS ff FROM h)))"""
+
+SQL["op9_host_rules"] = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM d),
+l AS (SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM d),
+gs AS (SELECT rid, list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' ')) AS gs
+       FROM w WHERE len(w) >= 8),
+g AS (SELECT rid, unnest(gs) AS g, generate_subscripts(gs, 1) AS i FROM gs),
+rp AS (SELECT rid, i FROM g QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+c AS (SELECT rid, CAST(sum(n) AS BIGINT) AS n FROM (
+        SELECT rid, least(8, coalesce(lead(i) OVER (PARTITION BY rid ORDER BY i) - i, 8)) AS n FROM rp) GROUP BY rid),
+s AS (
+  SELECT d.rid, d.doc_id, d.host, CAST(len(w.w) AS BIGINT) AS n_words,
+    CAST(coalesce(length(array_to_string(w.w, '')), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(d.t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(l.l) - len(list_distinct(l.l)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM d JOIN w USING (rid) JOIN l USING (rid) LEFT JOIN c USING (rid)),
+b AS (SELECT *, n_words < 20 AS ts, 100 * n_repeat_words > 30 * n_words AS rep FROM s),
+h AS (SELECT host, count(*) AS n, CAST(sum(CAST(ts AS INT)) AS BIGINT) AS ts, CAST(sum(CAST(rep AS INT)) AS BIGINT) AS rep
+      FROM b WHERE host IS NOT NULL GROUP BY host),
+""" + ",\n".join(_PRIOR.format(r=r) for r in ("ts", "rep")) + """,
+r AS (SELECT host, greatest((h.ts + pts.mean * pts.strength) / (h.n + pts.strength),
+                            (h.rep + prep.mean * prep.strength) / (h.n + prep.strength)) AS rate FROM h, pts, prep)
+SELECT b.doc_id, b.host, b.n_words, b.word_chars, b.n_symbols, b.n_dup_lines, b.n_repeat_words,
+  b.ts OR b.rep AS base_failed, round(r.rate, 9) AS host_rate,
+  NOT (b.ts OR b.rep) AND NOT coalesce(r.rate > 0.5, false) AS kept
+FROM b LEFT JOIN r ON r.host = b.host
+"""

@@ -3,7 +3,7 @@ parameters, to its whole table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (op1_lineblocks, op2_minhash, op3_repair, op4_ring, op5_templates, op6_packing, op7_qgrams, op8_chat,
                op9_hosts, op10_langid)
@@ -48,7 +48,7 @@ def op8_chat_format(spark, sf_dir):
 
 
 def op9_host_rules(spark, sf_dir):
-    return op9_hosts.judge(_table(spark, sf_dir, "documents"))
+    return op9_hosts.judge(_table(spark, sf_dir, "documents")).withColumn("host_rate", F.round("host_rate", 9))
 
 
 def op10_cross_parsing(spark, sf_dir):
