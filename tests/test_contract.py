@@ -11,7 +11,10 @@ from oracle_check import compare, duck
 SAMPLE = ["funnel_by_brand", "funnel_union", "recs_top10", "brand_age_metrics",
           "brand_user_metrics", "order_brand_age_metrics", "sliding_active_users",
           "sliding_top_brands", "zip_join", "extend_ids", "active_user_histogram",
-          "brand_top10_by", "window_summary", "user_demographics"]
+          "brand_top10_by", "window_summary", "user_demographics", "users_csv_readback", "products_readback",
+          "serving_prefix_scan", "window_key_events", "normalised_events", "coerced_numbers", "named_products",
+          "recommended_items", "views_top10", "order_daily_top_products", "order_daily_top_brands",
+          "order_brand_top5"]
 
 
 def test_entry_smoke(spark):
@@ -23,7 +26,7 @@ def test_entry_smoke(spark):
 def test_oracle_keys_are_queries():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    assert len(q) >= 60
+    assert len(q) >= 85
 
 
 @pytest.fixture(scope="module")

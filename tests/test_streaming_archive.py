@@ -154,3 +154,23 @@ def test_live_queries_drain_stop_and_restart(spark, scratch):
     live.stop_metrics(qs)
     counts = {r.window_start: r.event_count for r in store.latest("event").collect()}
     assert counts[ts("2024-01-01 10:20:00")] == 2 and len(counts) == 5
+
+
+def test_event_time_lookback_finds_late_messages(spark, scratch):
+    """A message that reached the broker two days late is found by its event time; the dates before
+    the start are pruned."""
+    rows = spark.createDataFrame([
+        ("view", "2024-01-10 08:00:00", 1, 2024, 1, 10), ("late", "2024-01-10 09:00:00", 2, 2024, 1, 12),
+        ("edge", "2024-01-11 00:00:00", 3, 2024, 1, 11), ("before", "2024-01-09 23:59:59", 4, 2024, 1, 10),
+        ("after", "2024-01-11 00:00:01", 5, 2024, 1, 11), ("bad", "no time", 6, 2024, 1, 11),
+        ("old", "2024-01-01 00:00:00", 7, 2024, 1, 1)],
+        "event_type STRING, mapped_time STRING, user_id BIGINT, year INT, month INT, day INT")
+    path = scratch + "/archive"
+    rows.write.partitionBy("year", "month", "day").parquet(path)
+    start, end = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11)
+    both = ar.read_event_time(spark, path, start, end)
+    assert {r.event_type for r in both.collect()} == {"view", "late", "edge"}
+    assert {r.event_type for r in ar.read_event_time(spark, path, start).collect()} == {
+        "view", "late", "edge", "after"}
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "make_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
