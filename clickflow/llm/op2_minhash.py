@@ -13,15 +13,18 @@ the same set are one class, and all further work is on classes.
 2. Pairs from the lists. Each member is paired with its list's centre, the member
    whose values are shared most: a number of pairs in proportion to the lists'
    length, which joins the members of a group of copies to few components.
-3. The k smallest values of the union of both sketches estimate the similarity;
-   pairs five standard deviations below the threshold are dropped.
+3. The k smallest values of the union of both sketches estimate the similarity to
+   the centre; members whose estimate lies five standard deviations below 2t - 1,
+   or whose size alone rules 2t - 1 out, count as unlike the centre.
 4. The rest is verified on full sets, recomputed from the whole texts.
 5. Members that belong to other components than their list's centre may still be
-   linked with one another. They (not the members joined to the centre among
-   themselves) are compared with all members of the centre's group, and members
-   unlike the centre with their list, in blocks of ``BLOCK`` full sets: a block
-   pair is one matrix product of set incidences, and returns no more links than it
-   has components to join. No row is made for a pair of members.
+   linked with one another. 1 - similarity is a metric, so a member less than
+   2t - 1 similar to the centre (unlike) has no link to one that is t or more
+   similar to it. Hence members of 2t - 1 or more are compared within the centre's
+   group (not the members joined to the centre among themselves), and unlike
+   members with the members of their list below t, in blocks of ``BLOCK`` full
+   sets: a block pair is one matrix product of set incidences, and returns no more
+   links than it has components to join. No row is made for a pair of members.
 
 Defined results: a null, empty or wordless text has n_shingles 0 and is linked
 with nothing; a row without doc_id is linked with nothing (component_id null,
@@ -120,15 +123,16 @@ def _index(classes: DataFrame, k: int, t: float) -> DataFrame:
             .select("v", "set_id", "n", "score"))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, t: float, percent: int) -> DataFrame:
-    """set_id, o, linked, alike (their similarity) of the pairs (set_id, o, n, on) that the sketches let through."""
+def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, low: float, percent: int) -> DataFrame:
+    """set_id, o, linked, alike (their similarity) of the pairs (set_id, o, n, on) whose sketches allow a similarity
+    of ``low``."""
     sk = classes.select("set_id", "sketch")
     p = (pairs.join(sk.withColumnRenamed("sketch", "sa"), "set_id")
          .join(sk.select(F.col("set_id").alias("o"), F.col("sketch").alias("sb")), "o"))
     p = p.withColumn("u", F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k))
     shared = F.size(F.array_intersect("u", F.array_intersect("sa", "sb")))
     m = F.size("u").cast("double")
-    p = p.where(shared >= t * m - 5 * F.sqrt(m * t * (1 - t))).select("set_id", "o", "n", "on")
+    p = p.where(shared >= low * m - 5 * F.sqrt(m * low * (1 - low))).select("set_id", "o", "n", "on")
     x = sets.withColumnRenamed("values", "va")
     y = sets.select(F.col("set_id").alias("o"), F.col("values").alias("vb"))
     both = F.size(F.array_intersect("va", "vb"))
@@ -186,8 +190,8 @@ def block_links(left: list, right: list, c_left: np.ndarray, c_right: np.ndarray
 
 
 def _grouped_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """set_id, o of links inside the groups of ``members`` (g, set_id, c, oc) that join components: sets of
-    other components than the centre's (oc) against all sets of the group."""
+    """set_id, o of links inside the groups of ``members`` (g, set_id, c, l, r) that join components: the sets with
+    l against those with r."""
     def compare(pdf):
         import pandas as pd
         side = pdf["side"].to_numpy() == 0
@@ -197,14 +201,14 @@ def _grouped_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
         ids_a, ids_b = a["set_id"].to_numpy(), b["set_id"].to_numpy()
         return pd.DataFrame({"set_id": [ids_a[i] for i, _ in found], "o": [ids_b[j] for _, j in found]}, dtype="int64")
 
-    counts = (members.groupBy("g").agg(F.sum((F.col("c") != F.col("oc")).cast("long")).alias("nl"),
-                                       F.count("*").alias("nr")).where("nl > 0")
+    counts = (members.groupBy("g").agg(F.sum(F.col("l").cast("long")).alias("nl"), F.sum(F.col("r").cast("long")).alias("nr"))
+              .where("nl > 0 AND nr > 0")
               .select("g", F.ceil(F.col("nl") / BLOCK).cast("int").alias("bl"), F.ceil(F.col("nr") / BLOCK).cast("int").alias("br")))
     m = members.join(counts, "g").withColumn("h", F.xxhash64("set_id"))
-    left = m.where("c <> oc").select("g", F.expr("pmod(h, bl)").cast("int").alias("i"), F.explode(
+    left = m.where("l").select("g", F.expr("pmod(h, bl)").cast("int").alias("i"), F.explode(
         F.sequence(F.lit(0), F.col("br") - 1)).alias("j"), F.lit(0).alias("side"), "set_id", "c")
-    right = m.select("g", F.explode(F.sequence(F.lit(0), F.col("bl") - 1)).alias("i"),
-                     F.expr("pmod(h, br)").cast("int").alias("j"), F.lit(1).alias("side"), "set_id", "c")
+    right = m.where("r").select("g", F.explode(F.sequence(F.lit(0), F.col("bl") - 1)).alias("i"),
+                                F.expr("pmod(h, br)").cast("int").alias("j"), F.lit(1).alias("side"), "set_id", "c")
     return (left.union(right).join(sets, "set_id").groupBy("g", "i", "j")
             .applyInPandas(compare, "set_id BIGINT, o BIGINT"))
 
@@ -222,20 +226,32 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = K
     best = F.max_by(F.struct("set_id", "n"), F.struct("score", "set_id")).alias("f")
     centres = index.groupBy("v").agg(best).select("v", F.col("f.set_id").alias("o"), F.col("f.n").alias("on"))
     stars = written(index.join(centres, "v").where("set_id <> o").select("v", "set_id", "n", "o", "on"), "stars")
-    sizes = 100 * F.least("n", "on") >= percent * F.greatest("n", "on")
+    # sizes and sketches only rule out similarities below 2t - 1, not links
+    low = max(2 * percent - 100, 0)
+    sizes = 100 * F.least("n", "on") >= low * F.greatest("n", "on")
     pairs = written(stars.where(sizes).select("set_id", "o", "n", "on").distinct(), "pairs")
-    first = written(_verified(pairs, classes, sets, k, t, percent), "links")
+    first = written(_verified(pairs, classes, sets, k, low / 100, percent).where(F.col("alike") >= low / 100), "links")
     edges = first.where("linked").select(F.col("set_id").alias("a"), F.col("o").alias("b"))
     labels = components(edges)
-    # one group per centre of the sets like it, one per list of those that aren't (distances being a metric, a set
-    # a fifth below the threshold can be linked with them, a closer one hardly)
-    unlike = stars.join(first.where(F.col("alike") >= t - 0.15), ["set_id", "o"], "left_anti")
-    groups = first.select(F.xxhash64(F.lit("o"), "o").alias("g"), "set_id", "o").union(
-        unlike.select(F.xxhash64(F.lit("v"), "v").alias("g"), "set_id", "o"))
+    # one group per centre of the sets like it; two per list: its unlike sets against all that aren't linked with the
+    # centre, and those between against the unlike ones
     of = labels.select(F.col("v").alias("set_id"), "c")
-    groups = (groups.join(of, "set_id", "left").withColumn("c", F.coalesce("c", "set_id"))
-              .join(of.select(F.col("set_id").alias("o"), F.col("c").alias("oc")), "o", "left")
-              .select("g", "set_id", "c", F.coalesce("oc", "o").alias("oc")))
+
+    def grouped(members):
+        return (members.join(of, "set_id", "left").withColumn("c", F.coalesce("c", "set_id"))
+                .join(of.select(F.col("set_id").alias("o"), F.col("c").alias("oc")), "o", "left")
+                .withColumn("apart", F.col("c") != F.coalesce("oc", "o")))
+
+    like = grouped(first.select(F.xxhash64(F.lit("o"), "o").alias("g"), "set_id", "o")).select(
+        "g", "set_id", "c", F.col("apart").alias("l"), F.lit(True).alias("r"))
+    rest = (stars.join(first.select("set_id", "o", "linked"), ["set_id", "o"], "left").where("NOT coalesce(linked, false)")
+            .select("v", "set_id", "o", F.col("linked").isNull().alias("unlike")))
+    rest = grouped(rest.join(rest.where("unlike").select("v").distinct(), "v", "left_semi"))
+    below = rest.select(F.xxhash64(F.lit("v"), "v").alias("g"), "set_id", "c", F.expr("apart AND unlike").alias("l"),
+                        F.lit(True).alias("r"))
+    between = rest.select(F.xxhash64(F.lit("w"), "v").alias("g"), "set_id", "c", F.expr("apart AND NOT unlike").alias("l"),
+                          F.col("unlike").alias("r"))
+    groups = like.union(below).union(between.where("l OR r"))
     more = written(_grouped_links(written(groups, "groups"), sets, percent), "more")
     edges = edges.union(more.select(F.col("set_id").alias("a"), F.col("o").alias("b")))
     labels = components(edges)

@@ -73,6 +73,20 @@ def test_chains_and_groups(spark):
         assert got(M.link(df, width, percent)) == brute(rows, width, percent)
 
 
+def test_links_between_members_that_miss_a_hub(spark):
+    rng = random.Random(5)
+    rows, n = [], 0
+    for _ in range(12):  # truncations of a hub's text: the short ones are linked with long ones, not with the hub
+        hub = [f"w{rng.randrange(10 ** 9)}" for _ in range(202)]
+        for size in (202, 202, 182, 162, 145, 130, 117):
+            extra = [f"w{rng.randrange(10 ** 9)}"] if size == 202 else []
+            rows.append((n, " ".join(hub[:size] + extra)))
+            n += 1
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4)
+    for width, percent in ((3, 85), (5, 80)):
+        assert got(M.link(df, width, percent)) == brute(rows, width, percent)
+
+
 def test_edge_rows(spark, edge, none):
     out = [tuple(r) for r in M.link(edge).collect()]
     assert len(out) == edge.count()
