@@ -5,7 +5,9 @@ built. A document is parsed against each automaton from left to right into the
 longest pieces that occur in that language's sample; the language that needs the
 fewest phrases per character wins (ties: the smaller name). The whole text is
 parsed, in lanes of ``LANE`` characters that run through the transition table
-together, one gather per step; a phrase ends at a lane's end.
+together, one gather per step; a phrase ends at a lane's end. Every symbol of the
+samples has its transitions: the ``alphabet - 1`` most frequent ones as columns of
+the table, the others (rare letters, most of a Chinese sample) as sorted keys.
 
 Text is lower-cased, runs of characters that are no letters become one blank.
 
@@ -72,9 +74,8 @@ def letters(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return out[stay], kept[at], np.diff(seen[at])
 
 
-def suffix_automaton(text: list[int], width: int) -> np.ndarray:
-    """Transition table of the automaton of all substrings of ``text`` (symbols 0 to width - 1):
-    next[state, symbol], 0 where there is none; state 1 is the start."""
+def automaton(text: list[int]) -> list[dict[int, int]]:
+    """The moves {symbol: next} of each state of the automaton of all substrings of ``text``; state 1 is the start."""
     nxt, link, size = [{}, {}], [0, 0], [0, 0]
     last = 1
     for c in text:
@@ -102,13 +103,30 @@ def suffix_automaton(text: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
-    table = np.zeros((len(nxt), width), np.int32)
-    for s, moves in enumerate(nxt):
-        for c, t in moves.items():
-            table[s, c] = t
+    return nxt
+
+
+def dense(moves: list[dict[int, int]], width: int) -> np.ndarray:
+    """next[state, symbol] of the symbols below ``width``, 0 where there is none."""
+    table = np.zeros((len(moves), width), np.int32)
+    for s, m in enumerate(moves):
+        for c, t in m.items():
+            if c < width:
+                table[s, c] = t
     return table
 
 
+def sparse(moves: list[dict[int, int]], width: int) -> np.ndarray:
+    """Rows (state, symbol, next) of the symbols from ``width`` on."""
+    return np.array([(s, c, t) for s, m in enumerate(moves) for c, t in m.items() if c >= width], np.int64).reshape(-1, 3)
+
+
+def suffix_automaton(text: list[int], width: int) -> np.ndarray:
+    """Transition table of the automaton of all substrings of ``text`` (symbols 0 to width - 1):
+    next[state, symbol], 0 where there is none; state 1 is the start."""
+    return dense(automaton(text), width)
+
+
 class Model:
     """The automata of all languages in one transition table; states are row offsets in it."""
 
@@ -130,24 +148,44 @@ class Model:
         if not texts:
             return
         sym, n = np.unique(np.concatenate(list(texts.values())), return_counts=True)
-        self.codes = np.sort(sym[np.argsort(-n, kind="stable")][: alphabet - 1])
-        tables, base, roots = [], 0, []
+        often = sym[np.argsort(-n, kind="stable")]
+        often = np.concatenate((np.sort(often[: alphabet - 1]), np.sort(often[alphabet - 1:])))
+        order = np.argsort(often)
+        self.codes, self.code_of = often[order], (order + 1).astype(np.int32)
+        self.n_codes = max(len(often) + 1, alphabet)
+        tables, wide, base, roots = [], [], 0, []
         for lang in self.langs:
-            coded = self.code(texts[lang]).tolist()
-            t = suffix_automaton(coded, alphabet)
-            t[:, 0] = 0  # symbols outside of the alphabet match nothing
+            states = automaton(self.code(texts[lang]).tolist())
+            t = dense(states, alphabet)
             tables.append(np.where(t > 0, (t + base) * alphabet, 0))
+            wide.append(sparse(states, alphabet) + np.array([base, 0, base]))
             roots.append((base + 1) * alphabet)
             base += len(t)
         self.next = np.concatenate(tables).astype(np.int32).reshape(-1)
         self.roots = np.array(roots, np.int32)
-        fresh = self.next[self.roots[:, None] + np.arange(alphabet)[None, :]]
-        self.fresh = np.where(fresh > 0, fresh, self.roots[:, None]).astype(np.int32)
+        state, symbol, to = np.concatenate(wide).T
+        keys = state * self.n_codes + symbol
+        order = np.argsort(keys)
+        self.wide_keys, self.wide_next = keys[order], (to[order] * alphabet).astype(np.int32)
+        start = np.repeat(self.roots[:, None], self.n_codes, 1)
+        fresh = self.moves(start, np.arange(self.n_codes, dtype=np.int32))
+        self.fresh = np.where(fresh > 0, fresh, start).astype(np.int32)
 
     def code(self, symbols: np.ndarray) -> np.ndarray:
-        """1 and more for symbols of the alphabet, 0 for others."""
+        """1 and more for symbols of the samples (below the table's width for frequent ones), 0 for others."""
         i = np.minimum(np.searchsorted(self.codes, symbols), len(self.codes) - 1)
-        return np.where(self.codes[i] == symbols, i + 1, 0).astype(np.int32)
+        return np.where(self.codes[i] == symbols, self.code_of[i], 0).astype(np.int32)
+
+    def moves(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """[language, lane]: the next states for the lanes' symbols ``c``, 0 where there is none."""
+        wide = np.flatnonzero(c >= self.width)
+        if not len(wide):
+            return self.next[state + c]
+        out = self.next[state + np.where(c < self.width, c, 0)]
+        key = state[:, wide].astype(np.int64) // self.width * self.n_codes + c[wide]
+        i = np.minimum(np.searchsorted(self.wide_keys, key), len(self.wide_keys) - 1)
+        out[:, wide] = np.where(self.wide_keys[i] == key, self.wide_next[i], 0)
+        return out
 
     def phrases(self, symbols: np.ndarray, off: np.ndarray) -> np.ndarray:
         """[language, row]: phrases in the cross-parsing of each row."""
@@ -167,7 +205,7 @@ class Model:
         for j in range(int(length[0]) if len(length) else 0):
             m = int(active[j])
             c = coded[start[:m] + j]
-            s = self.next[state[:, :m] + c]
+            s = self.moves(state[:, :m], c)
             fail = s == 0
             count[:, :m] += fail
             state[:, :m] = np.where(fail, self.fresh[:, c], s)

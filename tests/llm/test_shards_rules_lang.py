@@ -173,6 +173,22 @@ def test_automaton_accepts_exactly_the_substrings():
             assert bool(s) == (w in subs)
 
 
+def test_languages_of_wide_alphabets():
+    rng = np.random.default_rng(4)
+    make = lambda first, n: "".join(chr(first + int(c)) for c in rng.integers(0, n, 400))
+    samples = {"en": [make(97, 26) * 5], "ru": [make(0x430, 32) * 2], "zh": [make(0x4E00, 3000)], "zu": [make(0x6E00, 3000)]}
+    m = L.Model(samples)
+    texts = [samples["zh"][0][40:90], samples["zu"][0][200:260], samples["ru"][0][9:80], samples["en"][0][5:50],
+             samples["zh"][0][:7] + samples["zu"][0][3:9] + "\u9fa0" + samples["ru"][0][:9]]
+    buf, off = L.utf8(__import__("pyarrow").array(texts))
+    sym, at, _ = L.letters(buf, off)
+    got = m.phrases(sym, at)
+    assert [[int(n) for n in row] for row in got] == [
+        [parse_brute(symbols(t), symbols(samples[k][0]) + " ") for t in texts] for k in m.langs]
+    langs, scores = m.predict(buf, off)[:2]
+    assert langs[:4] == ["zh", "zu", "ru", "en"] and min(scores[:4]) > 0.9
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = {r.doc_id: r for r in L.identify(docs).collect()}
