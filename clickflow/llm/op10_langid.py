@@ -212,10 +212,11 @@ class Model:
         return np.stack([np.bincount(lane_row, x, minlength=rows) for x in count]) if len(start) else \
             np.zeros((n_lang, rows))
 
-    def predict(self, buf: np.ndarray, off: np.ndarray) -> tuple[list[str], list[float]]:
+    def predict(self, buf: np.ndarray, off: np.ndarray) -> tuple[list[str], list[float], list[int]]:
+        """(language, score, letters) of each row."""
         sym, at, n_letters = letters(buf, off)
         if not self.langs:
-            return ["und"] * (len(off) - 1), [0.0] * (len(off) - 1)
+            return ["und"] * (len(off) - 1), [0.0] * (len(off) - 1), n_letters.tolist()
         rate = self.phrases(sym, at) / np.maximum(np.diff(at), 1)
         best = rate.argmin(0)
         if len(self.langs) > 1:
@@ -225,7 +226,7 @@ class Model:
             score = np.ones(rate.shape[1])
         none = n_letters == 0
         return ([("und" if z else self.langs[b]) for b, z in zip(best.tolist(), none.tolist())],
-                np.where(none, 0.0, score).tolist())
+                np.where(none, 0.0, score).tolist(), n_letters.tolist())
 
 
 def held_out(doc_id):
@@ -253,25 +254,26 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, train_chars: int = TRAI
 
 
 def predict(docs: DataFrame, model: Model, *keep: str, text: str = "text") -> DataFrame:
-    """``keep`` columns, lang_pred and score of every row of ``docs``, from the column ``text`` alone."""
+    """``keep`` columns, lang_pred, score and n_letters of every row of ``docs``, from the column ``text`` alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by languages * train_chars
 
     def run(batches):
         m = shared.value
         for batch in batches:
             buf, off = utf8(batch.column(batch.num_columns - 1))
-            langs, scores = [], []
+            langs, scores, counts = [], [], []
             for a, b in chunks(off):
-                x, y = m.predict(buf[off[a]: off[b]], off[a: b + 1] - off[a])
+                x, y, z = m.predict(buf[off[a]: off[b]], off[a: b + 1] - off[a])
                 langs += x
                 scores += y
+                counts += z
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                [*batch.schema.names[:-1], "lang_pred", "score"])
+                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
+                 pa.array(counts, pa.int64())], [*batch.schema.names[:-1], "lang_pred", "score", "n_letters"])
 
     src = docs.select(*keep, F.col(text).cast("string").alias("__text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]),
-                        "lang_pred STRING", "score DOUBLE"])
+                        "lang_pred STRING", "score DOUBLE", "n_letters BIGINT"])
     return src.mapInArrow(run, schema)
 
 

@@ -17,9 +17,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without a letter go."""
+    """Documents with a letter, also if no language could be learned; the others go."""
     model = op10_langid.fit(docs)
-    return op10_langid.predict(docs, model, *COLUMNS).where("lang_pred <> 'und'").select(COLUMNS)
+    return op10_langid.predict(docs, model, *COLUMNS).where("n_letters > 0").select(COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,13 @@ def test_run_on_edges(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/e/documents.parquet")
     spark.createDataFrame([], "item_id BIGINT, text STRING").write.parquet(f"{tmp_path}/e/benchmark.parquet")
     assert P.run(spark, f"{tmp_path}/e").count() == 0
+
+
+def test_language_stage_without_labels(spark):
+    schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+    plain = [(d, t, None, s, n) for d, t, _, s, n in EDGE]
+    want = sorted((d or -1, t) for d, t, *_ in EDGE if re.search(r"[^\W\d_]", t or ""))
+    held = [(d, t, "en" if d == 2 else None, s, n) for d, t, _, s, n in plain]  # the one labelled row has no text
+    for rows in (plain, held, [(d, t, "und", s, n) for d, t, _, s, n in plain]):
+        out = P.language_id(spark, spark.createDataFrame(rows, schema), SF).collect()
+        assert sorted((r.doc_id or -1, r.text) for r in out) == want
