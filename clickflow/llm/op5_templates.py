@@ -1,21 +1,26 @@
 """Line dedup by a log-template tree.
 
 Every line with a word is parsed at fixed depth: by its number of tokens, then by
-its ``LEAD`` leading tokens, to a leaf. Tokens with a digit are variable fields.
+its ``LEAD`` leading tokens, to a leaf. Tokens with a digit are variable fields,
+unless nine tenths of the line are (rows of numbers recur if they are the same).
 Inside a leaf the line stands for several templates: the one of all its tokens,
 and, from ``MIN_GENERAL`` tokens on, one for each third of the tokens behind the
 leading ones with that third as a variable field. So lines that differ in numbers
 or within one stretch of text meet in a template, and templates are keys: leaves
 are counted, never gathered.
 
-A template recurs if unrelated documents have it: ``min_docs`` distinct document
-signatures at least, plus a fifth of the number of documents it stands in. A
-signature is the smallest word-pair hash of a document, which copies and near
-copies share nearly always, as do documents that consist of little else than the
-same lines; so the lines of a text that was merely copied a thousand
-times don't count as templates (near-dedup's business), while a notice in a
-thousand different texts does. Lines of recurring templates are dropped from every
-document; lines of fewer than ``min_tokens`` tokens are left alone.
+A template recurs if more than ``min_docs`` unrelated documents have it, however many copies
+there are of any of them. A document has ``HASHES`` signatures for a line: the
+smallest word-pair hashes of its other lines, by as many hash functions. Of the
+documents with a template those count that are the first with ``NEW`` of their
+signatures at least: a copy shares all with the first one, a near copy most (if a
+share e of its word pairs is its own, all but about 28 e^6 of the near copies), as
+do documents that consist of little else than the same lines. So the lines of a text
+that was merely copied a
+thousand times don't count as templates (near-dedup's business), while a notice in
+different texts does, however long it is and however often one of them was copied.
+Lines of recurring templates are dropped from every document; lines of fewer than
+``min_tokens`` tokens are left alone.
 
 Defined results: a null text stays null and has no lines; blank lines and empty
 texts stay as they are; a document all of whose lines recur gets the empty text;
@@ -29,36 +34,57 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, mix, shingles, utf8, words, written
+from .common import chunks, mix, utf8, words, written
 
-LEAD, MIN_GENERAL, MIN_TOKENS, MIN_DOCS, OWN_SHARE, PARTS = 2, 8, 3, 20, 0.2, 3
+LEAD, MIN_GENERAL, MIN_TOKENS, MIN_DOCS, PARTS, HASHES, NEW = 2, 8, 3, 8, 3, 8, 6
 
 _DIGIT = np.zeros(256, np.uint8)
 _DIGIT[0x30:0x3A] = 1
 _FIELD = np.uint64(0x5851F42D4C957F2D)
 _FIELDS = mix(np.arange(1, PARTS + 1, dtype=np.uint64) ^ _FIELD)
+_SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64))
+_NONE = np.uint64(np.iinfo(np.uint64).max)
+SIGS = [f"s{i}" for i in range(HASHES)]
+
+
+def outside(h: np.ndarray, start: np.ndarray, n: np.ndarray, row: np.ndarray) -> list[np.ndarray]:
+    """For each hash function the signature of each line (its words begin at ``start``): the smallest word-pair hash
+    of the row's lines with another smallest one; a line of one word has the word's."""
+    pair = mix(h * _SEEDS[0] + np.append(h[1:], h[:1]))
+    last = start + n - 1
+    pair[last] = h[last]
+    alone = n == 1
+    begin = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+    of = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(row))))
+    out = []
+    for seed in _SEEDS:
+        x = mix(pair ^ seed)
+        x[last[~alone]] = _NONE
+        line = np.minimum.reduceat(x, start)
+        first = np.minimum.reduceat(line, begin)[of]
+        second = np.minimum.reduceat(np.where(line == first, _NONE, line), begin)[of]
+        out.append((np.where(line == first, second, first) >> np.uint64(32)).astype(np.uint32).view(np.int32))
+    return out
 
 
 def templates(buf: np.ndarray, off: np.ndarray, lead: int = LEAD, min_general: int = MIN_GENERAL,
               min_tokens: int = MIN_TOKENS):
-    """(row, line number, template key) of every line that is long enough, and each row's signature."""
+    """(row, line number, template key, signatures) of every template of the lines that are long enough."""
     row, first, size, h = words(buf, off)
-    n_rows = len(off) - 1
     if not len(h):
         z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(n_rows, np.int64)
-    sig = np.full(n_rows, np.iinfo(np.uint64).max, np.uint64)
-    r, pairs = shingles(row, h, n_rows, 2)
-    begin = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
-    sig[r[begin]] = np.minimum.reduceat(pairs, begin)
+        return z, z, z, [np.zeros(0, np.int32)] * HASHES
     digits = np.concatenate(([0], np.cumsum(_DIGIT[buf])))
-    h = np.where(digits[first + size] > digits[first], _FIELD, h)
+    field = digits[first + size] > digits[first]
     breaks = np.flatnonzero(buf == 10)
     before = np.searchsorted(breaks, first)  # line ends before each word, over all rows
     line = before - np.searchsorted(breaks, off)[row]
     start = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (line[1:] != line[:-1])))
     n = np.diff(np.append(start, len(h)))
     pos = np.arange(len(h)) - np.repeat(start, n)
+    sigs = outside(h, start, n, row[start])
+    mostly = 10 * np.add.reduceat(field.astype(np.int64), start) > 9 * n
+    h = np.where(field & ~np.repeat(mostly, n), _FIELD, h)
     # the path: token count and leading tokens; then the sum of the tokens with their places
     placed = mix(h + mix(pos.astype(np.uint64) + np.uint64(1)))
     total = np.add.reduceat(placed, start)
@@ -69,14 +95,14 @@ def templates(buf: np.ndarray, off: np.ndarray, lead: int = LEAD, min_general: i
     of_n = np.repeat(n, n)
     part = np.where(pos < lead, PARTS, (pos - lead) * PARTS // np.maximum(of_n - lead, 1))
     long_enough = n >= min_tokens
-    keys, lines_, rows = [mix(leaf ^ total)[long_enough]], [line[start][long_enough]], [row[start][long_enough]]
+    keys, at = [mix(leaf ^ total)[long_enough]], [np.flatnonzero(long_enough)]
     general = n >= min_general
     for j in range(PARTS):
         field = np.add.reduceat(np.where(part == j, placed, np.uint64(0)), start)
         keys.append(mix((leaf ^ (total - field)) + _FIELDS[j])[general])
-        lines_.append(line[start][general])
-        rows.append(row[start][general])
-    return np.concatenate(rows), np.concatenate(lines_), np.concatenate(keys).view(np.int64), sig.view(np.int64)
+        at.append(np.flatnonzero(general))
+    at = np.concatenate(at)
+    return row[start][at], line[start][at], np.concatenate(keys).view(np.int64), [x[at] for x in sigs]
 
 
 def _row_id():
@@ -85,31 +111,32 @@ def _row_id():
 
 
 def line_templates(docs: DataFrame, **options) -> DataFrame:
-    """rid, sig, line, key: a row per line and template of ``docs`` (doc_id, text)."""
+    """rid, line, key, signatures: a row per line and template of ``docs`` (doc_id, text)."""
     def run(batches):
         for batch in batches:
             rid = np.asarray(batch.column("rid"))
             buf, off = utf8(batch.column("text"))
             for a, b in chunks(off):
-                row, line, key, sig = templates(buf[off[a]: off[b]], off[a: b + 1] - off[a], **options)
+                row, line, key, sigs = templates(buf[off[a]: off[b]], off[a: b + 1] - off[a], **options)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid[a:b][row]), pa.array(sig[row]), pa.array(line, pa.int32()), pa.array(key)],
-                    ["rid", "sig", "line", "key"])
+                    [pa.array(rid[a:b][row]), pa.array(line, pa.int32()), pa.array(key), *map(pa.array, sigs)],
+                    ["rid", "line", "key", *SIGS])
 
     return docs.select(_row_id().alias("rid"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "rid BIGINT, sig BIGINT, line INT, key BIGINT")
+        run, "rid BIGINT, line INT, key BIGINT, " + ", ".join(f"{x} INT" for x in SIGS))
 
 
 def recurring(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """key of every template that stands in enough unrelated documents of ``lines`` (rid, sig, line, key).
-
-    Counted in two steps: a template's lines (combined before the shuffle) leave few candidates, for
-    which distinct documents and signatures are counted."""
-    often = lines.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("key")
-    docs = lines.join(often, "key").groupBy("key", "sig", "rid").agg(F.lit(1).alias("one"))
-    sigs = docs.groupBy("key", "sig").agg(F.count("*").alias("n"))
-    both = sigs.groupBy("key").agg(F.count("*").alias("sigs"), F.sum("n").alias("docs"))
-    return both.where(F.col("sigs") >= min_docs + OWN_SHARE * F.col("docs")).select("key")
+    """key of every template that stands in enough unrelated documents of ``lines`` (rid, line, key, signatures).
+
+    Counted in steps: a template's lines (combined before the shuffle) leave few candidates, copies are
+    combined, and each signature of a template goes to the first document that has it."""
+    often = lines.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > min_docs).select("key")
+    docs = lines.join(often, "key").groupBy("key", *SIGS).agg(F.min("rid").alias("rid"))
+    sig = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(x).alias("sig")) for i, x in enumerate(SIGS)])).alias("s")
+    first = docs.select("key", "rid", sig).groupBy("key", "s").agg(F.min("rid").alias("rid"))
+    new = first.groupBy("key", "rid").agg(F.countDistinct("s.i").alias("n")).where(F.col("n") >= NEW)
+    return new.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > min_docs).select("key")
 
 
 def drop_templates(docs: DataFrame, min_docs: int = MIN_DOCS, **options) -> DataFrame:

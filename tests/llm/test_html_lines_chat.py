@@ -108,6 +108,26 @@ def test_templates_generalise_and_copies_do_not_count(spark):
     assert all("copies of one text" in out[100 + i] for i in range(400))
 
 
+def test_templates_of_hot_copies_near_copies_and_long_passages(spark):
+    import random
+    rng = random.Random(2)
+    body = lambda n: [f"{''.join(rng.choices('abcdefghij', k=9))}" for _ in range(n)]
+    notice, passage = "a notice that stands in many texts", " ".join(body(90))
+    one = " ".join(body(40))
+    rows = [(i, " ".join(body(40)) + "\n" + notice) for i in range(40)]
+    rows += [(1000 + i, f"{one}\n{notice}") for i in range(600)]  # copies of one of them
+    rows += [(2000 + i, " ".join(body(12)) + "\n" + passage) for i in range(12)]  # a long passage in short texts
+    near = [body(10) for _ in range(20)]
+    for i in range(400):  # near copies, a line of each an edited one
+        lines = [list(x) for x in near]
+        lines[rng.randrange(20)] = body(10)
+        rows.append((3000 + i, "\n".join(map(" ".join, lines))))
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3)
+    out = {r.doc_id: r.text for r in T.drop_templates(df).collect()}
+    for d, t in rows:
+        assert out[d] == (t if d >= 3000 else t.split("\n")[0]), d
+
+
 def test_line_edges(spark, edge, none):
     out = T.drop_templates(edge).collect()
     assert sorted((r.doc_id or -1, r.text or "") for r in out) == sorted((d or -1, t or "") for d, t, *_ in EDGE)
