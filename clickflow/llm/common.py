@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 #: Python regular expression of the words that all word-based operators use.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,6 +42,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, order: list[Column], label: str, name: str = "at") -> DataFrame:
+    """``df`` written in ``order`` with each row's place 0, 1, ... over the whole table.
+
+    Rows are dealt by ranges of ``order``, so a hot key is spread as far as the rest of the
+    order tells its rows apart; the places before a partition are one number a partition,
+    which is what is broadcast."""
+    ties = F.monotonically_increasing_id()  # equal rows are dealt by their place in the input
+    df = df.withColumn("__tie", ties).repartitionByRange(*order, "__tie").sortWithinPartitions(*order, "__tie")
+    df = written(df.withColumns({"__part": F.spark_partition_id(), "__id": F.monotonically_increasing_id()})
+                 .drop("__tie"), label)
+    sizes = df.groupBy("__part").agg(F.count("*").alias("__n"), F.min("__id").alias("__first"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("__part", (before - F.col("__first")).alias("__shift"))
+    return (df.join(F.broadcast(sizes), "__part").withColumn(name, F.col("__id") + F.col("__shift"))
+            .drop("__part", "__id", "__shift"))
+
+
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of an Arrow string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

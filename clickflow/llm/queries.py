@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (op1_lineblocks, op2_minhash, op3_repair, op4_ring, op5_templates, op6_packing, op7_qgrams, op8_chat,
-               op9_hosts, op10_langid)
+               op9_hosts, op10_langid, op11_structure, op12_mixing, op13_divergence)
 from .oracle_sql import SQL  # noqa: F401
 
 
@@ -55,6 +55,19 @@ def op10_cross_parsing(spark, sf_dir):
     return op10_langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_structure_repair(spark, sf_dir):
+    return op11_structure.repaired_digests(_table(spark, sf_dir, "conversations"))
+
+
+def op12_pareto_mixing(spark, sf_dir):
+    return op12_mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark, sf_dir):
+    return op13_divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_blocks, op2_minhash_neardup, op3_repair_shards, op4_ring_shards, op5_template_lines,
-    op6_retrieval_packing, op7_qgram_matches, op8_chat_format, op9_host_rules, op10_cross_parsing)}
+    op6_retrieval_packing, op7_qgram_matches, op8_chat_format, op9_host_rules, op10_cross_parsing,
+    op11_structure_repair, op12_pareto_mixing, op13_source_divergence)}
