@@ -50,10 +50,6 @@ def coerce_numeric(c: Column, default: float | None = 0.0) -> Column:
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
-def truncate_label(c: Column, n: int) -> Column:
-    return F.substring(c, 1, n)
-
-
 def day_of_log(event_time_str: Column) -> Column:
     """Day-of-month of a ``yyyy-MM-dd ...`` string (characters 9-10)."""
     return F.substring(event_time_str, 9, 2).try_cast("int")

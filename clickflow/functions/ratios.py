@@ -39,8 +39,3 @@ def safe_float(x, decimals: int = 4) -> Column:
 def safe_int(x) -> Column:
     """NULL to 0, truncated toward zero."""
     return F.coalesce(_c(x).cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
-
-
-def to_double_money(x) -> Column:
-    """Exact DECIMAL sum carried to DOUBLE at the end."""
-    return _c(x).cast("double")

@@ -7,17 +7,18 @@ join and every later shuffle carry at most one row per user-brand pair and a
 hot user or brand is combined map-side. Distinct users per (brand, age
 group) are then counts of rows; per brand they are sums over age groups
 (a user has exactly one age group). The dominant age group comes from the
-same (brand, age_group) aggregate with ``min_by``, so no window or extra
-join is needed.
+same (brand, age_group) aggregate as a maximum of numbers, so no window, sort
+or extra join is needed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.functions.demographics import age_band_a, exact_age
+from clickflow.functions.demographics import BAND_A_REST, BANDS_A, age_band_a, exact_age
 from clickflow.functions.ratios import guarded_ratio
+from clickflow.operators.recommend import segment_of_user
 from clickflow.plans.joins import materialize, one_per_user
 from clickflow.functions.timefns import ntz_lit
 
@@ -93,10 +94,28 @@ def brand_records(metrics: DataFrame, run_id: str, created_at, n: int | None = T
 def brand_age_event_counts(events: DataFrame, segments: DataFrame) -> DataFrame:
     """Events per (brand, age_group) for known users."""
     ub = user_brand_activity(events, revenue_default_zero=False)
-    j = ub.join(one_per_user(segments, "age_group"), "user_id", "inner")
+    j = ub.join(segment_of_user(segments), "user_id", "inner")
     return j.groupBy("brand", "age_group").agg(F.sum("n_events").alias("events_count"))
 
 
+_GROUPS = [label for _, label in BANDS_A] + [BAND_A_REST]
+
+
+def _vote(count: Column) -> Column:
+    """A number that is greatest for the age group with the most events, and among equals
+    for the smaller label: count and the group's place from the end, in one whole number
+    (a maximum of numbers is a hash aggregate)."""
+    place = F.array_position(F.array(*[F.lit(g) for g in _GROUPS]), F.col("age_group"))
+    return (count.cast("decimal(20,0)") * 10 + (9 - place)).cast("decimal(23,0)")
+
+
+def _voted(vote: str) -> tuple[Column, Column]:
+    """(age group, its count) of a vote."""
+    place = (9 - F.col(vote) % 10).cast("int")
+    return (F.element_at(F.array(*[F.lit(g) for g in _GROUPS]), place),
+            F.floor(F.col(vote) / 10).cast("bigint"))
+
+
 def brand_user_metrics(events: DataFrame, segments: DataFrame) -> DataFrame:
     """User-based brand metrics (events INNER users):
 
@@ -106,7 +125,7 @@ def brand_user_metrics(events: DataFrame, segments: DataFrame) -> DataFrame:
     most events (ties: smaller label).
     """
     ub = user_brand_activity(events, revenue_default_zero=False)
-    j = ub.join(one_per_user(segments, "age_group"), "user_id", "inner")
+    j = ub.join(segment_of_user(segments), "user_id", "inner")
     per_age = j.groupBy("brand", "age_group").agg(
         F.count(F.lit(1)).alias("users"),
         *[F.count(F.when(F.col(f"n_{s}") > 0, F.lit(1))).alias(f"users_{s}") for s in STAGES],
@@ -122,24 +141,22 @@ def brand_user_metrics(events: DataFrame, segments: DataFrame) -> DataFrame:
         F.sum("n_cart").alias("total_cart_adds"),
         F.sum("n_purchase").alias("total_purchases"),
         F.sum("revenue").cast("double").alias("total_revenue"),
-        F.min_by("age_group", F.struct((-F.col("events_count")).alias("k"),
-                                        F.col("age_group").alias("g"))).alias("age_group"))
+        F.max(_vote(F.col("events_count"))).alias("vote"))
     return m.select(
         "brand", "unique_users", "viewers", "cart_users", "buyers", "total_views",
         "total_cart_adds", "total_purchases", "total_revenue",
         guarded_ratio(F.col("cart_users"), F.col("viewers")).alias("view_to_cart_rate"),
         guarded_ratio(F.col("buyers"), F.col("cart_users")).alias("cart_to_purchase_rate"),
         guarded_ratio(F.col("buyers"), F.col("viewers")).alias("overall_conversion_rate"),
-        "age_group")
+        _voted("vote")[0].alias("age_group"))
 
 
 def dominant_age_group(events: DataFrame, segments: DataFrame) -> DataFrame:
     """brand, age_group with the most events (ties: smaller label), events_count."""
     c = brand_age_event_counts(events, segments)
-    best = c.groupBy("brand").agg(
-        F.min_by(F.struct("age_group", "events_count"),
-                 F.struct((-F.col("events_count")).alias("k"), F.col("age_group").alias("g"))).alias("b"))
-    return best.select("brand", "b.age_group", "b.events_count")
+    best = c.groupBy("brand").agg(F.max(_vote(F.col("events_count"))).alias("vote"))
+    group, count = _voted("vote")
+    return best.select("brand", group.alias("age_group"), count.alias("events_count"))
 
 
 def top_brands_by(metrics: DataFrame, col: str, n: int, tie: tuple[str, ...] = ("brand",)) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickflow.functions.demographics import age_band_b, calendar_age
+from clickflow.plans.joins import extreme_rows
 
 
 def user_demographics(users: DataFrame, as_of) -> DataFrame:
@@ -31,14 +32,10 @@ def distinct_categories(events: DataFrame) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, key: str, order: str, cols: list[str]) -> DataFrame:
-    """Keep the first row per ``key`` by ascending ``order``.
-
-    An aggregate (``min_by``), not a window: it combines map-side, so a key
-    holding a third of all rows never lands whole in one task.
-    """
-    s = F.struct(*[F.col(c) for c in cols])
-    return (df.groupBy(key).agg(F.min_by(s, F.col(order)).alias("_first"))
-              .select(key, *[F.col(f"_first.{c}").alias(c) for c in cols]))
+    """Keep the first row per ``key`` by ascending ``order`` (of rows that tie, the one that
+    sorts first; rows without ``order`` don't count; NULL is a key)."""
+    rows = df.select(key, F.col(order).alias("_by"), *[c for c in cols if c != key])
+    return extreme_rows(rows, [key], F.col("_by"), newest=False).drop("_by")
 
 
 def name_products(products: DataFrame, category_names: DataFrame,

@@ -19,24 +19,40 @@ def events_per_day(events: DataFrame, ts: str = "event_time") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("event_count")))
 
 
-def events_per_day_of_month(events: DataFrame, ts: str = "event_time") -> DataFrame:
-    return (events.groupBy(F.dayofmonth(F.col(ts)).alias("day_of_month"))
-            .agg(F.count(F.lit(1)).alias("event_count")))
-
-
 def events_per_hour(events: DataFrame, ts: str = "event_time") -> DataFrame:
     return (events.groupBy(F.hour(F.col(ts)).alias("hour"))
             .agg(F.count(F.lit(1)).alias("event_count")))
 
 
-def distinct_counts(events: DataFrame) -> DataFrame:
-    """Distinct products, categories, users, brands (NULL not counted)."""
-    return events.agg(
-        F.count_distinct("product_id").alias("products"),
-        F.count_distinct("category_code").alias("categories"),
-        F.count_distinct("user_id").alias("users"),
-        F.count_distinct("brand").alias("brands"),
-        F.count(F.lit(1)).alias("events"))
+def _distinct_ids(df: DataFrame, col: str, name: str) -> DataFrame:
+    """One row: how many different whole numbers ``col`` holds (NULL not counted), and the rows.
+
+    64 neighbouring ids share one word, an id is one of its bits: words are combined by a
+    hash aggregate before the shuffle (the bitmap functions over larger buckets hold binary
+    buffers, which Spark aggregates by sorting), and the counts of their bits add up."""
+    id_ = F.col(col).cast("bigint")
+    words = df.groupBy(F.shiftright(id_, 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), id_.bitwiseAND(63).cast("int"))).alias("bits"),
+        F.count(F.lit(1)).alias("rows"))
+    return words.agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).cast("bigint").alias(name),
+                     F.coalesce(F.sum("rows"), F.lit(0)).alias("events"))
+
+
+def distinct_counts(events: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:
+    """Distinct products, categories, users, brands (NULL not counted) and events.
+
+    Ids are counted by bitmaps, each from a scan of its own column; labels by their
+    distinct values. With ``catalogue`` (product_id, category_code, brand; one row per
+    product) the labels are those of the products that occur, so events join nothing."""
+    users = _distinct_ids(events.select("user_id"), "user_id", "users")
+    products = _distinct_ids(events.select("product_id"), "product_id", "products").drop("events")
+    labels = events if catalogue is None else events.select("product_id").distinct().join(
+        catalogue.select("product_id", "category_code", "brand"), "product_id")
+    pairs = labels.select("category_code", "brand").distinct()
+    one = lambda c, name: pairs.select(c).dropna().distinct().agg(F.count(F.lit(1)).alias(name))
+    # four frames of one row each
+    return (users.crossJoin(products).crossJoin(one("category_code", "categories")).crossJoin(one("brand", "brands"))
+            .select("products", "categories", "users", "brands", "events"))
 
 
 def lookback_distribution(events: DataFrame, as_of, hours: float = 24, ts: str = "event_time") -> DataFrame:

@@ -6,13 +6,12 @@ per (age_group, product); rank by score desc, product_id asc; keep k.
 Plan shape: events are first reduced to one row per (user, product) with
 0/1 stage flags, event count and purchase revenue (map-side combined, so a
 hot user or product collapses before the shuffle). Only that reduced table
-is joined to the users dimension (size-checked broadcast, shuffle join above
-the cap); since a user has one segment, distinct users per (segment,
-product) are then plain sums of the flags, with no distinct aggregation.
+is joined to the users dimension (no hint: adaptive execution broadcasts a side
+that is small at run time); since a user has one segment, distinct users per
+(segment, product) are then plain sums of the flags, with no distinct aggregation.
 The top-k runs as a window limited per segment (Spark plans
 ``row_number() <= k`` as WindowGroupLimit, partial before the shuffle). Names come
-from the catalogue by a left join of the tiny ranked list with a
-size-checked broadcast of the compact catalogue projection.
+from the catalogue by a left join of the tiny ranked list.
 """
 
 from __future__ import annotations
@@ -58,9 +57,14 @@ def segment_activity_from(joined: DataFrame) -> DataFrame:
     return joined.groupBy("age_group").agg(F.sum("n_events").alias("events_count"))
 
 
+def segment_of_user(segments: DataFrame) -> DataFrame:
+    """user_id, age_group: one row per user, of the least known age (bands ascend with age,
+    and an unknown age has the last one). A number's minimum is a hash aggregate; a label's isn't."""
+    return one_per_user(segments, "age").select("user_id", age_band_a(F.col("age")).alias("age_group"))
+
+
 def _joined(events: DataFrame, segments: DataFrame) -> DataFrame:
-    return user_product_activity(events).join(
-        one_per_user(segments, "age_group"), "user_id", "inner")
+    return user_product_activity(events).join(segment_of_user(segments), "user_id", "inner")
 
 
 def segment_activity(events: DataFrame, segments: DataFrame) -> DataFrame:
@@ -106,11 +110,11 @@ def recommendation_records(recs: DataFrame, run_id: str, created_at, k: int = TO
                     F.coalesce(F.col("product_name"), F.lit(UNKNOWN_NAME)).alias("product_name"),
                     F.col("recommendation_score").alias("score"),
                     "views", "add_to_cart", "purchases")
-    # one pivot over the k ranks (a single aggregate, one row per segment);
-    # the pivot names its columns "<rank>_<field>", renamed in one step
-    wide = (r.groupBy("age_group").pivot("rank", list(range(1, k + 1)))
-             .agg(*[F.max(f).alias(f) for f in WIDE_FIELDS]))
-    wide = wide.toDF("age_group", *[f"rank_{i}_{f}" for i in range(1, k + 1) for f in WIDE_FIELDS])
+    # a segment's list, k entries at most, as a map from rank to its fields
+    entry = F.struct("rank", F.struct(*WIDE_FIELDS))
+    lists = r.filter(F.col("rank") <= k).groupBy("age_group").agg(F.map_from_entries(F.collect_list(entry)).alias("_of"))
+    wide = lists.select("age_group", *[F.col("_of")[i][f].alias(f"rank_{i}_{f}")
+                                       for i in range(1, k + 1) for f in WIDE_FIELDS])
     return wide.select(
         F.concat(F.lit(f"{run_id}_segment_"), F.col("age_group")).alias("row_key"),
         "age_group", F.lit("demographic").alias("segment_type"),
@@ -119,5 +123,5 @@ def recommendation_records(recs: DataFrame, run_id: str, created_at, k: int = TO
 
 
 __all__ = ["user_segments", "user_product_activity", "segment_activity",
-           "segment_product_stats", "recommend", "recommendation_records", "BAND_A_REST",
+           "segment_of_user", "segment_product_stats", "recommend", "recommendation_records", "BAND_A_REST",
            "N_SEGMENTS"]

@@ -6,13 +6,17 @@ Structured Streaming:
 * ``mode="stream"``: the direct form the streaming layer needs — one
   stateful aggregation over ``window(ts)`` with ``approx_count_distinct``
   (exact distinct and chained aggregations are not allowed in update mode).
-* ``mode="batch"``: events are first combined per (minute, key) — every
-  window boundary is a whole minute, so the minute bucket decides window
-  membership — and only those partial rows are expanded into their five
-  windows. That cuts the 5x expansion to distinct (minute, key) rows and
-  lets a hot key combine map-side. Distinct users are exact. Results are
-  grouped by ``window_start``, so per-window tables are co-partitioned for
-  the joins and rankings that follow.
+* ``mode="batch"``: every window boundary is a whole minute, so the minute
+  bucket decides window membership. Sums per window are differences: a minute
+  adds its counts at the first window that holds it and takes them back after
+  the last, and a running sum over the minutes of the log gives every window.
+  Distinct users are exact by the same means: the minutes of a user, merged into
+  runs of windows, add one at the start of a run and take it back after its end
+  (no distinct aggregate, no fan-out of users). Metrics with a key per window
+  combine events per (minute, key) first and only expand those rows into their
+  five windows. A hot key combines map-side in all of them.
+* ``mode="sketch"`` (active users): one mergeable distinct sketch per minute,
+  which can be stored, and windows as unions of five of them.
 
 Output columns are the same in both modes (``window_start``, ``window_end``
 + metric columns).
@@ -23,10 +27,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickflow.functions.timefns import ntz_lit
+
 # Window length, slide, watermark delay, top-list length.
 WINDOW = "5 minutes"
 WINDOW_MINUTES = 5
 SLIDE = "1 minute"
+STAGES = ("view", "cart", "purchase")
 WATERMARK = "10 minutes"
 TOP_K = 10
 
@@ -57,26 +64,122 @@ def _avg(sum_col: str, cnt_col: str) -> Column:
     return F.try_divide(F.sum(sum_col).cast("double"), F.sum(cnt_col))
 
 
+# --- windows by differences -----------------------------------------------------
+
+def _minute_number(ts: str) -> Column:
+    """Whole minutes since 1970 of a TIMESTAMP_NTZ (independent of the session zone)."""
+    return F.floor(F.unix_timestamp(F.col(ts)) / 60).cast("bigint")
+
+
+def _minute_time(number: Column) -> Column:
+    return ntz_lit("1970-01-01") + F.make_dt_interval(F.lit(0), F.lit(0), number.cast("int"))
+
+
+def _user_runs(events: DataFrame, ts: str, **when: Column | None) -> DataFrame:
+    """w, and per name of ``when`` the change of the number of distinct users from window w - 1
+    to window w (windows named by their start minute), among the events its condition holds for.
+
+    One row per user is shuffled, with its distinct minutes: at most the minutes of the log."""
+    known = events.filter(F.col("user_id").isNotNull()).select(
+        "user_id", *[F.when(F.lit(True) if c is None else c, _minute_number(ts)).alias(n) for n, c in when.items()])
+    sets = known.groupBy("user_id").agg(*[F.sort_array(F.collect_set(n)).alias(n) for n in when])
+    names = list(when)
+
+    def changes(name: str) -> Column:
+        m, k = F.col(name), WINDOW_MINUTES
+        starts = F.filter(m, lambda x, i: (i == 0) | (x - F.get(m, i - 1) > k))
+        ends = F.filter(m, lambda x, i: (i == F.size(m) - 1) | (F.get(m, i + 1) - x > k))
+        row = lambda w, d: F.struct(w.alias("w"), *[
+            F.lit(d if n == name else 0).cast("bigint").alias(n) for n in names])
+        return F.concat(F.transform(starts, lambda x: row(x - (k - 1), 1)), F.transform(ends, lambda x: row(x + 1, -1)))
+
+    rows = sets.select(F.inline(F.concat(*[changes(n) for n in names])))
+    return rows.groupBy("w").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def _minute_changes(minutes: DataFrame, cols: list[str]) -> DataFrame:
+    """w and the changes of the sums ``cols`` (one row per minute in ``minutes``: minute number m
+    and ``cols``); every window that holds one of the minutes has a row."""
+    k = WINDOW_MINUTES
+    step = F.explode(F.sequence(F.lit(0), F.lit(k))).alias("step")
+    sign = F.when(F.col("step") == 0, 1).when(F.col("step") == k, -1).otherwise(0)
+    return minutes.select("*", step).select((F.col("m") - (k - 1) + F.col("step")).alias("w"),
+                                            *[(F.col(c) * sign).alias(c) for c in cols])
+
+
+def _running(changes: list[DataFrame], cols: list[str]) -> DataFrame:
+    """w and the running sums of ``cols`` over the changes, frames with w and some of the columns.
+
+    Sums run within a day of windows; what the days before add up to is one row a day."""
+    rows = changes[0]
+    for c in changes[1:]:
+        rows = rows.unionByName(c, allowMissingColumns=True)
+    per = rows.groupBy("w").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols])
+    per = per.withColumn("day", F.floor(F.col("w") / 1440))
+    whole = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = per.groupBy("day").agg(*[F.sum(c).alias(c) for c in cols]).select(
+        "day", *[F.coalesce(F.sum(c).over(whole), F.lit(0)).alias(f"_{c}") for c in cols])
+    inside = Window.partitionBy("day").orderBy("w").rowsBetween(Window.unboundedPreceding, 0)
+    # one row for each day of the log
+    return per.join(F.broadcast(days), "day").select(
+        "w", *[(F.sum(c).over(inside) + F.col(f"_{c}")).alias(c) for c in cols])
+
+
+def _window_bounds(rows: DataFrame) -> DataFrame:
+    """``rows`` with w as window_start and window_end."""
+    start = _minute_time(F.col("w"))
+    return rows.select(start.alias("window_start"),
+                       (start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(WINDOW_MINUTES))).alias("window_end"),
+                       *[c for c in rows.columns if c != "w"])
+
+
 def active_users(events: DataFrame, ts: str = "event_time", mode: str = "batch") -> DataFrame:
     """window_start, window_end, active_users, total_events."""
     if mode == "stream":
         g = events.groupBy(_win(F.col(ts))).agg(
             F.approx_count_distinct("user_id").alias("active_users"),
             F.count(F.lit(1)).alias("total_events"))
-    else:
-        return _finish_active(events.groupBy(_minute(ts), "user_id").agg(F.count(F.lit(1)).alias("n")))
-    return g.select(*_bounds(), "active_users", "total_events")
+        return g.select(*_bounds(), "active_users", "total_events")
+    timed = events.filter(F.col(ts).isNotNull())
+    minutes = timed.groupBy(_minute_number(ts).alias("m")).agg(F.count(F.lit(1)).alias("total_events"))
+    sums = _running([_user_runs(timed, ts, active_users=None), _minute_changes(minutes, ["total_events"])],
+                    ["active_users", "total_events"])
+    return _window_bounds(sums.filter(F.col("total_events") > 0))
+
+
+#: log2 of the sketches' buckets; the standard error of an estimate is about 1.04 / sqrt(2 ** SKETCH_BITS).
+SKETCH_BITS = 12
+
 
+def minute_sketches(events: DataFrame, ts: str = "event_time") -> DataFrame:
+    """m (minute number), sketch (a mergeable distinct sketch of the minute's users), total_events:
+    a table to store, and to merge into any windows."""
+    return events.filter(F.col(ts).isNotNull()).groupBy(_minute_number(ts).alias("m")).agg(
+        F.hll_sketch_agg("user_id", SKETCH_BITS).alias("sketch"), F.count(F.lit(1)).alias("total_events"))
 
-def _finish_active(pm: DataFrame) -> DataFrame:
-    g = _by_window_start(pm, [], F.count_distinct("user_id").alias("active_users"),
-                         F.sum("n").alias("total_events"))
-    return g.select("window_start", "window_end", "active_users", "total_events")
+
+def active_users_from_sketches(sketches: DataFrame) -> DataFrame:
+    """window_start, window_end, estimate, total_events of every window that holds a minute of ``sketches``."""
+    k = WINDOW_MINUTES
+    fanned = sketches.select(F.explode(F.sequence(F.col("m") - (k - 1), F.col("m"))).alias("w"), "sketch", "total_events")
+    return _window_bounds(fanned.groupBy("w").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"), F.sum("total_events").alias("total_events")))
+
+
+def sketch_error(exact: Column, estimate: Column, deviations: float = 5) -> Column:
+    """Whether an estimate lies within ``deviations`` standard errors of the exact count."""
+    return F.abs(estimate - exact) <= F.greatest(F.lit(1.0), exact * (deviations * 1.04 / 2 ** (SKETCH_BITS / 2)))
 
 
 def active_users_approx(events: DataFrame, ts: str = "event_time") -> DataFrame:
-    """Batch run of the streaming form (approximate distinct)."""
-    return active_users(events, ts, mode="stream")
+    """Active users of every window exactly and by stored minute sketches, and whether the
+    estimate lies within the sketches' error bound."""
+    from clickflow.plans.joins import materialize
+    by_sketch = active_users_from_sketches(materialize(minute_sketches(events, ts)))
+    exact = active_users(events, ts)
+    return exact.join(by_sketch.select("window_start", "estimate"), "window_start").select(
+        "window_start", "window_end", "active_users", "total_events", "estimate",
+        sketch_error(F.col("active_users"), F.col("estimate")).alias("estimate_in_bound"))
 
 
 def product_views(events: DataFrame, ts: str = "event_time", mode: str = "batch") -> DataFrame:
@@ -108,20 +211,20 @@ def purchases(events: DataFrame, ts: str = "event_time", mode: str = "batch") ->
             F.sum("price").alias("total_revenue"),
             F.avg("price").alias("avg_basket_value"),
             F.approx_count_distinct("user_id").alias("purchasing_users"))
-    else:
-        return _finish_purchases(p.groupBy(_minute(ts), "user_id").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("price").alias("sp"), F.count("price").alias("cp")))
-    return g.select(*_bounds(), "purchase_count", "total_revenue", "avg_basket_value",
-                    "purchasing_users")
+        return g.select(*_bounds(), "purchase_count", "total_revenue", "avg_basket_value", "purchasing_users")
+    p = p.filter(F.col(ts).isNotNull())
+    minutes = p.groupBy(_minute_number(ts).alias("m")).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("price"), F.lit(0)).alias("sp"), F.count("price").alias("cp"))
+    sums = _running([_user_runs(p, ts, purchasing_users=None), _minute_changes(minutes, ["n", "sp", "cp"])],
+                    ["purchasing_users", "n", "sp", "cp"])
+    return _window_bounds(sums.filter(F.col("n") > 0)).select(
+        "window_start", "window_end", F.col("n").alias("purchase_count"), *_basket(), "purchasing_users")
 
 
-def _finish_purchases(pm: DataFrame) -> DataFrame:
-    g = _by_window_start(pm, [], F.sum("n").alias("purchase_count"),
-                         F.sum("sp").cast("double").alias("total_revenue"),
-                         _avg("sp", "cp").alias("avg_basket_value"),
-                         F.count_distinct("user_id").alias("purchasing_users"))
-    return g.select("window_start", "window_end", "purchase_count", "total_revenue",
-                    "avg_basket_value", "purchasing_users")
+def _basket() -> list[Column]:
+    """Revenue and mean price from sums: NULL where no price is known."""
+    return [F.when(F.col("cp") > 0, F.col("sp").cast("double")).alias("total_revenue"),
+            F.try_divide(F.when(F.col("cp") > 0, F.col("sp").cast("double")), F.col("cp")).alias("avg_basket_value")]
 
 
 def event_distribution(events: DataFrame, ts: str = "event_time", mode: str = "batch") -> DataFrame:
@@ -159,51 +262,37 @@ def _finish_brands(pm: DataFrame) -> DataFrame:
     return g.select("window_start", "window_end", *keys, "event_count", "total_value")
 
 
-def batch_metrics(events: DataFrame, ts: str = "event_time") -> dict[str, DataFrame]:
-    """All five batch metrics from one scan of ``events``.
+def window_totals(events: DataFrame, ts: str = "event_time") -> DataFrame:
+    """Every window with its users, events, purchases and events by stage, by running sums:
+    one row per minute and one per user and task are shuffled."""
+    timed = events.filter(F.col(ts).isNotNull())
+    kind = F.col("event_type")
+    price = F.when(kind == "purchase", F.col("price"))
+    minutes = timed.groupBy(_minute_number(ts).alias("m")).agg(
+        F.count(F.lit(1)).alias("total_events"), *[F.count_if(kind == s).alias(f"{s}_events") for s in STAGES],
+        F.coalesce(F.sum(price), F.lit(0)).alias("sp"), F.count(price).alias("cp"))
+    cols = ["total_events", *[f"{s}_events" for s in STAGES], "sp", "cp"]
+    users = _user_runs(timed, ts, active_users=None, purchasing_users=kind == "purchase")
+    sums = _running([users, _minute_changes(minutes, cols)], ["active_users", "purchasing_users", *cols])
+    return _window_bounds(sums.filter(F.col("total_events") > 0)).select("*", *_basket()).drop("sp", "cp")
 
-    Each event is tagged into the per-minute groupings the metrics finish
-    from — (minute, user) for active users and purchases, (minute, product)
-    for views, (minute, brand, event_type) for the event and brand metrics —
-    and one aggregation combines them map-side. That partial is written once
-    to the checkpoint folder (a filter on the tag would otherwise be pushed
-    below the aggregation and every metric would scan the events again) and
-    each metric finishes from its slice. Results equal the single-metric
-    functions."""
-    from clickflow.plans.joins import materialize
-    et = F.col("event_type")
-    cols = ["user_id", "product_id", "brand", "category_code", "event_type"]
-
-    def tagged(tag: str, *kept: str) -> Column:
-        # one tagged row: the kept keys, typed NULL for the others
-        return F.struct(F.lit(tag).alias("tag"), *[
-            (F.col(c) if c in kept else F.lit(None).cast(events.schema[c].dataType)).alias(c)
-            for c in cols])
-
-    tags = F.array_compact(F.array(
-        tagged("u", "user_id"),
-        F.when(et == "view", tagged("v", "product_id", "brand", "category_code")),
-        tagged("b", "brand", "event_type")))
-    is_p = et == "purchase"
-    part = materialize(
-        events.select(_minute(ts), "price", "event_type", F.inline(tags).alias(
-            "tag", "user_id", "product_id", "brand", "category_code", "etype"))
-        .groupBy("minute", "tag", "user_id", "product_id", "brand", "category_code", "etype")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("sp"), F.count("price").alias("cp"),
-             F.count(F.when(is_p, F.lit(1))).alias("pn"), F.sum(F.when(is_p, F.col("price"))).alias("psp"),
-             F.count(F.when(is_p, F.col("price"))).alias("pcp")))
-    u = part.filter(F.col("tag") == "u")
-    v = part.filter(F.col("tag") == "v")
-    b = part.filter(F.col("tag") == "b").withColumnRenamed("etype", "event_type")
-    return {
-        "active_users": _finish_active(u.select("minute", "user_id", "n")),
-        "purchase": _finish_purchases(u.filter(F.col("pn") > 0).select(
-            "minute", "user_id", F.col("pn").alias("n"), F.col("psp").alias("sp"), F.col("pcp").alias("cp"))),
-        "product_views": _finish_views(v.select("minute", "product_id", "brand", "category_code", "n", "sp", "cp")),
-        "event": _finish_events(b.select("minute", "event_type", "n")),
-        "brand": _finish_brands(b.filter(F.col("brand").isNotNull())
-                                .select("minute", "brand", "event_type", "n", F.col("sp").alias("sv"))),
-    }
+
+def minute_counts(events: DataFrame, ts: str = "event_time") -> DataFrame:
+    """minute, product_id, brand, category_code, event_type, n: what the top lists of windows count."""
+    return events.groupBy(_minute(ts), "product_id", "brand", "category_code", "event_type").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def view_counts(counts: DataFrame) -> DataFrame:
+    """view_count per window, product, brand and category from ``minute_counts``."""
+    return _by_window_start(counts.filter(F.col("event_type") == "view"), ["product_id", "brand", "category_code"],
+                            F.sum("n").alias("view_count"))
+
+
+def brand_counts(counts: DataFrame) -> DataFrame:
+    """event_count per window, brand and event type from ``minute_counts``."""
+    known = counts.filter(F.col("brand").isNotNull()).groupBy("minute", "brand", "event_type").agg(F.sum("n").alias("n"))
+    return _by_window_start(known, ["brand", "event_type"], F.sum("n").alias("event_count"))
 
 
 def per_window_topk(metric: DataFrame, by: str, tie: list[str], k: int = TOP_K) -> DataFrame:

@@ -22,6 +22,7 @@ from clickflow.operators import profile as pf
 from clickflow.operators import recommend as rc
 from clickflow.operators import sliding as sl
 from clickflow.functions.timefns import events_between, ntz_lit, window_keys
+from clickflow.plans.joins import materialize
 from clickflow.sources.tables import Tables
 
 AS_OF = dt.datetime(2024, 2, 1)
@@ -213,7 +214,8 @@ def events_per_hour(spark, sf):
 
 @register("distinct_counts")
 def distinct_counts(spark, sf):
-    return pf.distinct_counts(Tables(spark, sf).events())
+    t = Tables(spark, sf)
+    return pf.distinct_counts(t.plain_events(), t.products())
 
 
 @register("events_lookback")
@@ -235,7 +237,9 @@ def sliding_active_users(spark, sf):
 
 @register("sliding_active_users_approx")
 def sliding_active_users_approx(spark, sf):
-    return sl.active_users_approx(Tables(spark, sf).plain_events())
+    """Exact users of each window, and whether the estimate from stored sketches is in bound
+    (the estimate itself differs between sketch libraries)."""
+    return sl.active_users_approx(Tables(spark, sf).plain_events()).drop("estimate")
 
 
 @register("sliding_product_views")
@@ -418,7 +422,7 @@ def window_summary(spark, sf):
 # availableNow trigger and writes the version log; each query replays the
 # tables as they are now.
 
-from clickflow.plans.serving import VersionLog, row_key  # noqa: E402
+from clickflow.plans.serving import VersionLog, metric_from_key, row_key  # noqa: E402
 from clickflow.session import scratch_path  # noqa: E402
 from clickflow.sources import archive as ar  # noqa: E402
 from clickflow.sources import streams as st  # noqa: E402
@@ -430,18 +434,36 @@ def _messages(spark, sf):
     return path
 
 
-def _replay(spark, sf) -> VersionLog:
+def _replay(spark, sf, *metrics: str) -> VersionLog:
     root = scratch_path(spark, "replay")
     stream = st.event_stream(spark, fmt="parquet", path=_messages(spark, sf))
     store = VersionLog(spark, f"{root}/store")
-    live.run_available(spark, stream, store, f"{root}/checkpoints", run_id="replay", topk=None,
+    live.run_available(spark, stream, store, f"{root}/checkpoints", metrics, run_id="replay", topk=None,
                        state_partitions=spark.sparkContext.defaultParallelism)
     return store
 
 
 def _archive(spark, sf) -> str:
+    return _archived(spark, spark.read.parquet(_messages(spark, sf)))
+
+
+#: Every 50th message reaches the broker a day and two hours late, every other 50th a day early.
+LATE, EARLY = dt.timedelta(hours=26), dt.timedelta(hours=-24)
+
+
+def _skewed_archive(spark, sf) -> str:
+    """The archive of messages whose broker time is not their event time."""
+    path = scratch_path(spark, "messages")
+    ev = Tables(spark, sf).events()
+    shift = lambda d: F.col("event_time") + F.expr(f"INTERVAL {int(d.total_seconds() // 3600)} HOURS")
+    broker = (F.when(F.col("event_id") % 50 == 0, shift(LATE)).when(F.col("event_id") % 50 == 1, shift(EARLY))
+              .otherwise(F.col("event_time")))
+    st.to_messages(ev.withColumn("broker_time", broker), "broker_time").write.parquet(path)
+    return _archived(spark, spark.read.parquet(path))
+
+
+def _archived(spark, msgs: DataFrame) -> str:
     path = scratch_path(spark, "archive")
-    msgs = spark.read.parquet(_messages(spark, sf))
     # two scalars (epoch ms of the first and last message) bound the hours
     b = msgs.agg(F.min(F.unix_millis("timestamp")).alias("lo"),
                  F.max(F.unix_millis("timestamp")).alias("hi")).first()
@@ -454,27 +476,44 @@ def _archive(spark, sf) -> str:
 
 @register("stream_event_distribution")
 def stream_event_distribution(spark, sf):
-    return _replay(spark, sf).latest("event").select(
+    return _replay(spark, sf, "event").latest("event").select(
         "window_start", "window_end", "event_type", "event_count")
 
 
+#: Relative standard deviation of the live estimates, and how many of them are allowed.
+LIVE_RSD, LIVE_DEVIATIONS = 0.05, 5
+
+
+def _live_bound(exact, estimate):
+    return F.abs(estimate - exact) <= F.greatest(F.lit(1.0), exact * (LIVE_RSD * LIVE_DEVIATIONS))
+
+
 @register("stream_active_users")
 def stream_active_users(spark, sf):
-    return _replay(spark, sf).latest("active_users").select(
-        "window_start", "window_end", "active_users", "total_events")
+    """Live events per window, the exact users of the batch form, and whether the live estimate
+    of users lies within its error bound."""
+    got = _replay(spark, sf, "active_users").latest("active_users").withColumnRenamed("active_users", "estimate")
+    exact = sl.active_users(Tables(spark, sf).plain_events()).select("window_start", "active_users")
+    return got.join(exact, "window_start", "full_outer").select(
+        "window_start", "window_end", "active_users", "total_events",
+        _live_bound(F.col("active_users"), F.col("estimate")).alias("estimate_in_bound"))
 
 
 @register("stream_purchases")
 def stream_purchases(spark, sf):
-    return _replay(spark, sf).latest("purchases").select(
-        "window_start", "window_end", "purchase_count", "total_revenue", "avg_basket_value",
-        "purchasing_users")
+    """Live purchases per window, with exact buyers and the bound check of the live estimate."""
+    got = _replay(spark, sf, "purchases").latest("purchases").withColumnRenamed("purchasing_users", "estimate")
+    exact = sl.purchases(Tables(spark, sf).plain_events()).select("window_start", "purchasing_users")
+    return got.join(exact, "window_start", "full_outer").select(
+        "window_start", "window_end", "purchase_count", F.round("total_revenue", 2).alias("total_revenue"),
+        F.round("avg_basket_value", 6).alias("avg_basket_value"), "purchasing_users",
+        _live_bound(F.col("purchasing_users"), F.col("estimate")).alias("estimate_in_bound"))
 
 
 @register("stream_top_products")
 def stream_top_products(spark, sf):
     """Per-window top 10 recomputed on the latest view of the live store."""
-    v = _replay(spark, sf).latest("top_view").select(
+    v = _replay(spark, sf, "top_view").latest("top_view").select(
         "window_start", "window_end", "product_id", "brand", "category_code", "view_count",
         F.round("avg_price", 6).alias("avg_price"))     # prices travel as DOUBLE in the messages
     return sl.per_window_topk(v, "view_count", ["product_id", "brand", "category_code"])
@@ -482,7 +521,7 @@ def stream_top_products(spark, sf):
 
 @register("stream_brand_activity")
 def stream_brand_activity(spark, sf):
-    return _replay(spark, sf).latest("brand").select(
+    return _replay(spark, sf, "brand").latest("brand").select(
         "window_start", "window_end", "brand", "event_type", "event_count",
         F.round("total_value", 2).alias("total_value"))
 
@@ -584,20 +623,27 @@ def event_messages(spark, sf):
 # --- event-time look-backs on the archive ---------------------------------------
 
 def _archived_events(spark, sf, start, end=None) -> DataFrame:
-    rows = ar.read_event_time(spark, _archive(spark, sf), start, end)
+    rows = ar.read_event_time(spark, _skewed_archive(spark, sf), start, end)
     return rows.select(F.col("event_timestamp").alias("event_time"), "user_id", "event_type", "product_id",
                        "category_code", "brand", F.col("price").cast("decimal(18,2)").alias("price"))
 
 
+@register("archive_zone_map")
+def archive_zone_map(spark, sf):
+    """Rows and event-time bounds of every archive hour, from its zone map."""
+    return ar.hour_zones(spark, _skewed_archive(spark, sf)).filter(~F.col("open")).select(
+        "year", "month", "day", "hour", "rows", "low", "high")
+
+
 @register("archive_funnel_24h")
 def archive_funnel_24h(spark, sf):
-    """Brand funnel of the archive's closed 24 h look-back by event time."""
+    """Brand funnel of the archive's closed 24 h look-back by event time, early and late messages included."""
     return fn.funnel_by_brand(_archived_events(spark, sf, LOOKBACK_AS_OF - dt.timedelta(hours=24), LOOKBACK_AS_OF))
 
 
 @register("archive_brand_7d")
 def archive_brand_7d(spark, sf):
-    """Brand x age metrics of the archive's last seven days by event time."""
+    """Brand x age metrics of the archive's last seven days by event time, early and late messages included."""
     ev = _archived_events(spark, sf, LOOKBACK_AS_OF - dt.timedelta(days=7))
     return br.brand_age_metrics(ev, Tables(spark, sf).users(), AS_OF)
 
@@ -611,6 +657,13 @@ def _table_name(kind: str) -> str:
     return f"{kind}_{uuid.uuid4().hex[:12]}"
 
 
+def _and_drop(spark, name: str, result: DataFrame) -> DataFrame:
+    """``result`` of the external table ``name``, computed, and the table's entry dropped (its files stay)."""
+    out = materialize(result)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 @register("log_slice_types")
 def log_slice_types(spark, sf):
     """Event types of one day's half-open slice of the message log."""
@@ -640,8 +693,8 @@ def event_table_days(spark, sf):
     """Rows per day and event type of the external table over the archive, partitions discovered."""
     name = _table_name("events")
     fl.create_events_table(spark, name, _archive(spark, sf))
-    return spark.table(name).groupBy("year", "month", "day", "event_type").agg(
-        F.count(F.lit(1)).alias("event_count"))
+    return _and_drop(spark, name, spark.table(name).groupBy("year", "month", "day", "event_type").agg(
+        F.count(F.lit(1)).alias("event_count")))
 
 
 @register("event_table_partitions")
@@ -650,7 +703,8 @@ def event_table_partitions(spark, sf):
     name = _table_name("events")
     fl.create_events_table(spark, name, _archive(spark, sf))
     part = lambda c: F.regexp_extract("partition", f"{c}=(\\d+)", 1).cast("int").alias(c)
-    return fl.show_partitions(spark, name).select(*[part(c) for c in ("year", "month", "day", "hour")])
+    return _and_drop(spark, name, fl.show_partitions(spark, name).select(
+        *[part(c) for c in ("year", "month", "day", "hour")]))
 
 
 @register("event_table_added_hour")
@@ -660,7 +714,7 @@ def event_table_added_hour(spark, sf):
     fl.create_events_table(spark, name, path, discover=False)
     fl.add_partition(spark, name, PROFILE_DAY.year, PROFILE_DAY.month, PROFILE_DAY.day, 12,
                      f"{path}/{PROFILE_DAY:year=%Y/month=%m/day=%d}/hour=12")
-    return pf.event_type_distribution(spark.table(name))
+    return _and_drop(spark, name, pf.event_type_distribution(spark.table(name)))
 
 
 # --- sinks read back ---------------------------------------------------------------
@@ -698,8 +752,8 @@ def product_csv_table(spark, sf):
     path, name = scratch_path(spark, "products-csv"), _table_name("products")
     dims.write_csv(Tables(spark, sf).products().select("product_id", "product_name", "brand"), path)
     fl.create_csv_table(spark, name, path, "product_id BIGINT, product_name STRING, brand STRING")
-    return spark.table(name).groupBy("brand").agg(F.count(F.lit(1)).alias("products"),
-                                                  F.max("product_id").alias("last_product_id"))
+    return _and_drop(spark, name, spark.table(name).groupBy("brand").agg(
+        F.count(F.lit(1)).alias("products"), F.max("product_id").alias("last_product_id")))
 
 
 @register("serving_prefix_scan")
@@ -794,3 +848,155 @@ def order_brand_top5(spark, sf):
     """Brand x age metrics over order lines, of the five brands with the largest revenue."""
     t = Tables(spark, sf)
     return br.restrict_to_top_brands(br.brand_age_metrics(t.order_events(), t.users(), AS_OF), 5)
+
+
+# --- live runs that are cut, late, failing or several -----------------------------
+
+MID_LOG = dt.datetime(2024, 1, 15, 12, 0, 30)
+LATE_DAYS, LIST_DAYS = 5, 10
+
+
+def _live(spark, name: str):
+    root = scratch_path(spark, name)
+    return f"{root}/messages", f"{root}/checkpoints", VersionLog(spark, f"{root}/store"), f"{root}/fallback"
+
+
+def _day_chunk(days: int):
+    """Number of the run of ``days`` days of January that the event lies in."""
+    return F.floor((F.dayofmonth("event_time") - 1) / days).cast("int")
+
+
+def _admitted(spark, ev: DataFrame, batch, path: str) -> DataFrame:
+    """A stream that admits one batch of ``ev`` per trigger, in the order of ``batch``."""
+    n = st.write_batches(ev, batch, path, spark.sparkContext.defaultParallelism)
+    return st.event_stream(spark, fmt="parquet", path=path, options={"maxFilesPerTrigger": str(n)})
+
+
+def _run(spark, stream, store, checkpoints, *metrics, **options) -> live.StreamWatch:
+    return live.run_available(spark, stream, store, checkpoints, metrics,
+                              **{"run_id": "replay", "topk": None, **options},
+                              state_partitions=spark.sparkContext.defaultParallelism)
+
+
+@register("stream_restarted")
+def stream_restarted(spark, sf):
+    """Event mix of a query that was stopped after half of the log and started again on its
+    checkpoint: windows that lie across the stop keep what they had."""
+    path, checkpoints, store, _ = _live(spark, "restarted")
+    ev = Tables(spark, sf).events()
+    for half in (F.col("event_time") < ntz_lit(MID_LOG), F.col("event_time") >= ntz_lit(MID_LOG)):
+        st.to_messages(ev.filter(half)).write.mode("append").parquet(path)
+        queries = live.start_metrics(st.event_stream(spark, fmt="parquet", path=path), store, checkpoints, ("event",),
+                                     run_id="restarted", topk=None,
+                                     state_partitions=spark.sparkContext.defaultParallelism)
+        live.stop_metrics(queries)      # drains what is there, then stops
+    return store.latest("event").select("window_start", "window_end", "event_type", "event_count")
+
+
+@register("stream_late_events")
+def stream_late_events(spark, sf):
+    """Event mix where every tenth message comes two triggers (ten days) late: windows as the
+    watermark keeps them, and, without a window, the number of groups of a trigger that it
+    dropped. Spark tells late rows by the watermark that the trigger before started with."""
+    path, checkpoints, store, _ = _live(spark, "late")
+    late = F.when(F.col("event_id") % 10 == 3, 2).otherwise(0)
+    stream = _admitted(spark, Tables(spark, sf).events(), _day_chunk(LATE_DAYS) + late, path)
+    watch = _run(spark, stream, store, checkpoints, "event")
+    dropped = sum(watch.dropped.values())
+    kept = store.latest("event").select("window_start", "window_end", "event_type", "event_count")
+    none = F.lit(None).cast("timestamp_ntz")
+    return kept.unionByName(spark.range(1).select(
+        none.alias("window_start"), none.alias("window_end"), F.lit("dropped").alias("event_type"),
+        F.lit(dropped).cast("bigint").alias("event_count")))
+
+
+class _FailingLog(VersionLog):
+    """A store whose writes of one epoch fail (an outage, for the fallback's query)."""
+
+    def __init__(self, spark, root, epoch):
+        super().__init__(spark, root)
+        self.epoch = epoch
+
+    def write(self, rows, metric, run_id, epoch_id, created_at=None):
+        if epoch_id == self.epoch:
+            raise OSError("the store is not available")
+        super().write(rows, metric, run_id, epoch_id, created_at)
+
+
+@register("stream_reconciled")
+def stream_reconciled(spark, sf):
+    """Event mix of a run during which the store failed for one epoch: its batch went to the
+    fallback folder and was brought in afterwards."""
+    path, checkpoints, store, fallback = _live(spark, "reconciled")
+    stream = _admitted(spark, Tables(spark, sf).events(), _day_chunk(LIST_DAYS), path)
+    _run(spark, stream, _FailingLog(spark, store.root, 1), checkpoints, "event", fallback=fallback)
+    live.reconcile_fallback(store, "event", "replay", fallback)
+    return store.latest("event").select("window_start", "window_end", "event_type", "event_count")
+
+
+@register("stream_top10")
+def stream_top10(spark, sf):
+    """The live top ten of viewed products after the last trigger: rows that left the list are gone."""
+    path, checkpoints, store, _ = _live(spark, "top10")
+    stream = _admitted(spark, Tables(spark, sf).events(), _day_chunk(LIST_DAYS), path)
+    _run(spark, stream, store, checkpoints, "top_view", topk="micro_batch")
+    return store.latest("top_view").select("rank", "window_start", "product_id", "brand", "category_code", "view_count")
+
+
+@register("stream_two_metrics")
+def stream_two_metrics(spark, sf):
+    """Two live queries under one wait: events, and events with a brand, of each window."""
+    store = _replay(spark, sf, "event", "brand")
+    ev = store.latest("event").groupBy("window_start").agg(F.sum("event_count").alias("events"))
+    br_ = store.latest("brand").groupBy("window_start").agg(F.sum("event_count").alias("branded_events"))
+    return ev.join(br_, "window_start", "left")
+
+
+# --- profiles, regions, key kinds, mixed CSV --------------------------------------
+
+def _raw_profiles(users: DataFrame) -> DataFrame:
+    """Users under the column names of the raw profile file."""
+    return users.select(F.col("name").alias("Name"), F.upper("name").alias("Surname"),
+                        F.col("birth_date").cast("string").alias("Birth Date"), F.col("city").alias("City"),
+                        F.col("user_id").cast("string").alias("Postal Code"),
+                        F.lit("Street").alias("Street Name"), F.lit("1").alias("House Number"))
+
+
+@register("renamed_profiles")
+def renamed_profiles(spark, sf):
+    """The raw profile file, written as CSV, read and given its snake_case names."""
+    path = scratch_path(spark, "profiles")
+    dims.write_csv(_raw_profiles(Tables(spark, sf).users()), path)
+    return dims.rename_profile_columns(spark.read.option("header", "true").csv(path))
+
+
+@register("segment_regions")
+def segment_regions(spark, sf):
+    """Users per constant region and age group."""
+    return _segments(Tables(spark, sf)).groupBy("region", "age_group").agg(F.count(F.lit(1)).alias("users"))
+
+
+@register("row_key_kinds")
+def row_key_kinds(spark, sf):
+    """Rows of all five live metrics by the kind that their key tells."""
+    ev = Tables(spark, sf).events()
+    frames = {"active_users": sl.active_users(ev), "purchases": sl.purchases(ev), "event": sl.event_distribution(ev),
+              "top_view": sl.product_views(ev), "brand": sl.brand_activity(ev)}
+    keys = None
+    for metric, df in frames.items():
+        k = df.select(row_key(metric).alias("row_key"))
+        keys = k if keys is None else keys.unionByName(k)
+    return keys.groupBy(metric_from_key(F.col("row_key")).alias("kind")).agg(F.count(F.lit(1)).alias("keys"))
+
+
+@register("users_csv_mixed")
+def users_csv_mixed(spark, sf):
+    """User profiles from a folder of CSV files with two orders of columns."""
+    path = scratch_path(spark, "users-mixed")
+    u = Tables(spark, sf).users()
+    none = [F.lit(None).cast("string").alias(c) for c in ("surname", "zip_code", "street_name", "house_number")]
+    even = u.filter(F.col("user_id") % 2 == 0).select("user_id", "name", "birth_date", "city", *none)
+    odd = u.filter(F.col("user_id") % 2 == 1).select("city", *none, "birth_date", "name", "user_id")
+    for part in (even, odd):
+        part.write.mode("append").option("header", "true").csv(path)
+    return fl.read_csv_mixed(spark, path, fl.USERS).select("user_id", "name", "birth_date", "city")

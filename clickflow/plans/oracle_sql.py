@@ -702,3 +702,63 @@ FROM (SELECT CAST(event_time AS DATE) AS day, brand, CAST(sum(price) AS DOUBLE)
 QUALIFY rank <= 10"""
 SQL["order_brand_top5"] = with_adapter(BAM.format(src="op")) + """SELECT * FROM bm WHERE brand IN (
   SELECT brand FROM bm GROUP BY brand ORDER BY sum(total_revenue) DESC NULLS LAST, brand LIMIT 5)"""
+
+# --- estimates with a bound, zone map, live runs that are cut, late, failing or several ---
+# an estimate itself depends on the sketch; that it lies in its bound doesn't
+SQL["sliding_active_users_approx"] = f"SELECT *, true AS estimate_in_bound FROM ({SQL['sliding_active_users']})"
+SQL["stream_active_users"] = SQL["sliding_active_users_approx"]
+SQL["stream_purchases"] = with_adapter(WIN, PU) + """SELECT window_start, window_end, purchase_count,
+  round(total_revenue, 2) AS total_revenue, round(avg_basket_value, 6) AS avg_basket_value, purchasing_users,
+  true AS estimate_in_bound FROM pu"""
+
+SQL["archive_zone_map"] = with_adapter("""arrived AS (
+  SELECT *, event_time + to_hours(CASE event_id % 50 WHEN 0 THEN 26 WHEN 1 THEN -24 ELSE 0 END) AS broker_time
+  FROM ev)""") + """
+SELECT CAST(year(broker_time) AS INT) AS year, CAST(month(broker_time) AS INT) AS month,
+  CAST(day(broker_time) AS INT) AS day, CAST(hour(broker_time) AS INT) AS hour, count(*) AS rows,
+  min(event_time) AS low, max(event_time) AS high
+FROM arrived GROUP BY 1, 2, 3, 4"""
+
+SQL["stream_restarted"] = SQL["sliding_event_distribution"]
+SQL["stream_reconciled"] = SQL["sliding_event_distribution"]
+
+# batches of five days, every tenth message two batches late; late rows of a batch are told by the watermark
+# that the batch before it started with, ten minutes behind the latest event until then in whole milliseconds
+SQL["stream_late_events"] = with_adapter("""sent AS (
+  SELECT *, (day(event_time) - 1) // 5 + CASE WHEN event_id % 10 = 3 THEN 2 ELSE 0 END AS batch FROM ev),
+latest AS (SELECT batch, max(event_time) AS latest FROM sent GROUP BY batch),
+mark AS (SELECT batch, date_trunc('milliseconds', max(latest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING
+  AND 2 PRECEDING)) - INTERVAL 10 MINUTE AS mark FROM latest),
+held AS (SELECT s.batch, s.event_type, date_trunc('minute', s.event_time) - to_minutes(CAST(x.i AS BIGINT)) AS window_start,
+    m.mark FROM sent s JOIN mark m USING (batch), (SELECT unnest([0, 1, 2, 3, 4]) AS i) x),
+told AS (SELECT *, coalesce(window_start + INTERVAL 5 MINUTE <= mark, false) AS dropped FROM held)""") + """
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, event_type, count(*) AS event_count
+FROM told WHERE NOT dropped GROUP BY window_start, event_type
+UNION ALL
+SELECT NULL, NULL, 'dropped', count(*) FROM (SELECT DISTINCT batch, window_start, event_type FROM told WHERE dropped)"""
+
+# the last of the batches of ten days updates the windows that its views touch; counts are of the whole log
+SQL["stream_top10"] = with_adapter(WIN) + """SELECT CAST(row_number() OVER (ORDER BY view_count DESC, window_start, product_id,
+    brand NULLS LAST, category_code NULLS LAST) AS INT) AS rank, window_start, product_id, brand, category_code, view_count
+FROM (SELECT window_start, product_id, brand, category_code, count(*) AS view_count,
+        max((day(event_time) - 1) // 10) AS batch FROM w WHERE event_type = 'view' GROUP BY ALL)
+WHERE batch = (SELECT max((day(event_time) - 1) // 10) FROM ev WHERE event_type = 'view')
+ORDER BY rank LIMIT 10"""
+
+SQL["stream_two_metrics"] = with_adapter(WIN) + """SELECT window_start, count(*) AS events,
+  nullif(count(brand), 0) AS branded_events FROM w GROUP BY window_start"""
+
+SQL["renamed_profiles"] = with_adapter() + """SELECT name, upper(name) AS surname, CAST(birth_date AS VARCHAR) AS birth_date,
+  city, CAST(user_id AS VARCHAR) AS zip_code, 'Street' AS street_name, '1' AS house_number FROM us"""
+SQL["segment_regions"] = with_adapter(SEGMENTS) + """SELECT 'Poland' AS region, age_group, count(*) AS users
+FROM sg GROUP BY age_group"""
+SQL["row_key_kinds"] = with_adapter(WIN) + """SELECT kind, count(*) AS keys FROM (
+  SELECT DISTINCT 'active_users' AS kind, window_start, NULL AS a, NULL AS b, NULL AS c FROM w
+  UNION ALL SELECT DISTINCT 'purchases', window_start, NULL, NULL, NULL FROM w WHERE event_type = 'purchase'
+  UNION ALL SELECT DISTINCT CASE WHEN event_type IN ('view', 'cart', 'purchase') THEN 'event_' || event_type END,
+    window_start, event_type, NULL, NULL FROM w
+  UNION ALL SELECT DISTINCT 'top_view', window_start, CAST(product_id AS VARCHAR), brand, category_code FROM w
+    WHERE event_type = 'view'
+  UNION ALL SELECT DISTINCT 'brand', window_start, brand, event_type, NULL FROM w WHERE brand IS NOT NULL)
+GROUP BY kind"""
+SQL["users_csv_mixed"] = with_adapter() + "SELECT user_id, name, birth_date, city FROM us"

@@ -6,9 +6,10 @@ recommendation rows and the brand records. Reports read the
 non-overlapping windows (the 5-minute grid) of the sliding set, so sums do
 not double count. Ratios divide with ``try_divide`` (NULL, not an error,
 on a zero denominator); pandas-style "NaN to 0" uses ``coalesce``.
-Quantiles are linear-interpolated (``percentile``), std is the sample form.
-Scalars needed by a second pass (quantiles, min/max) are scalar subqueries,
-not joins.
+Quantiles are exact and linearly interpolated, by rank selection
+(``clickflow.plans.quantiles``; the median of a top-15 list by ``median``), std is the
+sample form. The least and greatest value needed by a second pass are scalar
+subqueries, not joins.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from clickflow.operators import sliding as sl
 from clickflow.plans.joins import materialize
+from clickflow.plans.quantiles import exact_quantiles
 from clickflow.plans.serving import latest_by
 
 # Report window step, histogram bins, box-plot whisker factor.
@@ -44,13 +46,15 @@ def report_windows(metric: DataFrame, step: int = REPORT_STEP_MINUTES) -> DataFr
 # --- realtime (R1-R7) -------------------------------------------------------
 
 def active_user_summary(active: DataFrame) -> DataFrame:
-    a = report_windows(active)
+    # one row per report window, read by the rank selection and the aggregate
+    a = materialize(report_windows(active))
+    median = exact_quantiles(a, "active_users", [0.5])[0.5]
     return a.agg(
         F.count(F.lit(1)).alias("windows"),
         F.avg("active_users").alias("mean_users"),
         F.max("active_users").alias("max_users"),
         F.min("active_users").alias("min_users"),
-        F.median("active_users").alias("median_users"),
+        F.lit(median).cast("double").alias("median_users"),
         F.round(F.stddev_samp("active_users"), 6).alias("std_users"),
         F.sum("total_events").alias("total_events"),
         F.try_divide(F.sum("total_events").cast("double"), F.sum("active_users")).alias("events_per_user"))
@@ -58,16 +62,14 @@ def active_user_summary(active: DataFrame) -> DataFrame:
 
 def active_user_boxplot(active: DataFrame) -> DataFrame:
     """Five-number summary with 1.5 IQR whiskers and the outlier count."""
-    # one value per report window, read by the quantile subqueries and the
-    # main aggregate: materialised once so the events pipeline runs once
+    # one value per report window, read by the rank selection and the main
+    # aggregate: materialised once so the events pipeline runs once
     a = materialize(report_windows(active).select(F.col("active_users").cast("double").alias("x")))
-    q = a.agg(F.percentile("x", [0.25, 0.5, 0.75]).alias("q"))
-    q1, q3 = q.select(F.col("q")[0]).scalar(), q.select(F.col("q")[2]).scalar()
+    q = exact_quantiles(a, "x", [0.25, 0.5, 0.75])
+    q1, median, q3 = (F.lit(q[p]).cast("double") for p in (0.25, 0.5, 0.75))
     lo, hi = q1 - F.lit(WHISKER) * (q3 - q1), q3 + F.lit(WHISKER) * (q3 - q1)
     return a.agg(
-        F.round(F.percentile("x", 0.25), 6).alias("q1"),
-        F.round(F.percentile("x", 0.5), 6).alias("median"),
-        F.round(F.percentile("x", 0.75), 6).alias("q3"),
+        F.round(q1, 6).alias("q1"), F.round(median, 6).alias("median"), F.round(q3, 6).alias("q3"),
         F.min(F.when(F.col("x") >= lo, F.col("x"))).alias("lower_whisker"),
         F.max(F.when(F.col("x") <= hi, F.col("x"))).alias("upper_whisker"),
         F.count(F.when((F.col("x") < lo) | (F.col("x") > hi), F.lit(1))).alias("outliers"))
@@ -98,7 +100,7 @@ def active_user_histogram(spark: SparkSession, active: DataFrame, bins: int = HI
 
 def brand_snapshots(events: DataFrame) -> DataFrame:
     """Latest activity row per (brand, event_type) over the report windows."""
-    return latest_by(report_windows(sl.brand_activity(events)), ["brand", "event_type"], ["window_start"])
+    return latest_by(report_windows(sl.brand_activity(events)), ["brand", "event_type"], "window_start")
 
 
 def brand_totals_top3(events: DataFrame) -> DataFrame:
@@ -130,7 +132,7 @@ def purchase_totals(purchases: DataFrame) -> DataFrame:
 
 
 def top_products_latest(events: DataFrame, k: int = 10) -> DataFrame:
-    s = latest_by(report_windows(sl.product_views(events)), ["product_id"], ["window_start"])
+    s = latest_by(report_windows(sl.product_views(events)), ["product_id"], "window_start")
     return s.orderBy(F.col("view_count").desc(), F.col("product_id").asc()).limit(k)
 
 
@@ -280,9 +282,9 @@ def brand_grand_totals(records: DataFrame) -> DataFrame:
 
 def high_traffic_brands(records: DataFrame) -> DataFrame:
     """Brands with views above the upper quartile: count, mean conversion."""
-    r = brand_rollup(records)
-    q3 = r.agg(F.percentile("total_views", 0.75)).scalar()
-    h = r.filter(F.col("total_views") > q3)
+    r = materialize(brand_rollup(records))      # one row per brand
+    q3 = exact_quantiles(r, "total_views", [0.75])[0.75]
+    h = r.filter(F.col("total_views") > F.lit(q3).cast("double"))
     return h.agg(F.count(F.lit(1)).alias("brands"),
                  F.round(F.avg("conversion_rate"), 6).alias("mean_conversion_rate"))
 
@@ -292,34 +294,33 @@ def high_traffic_brands(records: DataFrame) -> DataFrame:
 def window_summaries(events: DataFrame) -> DataFrame:
     """Every metric of each window in one row: users, events, purchases,
     events by type, top brand and product (rank 1 of the per-window lists),
-    distinct brands in the brand top list and stage ratios."""
-    m = sl.batch_metrics(events)        # one scan of the events for all five metrics
-    au = m["active_users"]
-    pu = m["purchase"].drop("window_end")
-    ed = (m["event"].groupBy("window_start").agg(
-        *[F.sum(F.when(F.col("event_type") == s, F.col("event_count"))).alias(f"{s}_events")
-          for s in ("view", "cart", "purchase")]))
-    tb = sl.top_brands(events, brands=m["brand"])
+    distinct brands in the brand top list and stage ratios.
+
+    Sums and distinct users are running sums of differences (``window_totals``); only the
+    two top lists expand rows into windows, both from one count per minute, product and
+    event type."""
+    totals = sl.window_totals(events)
+    counts = sl.minute_counts(events)
+    tb = sl.per_window_topk(sl.brand_counts(counts), "event_count", ["brand", "event_type"])
     tbs = tb.groupBy("window_start").agg(
         F.count_distinct("brand").alias("top_list_brands"),
-        F.min_by(F.struct("brand", "event_type", "event_count"), "rank").alias("tb"))
-    tp = sl.top_products(events, views=m["product_views"]).filter(F.col("rank") == 1).select(
-        "window_start", F.col("product_id").alias("top_product_id"),
-        F.col("view_count").alias("top_product_views"))
-    s = (au.join(pu, "window_start", "left").join(ed, "window_start", "left")
-           .join(tbs, "window_start", "left").join(tp, "window_start", "left"))
+        F.max(F.when(F.col("rank") == 1, F.col("event_count"))).alias("top_brand_events"))
+    first = tb.filter(F.col("rank") == 1).select(
+        "window_start", F.col("brand").alias("top_brand"), F.col("event_type").alias("top_brand_event_type"))
+    tp = sl.per_window_topk(sl.view_counts(counts), "view_count", ["product_id", "brand", "category_code"], 1).select(
+        "window_start", F.col("product_id").alias("top_product_id"), F.col("view_count").alias("top_product_views"))
+    s = (totals.join(tbs, "window_start", "left").join(first, "window_start", "left")
+         .join(tp, "window_start", "left"))
+    none = lambda c: F.when(F.col(c) > 0, F.col(c))
     return s.select(
         "window_start", "window_end", "active_users", "total_events",
         F.coalesce(F.try_divide(F.col("total_events").cast("double"), F.col("active_users")),
                    F.lit(0.0)).alias("events_per_user"),
-        F.coalesce("purchase_count", F.lit(0).cast("bigint")).alias("purchase_count"),
+        F.col("purchase_events").alias("purchase_count"),
         F.coalesce("total_revenue", F.lit(0.0)).alias("total_revenue"),
-        "avg_basket_value", F.coalesce("purchasing_users", F.lit(0).cast("bigint")).alias("purchasing_users"),
-        *[F.coalesce(f"{s}_events", F.lit(0).cast("bigint")).alias(f"{s}_events")
-          for s in ("view", "cart", "purchase")],
-        F.col("tb.brand").alias("top_brand"), F.col("tb.event_type").alias("top_brand_event_type"),
-        F.col("tb.event_count").alias("top_brand_events"),
+        "avg_basket_value", "purchasing_users",
+        *[f"{stage}_events" for stage in sl.STAGES], "top_brand", "top_brand_event_type", "top_brand_events",
         F.coalesce("top_list_brands", F.lit(0).cast("bigint")).alias("top_list_brands"),
         "top_product_id", "top_product_views",
-        F.try_divide(F.col("cart_events").cast("double"), F.col("view_events")).alias("view_to_cart_ratio"),
-        F.try_divide(F.col("purchase_events").cast("double"), F.col("cart_events")).alias("cart_to_purchase_ratio"))
+        F.try_divide(none("cart_events").cast("double"), none("view_events")).alias("view_to_cart_ratio"),
+        F.try_divide(none("purchase_events").cast("double"), none("cart_events")).alias("cart_to_purchase_ratio"))

@@ -17,7 +17,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickflow.functions.timefns import window_key
+from clickflow.functions.timefns import ntz_lit, wall_clock_as_utc_instant, window_key
+from clickflow.plans.joins import extreme_rows
 
 # Row-key suffixes of the live metrics.
 METRICS = ("active_users", "top_view", "purchases", "event", "brand")
@@ -90,6 +91,25 @@ class VersionLog:
     def latest(self, metric: str) -> DataFrame:
         return latest(self.read(metric))
 
+    def last_list(self, metric: str, run_id: str, epoch_id: int) -> DataFrame | None:
+        """The rows of the newest list written before this epoch, those marked removed left out
+        (None if there is none). The newest is found by partition columns; one epoch is read."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(metric))
+        if not p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p):
+            return None
+        rows = self.read(metric)
+        earlier = (F.col("run_id") == run_id) & (F.col("epoch_id") < epoch_id)
+        last = rows.filter(earlier).agg(F.max("epoch_id")).first()[0]
+        if last is not None:
+            rows = rows.filter((F.col("run_id") == run_id) & (F.col("epoch_id") == last))
+        else:       # a new run goes on from the newest list of the runs before
+            rows = rows.filter(F.col("run_id") != run_id)
+            newest = rows.agg(F.max("created_at")).first()[0]
+            if newest is None:
+                return None
+            rows = rows.filter(F.col("created_at") == ntz_lit(newest))
+        return rows.filter(~F.col("removed"))
+
     def scan(self, metric: str, prefix: str) -> DataFrame:
         return prefix_scan(self.read(metric), prefix)
 
@@ -105,13 +125,21 @@ class VersionLog:
         return target
 
 
+#: Room for epoch numbers below the microseconds of a version's order.
+EPOCH_ROOM = 10 ** 12
+
+
+def version_order() -> Column:
+    """(created_at, epoch_id) as one exact number."""
+    micros = F.unix_micros(wall_clock_as_utc_instant(F.col("created_at"))).cast("decimal(20,0)")
+    return (micros * F.lit(EPOCH_ROOM).cast("decimal(13,0)") + F.col("epoch_id")).cast("decimal(38,0)")
+
+
 def latest(versions: DataFrame, key: str = "row_key") -> DataFrame:
-    """Newest version per key by (created_at, epoch_id); an aggregate, not a
-    window, so a key with many versions is combined map-side."""
-    cols = [c for c in versions.columns if c != key]
-    order = F.struct(F.col("created_at"), F.col("epoch_id"))
-    best = versions.groupBy(key).agg(F.max_by(F.struct(*cols), order).alias("_v"))
-    return best.select(key, *[F.col(f"_v.{c}").alias(c) for c in cols])
+    """Newest version per key by (created_at, epoch_id); a key whose newest version is
+    marked ``removed`` is gone."""
+    rows = extreme_rows(versions, [key], version_order())
+    return rows.filter(~F.coalesce("removed", F.lit(False))).drop("removed") if "removed" in rows.columns else rows
 
 
 def retain(versions: DataFrame, n: int, key: str = "row_key") -> DataFrame:
@@ -134,16 +162,9 @@ def prefix_scan(df: DataFrame, prefix: str, key: str = "row_key") -> DataFrame:
     return out
 
 
-def point_get(df: DataFrame, k: str, key: str = "row_key") -> DataFrame:
-    return df.filter(F.col(key) == F.lit(k))
-
-
-def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Newest row per ``keys`` by ``order`` (e.g. latest snapshot of a
-    product across windows)."""
-    cols = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_v"))
-    return best.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in cols])
+def latest_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Newest row per ``keys`` by ``order`` (e.g. latest snapshot of a product across windows)."""
+    return extreme_rows(df, keys, F.col(order))
 
 
 def write_run(rows: DataFrame, path: str, run_id: str) -> None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.sources.schemas import PRODUCTS, PRODUCTS_RAW, RAW_EVENT_CSV, USERS
+from clickflow.sources.schemas import PRODUCTS, RAW_EVENT_CSV, USERS
 
 EVENT_COLUMNS = ["event_time", "mapped_time", "event_type", "product_id", "category_id",
                  "category_code", "brand", "price", "user_id", "user_session"]
@@ -17,11 +17,37 @@ EVENT_COLUMNS = ["event_time", "mapped_time", "event_type", "product_id", "categ
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """The columns of ``schema``, found by their names in the header, whatever its order; a value
-    that doesn't parse is NULL. A file without one of the columns raises."""
-    raw = spark.read.option("header", "true").csv(path)
+    that doesn't parse is NULL. A file without one of the columns raises, and so does a folder
+    whose files differ in their header (``read_csv_mixed`` reads those)."""
+    raw = spark.read.option("header", "true").option("enforceSchema", "false").csv(path)
+    return _typed(raw, schema)
+
+
+def _typed(raw: DataFrame, schema) -> DataFrame:
     return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def read_csv_mixed(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Like ``read_csv`` for a folder whose files differ in the order of their columns.
+
+    The first line of each file is read (a limit of one line on every file, so no file is
+    read through), and the files are read by groups of equal headers."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = [str(f.getPath()) for f in fs.listStatus(p)
+             if f.isFile() and f.getLen() > 0 and not f.getPath().getName().startswith(("_", "."))]
+    heads: dict[str, list[str]] = {}
+    for f in files:
+        heads.setdefault(spark.read.text(f).first()[0], []).append(f)
+    if not heads:
+        return spark.createDataFrame([], schema)
+    frames = [_typed(spark.read.option("header", "true").csv(group), schema) for group in heads.values()]
+    out = frames[0]
+    for other in frames[1:]:
+        out = out.unionByName(other)
+    return out
+
+
 def read_users(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, USERS)
 
@@ -30,10 +56,6 @@ def read_products(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, PRODUCTS)
 
 
-def read_products_raw(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, PRODUCTS_RAW)
-
-
 def read_raw_log(spark: SparkSession, path: str) -> DataFrame:
     """Monthly raw CSV log, all columns as strings (cleaned by
     ``clickflow.functions.clean.clean_events``)."""

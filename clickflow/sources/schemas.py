@@ -59,12 +59,3 @@ PRODUCTS = T.StructType([
     T.StructField("category_code", T.StringType()),
     T.StructField("brand", T.StringType()),
 ])
-
-PRODUCTS_RAW = T.StructType([
-    T.StructField("product_id", T.LongType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("category_code", T.StringType()),
-    T.StructField("brand", T.StringType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("stock", T.IntegerType()),
-])

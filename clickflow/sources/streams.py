@@ -122,6 +122,13 @@ def publish(messages: DataFrame, bootstrap: str, topic: str = TOPIC) -> None:
      .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
 
 
-def replay_order(events: DataFrame) -> DataFrame:
-    """Time-ordered replay: mapped time, then arrival (event id)."""
-    return events.orderBy("event_time", "event_id")
+def write_batches(events: DataFrame, batch: Column, path: str, files: int) -> int:
+    """Write the messages of ``events`` to the folder ``path`` in the order of ``batch`` (few whole
+    numbers), each batch as the same number of files, ``files`` at most; returns that number. A
+    file stream with ``maxFilesPerTrigger`` set to it admits one batch per trigger."""
+    tagged = events.withColumn("_batch", batch)
+    sizes = {r["_batch"]: r["n"] for r in tagged.groupBy("_batch").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = max(1, min([files, *sizes.values()]))
+    for b in sorted(sizes):
+        to_messages(tagged.filter(F.col("_batch") == b)).repartition(n).write.mode("append").parquet(path)
+    return n

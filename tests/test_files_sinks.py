@@ -59,3 +59,29 @@ def test_run_tables_keep_history(spark, scratch):
     allv = spark.read.parquet(scratch + "/funnel")
     assert allv.count() == 4
     assert sorted(r.v for r in sv.latest_run(spark, scratch + "/funnel").collect()) == [10, 20]
+
+
+def test_csv_folder_with_two_headers(spark, scratch):
+    import pytest
+    path = scratch + "/mixed"
+    rows = spark.createDataFrame([(1, "Ann", "2000-01-01", "X"), (2, "Bob", None, "Y")],
+                                 "user_id BIGINT, name STRING, birth_date STRING, city STRING")
+    rest = [F.lit(None).cast("string").alias(c) for c in ("surname", "zip_code", "street_name", "house_number")]
+    rows.filter("user_id = 1").select("user_id", "name", "birth_date", "city", *rest).coalesce(1).write.option(
+        "header", "true").csv(path)
+    rows.filter("user_id = 2").select("city", "name", *rest, "user_id", "birth_date").coalesce(1).write.mode(
+        "append").option("header", "true").csv(path)
+    got = files.read_csv_mixed(spark, path, files.USERS).select("user_id", "name", "city").orderBy("user_id").collect()
+    assert [tuple(r) for r in got] == [(1, "Ann", "X"), (2, "Bob", "Y")]
+    with pytest.raises(Exception, match="CSV|header"):       # never wrong rows without an error
+        files.read_csv(spark, path, files.USERS).collect()
+
+
+def test_describe_lists_columns_and_partitions(spark, scratch):
+    msgs = st.to_messages(make_events(spark, [(1, "2024-01-01 10:00:00", 1, "view", 1, "c", "b", 1)]))
+    from conftest import ts
+    ar.archive_hours(msgs, ts("2024-01-01 10:00:00"), ts("2024-01-01 11:00:00"), scratch + "/a")
+    files.create_events_table(spark, "described", scratch + "/a")
+    rows = [(r.col_name, r.data_type) for r in files.describe(spark, "described").collect()]
+    spark.sql("DROP TABLE described")
+    assert ("price", "double") in rows and ("hour", "int") in rows and ("Provider", "parquet") in rows

@@ -32,15 +32,14 @@ def test_partial_aggregation_before_every_exchange(spark):
         for i, ln in enumerate(lines):
             if ln.startswith("Exchange") and "hashpartitioning" in p:
                 below = lines[i + 1] if i + 1 < len(lines) else ""
-                assert below.startswith(("HashAggregate", "Project", "Sort", "WindowGroupLimit",
-                                         "Filter")), (name, below)
-        if name != "sliding_active_users":     # there Expand is the 5-window fan-out
-            assert "Expand" not in p, name      # no distinct-aggregate expansion
-        assert p.count("partial_") >= len(exchanges(p)) - 1, name
+                assert below.startswith(("HashAggregate", "ObjectHashAggregate", "Project", "Sort",
+                                         "WindowGroupLimit", "Filter")), (name, below)
+        assert "Expand" not in p, name          # no distinct-aggregate expansion, no fan-out of events
+        assert p.count("partial_") >= len(exchanges(p)) - 2, name
 
 
 def test_window_fanout_after_minute_preaggregation(spark):
-    tree = plan(spark, "sliding_active_users").split("\n\n")[0]
+    tree = plan(spark, "sliding_product_views").split("\n\n")[0]
     lines = [ln.strip(" :+-") for ln in tree.splitlines()]
     i = next(k for k, ln in enumerate(lines) if ln.startswith("Expand"))
     assert lines[i + 1].startswith("HashAggregate")   # fan-out reads combined minute rows
@@ -61,10 +60,29 @@ def test_bounded_lists_are_broadcast(spark):
     assert "Window" not in p.split("\n\n")[0]     # dominant age group is an aggregate
 
 
-def test_latest_and_first_are_aggregates(spark):
-    for name in ("first_per_product", "latest_snapshot"):
+def test_extremes_are_hash_aggregates(spark):
+    """No sort of all rows for a first, last or dominant value: numbers are compared, winners fetched."""
+    for name in ("first_per_product", "latest_snapshot", "top_products_latest", "recs_wide", "segment_activity",
+                 "segment_product_stats", "brand_user_metrics", "brand_dominant_age", "distinct_counts"):
+        p = plan(spark, name)
+        assert "SortAggregate" not in p, name
+        assert name != "distinct_counts" or "Expand" not in p
+
+
+def test_distinct_users_without_fan_out(spark):
+    for name in ("sliding_active_users", "sliding_purchases", "active_user_boxplot"):
         tree = plan(spark, name).split("\n\n")[0]
-        assert "HashAggregate" in tree or "ObjectHashAggregate" in tree or "SortAggregate" in tree, name
+        assert "Expand" not in tree and "count(distinct" not in tree, name
+
+
+def test_quantiles_hold_no_value_list(spark):
+    for name in ("active_user_summary", "active_user_boxplot", "high_traffic_brands"):
+        assert "percentile" not in plan(spark, name), name
+
+
+def test_look_back_prunes_archive_hours(spark):
+    for name in ("archive_funnel_24h", "archive_brand_7d"):
+        assert "dynamicpruning" in plan(spark, name).lower(), name
 
 
 def test_dimension_joins_carry_no_hint(spark):
@@ -74,12 +92,13 @@ def test_dimension_joins_carry_no_hint(spark):
         assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
 
 
-def test_window_summary_reads_events_once(spark):
-    # the five metrics finish from one written partial: no scan of the events is
-    # left in the summary's plan, and at most two exchanges per metric remain
+def test_window_summary_writes_no_events_away(spark):
+    # three aggregates read the events (minutes, users, top lists); nothing as large as they is written,
+    # and each leaves through exchanges that carry partial aggregates
     p = plan(spark, "window_summary")
-    assert "events.parquet" not in p and "part.parquet" not in p
-    assert len(exchanges(p)) <= 10
+    assert "SortAggregate" not in p
+    tree = p.split("\n\n")[0]
+    assert tree.count("Scan parquet") <= 12, tree.count("Scan parquet")
 
 
 def test_no_catalogue_join_without_catalogue_columns(spark):

@@ -94,10 +94,96 @@ def test_one_pass_metrics_equal_single_metrics(spark):
             (5, "2024-01-01 10:04:59", 2, "purchase", 2, "d", None, None),
             (6, None, 3, "view", 3, "c", "b", 1.0)]
     ev = make_events(spark, rows)
-    one = sl.batch_metrics(ev)
-    single = {"active_users": sl.active_users(ev), "purchase": sl.purchases(ev),
-              "product_views": sl.product_views(ev), "event": sl.event_distribution(ev),
-              "brand": sl.brand_activity(ev)}
-    for k, df in single.items():
-        assert one[k].schema == df.schema, k
-        assert sorted(map(repr, one[k].collect())) == sorted(map(repr, df.collect())), k
+    from clickflow.plans import reports as rp
+    au = {r.window_start: r for r in sl.active_users(ev).collect()}
+    pu = {r.window_start: r for r in sl.purchases(ev).collect()}
+    mix = {}
+    for r in sl.event_distribution(ev).collect():
+        mix.setdefault(r.window_start, {})[r.event_type] = r.event_count
+    totals = {r.window_start: r for r in sl.window_totals(ev).collect()}
+    assert set(totals) == set(au) == set(mix)
+    for w, t in totals.items():
+        assert (t.active_users, t.total_events) == (au[w].active_users, au[w].total_events)
+        p = pu.get(w)
+        assert (t.purchase_events, t.purchasing_users) == ((p.purchase_count, p.purchasing_users) if p else (0, 0))
+        assert (t.total_revenue, t.avg_basket_value) == ((p.total_revenue, p.avg_basket_value) if p else (None, None))
+        assert all(getattr(t, f"{s}_events") == mix[w].get(s, 0) for s in sl.STAGES)
+    counts = sl.minute_counts(ev)
+    key = ["window_start", "product_id", "brand", "category_code", "view_count"]
+    assert sorted(map(repr, sl.view_counts(counts).select(key).collect())) == sorted(
+        map(repr, sl.product_views(ev).select(key).collect()))
+    key = ["window_start", "brand", "event_type", "event_count"]
+    assert sorted(map(repr, sl.brand_counts(counts).select(key).collect())) == sorted(
+        map(repr, sl.brand_activity(ev).select(key).collect()))
+    assert rp.window_summaries(ev).count() == len(au)
+
+
+def test_interval_deltas_equal_count_distinct(spark):
+    """Runs of a user's minutes: gaps of exactly and beyond a window, across midnight, repeated
+    minutes, users without id, times before 1970."""
+    minutes = ["2023-12-31 23:54", "2023-12-31 23:58", "2023-12-31 23:59", "2024-01-01 00:00", "2024-01-01 00:05",
+               "2024-01-01 00:06", "2024-01-01 00:12", "2024-01-01 00:18", "2024-01-03 00:00", "1969-12-31 23:58"]
+    rows = [(i, f"{m}:{i % 60:02d}", u, "purchase" if (i + (u or 0)) % 3 else "view", 1, "c", "b", 1.5 if i % 2 else None)
+            for i, m in enumerate(minutes * 2) for u in (1, 2, None, 3 + i % 4)]
+    ev = make_events(spark, rows)
+    want = {}
+    for r in rows:
+        if r[3] == "purchase":
+            m = ts(r[1]).replace(second=0)
+            for k in range(5):
+                want.setdefault(m - dt.timedelta(minutes=k), []).append(r)
+    got = {r.window_start: r for r in sl.purchases(ev).collect()}
+    assert set(got) == set(want)
+    for w, rs in want.items():
+        prices = [r[7] for r in rs if r[7] is not None]
+        assert got[w].purchase_count == len(rs) and got[w].window_end == w + dt.timedelta(minutes=5)
+        assert got[w].purchasing_users == len({r[2] for r in rs} - {None})
+        assert got[w].total_revenue == (sum(prices) if prices else None)
+    au = {r.window_start: (r.active_users, r.total_events) for r in sl.active_users(ev).collect()}
+    assert len(au) >= len(got) and all(au[w][1] >= got[w].purchase_count for w in got)
+    assert sl.active_users(ev.limit(0)).count() == 0
+
+
+def test_sketches_merge_into_windows(spark):
+    rows = [(i, f"2024-01-01 10:{i % 7:02d}:00", i * 7919 % 5000, "view", 1, "c", "b", 1) for i in range(20000)]
+    ev = make_events(spark, rows)
+    out = sl.active_users_approx(ev).collect()
+    assert len(out) == 11 and all(r.estimate_in_bound for r in out)
+    assert any(r.estimate != r.active_users for r in out)      # an estimate, not the count
+    sketches = sl.minute_sketches(ev)
+    assert sketches.count() == 7
+    merged = {r.window_start: r.estimate for r in sl.active_users_from_sketches(sketches).collect()}
+    assert {r.window_start: r.estimate for r in out} == merged
+
+
+def test_bitmap_distinct_counts(spark):
+    from clickflow.operators import profile as pf
+    rows = [(1, "2024-01-01 10:00:00", 1, "view", 32767, "c", "b", 1), (2, "2024-01-01 10:00:00", 32768, "view", 32768, "c", None, 1),
+            (3, "2024-01-01 10:00:00", 1, "view", None, None, "b", 1), (4, "2024-01-01 10:00:00", None, "view", 0, "d", "", 1),
+            (5, "2024-01-01 10:00:00", 10 ** 12, "view", 0, "d", "b2", 1), (6, "2024-01-01 10:00:00", -1, "view", 63, "d", "b2", 1)]
+    r = pf.distinct_counts(make_events(spark, rows)).collect()[0]
+    assert (r.products, r.categories, r.users, r.brands, r.events) == (4, 2, 4, 3, 6)
+    e = pf.distinct_counts(make_events(spark, rows).limit(0)).collect()[0]
+    assert (e.products, e.categories, e.users, e.brands, e.events) == (0, 0, 0, 0, 0)
+
+
+def test_exact_quantiles(spark):
+    import numpy as np
+    from clickflow.plans.quantiles import exact_quantiles, placed_values
+    rng = np.random.default_rng(1)
+    for xs in ([3.0], [1.0, 2.0], [5.0] * 9, list(rng.normal(size=501)), [0.0] * 1000 + list(rng.exponential(size=77))):
+        df = spark.createDataFrame([(float(x),) for x in xs] + [(None,)], "x DOUBLE").repartition(5)
+        got = exact_quantiles(df, "x", [0, 0.25, 0.5, 0.75, 1])
+        assert all(abs(v - np.quantile(xs, q)) < 1e-12 for q, v in got.items())
+        assert placed_values(df, "x").agg(F.sum("n")).first()[0] == len(xs)
+    assert exact_quantiles(spark.createDataFrame([], "x DOUBLE"), "x", [0.5]) == {0.5: None}
+
+
+def test_extreme_rows(spark):
+    from clickflow.plans.joins import extreme_rows
+    df = spark.createDataFrame([(1, 5, "b"), (1, 5, "a"), (1, 2, "z"), (None, 1, "n"), (None, 3, "m"), (2, None, "x")],
+                               "k INT, o INT, v STRING")
+    rows = lambda newest: sorted((r.k is None, r.k, r.o, r.v) for r in
+                                 extreme_rows(df, ["k"], F.col("o"), newest).collect())
+    assert rows(True) == [(False, 1, 5, "a"), (True, None, 3, "m")]
+    assert rows(False) == [(False, 1, 2, "z"), (True, None, 1, "n")]
