@@ -12,9 +12,13 @@ empty. If nothing surges, the stretch with the most text is kept.
 The text between surge and dive is kept whole: character references decoded,
 white space inside a block turned into one space, blocks joined by one space.
 
+End tags that authors may leave out (of paragraphs, list items, table cells and rows,
+definitions) are implied, so a notice without one ends where the next block starts.
+
 Defined results: a null or empty page, or one without any such text, gives the
-empty text and n_chars 0; a page cut off in the middle is read as far as it goes;
-null keys pass through; repeated rows are extracted row by row; an empty table
+empty text and n_chars 0; a page cut off in the middle is read as far as it goes; of
+stretches with equally much text the first is kept; long pages are read whole, one at
+a time; null keys pass through; repeated rows are extracted row by row; an empty table
 gives no rows; extra columns are ignored.
 """
 
@@ -49,7 +53,30 @@ NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor spons
                   "newsletter subscribe subscription popup modal overlay share sharing social related recommended "
                   "pagination pager login signup search toolbar copyright masthead skip".split())
 COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
-CONTENT = frozenset("article main content post entry body text story".split())
+BESIDE = frozenset("has with without no".split())
+
+
+#: Elements that an opening tag ends, though their end tag was left out: by the opening tag, the
+#: elements it ends and those beyond which it doesn't reach.
+_CELLS, _ROWS = frozenset(("td", "th")), frozenset(("tr", "td", "th"))
+_GROUPS = frozenset(("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"))
+ENDS = {"li": (frozenset(("li",)), frozenset(("ul", "ol", "menu"))),
+        **dict.fromkeys(("dt", "dd"), (frozenset(("dt", "dd")), frozenset(("dl",)))),
+        **dict.fromkeys(("td", "th"), (_CELLS, frozenset(("tr", "table")))),
+        "tr": (_ROWS, frozenset(("table", "thead", "tbody", "tfoot"))),
+        **dict.fromkeys(("thead", "tbody", "tfoot"), (_GROUPS, frozenset(("table",))))}
+#: Opening tags that end an open paragraph, and the elements inside which a paragraph outside stays open.
+END_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer "
+                  "form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
+_P = frozenset(("p",))
+P_SCOPE = frozenset(("button", "td", "th", "caption", "table", "html", "object", "template"))
+
+
+def _tokens(value: str) -> list[frozenset]:
+    """The words of each token of a class or id; a token that tells what a part has beside it
+    (``has-sidebar``) says nothing about the part."""
+    words = (frozenset(w.lower() for w in _WORD.findall(t)) for t in value.split())
+    return [w for w in words if not w & BESIDE]
 
 
 def _excluded(name: str, tag: str, in_main: bool) -> bool:
@@ -69,10 +96,10 @@ def _excluded(name: str, tag: str, in_main: bool) -> bool:
         return True
     if name in ("html", "body"):
         return False
-    found = {w.lower() for w in _WORD.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}")}
+    found = frozenset().union(*_tokens(f"{attrs.get('class', '')} {attrs.get('id', '')}"))
     if found & COMMENTS:
         return True
-    if name in MAIN or found & CONTENT:
+    if name in MAIN:
         return False
     return bool(found & NAMES) or ("header" in found and not in_main)
 
@@ -95,6 +122,16 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
             parts.clear()
         linked = 0
 
+    def ended(names: frozenset, scope: frozenset):
+        """End the open elements of ``names`` inside ``scope``, with what is open in them."""
+        if any(count.get(n) for n in names):
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] in names:
+                    while len(stack) > i:
+                        pop()
+                elif stack[i][0] in scope:
+                    break
+
     def pop():
         nonlocal shut, main, links
         name, off = stack.pop()
@@ -126,6 +163,10 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
+        if name in END_P:
+            ended(_P, P_SCOPE)
+        if name in ENDS:
+            ended(*ENDS[name])
         if name in VOID or tag.endswith("/>"):
             continue
         off = _excluded(name, tag, main > 0)
