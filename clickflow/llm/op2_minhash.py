@@ -28,8 +28,9 @@ the same set are one class, and all further work is on classes.
 
 Defined results: a null, empty or wordless text has n_shingles 0 and is linked
 with nothing; a row without doc_id is linked with nothing (component_id null,
-kept); rows that repeat a doc_id share its component and are returned as often as
-they occur; an empty table gives no rows; extra columns are ignored.
+kept); rows that repeat a doc_id are one document with the links of all its texts: they
+share its component and are returned as often as they occur; long texts are whole, one text being held at a time with its set; an empty table
+gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -110,6 +111,24 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             .mapInArrow(run, "set_id BIGINT, values ARRAY<BIGINT>"))
 
 
+def shared_ids(rows: DataFrame) -> DataFrame:
+    """a, b: for each doc_id with several sets, its least set with each other one (rows that
+    repeat a doc_id are one document)."""
+    known = rows.where("set_id IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "set_id")
+    several = known.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("z")).where("a < z")
+    return known.join(several, "doc_id").where("set_id <> a").select("a", F.col("set_id").alias("b")).distinct()
+
+
+def all_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """set_id, values, once for each document of ``wanted``, also where rows repeat a doc_id."""
+    again = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    if again.isEmpty():
+        return full_sets(docs, wanted, width)
+    once = full_sets(docs, wanted.join(again, "doc_id", "left_anti").select("set_id", "doc_id"), width)
+    more = full_sets(docs, wanted.join(again, "doc_id", "left_semi").select("set_id", "doc_id"), width)
+    return once.union(more.dropDuplicates(["set_id"]))
+
+
 def _index(classes: DataFrame, k: int, t: float) -> DataFrame:
     """v, set_id, n, score: the rarest retained values of each class that others retain too."""
     values = classes.select("set_id", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("v"))
@@ -221,7 +240,7 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = K
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
     index = written(_index(classes, k, t), "lists")
     listed = classes.join(index.select("set_id").distinct(), "set_id", "left_semi")
-    sets = written(full_sets(docs, listed.select("set_id", "doc_id"), width), "sets")
+    sets = written(all_sets(docs, rows, listed.select("set_id", "doc_id"), width), "sets")
 
     best = F.max_by(F.struct("set_id", "n"), F.struct("score", "set_id")).alias("f")
     centres = index.groupBy("v").agg(best).select("v", F.col("f.set_id").alias("o"), F.col("f.n").alias("on"))
@@ -231,7 +250,8 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = K
     sizes = 100 * F.least("n", "on") >= low * F.greatest("n", "on")
     pairs = written(stars.where(sizes).select("set_id", "o", "n", "on").distinct(), "pairs")
     first = written(_verified(pairs, classes, sets, k, low / 100, percent).where(F.col("alike") >= low / 100), "links")
-    edges = first.where("linked").select(F.col("set_id").alias("a"), F.col("o").alias("b"))
+    edges = first.where("linked").select(F.col("set_id").alias("a"), F.col("o").alias("b")).union(
+        written(shared_ids(rows), "shared"))
     labels = components(edges)
     # one group per centre of the sets like it; two per list: its unlike sets against all that aren't linked with the
     # centre, and those between against the unlike ones
