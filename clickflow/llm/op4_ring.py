@@ -12,8 +12,8 @@ All documents of one arc meet the shards in the same order, so only the number
 of documents per arc (``shards * vnodes`` numbers, a parameter, whatever the
 table's size) is needed to settle which ranks of an arc go where: ``ring_plan``.
 Documents are joined to their arc by an equality on the leading bits of the hash
-and ranked in it by (hash, doc_id, text CRC). The main path is DataFrame
-operations only. Hashes take doc_id alone, so copies of one text spread evenly.
+and ranked in it by (hash, doc_id, text CRC), by places in ranges of the whole order, so
+that a hot arc is spread over tasks. The main path is DataFrame operations only. Hashes take doc_id alone, so copies of one text spread evenly.
 
 Defined results: a null text has size 1 and CRC 0, like an empty one; rows with a
 null doc_id have the point of the word "null" and repeated doc_ids one point,
@@ -25,9 +25,9 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, Window
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import written
+from .common import numbered, written
 
 SHARDS, VNODES = 16, 64
 RING = 1 << 32
@@ -108,11 +108,16 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, vnodes: int = VNODES)
           .where("h >= low AND h < high").drop("low", "high", "lead"))
     counts = {r["arc"]: r["n"] for r in at.groupBy("arc").agg(F.count("*").alias("n")).collect()}
     plan = ring_plan(counts, points, row_capacity(sum(counts.values()), shards))
-    moves = spark.createDataFrame(plan, "arc INT, lo BIGINT, hi BIGINT, shard INT, first BIGINT")
-    w = Window.partitionBy("arc").orderBy("h", "doc_id", "text_crc32")
-    ranked = at.withColumn("rank", F.row_number().over(w).cast("long") - 1)
+    before, total = {}, 0  # rows of the arcs before each
+    for a in sorted(counts):
+        before[a], total = total, total + counts[a]
+    moves = spark.createDataFrame([(*m, before[m[0]]) for m in plan],
+                                  "arc INT, lo BIGINT, hi BIGINT, shard INT, first BIGINT, before BIGINT")
+    # places over all arcs come from ranges of rows: an arc, or one doc_id, may hold a third of the table
+    placed = numbered(at, [F.col(c) for c in ("arc", "h", "doc_id", "text_crc32")], "ring-order")
     # at most shards * vnodes * (vnodes passed) rows, and in practice one or two for each arc
-    return (ranked.join(F.broadcast(moves), "arc").where("rank >= lo AND rank < hi")
+    return (placed.join(F.broadcast(moves), "arc").withColumn("rank", F.col("at") - F.col("before"))
+            .where("rank >= lo AND rank < hi")
             .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
                     (F.col("first") + F.col("rank") - F.col("lo")).alias("slot"),
                     F.lit(None).cast("int").alias("grown_shard")))
