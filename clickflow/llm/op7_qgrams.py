@@ -1,17 +1,20 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
 Texts and items are lower-cased and reduced to letters and digits with single
-blanks between them. An item of m bytes has an edit budget k (``error`` of m). By
-the q-gram lemma a region within k edits of it shares at least m + 1 - q - k * q
-q-grams with it, on diagonals (position in the text minus position in the item)
-that differ by k at most.
-
-1. A bit table of the items' q-grams marks the positions of a text; stretches too
-   poor in marks for any item are passed over (a pigeonhole bound over windows of
-   the shortest item's length, so nothing is lost).
-2. Marks of the rest are looked up and counted by item and diagonal band; bands
+blanks between them. An item of m bytes has an edit budget k, ``error`` of m rounded
+down. By the q-gram lemma a region within k edits of it shares at least
+m + 1 - q - k * q q-grams with it, on diagonals (position in the text minus position
+in the item) that differ by k at most. Short items whose budget leaves no such bound
+(below 40 bytes, some) have an index of their own with shorter grams (``SHORT_Q``).
+
+1. A bit table of the items' q-grams marks the positions of a text. By a pigeonhole
+   bound, of the windows of the shortest item's length that a region of any item
+   spans one at least is rich in marks; all marks within the longest item's reach of
+   a rich window are kept, so nothing is lost, whatever items share an index.
+2. Those marks are looked up and counted by item and diagonal band; bands
    are 2 (k + 1) wide and overlap by half, so some band holds all diagonals of a
-   region within budget. Bands that meet the bound are retained.
+   region within budget. Bands that meet the bound are retained. At most ``POSTINGS``
+   hits are held at a time; what stays of them is one count per band.
 3. A banded alignment of the item with the region verifies the edit distance.
 
 The items are a stated query set: they pass through the driver in blocks of at
@@ -20,7 +23,8 @@ one pass without a shuffle. A lost executor costs the tasks it was working on.
 
 Defined results: null and empty texts match nothing; items of fewer than q bytes
 after reduction are no evidence and match nothing; a null doc_id or item_id passes
-through; repeated rows and items are matched row by row; empty tables give no
+through; repeated rows and items are matched row by row; of equally close regions the
+first counts; long texts are searched whole, one at a time; empty tables give no
 rows; extra columns are ignored.
 """
 
@@ -30,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-Q, ERROR, BLOCK_CHARS, TABLE_BITS = 10, 0.08, 8_000_000, 22
+Q, SHORT_Q, ERROR, BLOCK_CHARS, TABLE_BITS, POSTINGS = 10, 6, 0.08, 8_000_000, 22, 1 << 21
 
 MATCH = "doc_id BIGINT, item_id BIGINT, start BIGINT, length BIGINT, distance BIGINT"
 
@@ -57,28 +61,49 @@ def reduced(texts: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def gram_hashes(buf: np.ndarray, q: int = Q) -> np.ndarray:
-    """64-bit hashes of the q bytes (8 <= q <= 16) from each position on."""
+    """64-bit hashes of the q bytes (q <= 16) from each position on."""
     n = max(len(buf) - q + 1, 0)
     pad = np.concatenate((buf, np.zeros(16, np.uint8)))
     view = np.ndarray((len(buf) + 8,), "<u8", pad, strides=(1,))
+    if q < 8:
+        x = (view[:n] & np.uint64((1 << (8 * q)) - 1)) * np.uint64(0x9E3779B97F4A7C15)
+        return x ^ (x >> np.uint64(29))
     x = view[:n] * np.uint64(0x9E3779B97F4A7C15)
     x ^= (view[q - 8: q - 8 + n] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(7)
     x *= np.uint64(0x165667B19E3779F9)
     return x ^ (x >> np.uint64(29))
 
 
+def _bound(m: np.ndarray, k: np.ndarray, q: int) -> np.ndarray:
+    return m + 1 - q - k * q
+
+
+def _summed(row, item, band, hits, low, high) -> tuple:
+    """One entry per row, item and band: its hits, lowest and highest diagonal."""
+    order = np.lexsort((band, item, row))
+    r, i, b = row[order], item[order], band[order]
+    new = np.ones(len(r), bool)
+    new[1:] = (r[1:] != r[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1])
+    first = np.flatnonzero(new)
+    return (r[first], i[first], b[first], np.add.reduceat(hits[order], first),
+            np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first))
+
+
 class Items:
-    """Index of one block of benchmark items."""
+    """Index of one block of benchmark items: those whose budget leaves a bound for grams of ``q`` bytes,
+    or with ``short`` the others, by grams of ``SHORT_Q`` bytes."""
 
-    def __init__(self, ids: list, texts: list, q: int = Q, error: float = ERROR):
-        self.q, self.ids = q, ids
+    def __init__(self, ids: list, texts: list, q: int = Q, error: float = ERROR, short: bool = False):
+        self.ids = ids
         buf, off = reduced(texts)
         self.text = [buf[a:b].tobytes().rstrip(b" ") for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
         self.m = np.array([len(t) for t in self.text], np.int64)
-        # the budget leaves a bound of q common grams at least, if the item has that many
-        self.k = np.maximum(np.minimum((error * self.m).astype(np.int64), (self.m + 1 - 2 * q) // q), 0)
-        self.bound = self.m + 1 - q - self.k * q
-        use = np.flatnonzero(self.bound > 0)
+        self.k = (error * self.m).astype(np.int64)
+        fits = _bound(self.m, self.k, q) > 0
+        mine = (self.m >= q) & (~fits if short else fits)
+        self.q = q = SHORT_Q if short else q
+        self.bound = _bound(self.m, self.k, q)
+        use = np.flatnonzero(mine & (self.bound > 0))
         grams, item, pos = [], [], []
         for i in use.tolist():
             g = gram_hashes(np.frombuffer(self.text[i], np.uint8), q)
@@ -96,7 +121,7 @@ class Items:
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[(self.grams >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
         reach = self.m[use] + self.k[use]  # a region's grams start within so many positions
-        self.width = int(reach.min())
+        self.width, self.reach = int(reach.min()), int(reach.max())
         self.least = max(1, int((self.bound[use] // -(-reach // self.width)).min()))
 
     def marks(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,8 +136,15 @@ class Items:
         edge = np.zeros(len(at) + 1, np.int64)
         np.add.at(edge, close, 1)
         np.add.at(edge, close + self.least, -1)
-        rich = np.cumsum(edge[:-1]) > 0
-        return at[rich], h
+        rich = at[np.cumsum(edge[:-1]) > 0]
+        if not len(rich):
+            return rich, h
+        # and all marks that a region around one of those may reach
+        i = np.searchsorted(rich, at)
+        after = rich[np.minimum(i, len(rich) - 1)] - at
+        before = at - rich[np.maximum(i - 1, 0)]
+        near = ((after >= 0) & (after <= self.reach)) | ((before >= 0) & (before <= self.reach))
+        return at[near], h
 
     def _within(self, off, n):
         ok = np.ones(n, bool)  # no gram crosses a row's end
@@ -131,24 +163,29 @@ class Items:
         n = self.ptr[g + 1] - self.ptr[g]
         if not len(n):
             return np.zeros((0, 4), np.int64)
-        where = np.repeat(self.ptr[g] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        pos = np.repeat(at, n)
-        item, diagonal = self.item[where], pos - self.pos[where]
-        row = np.searchsorted(off, pos, "right") - 1
-        half = self.k[item] + 1
+        shift_by = int(self.m.max())  # no diagonal lies below its negative
+        held: list[list] = [[], []]
+        ends = np.cumsum(n)
+        a = 0
+        while a < len(at):  # a slice of the marks with POSTINGS hits or so
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + POSTINGS, "right")))
+            c, first = n[a:b], self.ptr[g[a:b]]
+            where = np.repeat(first - (np.cumsum(c) - c), c) + np.arange(c.sum())
+            pos = np.repeat(at[a:b], c)
+            item, diagonal = self.item[where], pos - self.pos[where]
+            row = np.searchsorted(off, pos, "right") - 1
+            half = self.k[item] + 1
+            for shift in (0, 1):  # bands [2 j half, 2 (j + 1) half) and those between
+                band = (diagonal + shift_by + shift * half) // (2 * half)
+                held[shift].append(_summed(row, item, band, np.ones(len(row), np.int64), diagonal, diagonal))
+                if len(held[shift]) > 8:
+                    held[shift] = [_summed(*map(np.concatenate, zip(*held[shift])))]
+            a = b
         out = []
-        low = int(diagonal.min())
-        for shift in (0, 1):  # bands [2 j half, 2 (j + 1) half) and those between
-            band = (diagonal - low + shift * half) // (2 * half)
-            order = np.lexsort((pos, band, item, row))
-            r, i, b, p, d = row[order], item[order], band[order], pos[order], diagonal[order]
-            new = np.ones(len(r), bool)
-            new[1:] = (r[1:] != r[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1])
-            first = np.flatnonzero(new)
-            enough = np.diff(np.append(first, len(r))) >= self.bound[i[first]]
-            low_d = np.minimum.reduceat(d, first)
-            high_d = np.maximum.reduceat(d, first)
-            out.append(np.stack((r[first], i[first], low_d, high_d), 1)[enough])
+        for sums in held:
+            r, i, _, hits, low_d, high_d = _summed(*map(np.concatenate, zip(*sums)))
+            enough = hits >= self.bound[i]
+            out.append(np.stack((r, i, low_d, high_d), 1)[enough])
         return np.unique(np.concatenate(out), axis=0)
 
     def verify(self, text: bytes, item: int, low: int, high: int):
@@ -208,11 +245,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, error: float = ER
     def flush():
         if not ids:
             return
-        index = Items(list(ids), list(texts), q, error)
+        indexes = [Items(list(ids), list(texts), q, error, short) for short in (False, True)]
         ids.clear()
         texts.clear()
-        if not index.empty:
-            out.append(text.mapInArrow(_matcher(spark.sparkContext.broadcast(index)), MATCH))
+        indexes = [x for x in indexes if not x.empty]
+        if indexes:
+            out.append(text.mapInArrow(_matcher(spark.sparkContext.broadcast(indexes)), MATCH))
 
     for row in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
         ids.append(row[0])
@@ -229,18 +267,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, error: float = ER
 
 
 def _matcher(shared):
-    def rows(doc_ids, texts, index):
+    def rows(doc_ids, texts, indexes):
         buf, off = reduced(texts)
-        best = {}
-        for r, i, low, high in index.candidates(buf, off).tolist():
-            text = buf[off[r]: off[r + 1]].tobytes()
-            hit = index.verify(text, i, low - int(off[r]), high - int(off[r]))
-            if hit and ((r, i) not in best or (hit[2], hit[0]) < (best[r, i][2], best[r, i][0])):
-                best[r, i] = hit
-        return [(doc_ids[r], index.ids[i], *hit) for (r, i), hit in sorted(best.items())]
+        found = []
+        for index in indexes:
+            best = {}
+            for r, i, low, high in index.candidates(buf, off).tolist():
+                if best.get((r, i), (0, 0, 1))[2] == 0:
+                    continue  # regions come from left to right: none is closer, or as close and further left
+                text = buf[off[r]: off[r + 1]].tobytes()
+                hit = index.verify(text, i, low - int(off[r]), high - int(off[r]))
+                if hit and ((r, i) not in best or (hit[2], hit[0]) < (best[r, i][2], best[r, i][0])):
+                    best[r, i] = hit
+            found += [(doc_ids[r], index.ids[i], *hit) for (r, i), hit in sorted(best.items())]
+        return found
 
     def run(batches):
-        index = shared.value
+        indexes = shared.value
         for batch in batches:
             doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             a, found = 0, []
@@ -249,7 +292,7 @@ def _matcher(shared):
                 while b < len(texts) and (b == a or size < 1 << 20):
                     size += len(texts[b] or "")
                     b += 1
-                found += rows(doc_ids[a:b], texts[a:b], index)
+                found += rows(doc_ids[a:b], texts[a:b], indexes)
                 a = b
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in found], pa.int64()) for i in range(5)],
