@@ -11,7 +11,8 @@ the table, the others (rare letters, most of a Chinese sample) as sorted keys.
 
 Text is lower-cased, runs of characters that are no letters become one blank.
 
-Sample (documented bound): per language at most ``sample_rows`` labelled rows in
+Sample (documented bound): of the ``max_langs`` labels with the most rows, per language
+at most ``sample_rows`` labelled rows in
 the order of a hash of doc_id, those of at most ``train_chars / 4`` characters
 first, distinct texts, up to ``train_chars`` characters in all. Only rows whose
 crc32 of doc_id leaves a remainder other than 0 by 5 are learned from; language,
@@ -19,8 +20,10 @@ source and doc_id are never inputs of a prediction.
 
 Defined results: null or letterless text is ``und`` with score 0, as is every
 text if nothing could be learned; repeated rows are predicted row by row; a null
-doc_id is neither held out nor learned from; an empty table gives no rows; extra
-columns are ignored. ``score`` is 1 - best / second best phrase rate.
+doc_id is neither held out nor learned from; of rows that repeat a doc_id one text is
+learned from; an empty table gives no rows; extra columns are ignored, and columns to
+keep that are called lang_pred, score or n_letters give way to the results; long texts
+are parsed whole. ``score`` is 1 - best / second best phrase rate.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F, Window
 
 from .common import chunks, utf8
 
-SAMPLE_ROWS, TRAIN_CHARS, ALPHABET, LANE, FOLDS = 64, 20_000, 48, 384, 5
+SAMPLE_ROWS, TRAIN_CHARS, ALPHABET, LANE, FOLDS, MAX_LANGS = 64, 20_000, 48, 384, 5, 512
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +237,7 @@ def held_out(doc_id):
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, train_chars: int = TRAIN_CHARS,
-        alphabet: int = ALPHABET) -> Model:
+        alphabet: int = ALPHABET, max_langs: int = MAX_LANGS) -> Model:
     """Learn from the labelled rows of ``docs`` (doc_id, text, lang) that are not held out."""
     ok = (F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
           & (F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0))
@@ -242,11 +245,15 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, train_chars: int = TRAI
     cand = docs.where(ok).select(F.col("doc_id").cast("string").alias("d"), F.col("lang").cast("string").alias("lang"),
                                  F.length("text").alias("n"), F.md5(F.col("doc_id").cast("string")).alias("h"))
     w = Window.partitionBy("lang").orderBy((F.col("n") > part).cast("int"), "h", "n")
+    # rows that repeat a doc_id are one candidate; the most frequent labels are learned
+    common = cand.groupBy("lang").agg(F.count("*").alias("c")).orderBy(F.desc("c"), "lang").limit(max_langs).select("lang")
+    cand = cand.join(F.broadcast(common), "lang").distinct()
     ids = cand.withColumn("r", F.row_number().over(w)).where(F.col("r") <= sample_rows).select("d", "lang", "r", "n")
-    # at most sample_rows rows per language, each cut to the sample's bound
+    # at most sample_rows texts per language, one for each candidate, each cut to the sample's bound
     rows = (docs.where(ok).select(F.col("doc_id").cast("string").alias("d"), F.col("lang").cast("string").alias("lang"),
                                   F.length("text").alias("n"), F.substring("text", 1, train_chars).alias("text"))
-            .join(F.broadcast(ids), ["d", "lang", "n"]).select("lang", "r", "text").collect())
+            .join(F.broadcast(ids), ["d", "lang", "n"])
+            .groupBy("lang", "r").agg(F.min("text").alias("text")).collect())
     samples: dict[str, list[str]] = {}
     for x in sorted(rows, key=lambda x: (x["lang"], x["r"], x["text"])):
         samples.setdefault(x["lang"], []).append(x["text"])
@@ -271,6 +278,7 @@ def predict(docs: DataFrame, model: Model, *keep: str, text: str = "text") -> Da
                 [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
                  pa.array(counts, pa.int64())], [*batch.schema.names[:-1], "lang_pred", "score", "n_letters"])
 
+    keep = tuple(c for c in keep if c not in ("lang_pred", "score", "n_letters"))
     src = docs.select(*keep, F.col(text).cast("string").alias("__text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]),
                         "lang_pred STRING", "score DOUBLE", "n_letters BIGINT"])
