@@ -25,7 +25,10 @@ Lines of recurring templates are dropped from every document; lines of fewer tha
 Defined results: a null text stays null and has no lines; blank lines and empty
 texts stay as they are; a document all of whose lines recur gets the empty text;
 repeated rows are one document for the counts and treated alike; null doc_ids are
-rows like others; an empty table gives no rows; extra columns pass through.
+rows like others; of templates that a line stands for any one that recurs drops it; long
+texts are parsed whole, one at a time; an empty table gives no rows; extra columns pass
+through, but n_lines and n_dropped, if there are such columns, give way to the results
+(names that begin with __template_ are reserved).
 """
 
 from __future__ import annotations
@@ -145,14 +148,14 @@ def drop_templates(docs: DataFrame, min_docs: int = MIN_DOCS, **options) -> Data
     lines = written(line_templates(docs, **options), "lines")
     keys = written(recurring(lines, min_docs), "templates")
     # a document's lines are gathered, never a template's
-    drop = (lines.join(keys, "key").groupBy(F.col("rid").alias("__rid"))
-            .agg(F.collect_set("line").alias("__drop")))
-    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("__drop", i))
-    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = (docs.withColumn("__rid", _row_id()).join(drop, "__rid", "left")
+    drop = (lines.join(keys, "key").groupBy(F.col("rid").alias("__template_rid"))
+            .agg(F.collect_set("line").alias("__template_drop")))
+    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("__template_drop", i))
+    text = F.when(F.col("__template_drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    out = (docs.withColumn("__template_rid", _row_id()).join(drop, "__template_rid", "left")
            .withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long"))
-           .withColumn("n_dropped", F.coalesce(F.size("__drop"), F.lit(0)).cast("long"))
+           .withColumn("n_dropped", F.coalesce(F.size("__template_drop"), F.lit(0)).cast("long"))
            .withColumn("text", text))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.drop("__rid", "__drop")
+    return out.drop("__template_rid", "__template_drop")
