@@ -4,14 +4,21 @@ Language ID drops letterless documents, line dedup drops recurring lines, MinHas
 near-dedup keeps the first document of each group (five-word shingles, similarity
 0.8), decontamination drops documents with a benchmark passage, and packing
 returns the pieces of the training sequences. Every stage but the last returns the
-columns of documents."""
+columns of documents.
+
+Rows decide, not ids: a row without doc_id, or one that repeats another's, is judged by
+its own text. Of equal rows near-dedup keeps one (they are near duplicates of each other),
+of a group the one with the least doc_id, rows without one last; the other stages treat
+equal rows alike. Texts that are null or without letters go in the first stage; a document
+whose lines all recur stays with the empty text, which is near nothing. Long texts are whole,
+an empty table gives no rows, and columns other than those of documents are left out."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickflow.llm import op2_minhash, op5_templates, op6_packing, op7_qgrams, op10_langid
-from clickflow.llm.common import written
+from clickflow.llm.common import numbered, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -27,17 +34,25 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op5_templates.drop_templates(docs.select(COLUMNS)).select(COLUMNS)
 
 
+def _rows(docs: DataFrame, label: str) -> DataFrame:
+    """``docs`` with a number for each row, in the order of doc_id."""
+    return numbered(docs.select(COLUMNS), [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")], label, "__row")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each near-duplicate group, and all that are linked with none."""
-    gone = op2_minhash.link(docs, width=5, percent=80).where("NOT kept").select("doc_id").distinct()
-    return docs.select(COLUMNS).join(gone, "doc_id", "left_anti").select(COLUMNS)
+    rows = _rows(docs, "dedup-rows")
+    linked = op2_minhash.link(rows.select(F.col("__row").alias("doc_id"), "text"), width=5, percent=80)
+    gone = linked.where("NOT kept").select(F.col("doc_id").alias("__row"))
+    return rows.join(gone, "__row", "left_anti").select(COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in which no benchmark passage was found."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = op7_qgrams.matches(docs, items).where("doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.select(COLUMNS).join(found, "doc_id", "left_anti").select(COLUMNS)
+    rows = _rows(docs, "clean-rows")
+    found = op7_qgrams.matches(rows.select(F.col("__row").alias("doc_id"), "text"), items)
+    return rows.join(found.select(F.col("doc_id").alias("__row")).distinct(), "__row", "left_anti").select(COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
