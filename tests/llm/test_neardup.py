@@ -112,3 +112,30 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 103), (200, 199)] + [(300, 300 + i) for i in range(1, 50)]
     got_ = {r.v: r.c for r in components(spark.createDataFrame(edges, "a BIGINT, b BIGINT")).collect()}
     assert all(got_[i] == 0 for i in range(41)) and got_[103] == 100 and got_[200] == 199 and got_[349] == 300
+
+
+def test_rows_that_repeat_a_doc_id(spark):
+    """Rows with one doc_id are one document, with the links of all its texts; SQL agrees."""
+    import duckdb
+    from clickflow.llm.oracle_sql import SQL
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(2, a), (5, a), (5, b), (9, b), (7, c), (None, c), (11, b.upper()), (11, b)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    out = sorted((r.doc_id or -1, r.component_id) for r in M.link(df).collect())
+    assert out == [(-1, None), (2, 2), (5, 2), (5, 2), (7, 7), (9, 2), (11, 2), (11, 2)]
+    con = duckdb.connect()
+    con.register("documents", df.where("doc_id IS NOT NULL").toArrow())
+    con.execute(SQL["op2_minhash_neardup"])
+    names = [x[0] for x in con.description]
+    want = {dict(zip(names, r))["doc_id"]: dict(zip(names, r))["component_id"] for r in con.fetchall()}
+    assert want == {d: k for d, k in out if d > 0}
+
+
+def test_copies_of_rows_give_one_set(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    near = text.replace("w59", "other")
+    df = spark.createDataFrame([(1, text)] * 200 + [(2, near)] * 200, "doc_id BIGINT, text STRING").repartition(4)
+    rows = M.sketches(df)
+    wanted = rows.groupBy("set_id").agg({"doc_id": "min"}).withColumnRenamed("min(doc_id)", "doc_id")
+    assert M.all_sets(df, rows, wanted, M.WIDTH).count() == 2
+    assert {(r.doc_id, r.component_id) for r in M.link(df).collect()} == {(1, 1), (2, 1)}

@@ -55,3 +55,21 @@ def test_language_stage_without_labels(spark):
     for rows in (plain, held, [(d, t, "und", s, n) for d, t, _, s, n in plain]):
         out = P.language_id(spark, spark.createDataFrame(rows, schema), SF).collect()
         assert sorted((r.doc_id or -1, r.text) for r in out) == want
+
+
+def test_rows_not_ids_decide(spark, tmp_path):
+    """Rows that repeat a doc_id or have none: no unique text leaves, one row of each group stays,
+    and contaminated rows go."""
+    from pyspark.sql import functions as F
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in ("ab", "cd", "ef"))
+    item = "the passage of a benchmark that must not stand in any text of the corpus"
+    rows = [(2, a), (5, a), (5, b), (None, b), (7, c), (7, c), (7, c), (None, f"{c} {item}"), (8, f"x {item} y"), (8, "clean text")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows],
+                                 "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT").withColumn("__row", F.lit("x"))
+    spark.createDataFrame([(1, item)], "item_id BIGINT, text STRING").write.parquet(f"{tmp_path}/benchmark.parquet")
+    near = P.near_dedup(spark, docs, str(tmp_path))
+    assert near.columns == P.COLUMNS
+    assert sorted((r.doc_id or 0, r.text) for r in near.collect()) == sorted(
+        [(2, a), (5, b), (7, c), (0, f"{c} {item}"), (8, f"x {item} y"), (8, "clean text")])
+    clean = P.decontamination(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in clean) == sorted((d or 0, t) for d, t in rows if item not in t)

@@ -55,6 +55,18 @@ def check_slots(out, n):
     assert sum(sizes) == n and max(sizes) - min(sizes) <= 1
 
 
+def test_ring_with_a_hot_key(spark):
+    """A doc_id with a third of all rows: one point, one arc, and still sizes one apart and gapless slots."""
+    rows = [(1, f"t{i}") for i in range(400)] + [(None, f"u{i}") for i in range(100)] + [(i, "x") for i in range(2, 500)]
+    out = S.shard_documents(spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(5)).collect()
+    check_slots(out, len(rows))
+    want = ring_brute(rows)
+    got = {}
+    for r in out:
+        got.setdefault(r.doc_id, []).append(r.shard)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
 def test_ring_edges(spark, edge, none):
     out = S.shard_documents(edge).collect()
     check_slots(out, len(EDGE))
@@ -210,6 +222,24 @@ def test_language_edges(spark, edge, none):
     assert [(r.lang_pred, r.score) for r in L.identify(unlabelled).collect()] == [("und", 0.0)]
 
 
+def test_rows_of_one_doc_id_are_one_candidate(spark, monkeypatch):
+    one = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5)
+    rows = [(one, f"the text number {i} of one document", "en") for i in range(3000)] + [
+        (i, "ein paar Worte", f"l{i}") for i in range(20, 40)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING").repartition(4)
+    seen = []
+    monkeypatch.setattr(L, "Model", lambda samples, *a: seen.append(samples))
+    L.fit(df)
+    L.fit(df, max_langs=3)
+    assert len(seen[0]["en"]) <= L.SAMPLE_ROWS and sum(map(len, seen[0].values())) <= 64 + 20
+    assert len(seen[1]) == 3 and "en" in seen[1]
+
+
+def test_kept_columns_give_way_to_results(spark, edge):
+    out = L.predict(edge, L.fit(edge), "doc_id", "lang_pred", "score", "h")
+    assert out.columns == ["doc_id", "h", "lang_pred", "score", "n_letters"]
+
+
 def test_labels_are_no_inputs_of_a_prediction(spark, docs):
     from pyspark.sql import functions as F
     model = L.fit(docs)
