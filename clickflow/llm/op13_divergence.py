@@ -9,11 +9,11 @@ lexicographic order: a transducer from terms to ordinals, and back. A shard ends
 ``shard_terms`` terms or ``SHARD_BYTES`` bytes; shards that follow one another go on
 counting.
 
-Second pass: the terms of the texts, combined in each batch, stream through the shard that
-may hold them; what comes out are ordinals, and counts by language, source and ordinal are
-recounted from there without a string. Shards never pass the driver: only their bounds
-(the shortest prefixes that tell them apart) and sizes do, at most ``MOST_SHARDS``, and
-the shard's row travels to the tasks that stream its range, ``SALTS`` to a shard.
+Second pass: the terms of the texts, with their counts by source combined in each batch,
+stream through the shard that may hold them; what comes out are ordinals, and counts by
+language, source and ordinal are summed from there without a string. Shards never pass the
+driver: only their first terms and sizes do, at most ``MOST_SHARDS`` of them, and
+a shard's row travels to the tasks that stream its range, ``SALTS`` to a shard.
 
 From the counts, with p = 1 + (10^9 * (count + 1)) // (N + V) and f = (p - q)^2 // q:
 for each source and every other source of its language the sum of f over all kept terms
@@ -66,9 +66,10 @@ def terms(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, pa.LargeBinaryA
         pa.large_binary(), len(size), [None, pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())])
 
 
-def _coded(column) -> tuple[np.ndarray, list]:
+def _coded(column) -> tuple[np.ndarray, pa.Array]:
+    """(codes, distinct values) of a column."""
     coded = column.dictionary_encode()
-    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -89,9 +90,8 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
                 pairs = np.unique(row * len(words) + code)
                 key, n = np.unique(lang[a + pairs // len(words)] * len(words) + pairs % len(words), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[i] for i in key // len(words)], pa.string()),
-                     pa.array([words[i] for i in key % len(words)], pa.binary()), pa.array(n, pa.int64())],
-                    ["lang", "term", "docs"])
+                    [names.take(pa.array(key // len(words))), words.take(pa.array(key % len(words))).cast(pa.binary()),
+                     pa.array(n, pa.int64())], ["lang", "term", "docs"])
 
     found = docs.select("lang", "text").mapInArrow(run, "lang STRING, term BINARY, docs BIGINT")
     return found.groupBy("lang", "term").agg(F.sum("docs").alias("docs"))
@@ -220,118 +220,152 @@ def build_shards(kept: DataFrame, shard_terms: int) -> DataFrame:
     return kept.select("lang", "term").repartitionByRange("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(run, _SHARD)
 
 
+#: A term's counts in one batch: (source, count) pairs, sources by a 64-bit hash.
+COUNTS = np.dtype([("source", "<i8"), ("n", "<i8")])
+#: Counts that a task sums up at a time.
+HELD = 1 << 20
+
+
+def source_key(source: Column) -> Column:
+    return F.xxhash64(source)
+
+
 class Vocabulary:
-    """``shards``: lang, shard, base (the ordinal of its first term) and the transducers;
-    ``bounds``: per language the first terms and bases of its shards; ``sizes``: lang, v."""
+    """``shards``: lang, shard (a number over all languages), base (the ordinal of its first term) and
+    the transducers; ``bounds``: per language the first terms, numbers and bases of its shards;
+    ``sizes``: lang, v."""
 
     def __init__(self, kept: DataFrame, shard_terms: int | None = None):
         kept = written(kept, "audit-kept")
         if shard_terms is None:  # the number of shards, and so what the driver holds of them, is bounded
             shard_terms = max(SHARD_TERMS, kept.count() // MOST_SHARDS)
         shards = written(build_shards(kept, shard_terms), "audit-shards")
-        w = Window.partitionBy("lang").orderBy("low")
-        bases = shards.select("lang", "low", "n", (F.row_number().over(w) - 1).alias("shard"),
-                              (F.sum("n").over(w) - F.col("n")).alias("base"))
-        self.shards = shards.drop("n").join(bases.drop("n"), ["lang", "low"]).drop("low")
-        self.sizes = bases.groupBy("lang").agg(F.sum("n").alias("v"))
-        self.bounds: dict[str, tuple[list, list]] = {}
-        for r in bases.orderBy("lang", "low").toLocalIterator():
-            lows, at = self.bounds.setdefault(r["lang"], ([], []))
+        self.bounds: dict[str, tuple[list, list, list]] = {}
+        numbers = []
+        for r in shards.select("lang", "low", "n").orderBy("lang", "low").toLocalIterator():
+            lows, number, at = self.bounds.setdefault(r["lang"], ([], [], [0]))
             lows.append(bytes(r["low"]))
-            at.append(r["base"])
+            number.append(len(numbers))
+            numbers.append((r["lang"], bytearray(r["low"]), len(numbers), at[-1]))
+            at.append(at[-1] + r["n"])
+        spark = kept.sparkSession
+        numbered_ = spark.createDataFrame(numbers, "lang STRING, low BINARY, shard INT, base BIGINT")
+        self.shards = shards.drop("n").join(F.broadcast(numbered_), ["lang", "low"]).drop("low")
+        self.sizes = shards.groupBy("lang").agg(F.sum("n").alias("v"))
 
     def _stream(self, rows: DataFrame, step, schema: str, arrow: pa.Schema) -> DataFrame:
-        """``rows`` (lang, shard, source, term, n) with their shards: each task reads a shard's
-        transducer, then the rows of its range in batches; ``step(transducer, base, batch)`` gives columns."""
-        salt = F.pmod(F.xxhash64("source", "term", "n"), F.lit(SALTS)).cast("int")
-        rows = rows.withColumn("salt", salt)
-        shards = self.shards.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        shards = shards.withColumn("loads", F.lit(0)).unionByName(rows.withColumn("loads", F.lit(1)), allowMissingColumns=True)
+        """``rows`` (shard, source, term, ...) with their shards: each task reads a shard's transducer,
+        then the rows of its range in batches; ``step(shard's row, batch)`` gives columns."""
+        salt = F.pmod(F.xxhash64("source", "term"), F.lit(SALTS))
+        place = lambda salt, loads: (F.col("shard") * SALTS + salt).cast("bigint") * 2 + loads
+        rows = rows.withColumn("place", place(salt, 1))
+        each = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        shards = self.shards.withColumn("salt", each).withColumn("place", place(F.col("salt"), 0)).drop("salt")
+        both = shards.drop("shard").unionByName(rows.drop("shard"), allowMissingColumns=True)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            transducer, base = None, 0
+            shard = None
             for batch in batches:
-                loads = np.flatnonzero(batch.column("loads").to_numpy(zero_copy_only=False) == 0)
+                loads = np.flatnonzero(batch.column("place").to_numpy(zero_copy_only=False) % 2 == 0)
                 for i, a in enumerate([-1, *loads]):
                     if a >= 0:
-                        r = {c: batch.column(c)[a].as_py() for c in ("keys", "target", "output", "final", "root", "base")}
-                        base = r.pop("base")
-                        transducer = Transducer.read(**r)
+                        shard = {c: batch.column(c)[a].as_py() for c in ("lang", "keys", "target", "output", "final", "root", "base")}
+                        shard["transducer"] = Transducer.read(*(shard.pop(c) for c in ("keys", "target", "output", "final", "root")))
                     b = loads[i] if i < len(loads) else batch.num_rows
                     if b > a + 1:
-                        yield pa.RecordBatch.from_arrays(step(transducer, base, batch.slice(a + 1, b - a - 1)), schema=arrow)
+                        yield from (pa.RecordBatch.from_arrays(x, schema=arrow) for x in step(shard, batch.slice(a + 1, b - a - 1)))
 
-        return (shards.repartition("lang", "shard", "salt").sortWithinPartitions("lang", "shard", "salt", "loads")
-                .mapInArrow(run, schema))
+        # one number to sort by: a shard's row, then the rows of its range
+        return (both.repartition(F.shiftright("place", 1)).sortWithinPartitions("place").mapInArrow(run, schema))
 
     def recount(self, docs: DataFrame) -> DataFrame:
-        """lang, source, ord, n: how often each kept term occurs in a source's texts of a language."""
+        """lang, source_key, ord, n: how often each kept term occurs in a source's texts of a language."""
         bounds = self.bounds
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 lang, langs = _coded(batch.column("lang"))
                 source, sources = _coded(batch.column("source"))
-                group = lang * len(sources) + source
+                hashes = sources.to_numpy(zero_copy_only=False)
                 buf, off = utf8(batch.column("text"))
                 for a, b in chunks(off, 8 << 20):
                     row, term = terms(buf[off[a]: off[b]], off[a: b + 1] - off[a])
                     code, words = _coded(term)
                     if not len(code):
                         continue
-                    key, n = np.unique(group[a + row] * len(words) + code, return_counts=True)
-                    group_of, word_of = key // len(words), key % len(words)
-                    lang_of = group_of // len(sources)
-                    shard = np.full(len(key), -1, np.int64)
-                    for i, name in enumerate(langs):
-                        lows = bounds.get(name, ([], []))[0]
-                        mine = np.flatnonzero(lang_of == i)
-                        if lows:
-                            where = np.full(len(words), -1, np.int64)
-                            used = np.unique(word_of[mine])
-                            where[used] = [bisect.bisect_right(lows, words[j]) - 1 for j in used]
-                            shard[mine] = where[word_of[mine]]
-                    at = np.flatnonzero(shard >= 0)  # before the first term of its language: not kept
+                    key, n = np.unique(((lang * len(words))[a + row] + code) * len(sources) + source[a + row], return_counts=True)
+                    counts = np.empty(len(key), COUNTS)
+                    counts["source"], counts["n"] = hashes[key % len(sources)], n
+                    key //= len(sources)
+                    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))  # a term of a language
+                    ends = np.append(first, len(key)).astype(np.int64) * COUNTS.itemsize
+                    held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [
+                        None, pa.py_buffer(ends.tobytes()), pa.py_buffer(counts.tobytes())])
+                    term_of = words.take(pa.array(key[first] % len(words)))
+                    lang_of, shard = key[first] // len(words), np.full(len(first), -1, np.int32)
+                    spelled = term_of.to_pylist()
+                    for i, name in enumerate(langs.to_pylist()):
+                        lows, number, _ = bounds.get(name, ([], [], []))
+                        if lows:  # a term before the first one of its language isn't kept
+                            shard[lang_of == i] = [number[x] if (x := bisect.bisect_right(lows, spelled[j]) - 1) >= 0 else -1
+                                                   for j in np.flatnonzero(lang_of == i)]
+                    at = pa.array(np.flatnonzero(shard >= 0))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([langs[i] for i in lang_of[at]], pa.string()), pa.array(shard[at], pa.int32()),
-                         pa.array([sources[i] for i in group_of[at] % len(sources)], pa.string()),
-                         pa.array([words[i] for i in word_of[at]], pa.binary()), pa.array(n[at], pa.int64())],
-                        ["lang", "shard", "source", "term", "n"])
-
-        def step(transducer: Transducer, base: int, batch: pa.RecordBatch) -> list:
-            col = batch.column("term").cast(pa.large_binary())
-            off = np.frombuffer(col.buffers()[1], np.int64)[col.offset: col.offset + len(col) + 1]
-            data = col.buffers()[2]
-            found = transducer.ordinals(np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), off)
-            at = pa.array(np.flatnonzero(found >= 0))
-            return [batch.column("lang").take(at), batch.column("source").take(at),
-                    pa.array(found[found >= 0] + base), batch.column("n").take(at)]
-
-        rows = docs.mapInArrow(run, "lang STRING, shard INT, source STRING, term BINARY, n BIGINT")
-        out = self._stream(rows, step, "lang STRING, source STRING, ord BIGINT, n BIGINT", pa.schema(
-            [("lang", pa.string()), ("source", pa.string()), ("ord", pa.int64()), ("n", pa.int64())]))
-        return out.groupBy("lang", "source", "ord").agg(F.sum("n").alias("n"))
+                        [pa.array(shard[shard >= 0]), pa.array(np.zeros(len(at), np.int64)), term_of.take(at).cast(pa.binary()),
+                         held.take(at).cast(pa.binary())], ["shard", "source", "term", "counts"])
+
+        def step(shard: dict, batch: pa.RecordBatch) -> Iterator[list]:
+            found = shard["transducer"].ordinals(*_bytes(batch.column("term")))
+            hit = np.flatnonzero(found >= 0)
+            data, off = _bytes(batch.column("counts").take(pa.array(hit)))
+            counts = data[off[0]: off[-1]].view(COUNTS)
+            ords = np.repeat(found[hit], np.diff(off) // COUNTS.itemsize)
+            for a in range(0, len(counts), HELD):
+                source, at = np.unique(counts["source"][a: a + HELD], return_inverse=True)
+                key, back = np.unique(ords[a: a + HELD] * len(source) + at, return_inverse=True)
+                n = np.zeros(len(key), np.int64)
+                np.add.at(n, back, counts["n"][a: a + HELD])
+                yield [pa.array([shard["lang"]]).take(pa.array(np.zeros(len(key), np.int64))), pa.array(source[key % len(source)]),
+                       pa.array(key // len(source) + shard["base"]), pa.array(n)]
+
+        rows = docs.select("lang", source_key(F.col("source")).alias("source"), "text").mapInArrow(
+            run, "shard INT, source BIGINT, term BINARY, counts BINARY")
+        out = self._stream(rows, step, "lang STRING, source_key BIGINT, ord BIGINT, n BIGINT", pa.schema(
+            [("lang", pa.string()), ("source_key", pa.int64()), ("ord", pa.int64()), ("n", pa.int64())]))
+        return out.groupBy("lang", "source_key", "ord").agg(F.sum("n").alias("n"))
 
     def spelled(self, rows: DataFrame) -> DataFrame:
-        """``rows`` (lang, source, ord, value) with the column item, the term of the ordinal."""
+        """``rows`` (lang, source, ord, value, rank) with the column item, the term of the ordinal."""
         bounds = self.bounds
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ords = batch.column("ord").to_pylist()
-                shard = [bisect.bisect_right(bounds[name][1], o) - 1 for name, o in zip(batch.column("lang").to_pylist(), ords)]
+                ords, shard = batch.column("ord").to_pylist(), []
+                for name, o in zip(batch.column("lang").to_pylist(), ords):
+                    _, number, at = bounds[name]
+                    shard.append(number[bisect.bisect_right(at, o) - 1])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("lang"), pa.array(shard, pa.int32()), batch.column("source"), pa.nulls(len(ords), pa.binary()),
-                     batch.column("value"), batch.column("ord")], ["lang", "shard", "source", "term", "n", "ord"])
+                    [pa.array(shard, pa.int32()), *(batch.column(c) for c in ("source", "ord", "value", "rank"))],
+                    ["shard", "source", "ord", "value", "rank"])
+
+        def step(shard: dict, batch: pa.RecordBatch) -> Iterator[list]:
+            ords = batch.column("ord").to_pylist()
+            items = [shard["transducer"].term(o - shard["base"]).decode() for o in ords]
+            yield [pa.array([shard["lang"]] * len(ords), pa.string()), batch.column("source"), pa.array(items, pa.string()),
+                   batch.column("value"), batch.column("rank")]
+
+        routed = rows.select("lang", "source", "ord", "value", "rank").mapInArrow(
+            run, "shard INT, source STRING, ord BIGINT, value BIGINT, rank INT").withColumn("term", F.lit(None).cast("binary"))
+        return self._stream(routed, step, "lang STRING, source STRING, item STRING, value BIGINT, rank INT", pa.schema(
+            [("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64()), ("rank", pa.int32())]))
 
-        def step(transducer: Transducer, base: int, batch: pa.RecordBatch) -> list:
-            items = [transducer.term(o - base).decode() for o in batch.column("ord").to_pylist()]
-            return [batch.column("lang"), batch.column("source"), batch.column("ord"), batch.column("n"), pa.array(items, pa.string())]
 
-        routed = rows.select("lang", "source", "ord", "value").mapInArrow(
-            run, "lang STRING, shard INT, source STRING, term BINARY, n BIGINT, ord BIGINT")
-        return self._stream(routed, step, "lang STRING, source STRING, ord BIGINT, value BIGINT, item STRING", pa.schema(
-            [("lang", pa.string()), ("source", pa.string()), ("ord", pa.int64()), ("value", pa.int64()), ("item", pa.string())]))
+def _bytes(column) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a binary column without nulls."""
+    column = column.cast(pa.large_binary())
+    off = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), off
 
 
 def _share(n: str, total: str) -> Column:
@@ -370,7 +404,7 @@ def _pair_values(counts: DataFrame, groups: DataFrame) -> DataFrame:
     heads = (blocks.withColumn("slice", slices).select(
         "lang", "slice", "block", "place", "source", "sources", F.lit(-1).cast("bigint").alias("ord"), F.col("p0").alias("p"),
         F.least(F.lit(SLICE), F.col("v") - F.col("slice") * SLICE).alias("width")))
-    cells = (counts.join(blocks, ["lang", "source"]).withColumn("p", _share("n", "total")).select(
+    cells = (counts.join(blocks, ["lang", "source_key"]).withColumn("p", _share("n", "total")).select(
         "lang", F.expr(f"ord div {SLICE}").alias("slice"), "block", "place", F.lit(None).cast("string").alias("source"), "sources",
         F.expr(f"ord % {SLICE}").alias("ord"), "p", F.lit(0).cast("bigint").alias("width")))
     rows = heads.unionByName(cells).select("*", meets).select("*", "m.lo", "m.hi").drop("m", "sources")
@@ -383,11 +417,14 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, shard_terms
     docs = _texts(docs)
     vocabulary = Vocabulary(document_frequencies(docs).where(F.col("docs") >= min_docs), shard_terms)
     counts = written(vocabulary.recount(docs), "audit-counts")
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    totals = counts.groupBy("lang", "source_key").agg(F.sum("n").alias("total"))
     groups = numbered(docs.select("lang", "source").distinct(), [F.col("lang"), F.col("source")], "audit-groups")
+    groups = groups.withColumn("source_key", source_key(F.col("source")))
+    if not groups.groupBy("lang", "source_key").count().where("count > 1").isEmpty():
+        raise ValueError("two sources have the same 64-bit key")  # never counted as one
     langs = groups.groupBy("lang").agg(F.min("at").alias("first"), F.count("*").alias("sources"))
-    groups = (groups.join(langs, "lang").join(vocabulary.sizes, "lang", "left").join(totals, ["lang", "source"], "left")
-              .select("lang", "source", (F.col("at") - F.col("first")).alias("place"), "sources",
+    groups = (groups.join(langs, "lang").join(vocabulary.sizes, "lang", "left").join(totals, ["lang", "source_key"], "left")
+              .select("lang", "source", "source_key", (F.col("at") - F.col("first")).alias("place"), "sources",
                       F.coalesce("v", F.lit(0)).cast("bigint").alias("v"), F.coalesce("total", F.lit(0)).cast("bigint").alias("total")))
     groups = written(groups.withColumn("p0", F.when(F.col("v") > 0, _share("0L", "total")).otherwise(1)), "audit-sizes")
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
@@ -395,10 +432,9 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, shard_terms
         "lang", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(by_value).alias("rank"))
     whole = counts.groupBy("lang", "ord").agg(F.sum("n").alias("all_n"))
     sums = groups.groupBy("lang").agg(F.sum("total").alias("all_total"))
-    used = (counts.join(groups.select("lang", "source", "v", "total"), ["lang", "source"]).join(sums, "lang")
+    used = (counts.join(groups.select("lang", "source", "source_key", "v", "total"), ["lang", "source_key"]).join(sums, "lang")
             .join(whole, ["lang", "ord"]).withColumn("p", _share("n", "total")).withColumn("q", _share("all_n", "all_total"))
             .where("p > q").select("lang", "source", "ord", F.expr("(p - q) * (p - q) div q").alias("value")))
     by_ordinal = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "ord")
     best = written(used.withColumn("rank", F.row_number().over(by_ordinal)).where(F.col("rank") <= top), "audit-best")
-    spelled = vocabulary.spelled(best).join(best.select("lang", "source", "ord", "rank"), ["lang", "source", "ord"])
-    return pairs.unionByName(spelled.select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank"))
+    return pairs.unionByName(vocabulary.spelled(best).select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank"))
