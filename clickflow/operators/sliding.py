@@ -7,9 +7,10 @@ Structured Streaming:
   stateful aggregation over ``window(ts)`` with ``approx_count_distinct``
   (exact distinct and chained aggregations are not allowed in update mode).
 * ``mode="batch"``: every window boundary is a whole minute, so the minute
-  bucket decides window membership. Sums per window are differences: a minute
-  adds its counts at the first window that holds it and takes them back after
-  the last, and a running sum over the minutes of the log gives every window.
+  bucket decides window membership. Sums per window are differences: an event
+  adds its counts at the first window that holds its minute and takes them back after
+  the last (combined by minute before the shuffle), and a running sum over the minutes
+  of the log gives every window.
   Distinct users are exact by the same means: the minutes of a user, merged into
   runs of windows, add one at the start of a run and take it back after its end
   (no distinct aggregate, no fan-out of users). Metrics with a key per window
@@ -93,36 +94,44 @@ def _user_runs(events: DataFrame, ts: str, **when: Column | None) -> DataFrame:
             F.lit(d if n == name else 0).cast("bigint").alias(n) for n in names])
         return F.concat(F.transform(starts, lambda x: row(x - (k - 1), 1)), F.transform(ends, lambda x: row(x + 1, -1)))
 
-    rows = sets.select(F.inline(F.concat(*[changes(n) for n in names])))
-    return rows.groupBy("w").agg(*[F.sum(n).alias(n) for n in names])
+    return sets.select(F.inline(F.concat(*[changes(n) for n in names])))
 
 
-def _minute_changes(minutes: DataFrame, cols: list[str]) -> DataFrame:
-    """w and the changes of the sums ``cols`` (one row per minute in ``minutes``: minute number m
-    and ``cols``); every window that holds one of the minutes has a row."""
-    k = WINDOW_MINUTES
-    step = F.explode(F.sequence(F.lit(0), F.lit(k))).alias("step")
-    sign = F.when(F.col("step") == 0, 1).when(F.col("step") == k, -1).otherwise(0)
-    return minutes.select("*", step).select((F.col("m") - (k - 1) + F.col("step")).alias("w"),
-                                            *[(F.col(c) * sign).alias(c) for c in cols])
+def _event_changes(events: DataFrame, ts: str, **sums: Column) -> DataFrame:
+    """w and the changes of ``sums``: an event counts from the first window that holds its minute
+    to the last."""
+    m = _minute_number(ts)
+    sides = F.explode(F.array(F.struct((m - (WINDOW_MINUTES - 1)).alias("w"), F.lit(1).alias("sign")),
+                              F.struct((m + 1).alias("w"), F.lit(-1).alias("sign")))).alias("x")
+    rows = events.select(*[c.alias(n) for n, c in sums.items()], sides)
+    return rows.select("x.w", *[(F.col(n) * F.col("x.sign")).alias(n) for n in sums])
 
 
-def _running(changes: list[DataFrame], cols: list[str]) -> DataFrame:
-    """w and the running sums of ``cols`` over the changes, frames with w and some of the columns.
+def _running(changes: list[DataFrame], cols: list[str], held: str) -> DataFrame:
+    """w and the running sums of ``cols`` over the changes (frames with w and some of the columns),
+    for every window in which ``held`` is positive.
 
-    Sums run within a day of windows; what the days before add up to is one row a day."""
+    Changes are summed by window start (combined before the shuffle), and run within a day:
+    a day holds 1,440 windows at most, whatever its events. What the days before add up to is
+    one row a day. Between two changes the sums stand, so the windows there repeat them."""
     rows = changes[0]
     for c in changes[1:]:
         rows = rows.unionByName(c, allowMissingColumns=True)
     per = rows.groupBy("w").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols])
-    per = per.withColumn("day", F.floor(F.col("w") / 1440))
-    whole = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = per.groupBy("day").agg(*[F.sum(c).alias(c) for c in cols]).select(
-        "day", *[F.coalesce(F.sum(c).over(whole), F.lit(0)).alias(f"_{c}") for c in cols])
-    inside = Window.partitionBy("day").orderBy("w").rowsBetween(Window.unboundedPreceding, 0)
+    per = (per.filter(F.col("w").isNotNull()).withColumn("day", F.floor(F.col("w") / 1440)).repartition("day"))
+    order = Window.orderBy("day")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     # one row for each day of the log
-    return per.join(F.broadcast(days), "day").select(
-        "w", *[(F.sum(c).over(inside) + F.col(f"_{c}")).alias(c) for c in cols])
+    days = per.groupBy("day").agg(F.min("w").alias("first"), *[F.sum(c).alias(c) for c in cols]).select(
+        "day", F.lead("first").over(order).alias("_until"),
+        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in cols])
+    inside = Window.partitionBy("day").orderBy("w")
+    until_now = inside.rowsBetween(Window.unboundedPreceding, 0)
+    sums = per.join(F.broadcast(days), "day").select(
+        "w", F.coalesce(F.lead("w").over(inside), "_until").alias("next"),
+        *[(F.sum(c).over(until_now) + F.col(f"_{c}")).alias(c) for c in cols])
+    stood = F.explode(F.sequence(F.col("w"), F.col("next") - 1)).alias("w")
+    return sums.filter((F.col(held) > 0) & (F.col("next") > F.col("w"))).select(stood, *cols)
 
 
 def _window_bounds(rows: DataFrame) -> DataFrame:
@@ -141,10 +150,10 @@ def active_users(events: DataFrame, ts: str = "event_time", mode: str = "batch")
             F.count(F.lit(1)).alias("total_events"))
         return g.select(*_bounds(), "active_users", "total_events")
     timed = events.filter(F.col(ts).isNotNull())
-    minutes = timed.groupBy(_minute_number(ts).alias("m")).agg(F.count(F.lit(1)).alias("total_events"))
-    sums = _running([_user_runs(timed, ts, active_users=None), _minute_changes(minutes, ["total_events"])],
-                    ["active_users", "total_events"])
-    return _window_bounds(sums.filter(F.col("total_events") > 0))
+    sums = _running([_user_runs(timed, ts, active_users=None),
+                     _event_changes(timed, ts, total_events=F.lit(1).cast("bigint"))],
+                    ["active_users", "total_events"], "total_events")
+    return _window_bounds(sums)
 
 
 #: log2 of the sketches' buckets; the standard error of an estimate is about 1.04 / sqrt(2 ** SKETCH_BITS).
@@ -213,14 +222,17 @@ def purchases(events: DataFrame, ts: str = "event_time", mode: str = "batch") ->
             F.approx_count_distinct("user_id").alias("purchasing_users"))
         return g.select(*_bounds(), "purchase_count", "total_revenue", "avg_basket_value", "purchasing_users")
     p = p.filter(F.col(ts).isNotNull())
-    minutes = p.groupBy(_minute_number(ts).alias("m")).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("price"), F.lit(0)).alias("sp"), F.count("price").alias("cp"))
-    sums = _running([_user_runs(p, ts, purchasing_users=None), _minute_changes(minutes, ["n", "sp", "cp"])],
-                    ["purchasing_users", "n", "sp", "cp"])
-    return _window_bounds(sums.filter(F.col("n") > 0)).select(
+    sums = _running([_user_runs(p, ts, purchasing_users=None),
+                     _event_changes(p, ts, n=F.lit(1).cast("bigint"), **_price_sums(F.col("price")))],
+                    ["purchasing_users", "n", "sp", "cp"], "n")
+    return _window_bounds(sums).select(
         "window_start", "window_end", F.col("n").alias("purchase_count"), *_basket(), "purchasing_users")
 
 
+def _price_sums(price: Column) -> dict[str, Column]:
+    return {"sp": F.coalesce(price, F.lit(0)), "cp": price.isNotNull().cast("bigint")}
+
+
 def _basket() -> list[Column]:
     """Revenue and mean price from sums: NULL where no price is known."""
     return [F.when(F.col("cp") > 0, F.col("sp").cast("double")).alias("total_revenue"),
@@ -264,17 +276,16 @@ def _finish_brands(pm: DataFrame) -> DataFrame:
 
 def window_totals(events: DataFrame, ts: str = "event_time") -> DataFrame:
     """Every window with its users, events, purchases and events by stage, by running sums:
-    one row per minute and one per user and task are shuffled."""
+    two rows per minute and one per user, of each task, are shuffled."""
     timed = events.filter(F.col(ts).isNotNull())
     kind = F.col("event_type")
     price = F.when(kind == "purchase", F.col("price"))
-    minutes = timed.groupBy(_minute_number(ts).alias("m")).agg(
-        F.count(F.lit(1)).alias("total_events"), *[F.count_if(kind == s).alias(f"{s}_events") for s in STAGES],
-        F.coalesce(F.sum(price), F.lit(0)).alias("sp"), F.count(price).alias("cp"))
-    cols = ["total_events", *[f"{s}_events" for s in STAGES], "sp", "cp"]
+    counted = {"total_events": F.lit(1).cast("bigint"),
+               **{f"{s}_events": F.coalesce((kind == s).cast("bigint"), F.lit(0)) for s in STAGES}, **_price_sums(price)}
     users = _user_runs(timed, ts, active_users=None, purchasing_users=kind == "purchase")
-    sums = _running([users, _minute_changes(minutes, cols)], ["active_users", "purchasing_users", *cols])
-    return _window_bounds(sums.filter(F.col("total_events") > 0)).select("*", *_basket()).drop("sp", "cp")
+    sums = _running([users, _event_changes(timed, ts, **counted)],
+                    ["active_users", "purchasing_users", *counted], "total_events")
+    return _window_bounds(sums).select("*", *_basket()).drop("sp", "cp")
 
 
 def minute_counts(events: DataFrame, ts: str = "event_time") -> DataFrame:
@@ -291,8 +302,8 @@ def view_counts(counts: DataFrame) -> DataFrame:
 
 def brand_counts(counts: DataFrame) -> DataFrame:
     """event_count per window, brand and event type from ``minute_counts``."""
-    known = counts.filter(F.col("brand").isNotNull()).groupBy("minute", "brand", "event_type").agg(F.sum("n").alias("n"))
-    return _by_window_start(known, ["brand", "event_type"], F.sum("n").alias("event_count"))
+    return _by_window_start(counts.filter(F.col("brand").isNotNull()), ["brand", "event_type"],
+                            F.sum("n").alias("event_count"))
 
 
 def per_window_topk(metric: DataFrame, by: str, tie: list[str], k: int = TOP_K) -> DataFrame:

@@ -302,15 +302,15 @@ def window_summaries(events: DataFrame) -> DataFrame:
     totals = sl.window_totals(events)
     counts = sl.minute_counts(events)
     tb = sl.per_window_topk(sl.brand_counts(counts), "event_count", ["brand", "event_type"])
-    tbs = tb.groupBy("window_start").agg(
-        F.count_distinct("brand").alias("top_list_brands"),
-        F.max(F.when(F.col("rank") == 1, F.col("event_count"))).alias("top_brand_events"))
-    first = tb.filter(F.col("rank") == 1).select(
-        "window_start", F.col("brand").alias("top_brand"), F.col("event_type").alias("top_brand_event_type"))
+    # a window's list, ten rows at most
+    entry = F.struct("rank", "brand", "event_type", "event_count")
+    tbs = tb.groupBy("window_start").agg(F.sort_array(F.collect_list(entry)).alias("tb")).select(
+        "window_start", F.size(F.array_distinct(F.transform("tb", lambda x: x["brand"]))).cast("bigint").alias("top_list_brands"),
+        F.col("tb")[0]["brand"].alias("top_brand"), F.col("tb")[0]["event_type"].alias("top_brand_event_type"),
+        F.col("tb")[0]["event_count"].alias("top_brand_events"))
     tp = sl.per_window_topk(sl.view_counts(counts), "view_count", ["product_id", "brand", "category_code"], 1).select(
         "window_start", F.col("product_id").alias("top_product_id"), F.col("view_count").alias("top_product_views"))
-    s = (totals.join(tbs, "window_start", "left").join(first, "window_start", "left")
-         .join(tp, "window_start", "left"))
+    s = totals.join(tbs, "window_start", "left").join(tp, "window_start", "left")
     none = lambda c: F.when(F.col(c) > 0, F.col(c))
     return s.select(
         "window_start", "window_end", "active_users", "total_events",

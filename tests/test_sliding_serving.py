@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import make_events, ts
@@ -167,8 +169,11 @@ def test_bitmap_distinct_counts(spark):
     assert (e.products, e.categories, e.users, e.brands, e.events) == (0, 0, 0, 0, 0)
 
 
-def test_exact_quantiles(spark):
+@pytest.mark.parametrize("few", [0, 4096])
+def test_exact_quantiles(spark, few, monkeypatch):
     import numpy as np
+    from clickflow.plans import quantiles
+    monkeypatch.setattr(quantiles, "FEW", few)     # by ranges, and by a bounded list
     from clickflow.plans.quantiles import exact_quantiles, placed_values
     rng = np.random.default_rng(1)
     for xs in ([3.0], [1.0, 2.0], [5.0] * 9, list(rng.normal(size=501)), [0.0] * 1000 + list(rng.exponential(size=77))):
