@@ -36,3 +36,17 @@ def test_conversions_are_zone_free(new_york):
 def test_queries_match_oracle_in_other_zone(new_york, name):
     r = compare(new_york, name, E.queries()[name], E.oracle_sql()[name], SF_SMALL, duck(SF_SMALL))
     assert r["ok"], r
+
+
+def test_log_times_are_parsed_as_written(new_york):
+    from clickflow.functions.timefns import parse_time
+    texts = {"2019-12-01 01:02:03 UTC": dt.datetime(2019, 12, 1, 1, 2, 3), " 2019-12-01T01:02:03.5 ": dt.datetime(2019, 12, 1, 1, 2, 3, 500000),
+             "2019-12-01 01:02:03+02:00": dt.datetime(2019, 12, 1, 1, 2, 3), "2019-13-01 00:00:00": None, "12:30:00": None, "": None, "bad": None}
+    df = new_york.createDataFrame([(t,) for t in texts] + [(None,)], "t STRING")
+    assert {r.t: r.p for r in df.select("t", parse_time(F.col("t")).alias("p")).collect()} == {**texts, None: None}
+
+
+@pytest.mark.parametrize("name", ["sliding_active_users", "sliding_purchases"])
+def test_windows_by_differences_in_other_zone(new_york, name):
+    r = compare(new_york, name, E.queries()[name], E.oracle_sql()[name], SF_SMALL, duck(SF_SMALL))
+    assert r["ok"], r
