@@ -240,30 +240,72 @@ def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, error: float = ER
     regions for one item in a text the closest, then the first."""
     spark = docs.sparkSession
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out, ids, texts, size = [], [], [], 0
+    found = spark.createDataFrame([], MATCH)
+    for indexes in _blocks(benchmark, q, error, block_chars):
+        found = found.union(text.mapInArrow(_matcher(spark.sparkContext.broadcast(indexes)), MATCH))
+    return found
 
-    def flush():
-        if not ids:
-            return
-        indexes = [Items(list(ids), list(texts), q, error, short) for short in (False, True)]
-        ids.clear()
-        texts.clear()
-        indexes = [x for x in indexes if not x.empty]
-        if indexes:
-            out.append(text.mapInArrow(_matcher(spark.sparkContext.broadcast(indexes)), MATCH))
+
+def free_rows(docs: DataFrame, benchmark: DataFrame, q: int = Q, error: float = ERROR,
+              block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` (with a column text), whole and in place, in which no row of ``benchmark`` is
+    matched; what the other columns hold, nulls and repeated rows included, doesn't matter."""
+    for indexes in _blocks(benchmark, q, error, block_chars):
+        docs = docs.mapInArrow(_filter(docs.sparkSession.sparkContext.broadcast(indexes)), docs.schema)
+    return docs
+
+
+def _blocks(benchmark: DataFrame, q: int, error: float, block_chars: int):
+    """The indexes of each block of items."""
+    ids, texts, size = [], [], 0
+
+    def indexed():
+        return [x for x in (Items(list(ids), list(texts), q, error, short) for short in (False, True)) if not x.empty]
 
     for row in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
         ids.append(row[0])
         texts.append(row[1])
         size += len(row[1] or "")
         if size >= block_chars:
-            flush()
-            size = 0
-    flush()
-    found = spark.createDataFrame([], MATCH) if not out else out[0]
-    for more in out[1:]:
-        found = found.union(more)
-    return found
+            if block := indexed():
+                yield block
+            ids, texts, size = [], [], 0
+    if ids and (block := indexed()):
+        yield block
+
+
+def _passes(texts: list):
+    """Runs [a, b) of about a megabyte of text."""
+    a = 0
+    while a < len(texts):
+        b, size = a, 0
+        while b < len(texts) and (b == a or size < 1 << 20):
+            size += len(texts[b] or "")
+            b += 1
+        yield a, b
+        a = b
+
+
+def _filter(shared):
+    def hits(texts: list, indexes: list) -> set[int]:
+        buf, off = reduced(texts)
+        found: set[int] = set()
+        for index in indexes:
+            for r, i, low, high in index.candidates(buf, off).tolist():
+                if r not in found and index.verify(buf[off[r]: off[r + 1]].tobytes(), i, low - int(off[r]), high - int(off[r])):
+                    found.add(r)
+        return found
+
+    def run(batches):
+        indexes = shared.value
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            stay = np.ones(len(texts), bool)
+            for a, b in _passes(texts):
+                stay[[a + r for r in hits(texts[a:b], indexes)]] = False
+            yield batch.filter(pa.array(stay))
+
+    return run
 
 
 def _matcher(shared):
@@ -286,14 +328,9 @@ def _matcher(shared):
         indexes = shared.value
         for batch in batches:
             doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            a, found = 0, []
-            while a < len(texts):
-                b, size = a, 0
-                while b < len(texts) and (b == a or size < 1 << 20):
-                    size += len(texts[b] or "")
-                    b += 1
+            found = []
+            for a, b in _passes(texts):
                 found += rows(doc_ids[a:b], texts[a:b], indexes)
-                a = b
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in found], pa.int64()) for i in range(5)],
                 ["doc_id", "item_id", "start", "length", "distance"])

@@ -234,6 +234,9 @@ def test_matches_equal_brute_force(spark):
     for block in (Q.BLOCK_CHARS, 300):
         out = Q.matches(df, bench, block_chars=block).collect()
         assert {(r.doc_id, r.item_id): r.distance for r in out} == want and len(out) == len(want)
+        free = Q.free_rows(df.withColumn("item_id", df.text), bench, block_chars=block)
+        assert free.columns == ["doc_id", "text", "item_id"]
+        assert sorted(r.doc_id for r in free.collect()) == sorted({d for d, _ in rows} - {d for d, _ in want})
     assert len(want) > 30 and len(set(want.values())) > 2
 
 
