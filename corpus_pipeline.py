@@ -34,14 +34,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op5_templates.drop_templates(docs.select(COLUMNS)).select(COLUMNS)
 
 
-def _rows(docs: DataFrame, label: str) -> DataFrame:
-    """``docs`` with a number for each row, in the order of doc_id."""
-    return numbered(docs.select(COLUMNS), [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")], label, "__row")
-
-
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each near-duplicate group, and all that are linked with none."""
-    rows = _rows(docs, "dedup-rows")
+    # a number for each row, in the order of doc_id
+    rows = numbered(docs.select(COLUMNS), [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")], "dedup-rows", "__row")
     linked = op2_minhash.link(rows.select(F.col("__row").alias("doc_id"), "text"), width=5, percent=80)
     gone = linked.where("NOT kept").select(F.col("doc_id").alias("__row"))
     return rows.join(gone, "__row", "left_anti").select(COLUMNS)
@@ -50,9 +46,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in which no benchmark passage was found."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    rows = _rows(docs, "clean-rows")
-    found = op7_qgrams.matches(rows.select(F.col("__row").alias("doc_id"), "text"), items)
-    return rows.join(found.select(F.col("doc_id").alias("__row")).distinct(), "__row", "left_anti").select(COLUMNS)
+    return op7_qgrams.free_rows(docs.select(COLUMNS), items)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
