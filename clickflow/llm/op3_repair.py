@@ -2,13 +2,13 @@
 
 ``write_shards`` puts the documents into ascending doc_id order (range
 partitions), encodes whole texts, ends each with id 0 and cuts the stream at
-document ends into shards of about ``shard_tokens`` ids. In every shard frequent
-neighbouring pairs are repeatedly replaced by nonterminals: a round counts all
-pairs, gives a rule to each pair that occurs at least ``min_count`` times and
-replaces, where candidates overlap, the more frequent one; the next round works
-on the shortened sequence, until a round gains less than ``LEAST_GAIN`` or
-``rounds`` are done. Pairs never cross a document's end, so each document
-is a run of symbols of its own.
+document ends into shards of about ``shard_tokens`` ids. Every shard is compressed by
+Re-Pair: the pair of neighbouring symbols that occurs most often is replaced by a
+nonterminal wherever it stands, from left to right, and so on until no pair occurs
+``min_count`` = 2 times. Counts are exact and follow each replacement. Pairs of the same
+count that never touch each other have no influence on one another, so a batch replaces
+them together, as one after the other would; of those that touch, one is drawn. Pairs
+never cross a document's end, so each document is a run of symbols of its own.
 
 File format: Parquet, one row per shard with little-endian binary columns:
 ``doc_ids`` (int64), ``doc_null`` (uint8), ``doc_symbols`` and ``doc_tokens``
@@ -36,9 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 from .common import scratch_path, utf8
 from .tokens import default_tokenizer, encoder
 
-SHARD_TOKENS, MIN_COUNT, ROUNDS, BUCKET_BITS = 1 << 18, 12, 4, 17
-#: Replacement ends when a round shortens a shard by less than this share.
-LEAST_GAIN = 0.02
+SHARD_TOKENS, MIN_COUNT = 1 << 18, 2
 END_ID = 0
 
 SHARD = ("part INT, seq INT, vocab INT, n_docs BIGINT, n_tokens BIGINT, width INT, doc_ids BINARY, doc_null BINARY, "
@@ -49,46 +47,144 @@ SHARD_ARROW = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("vocab", pa
                                                       "expansion", "symbols")])
 
 
-def compress(seq: np.ndarray, per_doc: np.ndarray, vocab: int, min_count: int = MIN_COUNT, rounds: int = ROUNDS):
-    """(symbols, symbols by document, rules) of a sequence of ids."""
-    seq = seq.astype(np.int32)
+def _runs(start, size):
+    """The concatenated ranges [start, start + size)."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)
+
+
+class Pairs:
+    """The pairs of a sequence that occur twice or more, with their places and exact counts.
+
+    A pair's number never changes; its places are a slice of ``pool`` in ascending order, of which those
+    whose ``pair`` still is the number are its occurrences. ``live`` counts them; ``bound`` is less where
+    occurrences overlap (a run of one symbol)."""
+
+    def __init__(self, seq: np.ndarray, last: np.ndarray):
+        n = len(seq)
+        self.sym = np.append(seq.astype(np.int32), np.int32(-1))
+        self.last = np.append(last, True)  # the place n stands before the first and after the last symbol
+        self.next, self.prev = (np.arange(i, n + 1 + i, dtype=np.int32) for i in (1, -1))
+        self.next[n] = self.prev[0] = n
+        self.pair = np.full(n + 1, -1, np.int32)
+        self.n = 0
+        self.of = np.zeros((2, 1024), np.int64)
+        self.start, self.size, self.live, self.bound = (np.zeros(1024, np.int64) for _ in range(4))
+        self.pool, self.used = np.zeros(max(n, 1), np.int32), 0
+        self.add(np.flatnonzero(~last))
+
+    def add(self, at: np.ndarray) -> None:
+        """Number the pairs that start at ``at`` (ascending; all occurrences of these pairs are there)."""
+        if len(at) < 2:
+            return
+        left, right = self.sym[at].astype(np.int64), self.sym[self.next[at]]
+        wide = int(max(left.max(), right.max())).bit_length()
+        place = len(self.sym).bit_length()
+        if 2 * wide + place < 64:  # pair and place in one number
+            key = np.sort((left << wide | right) << place | at)
+            at = key & ((1 << place) - 1)
+            key >>= place
+        else:
+            order = np.lexsort((at, right, left))
+            key, wide, at = left[order] << 32 | right[order], 32, at[order]
+        new = np.ones(len(key) + 1, bool)
+        np.not_equal(key[1:], key[:-1], out=new[1:-1])
+        first = np.flatnonzero(new)
+        size = first[1:] - first[:-1]
+        several = size > 1
+        first, size = first[:-1][several], size[several]
+        if not len(first):
+            return
+        a, b, n = self.n, self.n + len(first), int(size.sum())
+        while b > len(self.live):
+            self.of = np.concatenate((self.of, np.zeros_like(self.of)), 1)
+            self.start, self.size, self.live, self.bound = (np.concatenate((x, np.zeros_like(x))) for x in (
+                self.start, self.size, self.live, self.bound))
+        while self.used + n > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
+        places = at[_runs(first, size)]
+        self.pool[self.used: self.used + n] = places
+        self.pair[places] = np.repeat(np.arange(a, b), size)
+        self.of[0, a:b], self.of[1, a:b] = key[first] >> wide, key[first] & ((1 << wide) - 1)
+        self.start[a:b], self.size[a:b] = self.used + np.cumsum(size) - size, size
+        self.live[a:b] = self.bound[a:b] = size
+        self.n, self.used = b, self.used + n
+
+    def counts(self) -> np.ndarray:
+        return np.minimum(self.live[: self.n], self.bound[: self.n])
+
+    def occurrences(self, ids: np.ndarray):
+        """(places, index in ``ids``) of the occurrences that don't overlap, from left to right."""
+        size = self.size[ids]
+        at = self.pool[_runs(self.start[ids], size)]
+        here = self.pair[at] == np.repeat(ids, size)
+        at, k = at[here], np.repeat(np.arange(len(ids)), size)[here]
+        if (self.of[0, ids] == self.of[1, ids]).any():
+            after = np.append(False, (self.next[at[:-1]] == at[1:]) & (k[1:] == k[:-1])) if len(at) else here[:0]
+            run = np.maximum.accumulate(np.where(after, 0, np.arange(len(at))))
+            odd = (np.arange(len(at)) - run) % 2 == 1
+            at, k = at[~odd], k[~odd]
+        return at, k
+
+    def replace(self, at: np.ndarray, symbol: np.ndarray) -> None:
+        """Put ``symbol`` in the place of the pairs that start at ``at``."""
+        gone, before = self.next[at], self.prev[at]
+        for places in (at, gone, before):  # a place of ``before`` can be one of ``gone``
+            pair = self.pair[places]
+            np.subtract.at(self.live, pair[pair >= 0], 1)
+            self.pair[places] = -1
+        self.sym[at], self.sym[gone] = symbol, -1
+        self.last[at] = self.last[gone]
+        after = self.next[gone]
+        self.next[at] = after
+        self.prev[after] = at
+        before = self.prev[at]
+        before = before[self.sym[before] < symbol.min()]  # else it is in ``at``
+        new = np.concatenate((before, at))
+        self.add(new[~self.last[new]])
+
+
+def compress(seq: np.ndarray, per_doc: np.ndarray, vocab: int, min_count: int = MIN_COUNT, rounds: int | None = None):
+    """(symbols, symbols by document, rules) of a sequence of ids; ``rounds`` ends it after so many batches."""
     last = np.zeros(len(seq), bool)
     last[np.cumsum(per_doc[per_doc > 0]) - 1] = True
-    rules = np.zeros((0, 2), np.int64)
-    holder = np.zeros(1 << BUCKET_BITS, np.int32)
-    for _ in range(rounds):
-        if len(seq) < 2:
+    pairs = Pairs(seq, last)
+    rules, n = [np.zeros((0, 2), np.int64)], 0
+    mine = np.full(len(seq) + 1, -1, np.int32)
+    while rounds is None or rounds > 0:
+        counts = pairs.counts()
+        most = int(counts.max(initial=0))
+        if most < max(min_count, 2):
             break
-        left, right = seq[:-1], seq[1:]
-        # pairs are counted by bucket; one that shares its bucket with another waits for the next round
-        bucket = ((left.astype(np.uint32) * np.uint32(0x9E3779B1) + right.astype(np.uint32) * np.uint32(0x85EBCA6B)
-                   + np.uint32(len(rules))) * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BUCKET_BITS)
-        holder[bucket] = np.arange(len(bucket), dtype=np.int32)
-        of = holder[bucket]  # a place of the bucket's pair
-        mine = (left[of] == left) & (right[of] == right) & ~last[:-1]
-        count = np.bincount(bucket[mine], minlength=1 << BUCKET_BITS).astype(np.int32)
-        count[count < min_count] = 0
-        if not count.any():
-            break
-        score = np.zeros(len(seq) + 1, np.int32)  # at i + 1: how often the pair that starts at i occurs
-        score[1:-1] = np.where(mine, count[bucket], 0)
-        here = score[1:-1]
-        take = np.flatnonzero((here > 0) & (here > score[:-2]) & (here >= score[2:]))
-        take = take[np.append(True, np.diff(take) > 1)]  # equal neighbours: the left one
-        used, rule = np.unique(bucket[take], return_inverse=True)
-        base = vocab + len(rules)
-        rules = np.concatenate((rules, np.stack((left[holder[used]], right[holder[used]]), 1).astype(np.int64)))
-        seq[take] = base + rule
-        last[take] = last[take + 1]
-        stay = np.ones(len(seq), bool)
-        stay[take + 1] = False
-        before, seq, last = len(seq), seq[stay], last[stay]
-        if before - len(seq) < LEAST_GAIN * before:
-            break
-    ends = np.flatnonzero(last) + 1
+        ids = np.flatnonzero(counts == most)
+        at, k = pairs.occurrences(ids)
+        found = np.bincount(k, minlength=len(ids))
+        full = found == most
+        if not full.all():  # occurrences that overlap: the pair waits for its own count
+            pairs.bound[ids[~full]] = found[~full]
+            at, k = at[full[k]], k[full[k]]
+        if len(ids) > 1:  # of pairs that touch each other one is drawn, the other is counted anew
+            drawn = (ids * 0x9E3779B1 & 0xFFFFFFFF) << 31 | ids
+            mine[at] = k
+            other = mine[pairs.next[at]]
+            touch = np.flatnonzero((other >= 0) & (other != k))
+            mine[at] = -1
+            x, y = k[touch], other[touch]
+            full[np.where(drawn[x] > drawn[y], x, y)] = False
+            at, k = at[full[k]], k[full[k]]
+        if not len(at):
+            continue
+        ids = ids[full]
+        rules.append(pairs.of[:, ids].T)
+        pairs.replace(at, (vocab + n + np.cumsum(full) - 1)[k])
+        n += len(ids)
+        if rounds is not None:
+            rounds -= 1
+    stay = np.flatnonzero(pairs.sym[:-1] >= 0)
+    ends = np.flatnonzero(pairs.last[stay]) + 1
     by_doc = np.zeros(len(per_doc), np.int64)
     by_doc[per_doc > 0] = np.diff(ends, prepend=0)
-    return seq, by_doc, rules
+    return pairs.sym[stay], by_doc, np.concatenate(rules)
 
 
 def expansion_lengths(rules: np.ndarray, vocab: int) -> np.ndarray:
@@ -104,18 +200,20 @@ def expansion_lengths(rules: np.ndarray, vocab: int) -> np.ndarray:
     return n
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, vocab: int) -> np.ndarray:
-    """The ids that the symbols stand for."""
+def expand(symbols: np.ndarray, rules: np.ndarray, vocab: int, expansion: np.ndarray | None = None) -> np.ndarray:
+    """The ids that the symbols stand for; ``expansion`` spares counting the rules' lengths."""
+    expansion = expansion_lengths(rules, vocab) if expansion is None else expansion
+    length = np.concatenate((np.ones(vocab, np.int64), expansion))
     symbols = symbols.astype(np.int64)
-    while len(symbols) and symbols.max() >= vocab:
-        big = symbols >= vocab
-        at = np.cumsum(1 + big) - 1
-        out = np.empty(int(at[-1]) + 1, np.int64)
-        out[at] = np.where(big, 0, symbols)
-        pair = rules[symbols[big] - vocab]
-        out[at[big] - 1], out[at[big]] = pair[:, 0], pair[:, 1]
-        symbols = out
-    return symbols
+    ends = np.cumsum(length[symbols])
+    at = ends - length[symbols]
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+    while len(symbols):
+        out[at] = symbols  # a rule gives way to its first part
+        big = np.flatnonzero(symbols >= vocab)
+        pair, at = rules[symbols[big] - vocab], at[big]
+        symbols, at = pair.T.ravel(), np.concatenate((at, at + length[pair[:, 0]]))
+    return out
 
 
 class Shard:
@@ -139,11 +237,11 @@ class Shard:
         ends = np.cumsum(size)
         a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, start + n, "left") + 1
         skip = start - (ends[a] - size[a]) if a < len(s) else 0
-        return expand(s[a:b], self.rules, self.vocab)[skip: skip + n]
+        return expand(s[a:b], self.rules, self.vocab, self.expansion)[skip: skip + n]
 
     def documents(self) -> Iterator[tuple]:
         """(doc_id or None, first id in the shard, ids) by document."""
-        ids = expand(self.symbols, self.rules, self.vocab).astype("<u4")
+        ids = expand(self.symbols, self.rules, self.vocab, self.expansion).astype("<u4")
         end = np.cumsum(self.doc_tokens)
         for d, null, e, n in zip(self.doc_ids.tolist(), self.doc_null.tolist(), end.tolist(), self.doc_tokens.tolist()):
             yield None if null else d, e - n, ids[e - n: e]
@@ -160,7 +258,7 @@ def _shard(part, seq, vocab, doc_ids, doc_null, ids, per_doc, min_count, rounds)
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, shard_tokens: int = SHARD_TOKENS,
-                 min_count: int = MIN_COUNT, rounds: int = ROUNDS) -> None:
+                 min_count: int = MIN_COUNT, rounds: int | None = None) -> None:
     """Write ``docs`` (doc_id, text) as shards below ``path``."""
     tokenizer = tokenizer or default_tokenizer()
 

@@ -49,6 +49,49 @@ def test_grammar_round_trip_and_random_access():
             assert shard.read_tokens(a, n).tolist() == ids[a: a + n].tolist()
 
 
+def replayed(docs, rules, vocab):
+    """The documents after each rule, and the exact counts of their pairs before it and at the end."""
+    def counts():
+        found = {}
+        for d in docs:
+            until = {}  # occurrences that overlap count once
+            for i, p in enumerate(zip(d, d[1:])):
+                if until.get(p, 0) <= i:
+                    found[p] = found.get(p, 0) + 1
+                    until[p] = i + 2
+        return found
+
+    seen = []
+    for i, (x, y) in enumerate(rules):
+        seen.append(counts())
+        out = []
+        for d in docs:
+            new, j = [], 0
+            while j < len(d):
+                hit = d[j: j + 2] == [x, y]
+                new.append(vocab + i if hit else d[j])
+                j += 2 if hit else 1
+            out.append(new)
+        docs = out
+    return docs, [*seen, counts()]
+
+
+def test_rules_are_the_most_frequent_pairs_until_none_repeats():
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 9, 70)
+    cases = [[rng.integers(0, k, int(rng.integers(0, 50))) for _ in range(6)] for k in (1, 2, 3, 6) for _ in range(8)]
+    cases += [[passage] * 40, [np.concatenate((passage[i:], passage[:i])) for i in range(0, 70, 7)], [np.zeros(700, int)]]
+    for docs in cases:
+        per = np.array([len(d) for d in docs])
+        sym, by_doc, rules = R.compress(np.concatenate(docs), per, 10)
+        left, counts = replayed([d.tolist() for d in docs], rules.tolist(), 10)
+        for (x, y), found in zip(rules.tolist(), counts):
+            assert found[x, y] == max(found.values()) >= 2
+        assert max(counts[-1].values(), default=0) < 2
+        assert [x for d in left for x in d] == sym.tolist() and [len(d) for d in left] == by_doc.tolist()
+        assert R.expand(sym, rules, 10).tolist() == [x for d in docs for x in d.tolist()]
+
+
 def test_shards_equal_brute_force(spark, docs):
     out = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in R.token_shards(docs, shard_tokens=20_000).collect()}
     at, want = 0, {}
