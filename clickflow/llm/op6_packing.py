@@ -5,8 +5,9 @@ text, and each shard gets an inverted BM25 index of its own over the lower-cased
 words of the whole texts (counts, lengths and document frequencies are those of
 the shard, as in any sharded index). Windows are filled greedily: the document
 whose ids open a window is its seed; the unused neighbours that the index ranks
-highest for the seed's ``query_terms`` rarest shared words follow until the
-window is full. The document that crosses the window's end is cut there, and its
+highest for all words of the seed follow until the window is full: every document
+of the shard that shares a word with the seed is a candidate, with its whole BM25
+score. The document that crosses the window's end is cut there, and its
 rest opens, and is the seed of, the next window. If a seed has no unused
 neighbour left, the next unused document in row order is taken. So only the last
 window of a shard can be short; no id is padded before it.
@@ -31,16 +32,20 @@ from pyspark.sql import DataFrame, functions as F
 from .common import chunks, utf8, words
 from .tokens import default_tokenizer, encoder
 
-WINDOW, END_ID, SHARD_BYTES, QUERY_TERMS, K1, B = 2048, 1, 8 << 20, 8, 1.2, 0.75
+WINDOW, END_ID, SHARD_BYTES, K1, B = 2048, 1, 8 << 20, 1.2, 0.75
+#: Neighbours ranked at a time; the next ones follow when these are used.
+AT_ONCE = 32
 
 PIECE = ("doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BIGINT, sequence_id BIGINT, "
          "offset BIGINT")
 
 
 class Bm25:
-    """Inverted index of one shard: postings by term with their BM25 weights, and each document's query."""
+    """Inverted index of one shard: postings by term with their BM25 weights, and each document's terms.
 
-    def __init__(self, rows: np.ndarray, terms: np.ndarray, n: int, query_terms: int = QUERY_TERMS):
+    Only terms of a single document are left out: nothing is found by them."""
+
+    def __init__(self, rows: np.ndarray, terms: np.ndarray, n: int):
         self.n = n
         _, term = np.unique(terms, return_inverse=True)
         key, tf = np.unique(term.astype(np.int64) * max(n, 1) + rows, return_counts=True)
@@ -54,47 +59,58 @@ class Bm25:
         t, f = term[shared], tf[shared]
         self.weight = idf[t] * f * (K1 + 1) / (f + K1 * (1 - B + B * length[self.doc] / mean))
         self.ptr = np.searchsorted(t, np.arange(len(df) + 1))
-        # each document's rarest shared terms
-        order = np.lexsort((t, df[t], self.doc))
-        d = self.doc[order]
-        first = np.searchsorted(d, np.arange(n + 1))
-        top = np.arange(len(d)) - first[d] < query_terms
-        self.query = t[order][top]
-        self.q_ptr = np.searchsorted(d[top], np.arange(n + 1))
-
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query term with the seed, best first."""
+        order = np.argsort(self.doc, kind="stable")
+        self.query = t[order]
+        self.q_ptr = np.searchsorted(self.doc[order], np.arange(n + 1))
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document for all terms of the seed; 0 where none is shared."""
         terms = self.query[self.q_ptr[seed]: self.q_ptr[seed + 1]]
         if not len(terms):
-            return terms
-        spans = [slice(self.ptr[t], self.ptr[t + 1]) for t in terms.tolist()]
-        doc = np.concatenate([self.doc[s] for s in spans])
-        weight = np.concatenate([self.weight[s] for s in spans])
-        free = unused[doc]
-        doc, weight = doc[free], weight[free]
-        if not len(doc):
-            return doc
-        found, at = np.unique(doc, return_inverse=True)
-        return found[np.argsort(-np.bincount(at, weight), kind="stable")]
+            return np.zeros(self.n)
+        first = self.ptr[terms]
+        size = self.ptr[terms + 1] - first
+        ends = np.cumsum(size)
+        at = np.arange(int(ends[-1])) + np.repeat(first - (ends - size), size)
+        return np.bincount(self.doc[at], self.weight[at], minlength=self.n)
+
+    def neighbours(self, seed: int, unused: np.ndarray, most: int | None = None) -> np.ndarray:
+        """Unused documents that share a term with the seed, best first; if ``most`` is given, the best
+        ``most`` and those that score like the last of them."""
+        score = self.scores(seed)
+        found = np.flatnonzero(unused & (score > 0))
+        score = score[found]
+        if most is not None and len(found) > most:
+            best = score >= np.partition(score, len(score) - most)[len(score) - most]
+            found, score = found[best], score[best]
+        return found[np.argsort(-score, kind="stable")]
 
 
 def fill(index: Bm25, sizes: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
     """(document, first id, ids, window, offset) of every piece; each size is 1 at least."""
     unused = np.ones(index.n, bool)
     out, at, used, row = [], 0, 0, 0
+    d = asked = 0  # the document taken last; the seed
     queue: list[int] = []
     size = sizes.tolist()
     for _ in range(index.n):
         while queue and not unused[queue[-1]]:
             queue.pop()
+        if used and not queue:  # the seed's next neighbours, else those of the document taken last
+            queue = index.neighbours(asked, unused, AT_ONCE)[::-1].tolist()
+            if not queue and asked != d:
+                asked = d
+                queue = index.neighbours(asked, unused, AT_ONCE)[::-1].tolist()
         if queue and used:
             d = queue.pop()
+            seed = False
         else:
             while not unused[row]:
                 row += 1
             d = row
+            seed = True
         unused[d] = False
-        seed, start, left = used == 0, 0, size[d]
+        start, left = 0, size[d]
         while left:
             take = min(left, window - used)
             out.append((d, start, take, at, used))
@@ -102,13 +118,13 @@ def fill(index: Bm25, sizes: np.ndarray, window: int = WINDOW) -> list[tuple[int
             if used == window:
                 at, used = at + 1, 0
                 seed = left > 0
-        if used and (seed or not queue):  # a window has this document as its (next) seed
-            queue = index.neighbours(d, unused)[::-1].tolist()
+        if seed and used:  # a window has this document as its (next) seed
+            asked, queue = d, []
     return out
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, end_id: int = END_ID,
-         shard_bytes: int = SHARD_BYTES, query_terms: int = QUERY_TERMS) -> DataFrame:
+         shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The pieces of all rows of ``docs`` (doc_id, text)."""
     tokenizer = tokenizer or default_tokenizer()
 
@@ -132,7 +148,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, en
                 n += b - a
         ids, per = np.concatenate(ids), np.concatenate(per)
         first = np.cumsum(per) - per
-        pieces = fill(Bm25(np.concatenate(row), np.concatenate(term), n, query_terms), per, window)
+        pieces = fill(Bm25(np.concatenate(row), np.concatenate(term), n), per, window)
         d, start, length, seq, offset = (np.array(x, np.int64) for x in zip(*pieces))
         begin = first[d] + start
         crc = [zlib.crc32(ids[a: a + m]) for a, m in zip(begin.tolist(), length.tolist())]

@@ -167,6 +167,56 @@ def test_neighbours_are_bm25_ranked():
     assert index.neighbours(2, free).tolist() == [3]
 
 
+def test_neighbours_equal_brute_force():
+    """Every document that shares a word is ranked by all words of the seed, however common they are."""
+    from clickflow.llm.common import words
+    rng = random.Random(8)
+    rare = [f"rare{i}" for i in range(12)]
+    docs = [" ".join(rare + ["plain", "text"]), " ".join(rare), "plain", "text plain plain", "other", "text other"]
+    docs += [" ".join(rng.choice([f"w{int(40 * rng.random() ** 2)}" for _ in range(9)]) for _ in range(rng.randrange(1, 60)))
+             for _ in range(80)]
+    split = [d.split() for d in docs]
+    n, mean = len(docs), sum(map(len, split)) / len(docs)
+    df = {}
+    for d in split:
+        for w in set(d):
+            df[w] = df.get(w, 0) + 1
+
+    def score(a, b):
+        total = 0
+        for w in set(split[a]) & set(split[b]):
+            f = split[b].count(w)
+            total += np.log1p((n - df[w] + 0.5) / (df[w] + 0.5)) * f * (P.K1 + 1) / (
+                f + P.K1 * (1 - P.B + P.B * len(split[b]) / mean))
+        return total
+
+    buf, off = utf8(pa.array(docs))
+    row, _, _, h = words(buf, off)
+    index = P.Bm25(row, h, n)
+    for a in range(n):
+        free = np.array([b != a and rng.random() < 0.9 for b in range(n)])
+        want = {b: score(a, b) for b in np.flatnonzero(free).tolist()}
+        got = index.neighbours(a, free).tolist()
+        assert sorted(got) == [b for b in want if want[b] > 0]
+        assert np.allclose([want[b] for b in got], sorted((v for v in want.values() if v > 0), reverse=True))
+        few = index.neighbours(a, free, 3).tolist()
+        assert few == got[: len(few)] and len(few) >= min(3, len(got))
+    free = np.ones(n, bool)
+    free[0] = False
+    assert set(index.neighbours(0, free).tolist()) == {1, 2, 3, 5}
+
+
+def test_all_neighbours_of_a_seed_follow_it():
+    """A window takes the seed's neighbours to the last one, in their order, however many are ranked at a time."""
+    from clickflow.llm.common import words
+    docs = ["seed a b c", *["far off"] * 30, *["a b c"] * 40, *["c"] * 50]
+    buf, off = utf8(pa.array(docs))
+    row, _, _, h = words(buf, off)
+    pieces = P.fill(P.Bm25(row, h, len(docs)), np.full(len(docs), 10), 1000)
+    assert [d for d, *_ in pieces[:91]] == [0, *range(31, 121)]
+    assert sorted(d for d, *_ in pieces if d) == list(range(1, len(docs)))
+
+
 def test_related_documents_share_windows(spark):
     rng = random.Random(5)
     rows = []
