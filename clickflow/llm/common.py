@@ -17,6 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handled by one numpy pass (a longer text is a pass of its own).
 CHUNK_BYTES = 1 << 20
 
+#: Spark's setting to drop the shuffle files of a query when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary folder only on a local master."""
@@ -35,10 +38,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: its rows are computed
-    once, and a lost executor costs no more than the tasks that it was running."""
+    once, and a lost executor costs no more than the tasks that it was running. The write's
+    shuffle files go when it ends, not when the driver happens to collect garbage."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

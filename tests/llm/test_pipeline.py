@@ -73,3 +73,24 @@ def test_rows_not_ids_decide(spark, tmp_path):
         [(2, a), (5, b), (7, c), (0, f"{c} {item}"), (8, f"x {item} y"), (8, "clean text")])
     clean = P.decontamination(spark, docs, str(tmp_path)).collect()
     assert sorted((r.doc_id or 0, r.text) for r in clean) == sorted((d or 0, t) for d, t in rows if item not in t)
+
+
+def test_scratch_writes_leave_no_shuffle_files(spark):
+    """The disk of a stage is that of its tables and of one write's shuffle, not of all shuffles so far."""
+    import time
+
+    from clickflow.llm.common import SHUFFLE_CLEANUP
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {x for x in found.mkString(" ").split() if "/shuffle_" in x}
+
+    before, setting = files(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    frames = [spark.range(50_000).selectExpr("id % 7000 AS k").groupBy("k").count() for _ in range(3)]  # still in use
+    tables = [written(df, "t") for df in frames]
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    assert all(t.count() == 7000 == df.count() for t, df in zip(tables, frames))
