@@ -3,6 +3,8 @@ buffers and word hashes as numpy arrays."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -91,6 +93,14 @@ def chunks(off: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]
         a = min(b, n)
 
 
+def give_back() -> None:
+    """Hand the memory that numpy and Arrow have freed back to the system at a task's end: Spark keeps the
+    worker for the tasks of later stages, beside the heap of the executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc alone has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)

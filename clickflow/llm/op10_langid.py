@@ -31,8 +31,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql.types import StringType
 
-from .common import chunks, utf8
+from .common import chunks, give_back, utf8
 
 SAMPLE_ROWS, TRAIN_CHARS, ALPHABET, LANE, FOLDS, MAX_LANGS = 64, 20_000, 48, 384, 5, 512
 
@@ -267,20 +268,22 @@ def predict(docs: DataFrame, model: Model, *keep: str, text: str = "text") -> Da
     def run(batches):
         m = shared.value
         for batch in batches:
-            buf, off = utf8(batch.column(batch.num_columns - 1))
-            langs, scores, counts = [], [], []
+            buf, off = utf8(batch.column(at))
             for a, b in chunks(off):
-                x, y, z = m.predict(buf[off[a]: off[b]], off[a: b + 1] - off[a])
-                langs += x
-                scores += y
-                counts += z
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
-                 pa.array(counts, pa.int64())], [*batch.schema.names[:-1], "lang_pred", "score", "n_letters"])
+                langs, scores, counts = m.predict(buf[off[a]: off[b]], off[a: b + 1] - off[a])
+                rows = batch.slice(a, b - a)  # handed on as they are done: the executor holds no whole batch of results
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns[:len(keep)], pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
+                     pa.array(counts, pa.int64())], [*keep, "lang_pred", "score", "n_letters"])
+        give_back()
 
     keep = tuple(c for c in keep if c not in ("lang_pred", "score", "n_letters"))
-    src = docs.select(*keep, F.col(text).cast("string").alias("__text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]),
+    kept = docs.select(*keep)
+    if text in keep and kept.schema[text].dataType == StringType():  # one copy of the text for both
+        src, at = kept, keep.index(text)
+    else:
+        src, at = docs.select(*keep, F.col(text).cast("string").alias("__text")), len(keep)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields),
                         "lang_pred STRING", "score DOUBLE", "n_letters BIGINT"])
     return src.mapInArrow(run, schema)
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, utf8, words
+from .common import chunks, give_back, utf8, words
 from .tokens import default_tokenizer, encoder
 
 WINDOW, END_ID, SHARD_BYTES, K1, B = 2048, 1, 8 << 20, 1.2, 0.75
@@ -177,6 +177,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, en
                     base, doc_ids, texts, size = base + n, [], [], 0
         if doc_ids:
             yield shard(doc_ids, texts, base)[0]
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
                        ).mapInArrow(run, PIECE)

@@ -240,6 +240,18 @@ def test_kept_columns_give_way_to_results(spark, edge):
     assert out.columns == ["doc_id", "h", "lang_pred", "score", "n_letters"]
 
 
+def test_a_kept_text_goes_to_python_once(spark):
+    rows = [(i, f"{i} the quick brown fox " * 9000) for i in range(8)] + [(8, None), (9, "")]  # several passes a batch
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").coalesce(1)
+    model = L.Model({"en": ["the quick brown fox"], "de": ["der schnelle braune fuchs"]})
+    found = L.predict(df, model, "doc_id", "text")
+    assert "__text" not in found._jdf.queryExecution().toString()
+    assert [(x.doc_id, x.text) for x in found.collect()] == rows
+    other = L.predict(df.withColumnRenamed("text", "t"), model, "doc_id", text="t")
+    columns = ["doc_id", "lang_pred", "score", "n_letters"]
+    assert found.select(columns).collect() == other.collect()
+
+
 def test_labels_are_no_inputs_of_a_prediction(spark, docs):
     from pyspark.sql import functions as F
     model = L.fit(docs)
