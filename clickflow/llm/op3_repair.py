@@ -54,116 +54,155 @@ def _runs(start, size):
 
 
 class Pairs:
-    """The pairs of a sequence that occur twice or more, with their places and exact counts.
+    """The pairs of a sequence that occur ``least`` times or more (at least twice), with their places and exact counts.
 
     A pair's number never changes; its places are a slice of ``pool`` in ascending order, of which those
-    whose ``pair`` still is the number are its occurrences. ``live`` counts them; ``bound`` is less where
-    occurrences overlap (a run of one symbol)."""
+    whose ``pair`` still is the number are its occurrences. ``live`` counts them (its last slot takes what is
+    counted for -1, no pair); ``bound`` is less where occurrences overlap (a run of one symbol). No count ever
+    grows, so ``high``, the pairs that had ``floor`` occurrences or more when they were listed, has all that do now."""
 
-    def __init__(self, seq: np.ndarray, last: np.ndarray):
+    def __init__(self, seq: np.ndarray, last: np.ndarray, vocab: int, least: int = 2):
         n = len(seq)
-        self.sym = np.append(seq.astype(np.int32), np.int32(-1))
+        # bits of a symbol (a replacement takes a place, so there are fewer than n new ones) and of a place
+        self.wide, self.place = (max(vocab, int(seq.max(initial=0)) + 1) + n).bit_length(), (n + 1).bit_length()
+        # side by side, since a replacement asks for all of them at neighbouring places
+        self.sym, self.next, self.prev, self.pair = np.empty((n + 1, 4), np.int32).T
+        self.sym[:n], self.sym[n] = seq, -1
         self.last = np.append(last, True)  # the place n stands before the first and after the last symbol
-        self.next, self.prev = (np.arange(i, n + 1 + i, dtype=np.int32) for i in (1, -1))
+        self.next[:], self.prev[:] = np.arange(1, n + 2), np.arange(-1, n)
         self.next[n] = self.prev[0] = n
-        self.pair = np.full(n + 1, -1, np.int32)
+        self.pair[:] = -1
         self.n = 0
+        self.least = max(least, 2)
         self.of = np.zeros((2, 1024), np.int64)
         self.start, self.size, self.live, self.bound = (np.zeros(1024, np.int64) for _ in range(4))
         self.pool, self.used = np.zeros(max(n, 1), np.int32), 0
-        self.add(np.flatnonzero(~last))
+        self.high, self.floor = np.zeros(0, np.int64), 1 << 62
+        at = np.flatnonzero(~last)
+        self.add(at, seq[at], seq[at + 1])
 
-    def add(self, at: np.ndarray) -> None:
-        """Number the pairs that start at ``at`` (ascending; all occurrences of these pairs are there)."""
-        if len(at) < 2:
+    def add(self, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        """Number the pairs (left, right) that start at ``at`` (all occurrences of these pairs are there)."""
+        if len(at) < self.least:
             return
-        left, right = self.sym[at].astype(np.int64), self.sym[self.next[at]]
-        wide = int(max(left.max(), right.max())).bit_length()
-        place = len(self.sym).bit_length()
+        wide, place = self.wide, self.place
         if 2 * wide + place < 64:  # pair and place in one number
-            key = np.sort((left << wide | right) << place | at)
+            key = left.astype(np.int64)
+            key <<= wide
+            key |= right
+            key <<= place
+            key |= at
+            key.sort()
             at = key & ((1 << place) - 1)
             key >>= place
         else:
             order = np.lexsort((at, right, left))
-            key, wide, at = left[order] << 32 | right[order], 32, at[order]
-        new = np.ones(len(key) + 1, bool)
-        np.not_equal(key[1:], key[:-1], out=new[1:-1])
-        first = np.flatnonzero(new)
+            key, wide, at = left[order].astype(np.int64) << 32 | right[order], 32, at[order]
+        edge = np.flatnonzero(key[1:] != key[:-1])
+        first = np.zeros(len(edge) + 2, np.int64)
+        first[1:-1], first[-1] = edge + 1, len(key)
         size = first[1:] - first[:-1]
-        several = size > 1
-        first, size = first[:-1][several], size[several]
-        if not len(first):
+        several = np.flatnonzero(size >= self.least)
+        if not len(several):
             return
-        a, b, n = self.n, self.n + len(first), int(size.sum())
-        while b > len(self.live):
+        first, size = first[several], size[several]
+        ends = size.cumsum()
+        a, b, n = self.n, self.n + len(first), int(ends[-1])
+        while b >= len(self.live):
             self.of = np.concatenate((self.of, np.zeros_like(self.of)), 1)
             self.start, self.size, self.live, self.bound = (np.concatenate((x, np.zeros_like(x))) for x in (
                 self.start, self.size, self.live, self.bound))
         while self.used + n > len(self.pool):
             self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
-        places = at[_runs(first, size)]
+        start = ends - size
+        places = at[np.arange(n) + np.repeat(first - start, size)]
         self.pool[self.used: self.used + n] = places
         self.pair[places] = np.repeat(np.arange(a, b), size)
-        self.of[0, a:b], self.of[1, a:b] = key[first] >> wide, key[first] & ((1 << wide) - 1)
-        self.start[a:b], self.size[a:b] = self.used + np.cumsum(size) - size, size
+        key = key[first]
+        self.of[0, a:b], self.of[1, a:b] = key >> wide, key & ((1 << wide) - 1)
+        self.start[a:b], self.size[a:b] = self.used + start, size
         self.live[a:b] = self.bound[a:b] = size
         self.n, self.used = b, self.used + n
-
-    def counts(self) -> np.ndarray:
-        return np.minimum(self.live[: self.n], self.bound[: self.n])
+        high = np.flatnonzero(size >= self.floor)
+        if len(high):
+            self.high = np.concatenate((self.high, a + high))
+
+    def most(self) -> tuple[int, np.ndarray]:
+        """(count, pairs) of the pairs that occur most often; 0 if none occurs ``least`` times."""
+        while True:
+            count = np.minimum(self.live[self.high], self.bound[self.high])
+            most = int(count.max(initial=0))
+            if most >= self.floor:
+                return most, self.high[count == most]
+            if self.floor <= self.least:
+                return 0, self.high[:0]
+            count = np.minimum(self.live[: self.n], self.bound[: self.n])
+            self.floor = max(self.least, int(count.max(initial=0)) * 7 // 8)
+            self.high = np.flatnonzero(count >= self.floor)
 
     def occurrences(self, ids: np.ndarray):
         """(places, index in ``ids``) of the occurrences that don't overlap, from left to right."""
-        size = self.size[ids]
-        at = self.pool[_runs(self.start[ids], size)]
-        here = self.pair[at] == np.repeat(ids, size)
-        at, k = at[here], np.repeat(np.arange(len(ids)), size)[here]
-        if (self.of[0, ids] == self.of[1, ids]).any():
-            after = np.append(False, (self.next[at[:-1]] == at[1:]) & (k[1:] == k[:-1])) if len(at) else here[:0]
+        if len(ids) == 1:
+            i = int(ids[0])
+            at = self.pool[self.start[i]: self.start[i] + self.size[i]]
+            at = at[self.pair[at] == i]
+            k = np.zeros(len(at), np.int64)
+            same = self.of[0, i] == self.of[1, i]
+        else:
+            size = self.size[ids]
+            at = self.pool[_runs(self.start[ids], size)]
+            here = self.pair[at] == np.repeat(ids, size)
+            at, k = at[here], np.repeat(np.arange(len(ids)), size)[here]
+            same = (self.of[0, ids] == self.of[1, ids]).any()
+        if same and len(at):
+            after = np.append(False, (self.next[at[:-1]] == at[1:]) & (k[1:] == k[:-1]))
             run = np.maximum.accumulate(np.where(after, 0, np.arange(len(at))))
-            odd = (np.arange(len(at)) - run) % 2 == 1
-            at, k = at[~odd], k[~odd]
-        return at, k
-
-    def replace(self, at: np.ndarray, symbol: np.ndarray) -> None:
-        """Put ``symbol`` in the place of the pairs that start at ``at``."""
-        gone, before = self.next[at], self.prev[at]
-        for places in (at, gone, before):  # a place of ``before`` can be one of ``gone``
-            pair = self.pair[places]
-            np.subtract.at(self.live, pair[pair >= 0], 1)
+            even = (np.arange(len(at)) - run) % 2 == 0
+            at, k = at[even], k[even]
+        return at.astype(np.int64), k
+
+    def replace(self, ids: np.ndarray, most: int, at: np.ndarray, symbol: np.ndarray) -> None:
+        """Put ``symbol`` (all new) in the place of the pairs ``ids`` that start at ``at``, ``most`` times each."""
+        gone, before = self.next[at].astype(np.int64), self.prev[at].astype(np.int64)
+        self.live[ids] -= most
+        self.pair[at] = -1
+        for places in (gone, before):  # a place of ``before`` can be one of ``gone``
+            np.subtract.at(self.live, self.pair[places].astype(np.int64), 1)
             self.pair[places] = -1
+        ended, after = self.last[gone], self.next[gone]
         self.sym[at], self.sym[gone] = symbol, -1
-        self.last[at] = self.last[gone]
-        after = self.next[gone]
-        self.next[at] = after
+        self.last[at], self.next[at] = ended, after
         self.prev[after] = at
-        before = self.prev[at]
-        before = before[self.sym[before] < symbol.min()]  # else it is in ``at``
-        new = np.concatenate((before, at))
-        self.add(new[~self.last[new]])
+        left = self.sym[before]
+        one, two = np.flatnonzero((left >= 0) & ~self.last[before]), np.flatnonzero(~ended)  # else it is in ``at``
+        self.add(np.concatenate((before[one], at[two])), np.concatenate((left[one], symbol[two])),
+                 np.concatenate((symbol[one], self.sym[after[two]])))
 
 
 def compress(seq: np.ndarray, per_doc: np.ndarray, vocab: int, min_count: int = MIN_COUNT, rounds: int | None = None):
     """(symbols, symbols by document, rules) of a sequence of ids; ``rounds`` ends it after so many batches."""
     last = np.zeros(len(seq), bool)
     last[np.cumsum(per_doc[per_doc > 0]) - 1] = True
-    pairs = Pairs(seq, last)
+    pairs = Pairs(seq, last, vocab, min_count)
     rules, n = [np.zeros((0, 2), np.int64)], 0
     mine = np.full(len(seq) + 1, -1, np.int32)
     while rounds is None or rounds > 0:
-        counts = pairs.counts()
-        most = int(counts.max(initial=0))
-        if most < max(min_count, 2):
+        most, ids = pairs.most()
+        if not most:
             break
-        ids = np.flatnonzero(counts == most)
         at, k = pairs.occurrences(ids)
-        found = np.bincount(k, minlength=len(ids))
-        full = found == most
-        if not full.all():  # occurrences that overlap: the pair waits for its own count
-            pairs.bound[ids[~full]] = found[~full]
-            at, k = at[full[k]], k[full[k]]
-        if len(ids) > 1:  # of pairs that touch each other one is drawn, the other is counted anew
+        if len(ids) == 1:
+            if len(at) < most:  # occurrences that overlap: the pair waits for its own count
+                pairs.bound[ids] = len(at)
+                continue
+            symbol = np.full(len(at), vocab + n)
+        else:
+            found = np.bincount(k, minlength=len(ids))
+            full = found == most
+            if not full.all():
+                pairs.bound[ids[~full]] = found[~full]
+                at, k = at[full[k]], k[full[k]]
+            # of pairs that touch each other one is drawn, the other is counted anew
             drawn = (ids * 0x9E3779B1 & 0xFFFFFFFF) << 31 | ids
             mine[at] = k
             other = mine[pairs.next[at]]
@@ -172,11 +211,12 @@ def compress(seq: np.ndarray, per_doc: np.ndarray, vocab: int, min_count: int =
             x, y = k[touch], other[touch]
             full[np.where(drawn[x] > drawn[y], x, y)] = False
             at, k = at[full[k]], k[full[k]]
-        if not len(at):
-            continue
-        ids = ids[full]
+            if not len(at):
+                continue
+            ids = ids[full]
+            symbol = (vocab + n + np.cumsum(full) - 1)[k]
         rules.append(pairs.of[:, ids].T)
-        pairs.replace(at, (vocab + n + np.cumsum(full) - 1)[k])
+        pairs.replace(ids, most, at, symbol)
         n += len(ids)
         if rounds is not None:
             rounds -= 1

@@ -92,6 +92,32 @@ def test_rules_are_the_most_frequent_pairs_until_none_repeats():
         assert R.expand(sym, rules, 10).tolist() == [x for d in docs for x in d.tolist()]
 
 
+def test_most_frequent_pairs_equal_a_count_of_all(monkeypatch):
+    listed, most = [], R.Pairs.most
+
+    def counted(pairs):
+        count, ids = most(pairs)
+        every = np.minimum(pairs.live[: pairs.n], pairs.bound[: pairs.n])
+        best = int(every.max(initial=0))
+        assert count == (best if best >= pairs.least else 0)
+        if count:
+            assert ids.tolist() == np.flatnonzero(every == best).tolist()
+        listed.append((len(pairs.high), pairs.n))
+        for i in range(pairs.n):  # counts are exact
+            at = pairs.pool[pairs.start[i]: pairs.start[i] + pairs.size[i]]
+            assert pairs.live[i] == (pairs.pair[at] == i).sum()
+        return count, ids
+
+    monkeypatch.setattr(R.Pairs, "most", counted)
+    rng = np.random.default_rng(5)
+    for letters, least in ((2, 2), (5, 2), (40, 2), (40, 4)):
+        per = rng.integers(0, 60, 40)
+        seq = (rng.zipf(1.5, int(per.sum())) % letters).astype(np.uint32)
+        symbols, by_doc, rules = R.compress(seq, per, 50, least)
+        assert (R.expand(symbols, rules, 50) == seq).all() and by_doc.sum() == len(symbols)
+    assert any(0 < a < b // 4 for a, b in listed)  # few are looked at
+
+
 def test_shards_equal_brute_force(spark, docs):
     out = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in R.token_shards(docs, shard_tokens=20_000).collect()}
     at, want = 0, {}
