@@ -133,15 +133,34 @@ def _powers(n: int) -> np.ndarray:
     return _pow
 
 
+_inverse = np.ones(1, np.uint64)
+
+
+def _inverses(n: int) -> np.ndarray:
+    """The inverse of each power, modulo 2 to the 64th; n is at most 1 << 20."""
+    global _inverse
+    if len(_inverse) < n:
+        p = np.full(n, pow(int(_BASE), -1, 1 << 64), np.uint64)
+        p[0] = 1
+        _inverse = np.cumprod(p, dtype=np.uint64)
+    return _inverse
+
+
 def span_hashes(buf: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """64-bit hashes of the non-empty byte spans [first, first + size) of ``buf``."""
     if not len(first):
         return np.zeros(0, np.uint64)
     ends = np.cumsum(size)
     at, total = ends - size, int(ends[-1])
+    if total == len(buf) <= 1 << 20:  # they follow one another: one sum over all, powers count from a span's first byte
+        sums = np.zeros(total + 1, np.uint64)
+        scaled = buf + np.uint64(1)
+        scaled *= _powers(total)[:total]
+        np.cumsum(scaled, out=sums[1:])
+        return mix((sums[ends] - sums[at]) * _inverses(total)[at] ^ (size.astype(np.uint64) * _K))
     short = np.int32 if total < 1 << 31 else np.int64
     inside = np.arange(total, dtype=short) - np.repeat(at.astype(short), size)
-    if total != len(buf):  # else the spans follow one another
+    if total != len(buf):
         buf = buf[inside + np.repeat(first.astype(short if len(buf) < 1 << 31 else np.int64), size)]
     scaled = _powers(int(size.max()))[inside]
     scaled *= buf + np.uint64(1)

@@ -5,10 +5,12 @@ partitions), encodes whole texts, ends each with id 0 and cuts the stream at
 document ends into shards of about ``shard_tokens`` ids. Every shard is compressed by
 Re-Pair: the pair of neighbouring symbols that occurs most often is replaced by a
 nonterminal wherever it stands, from left to right, and so on until no pair occurs
-``min_count`` = 2 times. Counts are exact and follow each replacement. Pairs of the same
-count that never touch each other have no influence on one another, so a batch replaces
-them together, as one after the other would; of those that touch, one is drawn. Pairs
-never cross a document's end, so each document is a run of symbols of its own.
+``min_count`` = 2 times. Counts are exact and follow each replacement. Pairs that never
+touch each other have no influence on one another, so a batch replaces them together, as
+one after the other would, if they have the same count or if no pair that waits or comes
+into being occurs more often; of those that touch, the more frequent one is taken, and one
+is drawn among equals. Pairs never cross a document's end, so each document is a run of
+symbols of its own.
 
 File format: Parquet, one row per shard with little-endian binary columns:
 ``doc_ids`` (int64), ``doc_null`` (uint8), ``doc_symbols`` and ``doc_tokens``
@@ -37,6 +39,8 @@ from .common import scratch_path, utf8
 from .tokens import default_tokenizer, encoder
 
 SHARD_TOKENS, MIN_COUNT = 1 << 18, 2
+#: Pairs looked at together though some are less frequent, where fewer are equally so and occur at least so often.
+FEW, OFTEN = 40, 60
 END_ID = 0
 
 SHARD = ("part INT, seq INT, vocab INT, n_docs BIGINT, n_tokens BIGINT, width INT, doc_ids BINARY, doc_null BINARY, "
@@ -47,12 +51,6 @@ SHARD_ARROW = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("vocab", pa
                                                       "expansion", "symbols")])
 
 
-def _runs(start, size):
-    """The concatenated ranges [start, start + size)."""
-    ends = np.cumsum(size)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)
-
-
 class Pairs:
     """The pairs of a sequence that occur ``least`` times or more (at least twice), with their places and exact counts.
 
@@ -98,11 +96,11 @@ class Pairs:
         else:
             order = np.lexsort((at, right, left))
             key, wide, at = left[order].astype(np.int64) << 32 | right[order], 32, at[order]
-        edge = np.flatnonzero(key[1:] != key[:-1])
+        edge = (key[1:] != key[:-1]).nonzero()[0]
         first = np.zeros(len(edge) + 2, np.int64)
         first[1:-1], first[-1] = edge + 1, len(key)
         size = first[1:] - first[:-1]
-        several = np.flatnonzero(size >= self.least)
+        several = (size >= self.least).nonzero()[0]
         if not len(several):
             return
         first, size = first[several], size[several]
@@ -123,14 +121,14 @@ class Pairs:
         self.start[a:b], self.size[a:b] = self.used + start, size
         self.live[a:b] = self.bound[a:b] = size
         self.n, self.used = b, self.used + n
-        high = np.flatnonzero(size >= self.floor)
+        high = (size >= self.floor).nonzero()[0]
         if len(high):
             self.high = np.concatenate((self.high, a + high))
 
     def most(self) -> tuple[int, np.ndarray]:
         """(count, pairs) of the pairs that occur most often; 0 if none occurs ``least`` times."""
         while True:
-            count = np.minimum(self.live[self.high], self.bound[self.high])
+            self.count = count = np.minimum(self.live[self.high], self.bound[self.high])
             most = int(count.max(initial=0))
             if most >= self.floor:
                 return most, self.high[count == most]
@@ -140,6 +138,19 @@ class Pairs:
             self.floor = max(self.least, int(count.max(initial=0)) * 7 // 8)
             self.high = np.flatnonzero(count >= self.floor)
 
+    def following(self) -> tuple[np.ndarray, np.ndarray]:
+        """(counts, pairs) of the FEW most frequent pairs that ``most`` has just counted, in the order of their counts."""
+        found = (self.count >= self.floor).nonzero()[0]
+        found = found[np.argsort(-self.count[found], kind="stable")[:FEW]]
+        return self.count[found], self.high[found]
+
+    def beside(self, at: np.ndarray, k: np.ndarray, n: int) -> np.ndarray:
+        """By index k < n: no pair that replacing its occurrences ``at`` makes occurs more often than this."""
+        k = k * 64  # neighbours are told apart by six bits; those over a document's end count too
+        left, right = self.sym[self.prev[at]], self.sym[self.next[self.next[at]]]
+        most = [np.bincount(k + (x & 63), minlength=n * 64).reshape(n, 64).max(1) for x in (left, right)]
+        return np.maximum(*most)
+
     def occurrences(self, ids: np.ndarray):
         """(places, index in ``ids``) of the occurrences that don't overlap, from left to right."""
         if len(ids) == 1:
@@ -150,9 +161,11 @@ class Pairs:
             same = self.of[0, i] == self.of[1, i]
         else:
             size = self.size[ids]
-            at = self.pool[_runs(self.start[ids], size)]
-            here = self.pair[at] == np.repeat(ids, size)
-            at, k = at[here], np.repeat(np.arange(len(ids)), size)[here]
+            ends = size.cumsum()
+            k = np.repeat(np.arange(len(ids)), size)
+            at = self.pool[np.arange(len(k)) + (self.start[ids] - (ends - size))[k]]
+            here = (self.pair[at] == ids[k]).nonzero()[0]
+            at, k = at[here], k[here]
             same = (self.of[0, ids] == self.of[1, ids]).any()
         if same and len(at):
             after = np.append(False, (self.next[at[:-1]] == at[1:]) & (k[1:] == k[:-1]))
@@ -161,20 +174,20 @@ class Pairs:
             at, k = at[even], k[even]
         return at.astype(np.int64), k
 
-    def replace(self, ids: np.ndarray, most: int, at: np.ndarray, symbol: np.ndarray) -> None:
-        """Put ``symbol`` (all new) in the place of the pairs ``ids`` that start at ``at``, ``most`` times each."""
+    def replace(self, ids: np.ndarray, count: np.ndarray, at: np.ndarray, symbol: np.ndarray) -> None:
+        """Put ``symbol`` (all new) in the place of the pairs ``ids`` that start at ``at``, ``count`` times each."""
         gone, before = self.next[at].astype(np.int64), self.prev[at].astype(np.int64)
-        self.live[ids] -= most
+        self.live[ids] -= count
         self.pair[at] = -1
         for places in (gone, before):  # a place of ``before`` can be one of ``gone``
             np.subtract.at(self.live, self.pair[places].astype(np.int64), 1)
             self.pair[places] = -1
-        ended, after = self.last[gone], self.next[gone]
+        ended, after = self.last[gone], self.next[gone].astype(np.int64)
         self.sym[at], self.sym[gone] = symbol, -1
         self.last[at], self.next[at] = ended, after
         self.prev[after] = at
         left = self.sym[before]
-        one, two = np.flatnonzero((left >= 0) & ~self.last[before]), np.flatnonzero(~ended)  # else it is in ``at``
+        one, two = ((left >= 0) & ~self.last[before]).nonzero()[0], (~ended).nonzero()[0]  # else it is in ``at``
         self.add(np.concatenate((before[one], at[two])), np.concatenate((left[one], symbol[two])),
                  np.concatenate((symbol[one], self.sym[after[two]])))
 
@@ -185,38 +198,59 @@ def compress(seq: np.ndarray, per_doc: np.ndarray, vocab: int, min_count: int =
     last[np.cumsum(per_doc[per_doc > 0]) - 1] = True
     pairs = Pairs(seq, last, vocab, min_count)
     rules, n = [np.zeros((0, 2), np.int64)], 0
-    mine = np.full(len(seq) + 1, -1, np.int32)
+    mine = np.zeros(0, np.int64)  # by pair: its index in the batch
     while rounds is None or rounds > 0:
         most, ids = pairs.most()
         if not most:
             break
-        at, k = pairs.occurrences(ids)
-        if len(ids) == 1:
-            if len(at) < most:  # occurrences that overlap: the pair waits for its own count
-                pairs.bound[ids] = len(at)
-                continue
-            symbol = np.full(len(at), vocab + n)
+        several = len(ids) < FEW and most >= OFTEN
+        if several:
+            count, ids = pairs.following()
         else:
-            found = np.bincount(k, minlength=len(ids))
-            full = found == most
-            if not full.all():
-                pairs.bound[ids[~full]] = found[~full]
-                at, k = at[full[k]], k[full[k]]
-            # of pairs that touch each other one is drawn, the other is counted anew
+            count = np.full(len(ids), most)
+        at, k = pairs.occurrences(ids)
+        found = np.bincount(k, minlength=len(ids))
+        full, least = found == count, 0
+        if not full.all():  # occurrences that overlap: the pair waits for its own count
+            pairs.bound[ids[~full]] = found[~full]
+            least = int(found[~full].max())
+            at, k = at[full[k]], k[full[k]]
+        if len(ids) > 1:
+            # of pairs that touch each other the more frequent one is taken or else one is drawn, the other is counted anew
             drawn = (ids * 0x9E3779B1 & 0xFFFFFFFF) << 31 | ids
-            mine[at] = k
-            other = mine[pairs.next[at]]
-            touch = np.flatnonzero((other >= 0) & (other != k))
-            mine[at] = -1
+            if several:
+                drawn = np.lexsort((drawn, -count)).argsort()
+            if len(mine) < len(pairs.live):
+                mine = np.full(len(pairs.live), -1)
+            mine[ids] = np.where(full, np.arange(len(ids)), -1)
+            other = mine[pairs.pair[pairs.next[at]]]
+            mine[ids] = -1
+            touch = ((other >= 0) & (other != k)).nonzero()[0]
             x, y = k[touch], other[touch]
-            full[np.where(drawn[x] > drawn[y], x, y)] = False
+            waits = drawn[x] > drawn[y]
+            alone = full.copy()
+            alone[np.where(waits, x, y)] = False
+            if several:
+                # a pair that is taken occurs as often as any that waits still does then, and as any new one
+                lost = alone[np.where(waits, y, x)]
+                lost = np.maximum(np.bincount(x[lost & waits], minlength=len(ids)),
+                                  np.bincount(y[lost & ~waits], minlength=len(ids)))
+                lost[pairs.of[0, ids] == pairs.of[1, ids]] = 0  # others of its run can take their place
+                least = max(least, int((count - lost)[full & ~alone].max(initial=0)))
+                alone &= count >= least
+                at, k = at[alone[k]], k[alone[k]]
+                new = pairs.beside(at, k, len(ids))
+                order = np.argsort(drawn)
+                short = count[order[1:]] < np.maximum.accumulate(new[order])[:-1]
+                alone[order[1:][short]] = False
+            full = alone
             at, k = at[full[k]], k[full[k]]
-            if not len(at):
-                continue
-            ids = ids[full]
-            symbol = (vocab + n + np.cumsum(full) - 1)[k]
+        if not len(at):
+            continue
+        ids, count = ids[full], count[full]
+        symbol = (vocab + n + full.cumsum() - 1)[k]
         rules.append(pairs.of[:, ids].T)
-        pairs.replace(ids, most, at, symbol)
+        pairs.replace(ids, count, at, symbol)
         n += len(ids)
         if rounds is not None:
             rounds -= 1

@@ -1,12 +1,14 @@
 """Whole texts to token ids, with the installed ``tokenizers`` library.
 
 Byte-level BPE cuts a text before every single space that stands between two
-visible characters, so the pieces between such spaces can be encoded alone and
-in any order: each distinct piece is encoded once by the library and its ids
-are copied to every place where it stands. Pieces that are not cached yet are strung
-together to one text for the library, for the same reason; the bytes of each
-token tell which ids belong to which piece. The cache is a direct-mapped table
-of bounded size; a piece that has lost its place is encoded again.
+visible characters, and between letters, digits, other visible characters and a single
+line end (but not between an apostrophe and a letter), so the pieces between such places
+can be encoded alone and in any order: each distinct piece is encoded once by the library
+and its ids are copied to every place where it stands. Pieces that are not cached yet are
+strung together to one text for the library, for the same reason, with a line end behind
+those that don't begin with a space; the bytes of each token tell which ids belong to
+which piece. The cache is a direct-mapped table of bounded size; a piece that has lost its
+place is encoded again.
 """
 
 from __future__ import annotations
@@ -38,6 +40,19 @@ def _solid() -> np.ndarray:
     return t
 
 
+def _kinds() -> np.ndarray:
+    """By byte: LETTER (ASCII, or the lead of U+00C0 to U+023F), DIGIT, MARK (other ASCII that is seen), LINE, or 0."""
+    t = np.zeros(256, np.uint8)
+    t[0x21:0x7F] = MARK
+    t[0x30:0x3A] = DIGIT
+    t[0x41:0x5B] = t[0x61:0x7B] = t[0xC3:0xC9] = LETTER
+    t[0x0A] = LINE
+    return t
+
+
+LETTER, DIGIT, MARK, LINE = 1, 2, 3, 4
+
+
 class Encoder:
     """ids(buf, off) -> (ids of all rows as uint32, offsets by row)."""
 
@@ -53,39 +68,64 @@ class Encoder:
         self.slots = np.zeros((1 << SLOT_BITS, 2), np.uint64)  # hash; place in the pool << 16 | ids
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
-        self.after = _solid()
+        self.after, self.kinds = _solid(), _kinds()
         if hasattr(self.lib.model, "_resize_cache"):
             self.lib.model._resize_cache(0)  # each piece comes once
 
     def _pieces(self, buf, off):
-        space = buf == 0x20
+        """By piece: first byte, length, whether it can be encoded in one text with others, whether a line end parts it
+        from them there."""
         n = len(buf)
+        kind = self.kinds[buf]
+        lead = ((buf[:-1] >= 0xC3) & (buf[:-1] < 0xC9)).nonzero()[0]
+        kind[lead + 1] = LETTER
+        sign = lead[(buf[lead] == 0xC3) & ((buf[lead + 1] == 0x97) | (buf[lead + 1] == 0xB7))]  # U+00D7, U+00F7
+        kind[sign] = kind[sign + 1] = 0
+        edge = off[(off > 0) & (off < n)]
+        known = kind != 0
+        # a line end by itself: what stands before it is known, and so is what follows (a space is looked at below)
+        line = kind == LINE
+        one = line.copy()
+        one[0] = False
+        one[1:] &= known[:-1] & ~line[:-1]
+        one[edge] = False
+        start = np.zeros(n, bool)
+        start[1:] = (kind[1:] != kind[:-1]) & known[1:] & known[:-1] & (~line[:-1] | one[:-1])
+        quote = (buf[:-1] == 0x27).nonzero()[0]  # 's and the like
+        start[quote[kind[quote + 1] == LETTER] + 1] = False
         prev_ok = np.zeros(n, bool)
-        prev_ok[1:] = (buf[:-1] >= 0x21) & (buf[:-1] < 0x7F)
+        prev_ok[1:] = (buf[:-1] >= 0x21) & (buf[:-1] < 0x7F) | one[:-1]
         # the end of a two-byte character whose lead is C3 to DF
         prev_ok[2:] |= (buf[1:-1] >= 0x80) & (buf[1:-1] < 0xC0) & (buf[:-2] >= 0xC3) & (buf[:-2] < 0xE0)
         next_ok = np.zeros(n, bool)
         next_ok[:-1] = self.after[buf[1:]]
-        start = space & prev_ok & next_ok
-        cut = off[:-1][off[:-1] < off[1:]]
+        space = buf == 0x20
         # neighbours have to be of the same row
-        edge = off[(off > 0) & (off < n)]
-        start[edge] = False
-        start[edge - 1] = False
+        space[edge - 1] = False
+        start |= space & prev_ok & next_ok
+        cut = off[:-1][off[:-1] < off[1:]]
         start[cut] = True
         first = np.flatnonzero(start)
         size = np.diff(np.append(first, n))
         edge = np.zeros(n + 1, bool)
         edge[off] = True
-        inner = ~(edge[first] | edge[first + size])
-        return first, size, inner
-
-    def _encode(self, buf, first, size, inner):
-        """ids and their numbers by piece: ``inner`` pieces in one text, those at a row's edge alone."""
-        a, b = np.flatnonzero(inner), np.flatnonzero(~inner)
-        ends = np.cumsum(size[a])
+        begin, end = kind[first], kind[first + size - 1]
+        parted = (begin != 0) & (begin != LINE) & (end != 0) & (end != LINE)
+        inner = parted | (buf[first] == 0x20) & ~(edge[first] | edge[first + size])
+        return first, size, inner, parted
+
+    def _encode(self, buf, first, size, inner, parted):
+        """ids and their numbers by piece: ``inner`` pieces in one text, a line end behind each that is ``parted``; the
+        others alone."""
+        a, b = np.concatenate((np.flatnonzero(parted), np.flatnonzero(inner & ~parted))), np.flatnonzero(~inner)
+        mark = parted[a].astype(np.int64)
+        ends = np.cumsum(size[a] + mark)
         total = int(ends[-1]) if len(a) else 0
-        run = buf[np.arange(total) + np.repeat(first[a] - (ends - size[a]), size[a])]
+        at = np.arange(total) + np.repeat(first[a] - (ends - size[a] - mark), size[a] + mark)
+        marks = ends[: int(mark.sum())] - 1
+        at[marks] = 0
+        run = buf[at]
+        run[marks] = 0x0A
         ids = np.array(self.lib.encode_batch_fast([run.tobytes().decode()], add_special_tokens=False)[0].ids
                        if total else [], np.uint32)
         here = np.searchsorted(np.cumsum(self.bytes[ids]), ends, "left") + 1
@@ -94,6 +134,7 @@ class Encoder:
         counts[a], counts[b] = np.diff(here, prepend=0), count
         where = np.zeros(len(first), np.int64)
         where[a], where[b] = here - counts[a], len(ids) + np.cumsum(count) - count
+        counts[a] -= mark
         return np.concatenate((ids, flat)), where, counts
 
     def _alone(self, buf, first, size):
@@ -106,18 +147,19 @@ class Encoder:
     def _chunk(self, buf, off):
         if not len(buf):
             return np.zeros(0, np.uint32), np.zeros(len(off) - 1, np.int64)
-        first, size, inner = self._pieces(buf, off)
+        first, size, inner, parted = self._pieces(buf, off)
         h = span_hashes(buf, first, size)
         slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         h |= np.uint64(1)
         held = self.slots[slot]
         miss = np.flatnonzero(held[:, 0] != h)
-        length = (held[:, 1] & np.uint64(0xFFFF)).astype(np.int32)
-        begin = (held[:, 1] >> np.uint64(16)).astype(np.int32)
+        held = held[:, 1].astype(np.int64)
+        length = (held & 0xFFFF).astype(np.int32)
+        begin = (held >> 16).astype(np.int32)
         if len(miss):
             _, one, back = np.unique(h[miss], return_index=True, return_inverse=True)
             at = miss[one]
-            flat, where, count = self._encode(buf, first[at], size[at], inner[at])
+            flat, where, count = self._encode(buf, first[at], size[at], inner[at], parted[at])
             if self.used + len(flat) > POOL and self.used:
                 self.slots[:] = 0
                 self.used = 0
@@ -137,9 +179,7 @@ class Encoder:
         ends = np.cumsum(length)
         total = int(ends[-1])
         ids = self.pool[np.arange(total, dtype=np.int32) + np.repeat(begin - (ends - length).astype(np.int32), length)]
-        row = np.searchsorted(off, first, "right") - 1
-        per_row = np.bincount(row, length, minlength=len(off) - 1).astype(np.int64)
-        return ids, per_row
+        return ids, np.diff(np.append(0, ends)[np.searchsorted(first, off)])
 
     def ids(self, buf, off):
         parts, counts = [], []

@@ -6,8 +6,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from clickflow.llm import op3_repair as R, op6_packing as P
-from clickflow.llm.common import scratch_path, utf8
-from clickflow.llm.tokens import default_tokenizer, encoder
+from clickflow.llm.common import scratch_path, span_hashes, utf8
+from clickflow.llm.tokens import Encoder, default_tokenizer, encoder
 
 from .conftest import EDGE
 
@@ -118,6 +118,68 @@ def test_most_frequent_pairs_equal_a_count_of_all(monkeypatch):
     assert any(0 < a < b // 4 for a, b in listed)  # few are looked at
 
 
+def test_pairs_of_several_counts_in_one_batch_are_the_most_frequent_in_turn(monkeypatch):
+    monkeypatch.setattr(R, "OFTEN", 2)
+    batches, replace = [], R.Pairs.replace
+
+    def counted(pairs, ids, count, at, symbol):
+        batches.append(len(set(np.asarray(count).tolist())))
+        replace(pairs, ids, count, at, symbol)
+
+    monkeypatch.setattr(R.Pairs, "replace", counted)
+    rng = np.random.default_rng(6)
+    for letters in (1, 2, 3, 15, 40) * 8:
+        docs = [rng.zipf(1.5, int(rng.integers(0, 90))) % letters for _ in range(7)]
+        docs += [np.concatenate((docs[0], docs[1], docs[0]))] * int(rng.integers(0, 3))
+        sym, by_doc, rules = R.compress(np.concatenate(docs), np.array([len(d) for d in docs]), 50)
+        left, counts = replayed([d.tolist() for d in docs], rules.tolist(), 50)
+        for (x, y), found in zip(rules.tolist(), counts):
+            assert found[x, y] == max(found.values()) >= 2
+        assert max(counts[-1].values(), default=0) < 2
+        assert [x for d in left for x in d] == sym.tolist() and [len(d) for d in left] == by_doc.tolist()
+    assert max(batches) > 1
+
+
+def test_a_word_is_encoded_once_whatever_follows():
+    enc = Encoder(default_tokenizer())
+    sent, lib = [], enc.lib
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(texts)
+            return lib.encode_batch_fast(texts, **options)
+
+    words = ["".join(random.Random(i).choices("abcdefghéü", k=9)) for i in range(200)]
+    texts = [f"a {w}{end}b" for end in (" ", ", ", ".\n", "!? ", "\n", "7 ", "'s ") for w in words]
+    enc.lib = Counting()
+    ids, at = enc.ids(*utf8(pa.array(texts)))
+    for i, t in enumerate(texts):
+        assert ids[at[i]: at[i + 1]].tolist() == lib.encode(t, add_special_tokens=False).ids
+    assert sum(map(len, sent)) < 2 * sum(len(w) + 1 for w in words)
+
+
+def test_pieces_of_odd_texts_equal_library():
+    rng = random.Random(2)
+    parts = ["a", "B", "é", "×", "÷", "ß", "ǃ", "Ȁ", "ɐ", "ʰ", "α", "Ж", "ا", "\u0301", "5", "12", "٣", "²", "½", ".", ",", "'",
+             "'s", "'re", "'LL", '"', "!?", "\n", "\n\n", "\r\n", "\t", " ", "  ", " \n", "\n ", "\xa0", "\u2003", "中文", "😀",
+             "<|endoftext|>", "#", "the", " and", "\x00", "\x7f", "\x85", "\x0b", "\x1c", "ª", "µ", "\u200b", "'ſ"]
+    texts = [None, ""] + ["".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(4000)]
+    enc = Encoder(default_tokenizer())
+    ids, at = enc.ids(*utf8(pa.array(texts)))
+    for i, t in enumerate(texts):
+        assert ids[at[i]: at[i + 1]].tolist() == enc.lib.encode(t or "", add_special_tokens=False).ids
+
+
+def test_hashes_of_spans_that_follow_one_another_equal_those_of_each_alone():
+    rng = np.random.default_rng(7)
+    buf = rng.integers(0, 256, 5000).astype(np.uint8)
+    first = np.unique(np.append(0, rng.integers(0, 5000, 700)))
+    size = np.diff(np.append(first, 5000))
+    alone = [int(span_hashes(np.append(buf[a: a + n], np.uint8(0)), np.array([0]), np.array([n]))[0])
+             for a, n in zip(first.tolist(), size.tolist())]
+    assert span_hashes(buf, first, size).tolist() == alone
+
+
 def test_shards_equal_brute_force(spark, docs):
     out = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in R.token_shards(docs, shard_tokens=20_000).collect()}
     at, want = 0, {}
