@@ -21,6 +21,9 @@ CHUNK_BYTES = 1 << 20
 
 #: Spark's setting to drop the shuffle files of a query when it ends.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings of a write; rows go to Python in batches of a few passes, as a batch is held in several copies beside the
+#: executor's heap.
+WRITE_SETTINGS = {SHUFFLE_CLEANUP: "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * CHUNK_BYTES)}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -38,21 +41,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/llm/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """``values`` as the session's settings; those it had come back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: its rows are computed
     once, and a lost executor costs no more than the tasks that it was running. The write's
     shuffle files go when it ends, not when the driver happens to collect garbage."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with settings(spark, WRITE_SETTINGS):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

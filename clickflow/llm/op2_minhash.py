@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
-from .common import chunks, lists, mix, shingles, utf8, words, written
+from .common import chunks, give_back, lists, mix, shingles, utf8, words, written
 from .graph import components
 
 K, WIDTH, PERCENT, BLOCK = 32, 3, 85, 512
@@ -89,6 +89,7 @@ def sketches(docs: DataFrame, width: int = WIDTH, k: int = K) -> DataFrame:
                      pa.array(ids, pa.int64(), mask=n == 0),
                      lists(s[stay], np.concatenate(([0], np.cumsum(np.minimum(n, k)))), pa.int64())],
                     ["doc_id", "n_shingles", "set_id", "sketch"])
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
                        ).mapInArrow(run, "doc_id BIGINT, n_shingles BIGINT, set_id BIGINT, sketch ARRAY<BIGINT>")
@@ -105,6 +106,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 out = pa.RecordBatch.from_arrays([batch.column("set_id").slice(a, b - a), lists(s, at, pa.int64())],
                                                  ["set_id", "values"])
                 yield out.take(pa.array(same))
+        give_back()
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return (text.join(wanted, "doc_id").select("set_id", "text")

@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunks, mix, utf8, words, written
+from .common import chunks, give_back, mix, utf8, words, written
 
 LEAD, MIN_GENERAL, MIN_TOKENS, MIN_DOCS, PARTS, HASHES, NEW = 2, 8, 3, 8, 3, 8, 6
 
@@ -124,6 +124,7 @@ def line_templates(docs: DataFrame, **options) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rid[a:b][row]), pa.array(line, pa.int32()), pa.array(key), *map(pa.array, sigs)],
                     ["rid", "line", "key", *SIGS])
+        give_back()
 
     return docs.select(_row_id().alias("rid"), F.col("text").cast("string").alias("text")).mapInArrow(
         run, "rid BIGINT, line INT, key BIGINT, " + ", ".join(f"{x} INT" for x in SIGS))

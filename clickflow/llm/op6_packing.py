@@ -55,8 +55,9 @@ class Bm25:
         length = np.bincount(rows, minlength=n)
         mean = max(length.mean(), 1) if n else 1
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        self.doc = doc[shared].astype(np.int64)
+        self.doc = doc[shared]
         t, f = term[shared], tf[shared]
+        del key, term, doc, tf, shared
         self.weight = idf[t] * f * (K1 + 1) / (f + K1 * (1 - B + B * length[self.doc] / mean))
         self.ptr = np.searchsorted(t, np.arange(len(df) + 1))
         order = np.argsort(self.doc, kind="stable")
@@ -143,12 +144,14 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, en
                 ids.append(ended)
                 per.append(count)
                 r, _, _, h = words(part, at)
-                row.append(r + n)
+                row.append((r + n).astype(np.int32))
                 term.append(h)
                 n += b - a
         ids, per = np.concatenate(ids), np.concatenate(per)
         first = np.cumsum(per) - per
-        pieces = fill(Bm25(np.concatenate(row), np.concatenate(term), n), per, window)
+        index = Bm25(np.concatenate(row), np.concatenate(term), n)
+        del row, term
+        pieces = fill(index, per, window)
         d, start, length, seq, offset = (np.array(x, np.int64) for x in zip(*pieces))
         begin = first[d] + start
         crc = [zlib.crc32(ids[a: a + m]) for a, m in zip(begin.tolist(), length.tolist())]
@@ -174,6 +177,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, en
                 if size >= shard_bytes:
                     out, n = shard(doc_ids, texts, base)
                     yield out
+                    give_back()
                     base, doc_ids, texts, size = base + n, [], [], 0
         if doc_ids:
             yield shard(doc_ids, texts, base)[0]

@@ -34,6 +34,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import give_back
+
 Q, SHORT_Q, ERROR, BLOCK_CHARS, TABLE_BITS, POSTINGS = 10, 6, 0.08, 8_000_000, 22, 1 << 21
 
 MATCH = "doc_id BIGINT, item_id BIGINT, start BIGINT, length BIGINT, distance BIGINT"
@@ -304,6 +306,7 @@ def _filter(shared):
             for a, b in _passes(texts):
                 stay[[a + r for r in hits(texts[a:b], indexes)]] = False
             yield batch.filter(pa.array(stay))
+        give_back()
 
     return run
 
@@ -334,5 +337,6 @@ def _matcher(shared):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in found], pa.int64()) for i in range(5)],
                 ["doc_id", "item_id", "start", "length", "distance"])
+        give_back()
 
     return run

@@ -8,7 +8,8 @@ and its ids are copied to every place where it stands. Pieces that are not cache
 strung together to one text for the library, for the same reason, with a line end behind
 those that don't begin with a space; the bytes of each token tell which ids belong to
 which piece. The cache is a direct-mapped table of bounded size; a piece that has lost its
-place is encoded again.
+place is encoded again. The table holds numbers of entries, and only pieces that were met
+have entries, so a worker that Spark keeps beside the heap holds little more than what it met.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from .common import chunks, span_hashes
 
 #: Bytes of text by pass.
 PASS_BYTES = 1 << 20
+#: Bytes of new pieces in one text for the library, whose results take many times its size.
+RUN_BYTES = 1 << 16
 
 #: Slots of the piece cache; its id pool starts anew beyond POOL ids.
 SLOT_BITS, POOL = 22, 12_000_000
@@ -65,7 +68,9 @@ class Encoder:
         self.bytes = np.zeros(self.lib.get_vocab_size(), np.int64)
         for token, i in self.lib.get_vocab().items():  # byte-level: a character of a token is a byte
             self.bytes[i] = len(token)
-        self.slots = np.zeros((1 << SLOT_BITS, 2), np.uint64)  # hash; place in the pool << 16 | ids
+        self.slots = np.zeros(1 << SLOT_BITS, np.int32)  # entry, 0: none
+        self.entries = np.zeros((1 << 12, 2), np.uint64)  # hash; place in the pool << 16 | ids
+        self.taken = 1
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
         self.after, self.kinds = _solid(), _kinds()
@@ -115,27 +120,34 @@ class Encoder:
         return first, size, inner, parted
 
     def _encode(self, buf, first, size, inner, parted):
-        """ids and their numbers by piece: ``inner`` pieces in one text, a line end behind each that is ``parted``; the
-        others alone."""
+        """ids and their numbers by piece: ``inner`` pieces in texts of about ``RUN_BYTES``, a line end behind each that
+        is ``parted``; the others alone."""
         a, b = np.concatenate((np.flatnonzero(parted), np.flatnonzero(inner & ~parted))), np.flatnonzero(~inner)
-        mark = parted[a].astype(np.int64)
-        ends = np.cumsum(size[a] + mark)
-        total = int(ends[-1]) if len(a) else 0
-        at = np.arange(total) + np.repeat(first[a] - (ends - size[a] - mark), size[a] + mark)
+        counts, where = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        parts, n = [], 0
+        for x, y in chunks(np.concatenate(([0], np.cumsum(size[a] + parted[a]))), RUN_BYTES):
+            at = a[x:y]
+            ids, here = self._strung(buf, first[at], size[at], parted[at])
+            counts[at] = np.diff(here, prepend=0)
+            where[at] = n + here - counts[at]
+            counts[at] -= parted[at]
+            parts.append(ids)
+            n += len(ids)
+        flat, count = self._alone(buf, first[b], size[b])
+        counts[b], where[b] = count, n + np.cumsum(count) - count
+        return np.concatenate((*parts, flat)), where, counts
+
+    def _strung(self, buf, first, size, parted):
+        """ids of the pieces in one text, those that are ``parted`` first, and where each piece's ids end."""
+        mark = parted.astype(np.int64)
+        ends = np.cumsum(size + mark)
+        at = np.arange(int(ends[-1])) + np.repeat(first - (ends - size - mark), size + mark)
         marks = ends[: int(mark.sum())] - 1
         at[marks] = 0
         run = buf[at]
         run[marks] = 0x0A
-        ids = np.array(self.lib.encode_batch_fast([run.tobytes().decode()], add_special_tokens=False)[0].ids
-                       if total else [], np.uint32)
-        here = np.searchsorted(np.cumsum(self.bytes[ids]), ends, "left") + 1
-        flat, count = self._alone(buf, first[b], size[b])
-        counts = np.zeros(len(first), np.int64)
-        counts[a], counts[b] = np.diff(here, prepend=0), count
-        where = np.zeros(len(first), np.int64)
-        where[a], where[b] = here - counts[a], len(ids) + np.cumsum(count) - count
-        counts[a] -= mark
-        return np.concatenate((ids, flat)), where, counts
+        ids = np.array(self.lib.encode_batch_fast([run.tobytes().decode()], add_special_tokens=False)[0].ids, np.uint32)
+        return ids, np.searchsorted(np.cumsum(self.bytes[ids]), ends, "left") + 1
 
     def _alone(self, buf, first, size):
         texts = [buf[a: a + n].tobytes().decode("utf-8", "replace") for a, n in zip(first.tolist(), size.tolist())]
@@ -151,7 +163,7 @@ class Encoder:
         h = span_hashes(buf, first, size)
         slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         h |= np.uint64(1)
-        held = self.slots[slot]
+        held = self.entries[self.slots[slot]]
         miss = np.flatnonzero(held[:, 0] != h)
         held = held[:, 1].astype(np.int64)
         length = (held & 0xFFFF).astype(np.int32)
@@ -162,7 +174,7 @@ class Encoder:
             flat, where, count = self._encode(buf, first[at], size[at], inner[at], parted[at])
             if self.used + len(flat) > POOL and self.used:
                 self.slots[:] = 0
-                self.used = 0
+                self.used, self.taken = 0, 1
                 return self._chunk(buf, off)
             if self.used + len(flat) > len(self.pool):
                 grown = np.zeros(max(2 * len(self.pool), self.used + len(flat)), np.uint32)
@@ -174,13 +186,26 @@ class Encoder:
             begin[miss], length[miss] = where[back], count[back]
             keep = count < 1 << 16
             at, where, count = at[keep], where[keep], count[keep]
-            self.slots[slot[at], 0] = h[at]
-            self.slots[slot[at], 1] = (where << 16 | count).astype(np.uint64)
+            self._hold(slot[at], h[at], (where << 16 | count).astype(np.uint64))
         ends = np.cumsum(length)
         total = int(ends[-1])
         ids = self.pool[np.arange(total, dtype=np.int32) + np.repeat(begin - (ends - length).astype(np.int32), length)]
         return ids, np.diff(np.append(0, ends)[np.searchsorted(first, off)])
 
+    def _hold(self, slot, h, place):
+        """Entries for the pieces, in place of those that have their slots."""
+        fresh = np.unique(slot[self.slots[slot] == 0])
+        self.slots[fresh] = np.arange(self.taken, self.taken + len(fresh))
+        self.taken += len(fresh)
+        if self.taken > len(self.entries):
+            grown = np.zeros((max(self.taken, len(self.entries) * 3 // 2), 2), np.uint64)
+            grown[: len(self.entries)] = self.entries
+            self.entries = grown
+        entry = self.slots[slot]
+        _, last = np.unique(entry[::-1], return_index=True)  # of pieces with one slot the last
+        last = len(entry) - 1 - last
+        self.entries[entry[last], 0], self.entries[entry[last], 1] = h[last], place[last]
+
     def ids(self, buf, off):
         parts, counts = [], []
         for a, b in chunks(off, PASS_BYTES):

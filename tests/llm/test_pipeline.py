@@ -94,3 +94,20 @@ def test_scratch_writes_leave_no_shuffle_files(spark):
     assert not files() - before
     assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
     assert all(t.count() == 7000 == df.count() for t, df in zip(tables, frames))
+
+
+def test_rows_go_to_python_in_small_batches(spark):
+    """A batch is held outside the heap, in the executor and in its worker: some megabytes, not 10,000 rows."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], ["n"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    docs = spark.range(0, 8000, 1, 1).select(F.expr("repeat(concat('word ', id), 300)").alias("text"))
+    sizes_ = [r.n for r in written(docs.mapInArrow(sizes, "n BIGINT"), "sizes").collect()]
+    assert sum(sizes_) > 16_000_000 and max(sizes_) < 8_000_000
+    assert spark.conf.get(key, None) == before

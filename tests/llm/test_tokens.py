@@ -158,6 +158,40 @@ def test_a_word_is_encoded_once_whatever_follows():
     assert sum(map(len, sent)) < 2 * sum(len(w) + 1 for w in words)
 
 
+def test_a_kept_encoder_holds_little_and_asks_the_library_in_short_runs():
+    """Spark keeps workers, and so their encoders, beside the heap of the executor while later stages run."""
+    enc = Encoder(default_tokenizer())
+    sent, lib = [], enc.lib
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(texts)
+            return lib.encode_batch_fast(texts, **options)
+
+    texts = [" ".join("".join(random.Random(99 * i + k).choices("abcdefghéü", k=9)) for k in range(99)) for i in range(400)]
+    enc.lib = Counting()
+    for _ in range(2):
+        ids, at = enc.ids(*utf8(pa.array(texts)))
+        for i, t in enumerate(texts):
+            assert ids[at[i]: at[i + 1]].tolist() == lib.encode(t, add_special_tokens=False).ids
+    assert max(len(t.encode()) for t in sent) < 1 << 17 < sum(len(t.encode()) for t in sent)
+    held = sum(x.nbytes for x in vars(enc).values() if isinstance(x, np.ndarray))
+    assert held < 24_000_000
+
+
+def test_a_piece_that_lost_its_place_is_encoded_again(monkeypatch):
+    from clickflow.llm import tokens
+    monkeypatch.setattr(tokens, "SLOT_BITS", 4)
+    monkeypatch.setattr(tokens, "POOL", 2000)
+    enc = Encoder(default_tokenizer())
+    for k in range(30):
+        texts = [f"{i * j} word{i} of {j}, é{j}" for i in range(k, k + 20) for j in range(3)]
+        ids, at = enc.ids(*utf8(pa.array(texts)))
+        for i, t in enumerate(texts):
+            assert ids[at[i]: at[i + 1]].tolist() == enc.lib.encode(t, add_special_tokens=False).ids
+    assert enc.taken <= 17
+
+
 def test_pieces_of_odd_texts_equal_library():
     rng = random.Random(2)
     parts = ["a", "B", "é", "×", "÷", "ß", "ǃ", "Ȁ", "ɐ", "ʰ", "α", "Ж", "ا", "\u0301", "5", "12", "٣", "²", "½", ".", ",", "'",
